@@ -46,7 +46,7 @@ SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS order_id, l_line
        CASE WHEN MAX(l_linestatus) = 'O' AND l_linenumber > 2
             THEN CAST(MAX(l_quantity) AS BIGINT) - (l_orderkey + l_linenumber) % 4
             WHEN MAX(l_tax) < 0.08 THEN CAST(MAX(l_quantity) AS BIGINT) END AS picked,
-       CAST(MAX(l_quantity) AS BIGINT) * (650 + 50 * ((l_orderkey + l_linenumber) % 9)) AS weight_g,
+       CAST(CASE WHEN MAX(l_partkey) % 2 = 0 THEN 1 ELSE 0.5 END AS DECIMAL(8, 4)) AS multiplier,
        CAST(round(MAX(l_extendedprice) * 100) AS BIGINT) AS price,
        CAST(round(MAX(l_discount) * 100) AS BIGINT) AS pct,
        CAST(MAX(l_shipdate) AS DATE) AS day
@@ -80,3 +80,22 @@ SELECT l_partkey AS sku, l_suppkey AS store_id, CAST(SUM(l_quantity) AS BIGINT)
        CASE WHEN MIN(l_linenumber) = 7 THEN CAST(1 AS BIGINT) END AS blocked_format,
        MAX(l_linestatus) = 'O' AS listed, MIN(l_tax) > 0.07 AS excluded
 FROM lineitem GROUP BY l_partkey, l_suppkey""")
+
+# Scale readings of weighed lines; the source repeats lines, so a line may have several readings.
+feed("weights", ["lineitem"], """
+SELECT l_orderkey * 10 + l_linenumber AS line_id,
+       CAST(l_quantity AS BIGINT) * (650 + 50 * ((l_orderkey + l_linenumber) % 9)) AS weight_g
+FROM lineitem""")
+
+feed("dispatches", ["lines"], """
+SELECT line_id AS id, order_id, store_id AS carrier,
+       CASE CAST(sku % 3 AS INT) WHEN 1 THEN '1' WHEN 2 THEN '2' END AS type, day AS promised,
+       CAST(day AS TIMESTAMP) + INTERVAL '1' HOUR * (8 + order_id % 6) AS window_start,
+       CAST(day AS TIMESTAMP) + INTERVAL '1' HOUR * (10 + order_id % 6) AS window_end
+FROM lines""")
+
+feed("changes", ["lines"], """
+SELECT line_id AS id, order_id, CASE CAST(line_no % 3 AS INT) WHEN 0 THEN 5 WHEN 1 THEN 90 ELSE 70 END AS new_state,
+       CAST(day AS TIMESTAMP) + INTERVAL '1' DAY * (CASE CAST(sku % 8 AS INT) WHEN 0 THEN -1 WHEN 1 THEN 1 ELSE 0 END)
+           + INTERVAL '1' MINUTE * (480 + (order_id * 7 + sku) % 600) AS created
+FROM lines""")

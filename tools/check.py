@@ -13,7 +13,6 @@ import traceback
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
-import pandas as pd  # noqa: E402
 
 from granero.schemas import TABLES  # noqa: E402
 from granero.session import local_session  # noqa: E402
@@ -28,33 +27,34 @@ def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def _cell(value) -> str:
-    if pd.isna(value):
+def _cell(value):
+    if value is None or value != value:
         return "NULL"
     if isinstance(value, float):
-        return f"{value:.9g}"
+        return f"{value + 0.0:.10g}"
     return str(value)
 
 
-def normalised(frame):
-    columns = sorted(frame.columns)
-    kinds = [frame[c].dtype.kind for c in columns]
-    rows = sorted(tuple(_cell(v) for v in row) for row in frame[columns].itertuples(index=False))
-    return columns, kinds, rows
+def normalised(names, rows):
+    """Columns by name, the Python types seen in each, and the rows as sorted text."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    kinds = [sorted({type(r[i]).__name__ for r in rows if r[i] is not None}) for i in order]
+    return [names[i] for i in order], kinds, sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
 def compare(entry, spark, connection, folder) -> tuple[bool, str]:
-    got = run(entry, spark, folder).toPandas()
+    df = run(entry, spark, folder)
+    got = [tuple(r) for r in df.collect()]
     text = oracle_text(entry)
     if text is None:
-        return True, f"{len(got)} rows (no oracle)"
-    want = connection.execute(text).df()
-    left, right = normalised(got), normalised(want)
+        return len(got) > 0, f"{len(got)} rows (no oracle)"
+    cursor = connection.execute(text)
+    left = normalised(df.columns, got)
+    right = normalised([d[0] for d in cursor.description], cursor.fetchall())
     if left[0] != right[0]:
         return False, f"columns {left[0]} != {right[0]}"
-    if left[1] != right[1] and len(got):
-        pairs = [(c, a, b) for c, a, b in zip(left[0], left[1], right[1]) if a != b]
-        return False, f"kinds {pairs}"
+    if left[1] != right[1]:
+        return False, f"kinds {[(c, x, y) for c, x, y in zip(left[0], left[1], right[1]) if x != y]}"
     if left[2] != right[2]:
         only_left, only_right = set(left[2]) - set(right[2]), set(right[2]) - set(left[2])
         return False, (
