@@ -99,3 +99,10 @@ SELECT line_id AS id, order_id, CASE CAST(line_no % 3 AS INT) WHEN 0 THEN 5 WHEN
        CAST(day AS TIMESTAMP) + INTERVAL '1' DAY * (CASE CAST(sku % 8 AS INT) WHEN 0 THEN -1 WHEN 1 THEN 1 ELSE 0 END)
            + INTERVAL '1' MINUTE * (480 + (order_id * 7 + sku) % 600) AS created
 FROM lines""")
+
+# A three-level tree over every product: type, then type and brand, then the product itself.
+feed("category_rows", ["skus"], """
+SELECT MIN(sku) * 10 AS id, category AS ref_id, category AS name, CAST(NULL AS VARCHAR(9)) AS ref_parent, 1 AS status
+FROM skus GROUP BY category
+UNION ALL SELECT MIN(sku) * 10 + 1, category || brand, brand, category, 8 FROM skus GROUP BY category, brand
+UNION ALL SELECT sku * 10 + 2, CAST(sku AS VARCHAR(20)), name, category || brand, CASE WHEN size < 9 THEN 0 ELSE 1 END FROM skus""")

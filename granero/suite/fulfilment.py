@@ -70,7 +70,7 @@ WITH {STATES}, {PROMISES},
 s AS (SELECT b.store_id, b.day, SUM(net)::BIGINT AS net_sales, count(DISTINCT order_id) AS orders FROM sales JOIN baskets b USING (order_id) GROUP BY 1, 2),
 o AS (SELECT b.store_id, b.day, order_id, SUM((NOT substitute)::INT) AS r, SUM((states.state = 3)::INT) AS k, SUM(substituted::INT) AS u, MIN(states.state) AS m
       FROM states JOIN baskets b USING (order_id) GROUP BY 1, 2, 3),
-f AS (SELECT store_id, day, coalesce(SUM(k), 0)::BIGINT AS complete_items, SUM(u)::BIGINT AS substituted_items, SUM(r)::BIGINT AS requested_items, count_if(m = 3)::BIGINT AS perfect_orders FROM o GROUP BY 1, 2),
+f AS (SELECT store_id, day, coalesce(SUM(k), 0)::BIGINT AS complete_items, SUM(u)::BIGINT AS substituted_items, SUM(r)::BIGINT AS requested_items, coalesce(count_if(m = 3), 0)::BIGINT AS perfect_orders FROM o GROUP BY 1, 2),
 p AS (SELECT store_id, day, count_if(on_time = 10)::BIGINT AS on_time_orders, count_if(on_time = 20)::BIGINT AS early_orders FROM promises GROUP BY 1, 2),
 x AS (SELECT store_id, day, SUM(net)::BIGINT AS floor_sales FROM sales GROUP BY 1, 2)
 SELECT s.store_id, CAST(s.day AS VARCHAR) AS day, net_sales, orders, complete_items, substituted_items, requested_items, perfect_orders,
