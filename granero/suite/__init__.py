@@ -1,6 +1,6 @@
 """Every registered query. Importing the modules fills the registry."""
 
-from granero.suite import feeds, vocabulary, fulfilment, catalogue, planning  # noqa: F401
+from granero.suite import feeds, vocabulary, fulfilment, catalogue, planning, promotions, market  # noqa: F401
 from granero.suite.registry import QUERIES, oracle_text, run
 
 __all__ = ["QUERIES", "oracle_text", "run"]

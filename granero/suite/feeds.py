@@ -63,6 +63,7 @@ SELECT p_partkey * 100 + p_size AS n_promo, p_partkey AS sku,
        CASE CAST(p_partkey % 4 AS INT) WHEN 0 THEN 'KG' WHEN 1 THEN 'CS' ELSE 'ST' END AS uom,
        CAST(round(p_retailprice * 10) AS BIGINT) AS modal_price,
        CAST(round(p_retailprice * 10) AS BIGINT) * (100 - (p_partkey % 9) * 10) AS promo_price_x100,
+       CAST(floor(round(p_retailprice * 10) * (100 - (p_partkey % 9) * 10) / 100) AS BIGINT) AS promo_price,
        2 + CAST(p_partkey % 4 AS INT) AS qty_n, 1 + CAST(p_partkey % 2 AS INT) AS qty_m,
        CAST((p_partkey % 9) * 10 AS INT) AS pct,
        CAST('1998-06-01' AS DATE) + CAST(p_size AS INT) AS start_day,
