@@ -33,14 +33,10 @@ def expand_days(intervals: DataFrame, start: Column, end: Column, name: str = "d
 def default_join(
     facts: DataFrame, rules: DataFrame, key: str, default_key: str, value: str, name: str
 ) -> DataFrame:
-    """Value of the row for ``key``, else of the row keyed ``default_key``."""
+    """Value of the row for ``key``, else of the row keyed ``default_key`` (read as a scalar subquery)."""
     specific = rules.select(F.col(key), F.col(value).alias("_specific"))
-    # At most one default row exists, because the key is unique in the rules.
-    fallback = rules.where(F.col(key) == default_key).agg(F.first(value).alias("_fallback"))
-    return (
-        facts.join(specific, key, "left").crossJoin(F.broadcast(fallback))
-        .withColumn(name, F.coalesce("_specific", "_fallback")).drop("_specific", "_fallback")
-    )
+    fallback = rules.where(F.col(key) == default_key).agg(F.max(value)).scalar()
+    return facts.join(specific, key, "left").withColumn(name, F.coalesce("_specific", fallback)).drop("_specific")
 
 
 def outer_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:

@@ -300,8 +300,8 @@ def marketplace_promotions(promotions: DataFrame, stores: DataFrame, day, max_un
         .when(F.col("type") == BUNDLE, F.concat("qty_n", F.lit("x"))).otherwise("null")
     )
     named = best.withColumns({"kind": kind, "combination": label, "uom": normal_unit(F.col("uom"))})
-    served = stores.groupBy().agg(F.collect_set("store_id").alias("_stores"))  # one row: the marketplace's stores
-    return named.crossJoin(F.broadcast(served)).withColumn("store_id", F.explode("_stores")).drop("_stores")
+    served = stores.agg(F.collect_set("store_id")).scalar()  # the marketplace's stores, a few hundred at most
+    return named.withColumn("store_id", F.explode(served))
 
 
 def fixed_price_removals(promotions: DataFrame, published: DataFrame, day) -> DataFrame:

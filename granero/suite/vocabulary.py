@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,9 +185,9 @@ def _(sales, baskets, moves):
 SELECT sku, list_price - (SELECT MAX(list_price) FROM skus) AS gap, w AS weeks
 FROM skus, (VALUES (1), (2)) AS v(w)""")
 def _(skus):
-    top = F.broadcast(skus.agg(F.max("list_price").alias("top")))  # exactly one row
+    top = skus.agg(F.max("list_price")).scalar()
     weeks = F.explode(F.array(F.lit(1), F.lit(2)))
-    return skus.crossJoin(top).select("sku", (F.col("list_price") - F.col("top")).alias("gap"), weeks.alias("weeks"))
+    return skus.select("sku", (F.col("list_price") - top).alias("gap"), weeks.alias("weeks"))
 
 
 @query("j07_semi", "skus sales", """
