@@ -177,9 +177,11 @@ def logistics_cost(trips: DataFrame, tariffs: DataFrame) -> DataFrame:
     return per_day.withColumn("total", sum((F.col(c) for c in ("guarantee", "trucks", "coordinator")), F.col("shoppers")))
 
 
-def order_trips(orders: DataFrame, stores: DataFrame, dispatches: DataFrame, changes: DataFrame, day) -> DataFrame:
+def order_trips(
+    orders: DataFrame, stores: DataFrame, dispatches: DataFrame, changes: DataFrame, day, days: int = 1
+) -> DataFrame:
     """Store and customer coordinates, distance and dispatch time of the orders dispatched for delivery."""
-    recent = orders.where((F.col("day") >= F.date_sub(as_date(day), 1)) & (F.col("day") < as_date(day)))
+    recent = orders.where((F.col("day") >= F.date_sub(as_date(day), days)) & (F.col("day") < as_date(day)))
     last = latest_per_key(dispatches, ["order_id"], "id").where("type <> 'pickup'").select("order_id", "lat", "lng")
     left = changes.where(F.col("new_state") == DISPATCHED).groupBy("order_id").agg(F.max("created").alias("dispatched_at"))
     joined = recent.select("order_id", "store_id").join(stores, "store_id", "left").join(last, "order_id").join(left, "order_id")

@@ -36,13 +36,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local-mode session without one gets a
-    temporary folder, because there every executor shares the machine's disk.
+    Only a local-mode session without one gets a temporary folder, because there every executor shares the
+    machine's disk.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,4 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="granero-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` reliably, so what follows survives lost executors and is not computed twice."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

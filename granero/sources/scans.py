@@ -104,3 +104,10 @@ def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     for name, broken in reversed(rules.items()):
         reason = F.when(broken, name).otherwise(reason)
     return df.withColumn("reject_reason", reason)
+
+
+def archive(df: DataFrame, doomed: Column, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the rows of one instant to files; returns the rows that stay and the archive read back."""
+    df.where(doomed).write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.where(~F.coalesce(doomed, F.lit(False))), stored

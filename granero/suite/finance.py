@@ -238,7 +238,7 @@ def _(trips):
 
 @query("d83_order_trips", "baskets dispatches changes nation", """
 WITH l AS (SELECT * FROM dispatches QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY id DESC) = 1), c AS (SELECT order_id, MAX(created) AS t FROM changes WHERE new_state = 70 GROUP BY 1),
-j AS (SELECT b.order_id, c.t, b.store_id % 7 / 10 AS store_lat, b.store_id % 5 / 10 AS store_lng, l.id % 9 / 10 AS lat, l.id % 8 / 10 AS lng FROM baskets b JOIN l USING (order_id) JOIN c USING (order_id) WHERE b.day >= DATE '1998-06-15' - 1 AND b.day < DATE '1998-06-15' AND l.type <> '2')
+j AS (SELECT b.order_id, c.t, b.store_id % 7 / 10 AS store_lat, b.store_id % 5 / 10 AS store_lng, l.id % 9 / 10 AS lat, l.id % 8 / 10 AS lng FROM baskets b JOIN l USING (order_id) JOIN c USING (order_id) WHERE b.day >= DATE '1998-06-15' - 365 AND b.day < DATE '1998-06-15' AND l.type <> '2')
 SELECT order_id, round(2 * 6371.0088::DOUBLE * asin(sqrt(pow(sin(radians(lat - store_lat) / 2), 2) + cos(radians(store_lat)) * cos(radians(lat)) * pow(sin(radians(lng - store_lng) / 2), 2))), 6) AS km, strftime(t, '%Y-%m-%d %H:%M:%S') AS dispatched_at FROM j""")
 def _(baskets, dispatches, changes, nation):
     stores = nation.selectExpr("n_nationkey AS store_id", "n_nationkey % 7 / 10 AS store_lat", "n_nationkey % 5 / 10 AS store_lng")
@@ -246,7 +246,7 @@ def _(baskets, dispatches, changes, nation):
         "order_id", "id", F.when(F.col("type") == "2", "pickup").otherwise(F.col("type")).alias("type"),
         (F.col("id") % 9 / 10).alias("lat"), (F.col("id") % 8 / 10).alias("lng"),
     )
-    rows = logistics.order_trips(baskets, stores, sent, changes, DAY)
+    rows = logistics.order_trips(baskets, stores, sent, changes, DAY, 365)
     return rows.select("order_id", F.round("km", 6).alias("km"), "dispatched_at")
 
 

@@ -34,7 +34,10 @@ def feed(name: str, sources: Sequence[str], sql: str) -> None:
 
 
 def query(name: str, feeds: str, oracle: str | None = None):
-    """Register ``build(**frames)``; ``feeds`` lists the frames it takes, separated by spaces."""
+    """Register ``build(**frames)``; ``feeds`` lists the frames it takes, separated by spaces.
+
+    The name ``folder`` passes the table folder itself, for queries that open a stream on it.
+    """
 
     def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         if name in QUERIES:
@@ -81,7 +84,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def run(entry: Query, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
-    frames = {name: frame(spark, folder, name) for name in entry.feeds}
+    frames = {name: folder if name == "folder" else frame(spark, folder, name) for name in entry.feeds}
     return plain(entry.build(**frames))
 
 

@@ -656,7 +656,9 @@ def _(sales):
     return sales.join(F.broadcast(words), "flag").groupBy("word").agg(F.sum("units").alias("units"))
 
 
-@query("u12_close_ring", "nation")
+@query("u12_close_ring", "nation", """
+WITH c AS (SELECT *, '{"lng":' || n_nationkey || '.0,"lat":' || n_regionkey || '.0}' AS a, '{"lng":' || (n_nationkey + 1) || '.0,"lat":' || n_regionkey || '.0}' AS b, '{"lng":' || (n_nationkey + 1) || '.0,"lat":' || (n_regionkey + 1) || '.0}' AS d FROM nation)
+SELECT n_nationkey, '[' || a || ',' || b || ',' || d || ',' || a || ']' AS ring, 4 AS points FROM c""")
 def _(nation):
     def corner(dx, dy):
         return F.struct((F.col("n_nationkey") + dx).cast("double").alias("lng"), (F.col("n_regionkey") + dy).cast("double").alias("lat"))
@@ -752,7 +754,9 @@ def _(baskets):
     )
 
 
-@query("f09_local_time", "moves")
+@query("f09_local_time", "moves", """
+SELECT id, strftime(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/Santiago', '%Y-%m-%d %H:%M:%S') AS local,
+ strftime(date_trunc('second', ts) AT TIME ZONE 'UTC' AT TIME ZONE 'America/Santiago', '%Y-%m-%d %H:%M:%S') AS from_epoch FROM moves""")
 def _(moves):
     return moves.select(
         "id", dates.to_local(F.col("ts")).alias("local"), dates.epoch_local(F.unix_timestamp("ts")).alias("from_epoch")
