@@ -10,55 +10,64 @@ from pyspark.sql import functions as F
 from granero.session import cut_lineage
 
 # A plain window may put this many rows in one task; larger inputs take the range-sorted route.
-SINGLE_TASK_ROWS = 1_000_000
+SINGLE_TASK_ROWS = 200_000
 
 _PARTITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row position below
 
 
 def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """1-based position in a total order: range sort, checkpoint, then add per-partition offsets."""
-    ordered = cut_lineage(df.orderBy(*order))
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
+    """1-based position in a total order: range sort, write with row ids, then add per-partition offsets."""
+    # The ids are written with the rows: their upper bits number the sorted partitions, the lower bits the rows.
+    tagged = cut_lineage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
     partition = F.shiftrightunsigned("_mid", _PARTITION_BITS)
     within = F.col("_mid").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
     # One row per sorted partition, so this unpartitioned window is bounded by the partition count.
-    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         tagged.groupBy(partition.alias("_pid")).agg(F.count("*").alias("_rows"))
         .select("_pid", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     return (
-        tagged.withColumn("_pid", partition)
-        .join(F.broadcast(offsets), "_pid")
+        tagged.withColumn("_pid", partition).join(F.broadcast(offsets), "_pid")
         .withColumn(name, (F.col("_offset") + within + 1).cast("long"))
         .drop("_mid", "_pid", "_offset")
     )
 
 
+def largest_group(df: DataFrame, within: Sequence[str]) -> int:
+    """Rows in the largest group, all rows when there are no groups."""
+    sizes = df.groupBy(*within).count() if within else df.agg(F.count("*").alias("count"))
+    return sizes.agg(F.max("count")).first()[0] or 0
+
+
 def positions(
     df: DataFrame,
     order: Sequence[Column],
     name: str = "position",
     within: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """``row_number`` over ``order`` (which must be total), globally or inside ``within`` groups.
 
-    The input is materialised and counted first. Up to ``single_task_rows`` rows a plain window is safe
-    whatever the group sizes; beyond that rows are range-sorted by group and order, indexed per sorted
-    partition, and each group's first index is subtracted, so one hot group spreads over many tasks.
+    While no group has more than ``single_task_rows`` rows a plain window is safe. Beyond that rows are
+    range-sorted by group and order, indexed per sorted partition, and each group's first index is
+    subtracted, so one hot group spreads over many tasks. ``largest`` is the size of the largest group where
+    the caller knows it; otherwise the input is written once and counted.
     """
-    base = cut_lineage(df)
-    if base.count() <= single_task_rows:
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if largest is None:
+        df = cut_lineage(df)
+        largest = largest_group(df, within)
+    if largest <= limit:
         window = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-        return base.withColumn(name, F.row_number().over(window.orderBy(*order)).cast("long"))
-    indexed = cut_lineage(_sorted_index(base, [*map(F.col, within), *order], "_index"))
+        return df.withColumn(name, F.row_number().over(window.orderBy(*order)).cast("long"))
+    indexed = _sorted_index(df, [*map(F.col, within), *order], "_index")
     if not within:
         return indexed.withColumnRenamed("_index", name)
-    firsts = indexed.groupBy(*within).agg(F.min("_index").alias("_first"))
     keys = [f"_g{i}" for i, _ in enumerate(within)]
-    firsts = firsts.select(*[F.col(c).alias(k) for c, k in zip(within, keys)], "_first")
-    same = [indexed[c].eqNullSafe(firsts[k]) for c, k in zip(within, keys)]
+    firsts = indexed.groupBy(*[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min("_index").alias("_first"))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(within, keys)]
     return (
         indexed.join(firsts, same, "inner")
         .withColumn(name, F.col("_index") - F.col("_first") + 1)
@@ -67,25 +76,30 @@ def positions(
 
 
 def dense_ranks(
-    df: DataFrame, ranks: dict[str, str], single_task_rows: int = SINGLE_TASK_ROWS
+    df: DataFrame, ranks: dict[str, str], single_task_rows: int | None = None, rows: int | None = None
 ) -> DataFrame:
     """Global descending ``dense_rank`` of several columns: ``{output name: ranked column}``.
 
     Large inputs rank only the distinct values of each column and join them back, so ties cost nothing.
+    ``rows`` is the row count of an input that is cheap to read again.
     """
-    base = cut_lineage(df)
-    if base.count() <= single_task_rows:
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if rows is None:
+        df = cut_lineage(df)
+        rows = df.count()
+    if rows <= limit:
         whole = Window.partitionBy(F.lit(0))
-        return base.withColumns(
+        return df.withColumns(
             {
                 name: F.dense_rank().over(whole.orderBy(F.col(column).desc_nulls_first())).cast("long")
                 for name, column in ranks.items()
             }
         )
+    base = df
     for name, column in ranks.items():
-        values = base.select(F.col(column).alias("_value")).distinct()
+        values = df.select(F.col(column).alias("_value")).distinct()
         ranked = _sorted_index(values, [F.col("_value").desc_nulls_first()], name)
-        base = base.join(ranked, base[column].eqNullSafe(ranked["_value"]), "inner").drop("_value")
+        base = base.join(ranked, F.col(column).eqNullSafe(F.col("_value")), "inner").drop("_value")
     return base
 
 
@@ -95,7 +109,7 @@ def composite_rank(
     tie_breaker: Sequence[str],
     within: Sequence[str] = (),
     name: str = "ranking",
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Row number by a weighted sum of global dense ranks (best first).
 
@@ -103,11 +117,14 @@ def composite_rank(
     global even when the final numbering restarts in every ``within`` group.
     """
     names = {f"{measure}_rank": measure for measure in weights}
-    scored = dense_ranks(df, names, single_task_rows).withColumn(
+    base = cut_lineage(df)
+    rows = base.count()
+    scored = dense_ranks(base, names, single_task_rows, rows).withColumn(
         "score", sum((F.col(f"{measure}_rank") * weight for measure, weight in weights.items()), F.lit(0))
     )
     order = [F.col("score").asc(), *[F.col(c).asc() for c in tie_breaker]]
-    return positions(scored, order, name, within, single_task_rows)
+    largest = largest_group(base, within) if within else rows
+    return positions(scored, order, name, within, single_task_rows, largest)
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:

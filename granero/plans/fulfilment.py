@@ -63,12 +63,15 @@ def line_states(
     return merged.withColumn("state", state.cast("int"))
 
 
-def with_original_sku(lines: DataFrame) -> DataFrame:
-    """Add the product each substitute line stands in for. Only substitutes join, so NULL keys never pile up."""
+def with_original_sku(states: DataFrame, lines: DataFrame) -> DataFrame:
+    """Add the product each substitute line stands in for.
+
+    Substitutes look up their original first and come back on the line id, so NULL references never pile up
+    in one task and the classified lines are computed once.
+    """
     originals = lines.select(F.col("line_id").alias("substitute_of"), F.col("sku").alias("original_sku"))
-    substitutes = lines.where(F.col("substitute_of").isNotNull()).join(originals, "substitute_of", "left")
-    others = lines.where(F.col("substitute_of").isNull()).withColumn("original_sku", F.lit(None).cast("long"))
-    return others.unionByName(substitutes)
+    marks = lines.where(F.col("substitute_of").isNotNull()).select("line_id", "substitute_of")
+    return states.join(marks.join(originals, "substitute_of").select("line_id", "original_sku"), "line_id", "left")
 
 
 def promise_codes(dispatches: DataFrame, orders: DataFrame, changes: DataFrame, now, excluded_state: int = 80) -> DataFrame:

@@ -35,10 +35,10 @@ def line_margins(
     originals = lines.select(
         F.col("line_id").alias("substitute_of"), (F.col("price") * F.col("asked")).alias("_original")
     )
-    replacing = lines.where("substitute_of IS NOT NULL").join(originals, "substitute_of", "left")
-    plain = lines.where("substitute_of IS NULL").withColumn("_original", F.lit(None).cast("long"))
+    marks = lines.where("substitute_of IS NOT NULL").select("line_id", "substitute_of")
+    original_amounts = marks.join(originals, "substitute_of").select("line_id", "_original")
     joined = (
-        plain.unionByName(replacing).drop("store_id", "day").join(orders.select("order_id", "store_id", "day"), "order_id")
+        lines.drop("store_id", "day").join(original_amounts, "line_id", "left").join(orders.select("order_id", "store_id", "day"), "order_id")
         .join(scale, "line_id", "left").join(packs, "sku", "left").join(costs, ["sku", "store_id", "day"], "left")
     )
     weighed = F.col("unit").isin(*WEIGHT_UNITS) & (F.col("picked") != 0)

@@ -177,7 +177,8 @@ def replenishment(masters: DataFrame, as_of) -> DataFrame:
     clamped = F.when(target > F.col("maximum"), F.col("maximum")).when(target < F.col("minimum"), F.col("minimum")).otherwise(target)
     room = F.col("maximum") - F.col("stock")
     bounded = F.when((F.col("clamped") == F.col("maximum")) | (F.col("clamped") + F.col("stock") >= F.col("maximum")), room).otherwise(F.col("clamped"))
-    packed = F.ceil(F.col("bounded") / F.col("multiplier")) * F.col("multiplier")
+    # Rounded first, so that float noise does not order one pack too many.
+    packed = F.ceil(F.round("bounded", 6) / F.col("multiplier")) * F.col("multiplier")
     due = (F.col("demand") > F.col("minimum")) & (F.col("stock") <= F.col("demand"))
     return (
         rows.where(due).withColumn("clamped", clamped.cast("double")).withColumn("bounded", bounded.cast("double"))

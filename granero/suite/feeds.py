@@ -39,11 +39,11 @@ FROM events""")
 feed("lines", ["lineitem"], """
 SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS order_id, l_linenumber AS line_no,
        MAX(l_partkey) AS sku, MAX(l_suppkey) AS store_id,
-       CASE WHEN MAX(l_returnflag) = 'R' AND l_linenumber > 1 THEN l_orderkey * 10 + l_linenumber - 1 END
+       CASE WHEN MAX(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) = 1 AND l_linenumber > 1 THEN l_orderkey * 10 + l_linenumber - 1 END
            AS substitute_of,
        CASE WHEN MAX(l_partkey) % 3 = 0 THEN 'kg' ELSE 'un' END AS uom,
        CAST(MAX(l_quantity) AS BIGINT) AS asked,
-       CASE WHEN MAX(l_linestatus) = 'O' AND l_linenumber > 2
+       CASE WHEN MAX(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AND l_linenumber > 2
             THEN CAST(MAX(l_quantity) AS BIGINT) - (l_orderkey + l_linenumber) % 4
             WHEN MAX(l_tax) < 0.08 THEN CAST(MAX(l_quantity) AS BIGINT) END AS picked,
        CAST(CASE WHEN MAX(l_partkey) % 2 = 0 THEN 1 ELSE 0.5 END AS DECIMAL(8, 4)) AS multiplier,
@@ -77,9 +77,9 @@ FROM part""")
 feed("assortment", ["lineitem"], """
 SELECT l_partkey AS sku, l_suppkey AS store_id, CAST(SUM(l_quantity) AS BIGINT) AS stock,
        MIN(CAST(round(l_extendedprice * 100) AS BIGINT)) AS price,
-       CASE WHEN MAX(l_returnflag) = 'R' THEN CAST(1 AS BIGINT) END AS blocked_store,
+       CASE WHEN MAX(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) = 1 THEN CAST(1 AS BIGINT) END AS blocked_store,
        CASE WHEN MIN(l_linenumber) = 7 THEN CAST(1 AS BIGINT) END AS blocked_format,
-       MAX(l_linestatus) = 'O' AS listed, MIN(l_tax) > 0.07 AS excluded
+       MAX(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AS listed, MIN(l_tax) > 0.07 AS excluded
 FROM lineitem GROUP BY l_partkey, l_suppkey""")
 
 # Scale readings of weighed lines; the source repeats lines, so a line may have several readings.

@@ -224,7 +224,7 @@ r AS (SELECT *, round(CASE WHEN raw > 80 THEN 81 ELSE raw END, 6) AS geo FROM g)
 d AS (SELECT r.*, CASE WHEN real_km > 0 THEN real_km WHEN real_km IS NULL AND geo * ra > 0 THEN geo * ra ELSE geo END AS km, CASE WHEN store_id % 4 = 0 THEN 2500 ELSE 0 END AS truck, CASE WHEN store_id % 2 = 0 THEN units * 20 ELSE products * 50 END AS picking, CASE WHEN store_id % 3 = 0 THEN 0.5 ELSE 1 END AS way FROM r LEFT JOIN q USING (store_id)),
 o AS (SELECT *, 1000 + picking + CASE WHEN truck > 0 THEN truck ELSE 90 * km * way END - truck AS cost FROM d), s AS (SELECT day, store_id, mth, shopper, SUM(cost) AS shoppers, SUM(truck)::BIGINT AS trucks FROM o GROUP BY 1, 2, 3, 4),
 z AS (SELECT *, day(last_day((make_date((mth // 100)::BIGINT, (mth % 100)::BIGINT, 1) - INTERVAL 1 MONTH)::DATE)) AS dm FROM s)
-SELECT CAST(day AS VARCHAR) AS day, store_id, round(SUM(shoppers), 4) AS shoppers, round(SUM(greatest(9000 - shoppers, 0)), 4) AS guarantee, SUM(trucks)::BIGINT AS trucks, MAX(60000 / dm) AS coordinator, round(SUM(shoppers) + SUM(greatest(9000 - shoppers, 0)) + SUM(trucks) + MAX(60000 / dm), 4) AS total FROM z GROUP BY 1, 2""")
+SELECT CAST(day AS VARCHAR) AS day, store_id, round(SUM(shoppers), 6) AS shoppers, round(SUM(greatest(9000 - shoppers, 0)), 6) AS guarantee, SUM(trucks)::BIGINT AS trucks, MAX(60000 / dm) AS coordinator, round(SUM(shoppers) + SUM(greatest(9000 - shoppers, 0)) + SUM(trucks) + MAX(60000 / dm), 6) AS total FROM z GROUP BY 1, 2""")
 def _(trips):
     months = trips.select("store_id", logistics.billing_month(F.col("day")).alias("month")).distinct()
     tariffs = months.selectExpr(
@@ -232,7 +232,7 @@ def _(trips):
         "store_id % 3 = 0 AS one_way", "CASE WHEN store_id % 4 = 0 THEN 2500 ELSE 0 END AS truck", "9000 AS guarantee", "60000 AS coordinator",
     )
     rows = logistics.logistics_cost(trips, tariffs)
-    rounded = {c: F.round(c, 4) for c in ("shoppers", "guarantee", "total")}
+    rounded = {c: F.round(c, 6) for c in ("shoppers", "guarantee", "total")}
     return rows.withColumns(rounded)
 
 
