@@ -143,8 +143,7 @@ def unify_group_stock(stock: DataFrame, groups: DataFrame, skipped_stores: Seque
 
 def recency_flags(sales: DataFrame, as_of: Column, days: int = 10) -> DataFrame:
     """One flag per trailing day that had a sale, per SKU and store."""
-    age = F.datediff(as_of, "day")
-    recent = sales.withColumn("age", age).where(F.col("age").between(1, days))
+    recent = sales.where(F.col("day").between(F.date_sub(as_of, days), F.date_sub(as_of, 1))).withColumn("age", F.datediff(as_of, "day"))
     return recent.groupBy("sku", "store_id").agg(
         *[F.max(F.when(F.col("age") == d, 1).otherwise(0)).alias(f"day_{d}") for d in range(1, days + 1)]
     )

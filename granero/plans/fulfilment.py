@@ -252,7 +252,7 @@ def store_weights(states: DataFrame, stored: DataFrame, monday, weeks: int = 3)
     monday = as_date(monday)
     age = F.floor((F.datediff(monday, "day") - 1) / 7).cast("int") + 1
     weekly = (
-        states.withColumn("age", age).where(F.col("age").between(1, weeks))
+        states.where(F.col("day").between(F.date_sub(monday, 7 * weeks), F.date_sub(monday, 1))).withColumn("age", age)
         .groupBy("store_id", "age").agg(
             count_when(F.col("state") == COMPLETE).alias("complete"), count_when(~F.col("substitute")).alias("requested")
         )

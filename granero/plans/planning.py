@@ -188,8 +188,7 @@ def replenishment(masters: DataFrame, as_of) -> DataFrame:
 
 def comparable_mean(sales: DataFrame, as_of, weeks: int = 4) -> DataFrame:
     """Mean of the same weekday of the last four weeks (the sum over four, rounded)."""
-    ages = [7 * w for w in range(1, weeks + 1)]
-    recent = sales.where(F.datediff(as_date(as_of), "day").isin(*ages))
+    recent = sales.where(F.col("day").isin(*[F.date_sub(as_date(as_of), 7 * w) for w in range(1, weeks + 1)]))
     return recent.groupBy(*PAIR).agg(
         F.round(F.sum("net") / weeks).alias("net"), F.round(F.sum("units") / weeks).alias("units")
     )

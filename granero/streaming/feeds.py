@@ -18,31 +18,34 @@ from granero.operators.ranking import latest_per_key
 LATENESS = "2 hours"
 
 
-def open_feed(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet", files: int = 100) -> DataFrame:
-    """Directory source; ``files`` bounds a micro-batch."""
-    return spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files).load(path)
+def open_feed(
+    spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet", files: int = 100, at: str = "ts",
+    lateness: str = LATENESS,
+) -> DataFrame:
+    """Directory source with its one watermark on ``at``; ``files`` bounds a micro-batch."""
+    reader = spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files)
+    return reader.load(path).withWatermark(at, lateness)
 
 
-def unique_movements(feed: DataFrame, key: str = "id", at: str = "ts", lateness: str = LATENESS) -> DataFrame:
+def unique_movements(feed: DataFrame, key: str = "id") -> DataFrame:
     """Movements without repeated ids. A stream forgets ids once the watermark passes them."""
     if feed.isStreaming:
-        return feed.withWatermark(at, lateness).dropDuplicatesWithinWatermark([key])
+        return feed.dropDuplicatesWithinWatermark([key])
     return feed.dropDuplicates([key])
 
 
-def block_counts(feed: DataFrame, keys: Sequence[str], at: str = "ts", length: str = "30 minutes", lateness: str = LATENESS) -> DataFrame:
+def block_counts(feed: DataFrame, keys: Sequence[str], at: str = "ts", length: str = "30 minutes") -> DataFrame:
     """Rows and amount per key and tumbling block."""
-    timed = feed.withWatermark(at, lateness) if feed.isStreaming else feed
-    return timed.groupBy(F.window(at, length).alias("block"), *keys).agg(
+    return feed.groupBy(F.window(at, length).alias("block"), *keys).agg(
         F.count("*").alias("movements"), F.sum("amount").alias("amount")
     ).select(F.col("block.start").alias("block_start"), F.col("block.end").alias("block_end"), *keys, "movements", "amount")
 
 
-def recent_keys(feed: DataFrame, keys: Sequence[str], at: str = "ts", length: str = "4 hours", slide: str = "30 minutes",
-                lateness: str = LATENESS) -> DataFrame:
+def recent_keys(
+    feed: DataFrame, keys: Sequence[str], at: str = "ts", length: str = "4 hours", slide: str = "30 minutes"
+) -> DataFrame:
     """Keys that changed inside each sliding lookback window."""
-    timed = feed.withWatermark(at, lateness) if feed.isStreaming else feed
-    return timed.groupBy(F.window(at, length, slide).alias("span"), *keys).agg(F.count("*").alias("changes")).select(
+    return feed.groupBy(F.window(at, length, slide).alias("span"), *keys).agg(F.count("*").alias("changes")).select(
         F.col("span.end").alias("as_of"), *keys, "changes"
     )
 

@@ -345,9 +345,8 @@ def _(sales):
 WITH f AS (SELECT sku, store_id, MIN(DATE '1998-06-15' - day) AS age FROM sales WHERE DATE '1998-06-15' - day BETWEEN 1 AND 10 GROUP BY 1, 2)
 SELECT sku, f.store_id, category, CAST(age - 1 AS INT) AS days_since FROM f JOIN skus USING (sku) JOIN stores USING (store_id) WHERE category <> 'LARGE' AND age - 1 = district % 10""")
 def _(sales, skus, stores):
-    thresholds = stores.select("store_id", (F.col("district") % 10).alias("threshold")).join(
-        skus.where("category <> 'LARGE'").select("category").distinct()
-    )
+    categories = skus.where("category <> 'LARGE'").agg(F.collect_set("category")).scalar()  # six product types
+    thresholds = stores.select("store_id", (F.col("district") % 10).alias("threshold"), F.explode(categories).alias("category"))
     flags = stock_plan.recency_flags(sales, dates.as_date("1998-06-15"))
     return stock_plan.immobile_stock(flags, skus, thresholds).select("sku", "store_id", "category", "days_since")
 
