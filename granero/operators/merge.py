@@ -88,9 +88,9 @@ def replace_where(target: DataFrame, incoming: DataFrame, doomed: Column) -> Dat
 
 
 def write_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace only the partitions present in ``df``."""
+    """Replace only the partitions present in ``df``. Rebalancing splits a hot partition and joins small ones."""
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path)
     )
 

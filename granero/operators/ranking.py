@@ -139,7 +139,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], *version: str) -> DataFrame:
-    """One row per key: the one with the highest version, aggregated map-side."""
+    """One row per key: the one with the highest version, cut to one candidate per task before the shuffle."""
     return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in version])
 
 

@@ -46,8 +46,11 @@ def price_profiles(prices: DataFrame, reference_store: int) -> DataFrame:
     """Winning tiers per SKU and whether all stores share one profile.
 
     The reference store wins where it has prices; elsewhere the store with most tiers, then the highest base
-    price. Profiles compare as sorted tier text; tiers per SKU and store are few, so lists stay small.
+    price. Profiles compare as sorted tier text. Only the newest price of a tier counts, so a list has one
+    entry per quantity step however many prices a store has sent.
     """
+    newest = [F.col("valid_from").desc(), F.col("id").desc(), F.col("price").asc()]
+    prices = first_per_key(prices, ["sku", "store_id", "min_qty"], newest)
     tier = F.concat_ws("-", "min_qty", "price", "list_price")
     tiers = F.array_sort(F.collect_set(F.struct("min_qty", "price", "list_price")))
     per_store = prices.groupBy("sku", "store_id").agg(

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs one more shuffle for the aggregate that follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Sort-merge joins turn into hash joins at run time when every build partition is below this size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",

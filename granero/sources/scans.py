@@ -75,8 +75,8 @@ def write_dated(df: DataFrame, path: str, day: str, file_format: str = "csv", co
 
 
 def write_per_key(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> None:
-    """One folder per key. Rows stay where they are, so a hot key is written by many tasks."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(key).json(path)
+    """One folder per key. Rebalancing gathers small keys and spreads a hot key over many tasks."""
+    df.hint("rebalance", key).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(key).json(path)
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -55,28 +55,33 @@ def latest_states(changes: DataFrame, key: str, version: str) -> DataFrame:
     return latest_per_key(changes, [key], version)
 
 
-def merge_into_partitions(path: str, keys: Sequence[str], partition: str, version: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink that upserts by key, rewriting only the partitions a batch touches.
+def version_log(path: str, feed: str, partition: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that writes each micro-batch beside the earlier ones, below its partition.
 
-    ``partition`` must be a function of the keys (a day of an immutable event time, a key bucket). Replaying a
-    batch gives the same table, so a retry after a lost executor or driver is harmless.
+    A batch owns the folder ``partition/feed/batch``, so a replay after a failure replaces exactly its own
+    rows, and a write costs the size of the batch whatever the size of the table. ``merged_rows`` reads the
+    keyed table back.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        updates = latest_per_key(batch, keys, *version)
-        try:
-            stored = spark.read.schema(batch.schema).parquet(path)
-        except Exception:  # noqa: BLE001 - the first batch finds no table
-            stored = spark.createDataFrame([], batch.schema)
-        touched = stored.join(batch.select(partition).distinct(), partition, "left_semi")
-        # Rows already stored compete with the batch by version, so late repeats cannot undo newer rows.
-        merged = latest_per_key(touched.unionByName(updates), keys, *version)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tagged = batch.withColumns({"feed": F.lit(feed), "batch": F.lit(batch_id).cast("long")})
+        writer = tagged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(partition, "feed", "batch").parquet(path)
 
     return write
 
 
+def merged_rows(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The upserted table: the newest logged version of every key."""
+    logged = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return latest_per_key(logged, keys, *version)
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], version: Sequence[str], partition: str, target: str) -> None:
+    """Write the merged rows as one plain table, after which the log can start anew."""
+    merged_rows(spark, path, schema, keys, version).hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(target)
+
+
 def run_available(
     stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
     mode: str = "append",

@@ -170,7 +170,7 @@ def _(prices, assortment):
 
 
 @query("d64_price_profiles", "prices", f"""
-WITH {VALID}, t AS (SELECT sku, store_id, string_agg(DISTINCT min_qty || '-' || price || '-' || list_price, '|' ORDER BY min_qty || '-' || price || '-' || list_price) AS profile, count(*) AS n, MAX(CASE WHEN min_qty = 1 THEN price END) AS base FROM v GROUP BY 1, 2),
+WITH {VALID.replace("v AS", "u AS")}, v AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY sku, store_id, min_qty ORDER BY valid_from DESC, id DESC, price) = 1), t AS (SELECT sku, store_id, string_agg(DISTINCT min_qty || '-' || price || '-' || list_price, '|' ORDER BY min_qty || '-' || price || '-' || list_price) AS profile, count(*) AS n, MAX(CASE WHEN min_qty = 1 THEN price END) AS base FROM v GROUP BY 1, 2),
 w AS (SELECT sku, store_id FROM t QUALIFY row_number() OVER (PARTITION BY sku ORDER BY (store_id = 4) DESC, n DESC, coalesce(base, 0) DESC, store_id) = 1),
 d AS (SELECT DISTINCT sku, store_id, min_qty, price, list_price FROM v),
 k AS (SELECT w.sku, w.store_id, arg_min(list_price, (min_qty, price, list_price)) AS list_price, '[' || string_agg(CASE WHEN min_qty > 1 THEN '{{"precio":"' || price || '","cantidad":"' || min_qty || '"}}' END, ',' ORDER BY min_qty, price, list_price) || ']' AS scale

@@ -140,46 +140,45 @@ def _(moves):
     return intake.status_changes(raw).select("id", "created", "new_store", "old_store")
 
 
-@query("d54_flatten_market_orders", "lineitem", """
-WITH f AS (SELECT l_orderkey, arg_min(l_partkey, (l_linenumber, l_partkey, l_suppkey)) AS p, arg_min(CAST(l_quantity AS BIGINT), (l_linenumber, l_partkey, l_suppkey)) AS q FROM lineitem GROUP BY 1)
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CASE WHEN l_orderkey % 2 = 0 THEN 'P' || l_orderkey END AS pack_id, 'SKU' || p AS sku, 'M' || p AS market_product, q AS picked, CASE WHEN l_orderkey % 9 = 0 THEN '2024-01-01' END AS cancelled FROM f WHERE l_orderkey % 11 <> 0""")
-def _(lineitem):
-    item = F.concat(
-        F.lit('{"item":{"id":"M'), "l_partkey", F.lit('","seller_sku":"SKU'), "l_partkey", F.lit('"},"quantity":'), F.col("l_quantity").cast("long"), F.lit("}")
-    )
-    # A few lines per order; the list is the document's own item array.
-    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", item.alias("json")))), lambda s: s["json"]), ",")
-    key = F.col("l_orderkey")
+@query("d54_flatten_market_orders", "baskets", """
+SELECT CAST(order_id AS VARCHAR) AS order_id, CASE WHEN order_id % 2 = 0 THEN 'P' || order_id END AS pack_id, 'SKU' || customer_id AS sku, 'M' || customer_id AS market_product, total AS picked, CASE WHEN order_id % 9 = 0 THEN '2024-01-01' END AS cancelled
+FROM baskets WHERE status <> 'P'""")
+def _(baskets):
+    def item(sku, quantity):
+        return F.concat(F.lit('{"item":{"id":"M'), sku, F.lit('","seller_sku":"SKU'), sku, F.lit('"},"quantity":'), quantity, F.lit("}"))
+
+    key = F.col("order_id")
+    items = F.concat(item(F.col("customer_id"), F.col("total")), F.lit(","), item(key, F.lit(1)))
     body = F.concat(
         F.lit('{"id":"'), key, F.lit('"'), F.when(key % 2 == 0, F.concat(F.lit(',"pack_id":"P'), key, F.lit('"'))).otherwise(""),
         F.when(key % 9 == 0, ',"cancel_detail":{"date":"2024-01-01"}').otherwise(""), F.lit(',"order_items":['),
-        F.when(key % 11 == 0, "").otherwise(F.col("items")), F.lit("]}"),
+        F.when(F.col("status") == "P", "").otherwise(items), F.lit("]}"),
     )
-    documents = lineitem.groupBy("l_orderkey").agg(items.alias("items")).select(F.from_json(body, intake.MARKET_ORDER).alias("d")).select("d.*")
+    documents = baskets.select(F.from_json(body, intake.MARKET_ORDER).alias("d")).select("d.*")
     return intake.flatten_market_orders(documents).select("order_id", "pack_id", "sku", "market_product", "picked", "cancelled")
 
 
-@query("d55_build_tickets", "baskets moves", """
-WITH e AS (SELECT item, id, kind, row_number() OVER (PARTITION BY item ORDER BY id DESC) AS r FROM moves), a AS (SELECT item, MAX(CASE WHEN kind = 'purchase' THEN id END) AS resolver, string_agg(DISTINCT CASE WHEN kind = 'signup' THEN id::VARCHAR END, ',' ORDER BY CASE WHEN kind = 'signup' THEN id::VARCHAR END) AS merged,
- string_agg(DISTINCT CASE WHEN kind = 'signup' THEN (id * 10)::VARCHAR END, ',' ORDER BY CASE WHEN kind = 'signup' THEN (id * 10)::VARCHAR END) AS kids FROM e GROUP BY 1)
+@query("d55_build_tickets", "baskets", """
 SELECT order_id AS ticket, CASE status WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Open' ELSE 'New' END AS state, priority AS reason, CASE WHEN total % 2 = 0 THEN total::VARCHAR END AS order_number, total % 5 = 0 AS closed_by_merge,
- CASE WHEN status = 'F' THEN round((total % 60) * 144 / 1440, 2) END AS resolution_days, CASE WHEN status = 'F' THEN round((total % 900) / 60, 2) END AS first_reply_hours, coalesce(merged, '') AS merged_into, coalesce(kids, '') AS merged_from, resolver
-FROM baskets LEFT JOIN a ON item = customer_id""")
-def _(baskets, moves):
-    change = F.array(F.struct(
-        F.lit("Change").alias("type"), F.lit("status").alias("field_name"), F.lit("closed").alias("value"),
-        F.when(F.col("kind") == "purchase", "open").alias("previous_value"),
-    ))
-    audit = F.struct(
-        F.col("id"), change.alias("events"), F.col("id").alias("author_id"), F.when(F.col("kind") == "signup", "merge").alias("rel"),
-        F.col("id").alias("merged_ticket"), F.array(F.col("id") * 10).alias("merged_children"),
+ CASE WHEN status = 'F' THEN round((total % 60) * 144 / 1440, 2) END AS resolution_days, CASE WHEN status = 'F' THEN round((total % 900) / 60, 2) END AS first_reply_hours,
+ CASE WHEN total % 3 = 0 THEN customer_id::VARCHAR ELSE '' END AS merged_into, CASE WHEN total % 3 = 0 THEN (customer_id * 10)::VARCHAR ELSE '' END AS merged_from, CASE total % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 END::BIGINT AS resolver FROM baskets""")
+def _(baskets):
+    """Three audits per ticket: a merge or a note, a closing from open, and a closing or a change from solved."""
+    def audit(author, previous, rel):
+        change = F.struct(F.lit("Change").alias("type"), F.lit("status").alias("field_name"), F.lit("closed").alias("value"), previous.alias("previous_value"))
+        return F.struct(
+            F.array(change).alias("events"), F.lit(author).cast("long").alias("author_id"), rel.alias("rel"),
+            F.col("customer_id").alias("merged_ticket"), F.array(F.col("customer_id") * 10).alias("merged_children"),
+        )
+
+    none, turn = F.lit(None).cast("string"), F.col("total") % 4
+    audits = F.array(
+        audit(1, none, F.when(F.col("total") % 3 == 0, "merge")), audit(2, F.when(turn < 2, "open"), none),
+        audit(3, F.when(turn == 0, "pending").otherwise("solved"), none),
     )
-    # The audit trail of one ticket is part of its document.
-    trails = moves.groupBy(F.col("item").alias("customer_id")).agg(F.array_sort(F.collect_list(audit)).alias("audits"))
-    none = F.array().cast(trails.schema["audits"].dataType)
-    tickets = baskets.join(trails, "customer_id", "left").select(
+    tickets = baskets.select(
         F.col("order_id").alias("id"), F.expr("CASE status WHEN 'F' THEN 'closed' WHEN 'O' THEN 'open' ELSE 'new' END").alias("status"),
-        F.lit("").alias("created_at"), F.lit("").alias("updated_at"), F.coalesce("audits", none).alias("audits"),
+        F.lit("").alias("created_at"), F.lit("").alias("updated_at"), audits.alias("audits"),
         F.array(F.struct(F.lit(11).alias("id"), F.col("priority").alias("value")), F.struct(F.lit(12).alias("id"), F.when(F.col("total") % 2 == 0, F.col("total").cast("string")).alias("value"))).alias("custom_fields"),
         F.when(F.col("total") % 5 == 0, F.array(F.lit("closed_by_merge"))).otherwise(F.array(F.lit("x"))).alias("tags"),
         F.struct(F.lit("").alias("solved_at"), (F.col("total") % 60 * 144).alias("resolution_minutes"), (F.col("total") % 900).alias("first_reply_minutes")).alias("metrics"),
@@ -397,17 +396,17 @@ def _(moves, folder):
 
 @query("t01_movement_upsert_stream", "moves folder", "SELECT id, CAST(day AS VARCHAR) AS day, kind, amount FROM moves")
 def _(moves, folder):
-    """A running stream merged by id into day partitions; the feed is sent twice to show the merge is idempotent."""
+    """A running stream upserted by id; the feed is sent twice to show that the merge is idempotent."""
     spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
     feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
     shaped = feed_.select(
         F.col("event_id").alias("id"), "ts", F.col("event_type").alias("kind"), F.round(F.col("value") * 100).cast("long").alias("amount"),
         F.col("ts").cast("date").alias("day"),
     )
-    sink = streaming.merge_into_partitions(f"{work}/table", ["id"], "day", ["ts"])
     for attempt in ("first", "again"):
+        sink = streaming.version_log(f"{work}/table", attempt, "day")
         streaming.run_available(streaming.unique_movements(shaped), f"{work}/{attempt}", sink=sink)
-    return spark.read.schema("id LONG, ts TIMESTAMP, kind STRING, amount LONG, day DATE").parquet(f"{work}/table").drop("ts")
+    return streaming.merged_rows(spark, f"{work}/table", shaped.schema, ["id"], ["ts"]).drop("ts")
 
 
 @query("t03_recent_keys", "moves", """

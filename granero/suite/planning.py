@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from granero.functions.keys import normal_unit
 from granero.plans import calendar as calendar_plan
-from granero.suite.registry import query
+from granero.plans import planning as plan
+from granero.plans.promotions import SUPPLY_MECHANICS
+from granero.suite.registry import feed, query
 
 
 @query("d60_relative_calendar", "baskets", """
@@ -27,12 +30,6 @@ def _(category_rows):
 
 # ---------------------------------------------------------------- rankings and stock planning
 
-from granero.functions import dates  # noqa: E402
-from granero.functions.keys import normal_unit  # noqa: E402
-from granero.plans import planning as plan  # noqa: E402
-from granero.plans.promotions import SUPPLY_MECHANICS  # noqa: E402
-from granero.suite.registry import feed  # noqa: E402
-
 DAY = "1998-06-15"
 
 
