@@ -77,24 +77,21 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
     today = costs.where(F.col("delivery_day") == day)
     rates = factors.select("operator", "model", "pay", "guarantee_factor", "from_day", "to_day")
 
-    def billed(rows: DataFrame, keys: Sequence[str], source: str, carrier: Column, carriers: Column) -> DataFrame:
-        totals = rows.groupBy(*keys, "guarantee").agg(
-            F.sum("cost").alias("_cost"), F.min("headcount").alias("headcount"), carrier.alias("carrier"), carriers.alias("carriers")
-        )
-        rated = validity_join(totals, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
-        paid = F.col("_cost") * F.coalesce("pay", F.lit(1))
-        minimum = F.col("headcount") * F.col("guarantee") * F.coalesce("guarantee_factor", F.lit(1))
-        return rated.select(
-            *group, "carrier", "carriers", paid.alias("paid"), minimum.alias("minimum"),
-            F.greatest(minimum - paid, F.lit(0)).alias("topup"), F.lit(source).alias("source"),
-        )
-
-    none = F.max(F.lit(None).cast("string"))
-    text = F.col("carrier").cast("string")
-    shared = billed(today.where("shared = 1"), group, "duplicado", none, packed_list(F.col("carrier"), ", "))
-    single = billed(
-        today.where("shared = 0").withColumn("_carrier", F.col("carrier")), [*group, "_carrier"], "no_duplicado", F.max(text), none
+    # One pass: unshared carriers keep their own group, shared ones fall together.
+    own = F.when(F.col("shared") == 0, F.col("carrier"))
+    totals = today.groupBy(*group, "guarantee", "shared", own.alias("_own")).agg(
+        F.sum("cost").alias("_cost"), F.min("headcount").alias("headcount"), packed_list(F.col("carrier"), ", ").alias("_list")
+    )
+    rated = validity_join(totals, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
+    paid = F.col("_cost") * F.coalesce("pay", F.lit(1))
+    floor = F.col("headcount") * F.col("guarantee") * F.coalesce("guarantee_factor", F.lit(1))
+    together = F.col("shared") == 1
+    billed = rated.select(
+        *group, F.when(~together, F.col("_own").cast("string")).alias("carrier"), F.when(together, F.col("_list")).alias("carriers"),
+        paid.alias("paid"), floor.alias("minimum"), F.greatest(floor - paid, F.lit(0)).alias("topup"),
+        F.when(together, "duplicado").otherwise("no_duplicado").alias("source"),
     )
+    text = F.col("carrier").cast("string")
     staffed = forecast.where((F.col("day") == day) & (F.col("headcount") > 0)).withColumnRenamed("day", "delivery_day")
     idle = staffed.join(today.select(*group), group, "left_anti").groupBy(*group).agg(
         F.max("shared").alias("_shared"), packed_list(F.col("carrier"), ", ").alias("_list"),
@@ -107,7 +104,7 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
         *group, F.when(F.col("_shared") != 1, text).alias("carrier"), F.when(F.col("_shared") == 1, F.col("_list")).alias("carriers"),
         (minimum * 0).alias("paid"), minimum.alias("minimum"), minimum.alias("topup"), F.lit("sin_pedido").alias("source"),
     )
-    return shared.unionByName(single).unionByName(empty)
+    return billed.unionByName(empty)
 
 
 def overheads(base: DataFrame, coordinators: DataFrame, fixed: DataFrame, costs: DataFrame, loads: DataFrame, operator: str, day) -> DataFrame:

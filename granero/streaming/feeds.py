@@ -84,10 +84,21 @@ def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[s
 
 def run_available(
     stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
-    mode: str = "append",
+    mode: str = "append", partitions: int | None = None,
 ) -> StreamingQuery:
-    """Process everything available now, into a merge sink or an append-only Parquet folder."""
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    query = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
-    query.awaitTermination()
+    """Process everything available now, into a batch sink or an append-only Parquet folder.
+
+    ``partitions`` fixes the number of state partitions of a new checkpoint; the session's setting applies
+    when it is left out.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if partitions:
+        conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        query = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
+        query.awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     return query

@@ -65,6 +65,19 @@ def _(assortment, skus, stores, promos):
     return rows.select("sku", "store_id", "stock", "uom", "price", "promo_price")
 
 
+@query("d25_other_parent_child_offers", FEEDS, f"""
+WITH {BEST}, {SHELF}, m AS (SELECT sku, MAX(price) AS price FROM sp GROUP BY 1), e AS (SELECT sku - sku % 4 AS parent, sku AS child FROM skus WHERE sku % 4 <> 0),
+st AS (SELECT child AS sku, store_id, stock FROM assortment JOIN e ON parent = assortment.sku WHERE store_id NOT IN (FROM active))
+SELECT st.sku, st.store_id, st.stock, uom, m.price, promo_price FROM st JOIN goods USING (sku) JOIN m USING (sku) LEFT JOIN best USING (sku) WHERE brand IS NOT NULL AND st.stock >= multiplier""")
+def _(assortment, skus, stores, promos):
+    equivalents = skus.where("sku % 4 <> 0").selectExpr("sku - sku % 4 AS purchase_sku", "sku AS sale_sku")
+    stock = plan.translate_parent_stock(assortment.select("sku", "store_id", "stock"), equivalents)
+    prices = plan.store_prices(assortment.select("sku", "store_id", "price"), assortment, stores, skus, ("SMALL",))
+    others = plan.other_store_prices(prices, stock, stores)
+    rows = plan.offers(stock, _goods(skus), others, plan.best_simple_promotion(promos, DAY))
+    return rows.select("sku", "store_id", "stock", "uom", "price", "promo_price")
+
+
 @query("d26_format_offers", "sales skus stores promos prices", f"""
 WITH st AS (SELECT sku, store_id, MAX(units) AS stock, bool_or(pct = 10) AS blocked FROM sales WHERE flag = (SELECT MAX(flag) FROM sales) GROUP BY 1, 2),
 g AS (SELECT sku, brand, {UOM} AS uom, nullif(size, 13) AS ean FROM skus),

@@ -389,7 +389,7 @@ def _(moves, folder):
     spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
     feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
     shaped = feed_.select("ts", F.col("event_type").alias("kind"), F.round(F.col("value") * 100).cast("long").alias("amount"))
-    streaming.run_available(streaming.block_counts(shaped, ["kind"]), f"{work}/checkpoint", path=f"{work}/blocks")
+    streaming.run_available(streaming.block_counts(shaped, ["kind"]), f"{work}/checkpoint", path=f"{work}/blocks", partitions=spark.sparkContext.defaultParallelism)
     schema = "block_start TIMESTAMP, block_end TIMESTAMP, kind STRING, movements LONG, amount LONG"
     return spark.read.schema(schema).parquet(f"{work}/blocks").select("block_start", "kind", "movements")
 
@@ -405,7 +405,7 @@ def _(moves, folder):
     )
     for attempt in ("first", "again"):
         sink = streaming.version_log(f"{work}/table", attempt, "day")
-        streaming.run_available(streaming.unique_movements(shaped), f"{work}/{attempt}", sink=sink)
+        streaming.run_available(streaming.unique_movements(shaped), f"{work}/{attempt}", sink=sink, partitions=spark.sparkContext.defaultParallelism)
     return streaming.merged_rows(spark, f"{work}/table", shaped.schema, ["id"], ["ts"]).drop("ts")
 
 
