@@ -45,15 +45,20 @@ def carrier_store(ref: Column) -> Column:
 def store_dimension(stores: DataFrame, hierarchy: DataFrame, carriers: DataFrame) -> DataFrame:
     """Stores with their hierarchy, label and service flags.
 
-    A store offers a service when an active carrier of that type has a reference starting with its code; the
-    first four characters of the normalised reference are the equi key.
+    A store offers a service when an active carrier of that type has a reference starting with its code. Each
+    reference is spread over its possible code prefixes, which makes the prefix test an equi join.
     """
-    active = carriers.where("status = 3 AND ref_id IS NOT NULL").withColumn("code", F.substring(carrier_store(F.col("ref_id")), 1, 4))
-    services = active.groupBy("code").agg(
+    coded = stores.withColumn("code", zero_pad(F.col("store_id"), 4))
+    widest = coded.agg(F.max(F.length("code"))).scalar()
+    active = carriers.where("status = 3 AND ref_id IS NOT NULL").withColumn("_ref", carrier_store(F.col("ref_id")))
+    spread = active.withColumn("_width", F.explode(F.sequence(F.lit(4), widest))).withColumn(
+        "code", F.substring(F.col("_ref"), F.lit(1), F.col("_width"))
+    )
+    services = spread.groupBy("code").agg(
         F.bool_or(F.col("type") == "pickup").alias("pickup"), F.bool_or(F.col("type") == "delivery").alias("delivery")
     )
     return (
-        stores.withColumn("code", zero_pad(F.col("store_id"), 4)).join(hierarchy, "store_id", "left").join(services, "code", "left")
+        coded.join(hierarchy, "store_id", "left").join(services, "code", "left")
         .withColumns({
             "label": F.concat("code", F.lit(" - "), "name"), "pickup": F.coalesce("pickup", F.lit(False)),
             "delivery": F.coalesce("delivery", F.lit(False)),
