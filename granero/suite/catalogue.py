@@ -203,7 +203,7 @@ def _(kits, skus):
 @query("d41_load_assortment", "assortment skus sales stores", """
 WITH f AS (SELECT sku, store_id, stock, blocked_store, blocked_format FROM assortment),
 g AS (SELECT sku FROM skus WHERE size < 6), e AS (SELECT DISTINCT sku, store_id FROM sales WHERE pct = 10), r AS (SELECT DISTINCT sku, store_id FROM sales WHERE units = 1),
-q AS (SELECT sku - sku % 3 AS purchase_sku, sku AS sale_sku FROM skus WHERE unit IN ('KG', 'KGV') AND sku % 3 <> 0),
+q AS (SELECT sku - sku % 3 AS purchase_sku, sku AS sale_sku FROM skus WHERE unit IN ('KG', 'KGV') AND sku - sku % 3 <> sku),
 ps AS (SELECT sku, store_id, listed, NOT excluded AS active, blocked_store, blocked_format FROM assortment),
 x AS (SELECT coalesce(q.sale_sku, ps.sku) AS sku, store_id, NOT listed OR NOT active OR blocked_store IS NOT NULL OR blocked_format IS NOT NULL AS bad, blocked_store AS bs, blocked_format AS bf
   FROM ps LEFT JOIN q ON q.purchase_sku = ps.sku),
@@ -213,7 +213,7 @@ SELECT f.sku, f.store_id, coalesce(f.blocked_store, p.bs) AS blocked_store, coal
 FROM f LEFT JOIN p ON p.sku = f.sku AND p.store_id = f.store_id""")
 def _(assortment, skus, sales, stores):
     files = assortment.select("sku", "store_id", "stock", "blocked_store", "blocked_format")
-    equivalents = skus.where("unit IN ('KG', 'KGV') AND sku % 3 <> 0").selectExpr("sku - sku % 3 AS purchase_sku", "sku AS sale_sku")
+    equivalents = skus.where("unit IN ('KG', 'KGV')").selectExpr("sku - sku % 3 AS purchase_sku", "sku AS sale_sku").where("purchase_sku <> sale_sku")
     state = assortment.select("sku", "store_id", "listed", (~F.col("excluded")).alias("active"), "blocked_store", "blocked_format")
     loaded = stock_plan.load_assortment(
         files, skus.where("size < 6"), sales.where("pct = 10"), sales.where("units = 1"), equivalents, state

@@ -20,8 +20,8 @@ SELECT line_id, order_id, sku, store_id, day, uom, substitute_of, CASE WHEN subs
  CASE WHEN uom = 'kg' THEN 'KG' ELSE 'UN' END AS unit, price, price + 50 AS list_price FROM lines""")
 
 MARGIN = """
-w AS (SELECT line_id, CAST(SUM(weight_g) * 0.001 AS DECIMAL(18, 3)) AS kg, SUM(weight_g)::BIGINT * 3 AS sp FROM weights WHERE line_id % 10 < 5 GROUP BY 1),
-cost AS (SELECT l.sku, b.store_id, b.day, SUM(price * asked)::BIGINT AS cogs, SUM(picked)::BIGINT AS sold FROM order_lines l JOIN baskets b USING (order_id) WHERE b.total % 4 <> 0 GROUP BY 1, 2, 3),
+w AS (SELECT line_id, CAST(SUM(weight_g) * 0.001 AS DECIMAL(18, 3)) AS kg, SUM(weight_g)::BIGINT * 3 AS sp FROM weights WHERE weight_g >= 10000 GROUP BY 1),
+cost AS (SELECT l.sku, b.store_id, b.day, SUM(price * asked)::BIGINT AS cogs, SUM(picked)::BIGINT AS sold FROM order_lines l JOIN baskets b USING (order_id) WHERE b.status <> 'P' GROUP BY 1, 2, 3),
 o AS (SELECT l.line_id, l.order_id, l.sku, b.day, l.asked = 0 AS substitute, coalesce(w.kg, CAST(l.picked AS DECIMAL(18, 3))) AS units, coalesce(w.sp, l.price) AS unit_price,
   CASE WHEN l.unit = 'KG' AND picked <> 0 THEN coalesce(w.sp, l.price) ELSE least(l.price * picked, coalesce((SELECT any_value(q.price * q.asked) FROM order_lines q WHERE q.line_id = l.substitute_of), l.price * picked)) END AS gross,
   coalesce((CASE WHEN sold = 0 THEN 0 ELSE round(cogs / sold) END)::BIGINT * (1 + s.size % 3), 0) AS unit_cost
@@ -36,10 +36,10 @@ MARGIN_FEEDS = "order_lines baskets weights skus deals funding"
 
 
 def _margins(order_lines, baskets, weights, skus, deals, funding):
-    scale = weights.where("line_id % 10 < 5").withColumn("price", F.col("weight_g") * 3)
+    scale = weights.where("weight_g >= 10000").withColumn("price", F.col("weight_g") * 3)
     orders = baskets.select("order_id", "store_id", "day")
     costs = (
-        order_lines.drop("store_id", "day").join(baskets.where("total % 4 <> 0").select("order_id", "store_id", "day"), "order_id")
+        order_lines.drop("store_id", "day").join(baskets.where("status <> 'P'").select("order_id", "store_id", "day"), "order_id")
         .groupBy("sku", "store_id", "day").agg(F.sum(F.col("price") * F.col("asked")).alias("cogs"), F.sum("picked").alias("sold"))
     )
     packs = skus.select("sku", (1 + F.col("size") % 3).alias("pack"))
@@ -140,7 +140,7 @@ GROUP BY d.promised, c.store_id, d.carrier, c.model, c.operator""")
 BASE = """dl AS (SELECT * FROM dispatches QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY id DESC) = 1),
 fl AS (SELECT order_id, bool_or(new_state IN (5, 90)) AS picked, bool_or(new_state = 70) AS dispatched FROM changes GROUP BY 1),
 bs AS (SELECT b.order_id, dl.carrier, c.store_id, c.operator, dl.promised AS delivery_day, b.total % 30 AS skus, coalesce(fl.picked, false) AS picked, coalesce(fl.dispatched, false) AS dispatched, b.total % 90000 AS metres FROM baskets b LEFT JOIN dl USING (order_id) LEFT JOIN carriers c ON c.carrier = dl.carrier LEFT JOIN fl USING (order_id)),
-base AS (SELECT bs.*, round(coalesce(f.factor, (SELECT MAX(factor) FROM factors WHERE operator = 'default')) * metres / 1000, 1) AS km FROM bs LEFT JOIN factors f ON f.operator = bs.operator AND f.operator <> 'default' AND f.model = 'M' || (f.factor % 2) AND delivery_day BETWEEN f.from_day AND coalesce(f.to_day, DATE '9999-12-31'))"""
+base AS (SELECT bs.*, round(coalesce(f.factor, (SELECT MAX(factor) FROM factors WHERE operator = 'default')) * metres / 1000, 1) AS km FROM bs LEFT JOIN (SELECT operator, from_day, to_day, MAX(factor) AS factor FROM factors WHERE operator <> 'default' AND to_day IS NOT NULL GROUP BY 1, 2, 3) f ON f.operator = bs.operator AND delivery_day BETWEEN f.from_day AND coalesce(f.to_day, DATE '9999-12-31'))"""
 BASE_FEEDS = "baskets dispatches carriers changes factors"
 
 
@@ -149,7 +149,8 @@ def _base(baskets, dispatches, carriers, changes, factors):
     orders = baskets.select("order_id", F.lit(DAY).cast("date").alias("day"), (F.col("total") % 30).alias("skus"), (F.col("total") % 90000).alias("metres"))
     moved = changes.withColumn("created", dates.as_ts(DAY))
     nothing = baskets.where("total < 0").select("order_id", F.col("day").alias("delivered_on"))
-    rates = factors.where("operator = 'default' OR model = concat('M', factor % 2)").select("operator", "factor", "from_day", "to_day")
+    dated = factors.where("operator = 'default' OR to_day IS NOT NULL")
+    rates = dated.groupBy("operator", "from_day", "to_day").agg(F.max("factor").alias("factor"))
     return logistics.order_cost_base(
         orders.drop("metres"), dispatches, carriers.select("carrier", "store_id", "operator"), moved, nothing,
         orders.select("order_id", "metres"), rates, (5, 90), DAY,
@@ -251,6 +252,6 @@ def _(baskets, dispatches, changes, nation):
 
 
 @query("d84_dispatch_types", "dispatches carriers", """
-SELECT id, CASE WHEN type IS NULL AND c.carrier IS NOT NULL THEN CASE kind WHEN 1 THEN 'delivery' WHEN 2 THEN 'pickup' ELSE 'error' END ELSE type END AS type FROM dispatches d LEFT JOIN (SELECT * FROM carriers WHERE base % 5 <> 0) c ON c.carrier = d.carrier""")
+SELECT id, CASE WHEN type IS NULL AND c.carrier IS NOT NULL THEN CASE kind WHEN 1 THEN 'delivery' WHEN 2 THEN 'pickup' ELSE 'error' END ELSE type END AS type FROM dispatches d LEFT JOIN (SELECT * FROM carriers WHERE per_sku <> 33) c ON c.carrier = d.carrier""")
 def _(dispatches, carriers):
-    return logistics.dispatch_types(dispatches, carriers.where("base % 5 <> 0")).select("id", "type")
+    return logistics.dispatch_types(dispatches, carriers.where("per_sku <> 33")).select("id", "type")

@@ -53,12 +53,12 @@ def _(assortment, skus, stores, promos):
 
 
 @query("d25_parent_child_offers", FEEDS, f"""
-WITH {BEST}, {SHELF}, e AS (SELECT sku - sku % 4 AS parent, sku AS child FROM skus WHERE sku % 4 <> 0),
+WITH {BEST}, {SHELF}, e AS (SELECT sku - sku % 4 AS parent, sku AS child FROM skus WHERE sku - sku % 4 <> sku),
 st AS (SELECT child AS sku, store_id, stock FROM assortment JOIN e ON parent = assortment.sku)
 SELECT st.sku, st.store_id, st.stock, uom, sp.price, promo_price FROM st JOIN goods USING (sku) JOIN sp ON sp.sku = st.sku AND sp.store_id = st.store_id LEFT JOIN best ON best.sku = st.sku
 WHERE brand IS NOT NULL AND st.stock >= multiplier""")
 def _(assortment, skus, stores, promos):
-    equivalents = skus.where("sku % 4 <> 0").selectExpr("sku - sku % 4 AS purchase_sku", "sku AS sale_sku")
+    equivalents = skus.selectExpr("sku - sku % 4 AS purchase_sku", "sku AS sale_sku").where("purchase_sku <> sale_sku")
     stock = plan.translate_parent_stock(assortment.select("sku", "store_id", "stock"), equivalents)
     prices = plan.store_prices(assortment.select("sku", "store_id", "price"), assortment, stores, skus, ("SMALL",))
     rows = plan.offers(stock, _goods(skus), prices, plan.best_simple_promotion(promos, DAY))
@@ -66,11 +66,11 @@ def _(assortment, skus, stores, promos):
 
 
 @query("d25_other_parent_child_offers", FEEDS, f"""
-WITH {BEST}, {SHELF}, m AS (SELECT sku, MAX(price) AS price FROM sp GROUP BY 1), e AS (SELECT sku - sku % 4 AS parent, sku AS child FROM skus WHERE sku % 4 <> 0),
+WITH {BEST}, {SHELF}, m AS (SELECT sku, MAX(price) AS price FROM sp GROUP BY 1), e AS (SELECT sku - sku % 4 AS parent, sku AS child FROM skus WHERE sku - sku % 4 <> sku),
 st AS (SELECT child AS sku, store_id, stock FROM assortment JOIN e ON parent = assortment.sku WHERE store_id NOT IN (FROM active))
 SELECT st.sku, st.store_id, st.stock, uom, m.price, promo_price FROM st JOIN goods USING (sku) JOIN m USING (sku) LEFT JOIN best USING (sku) WHERE brand IS NOT NULL AND st.stock >= multiplier""")
 def _(assortment, skus, stores, promos):
-    equivalents = skus.where("sku % 4 <> 0").selectExpr("sku - sku % 4 AS purchase_sku", "sku AS sale_sku")
+    equivalents = skus.selectExpr("sku - sku % 4 AS purchase_sku", "sku AS sale_sku").where("purchase_sku <> sale_sku")
     stock = plan.translate_parent_stock(assortment.select("sku", "store_id", "stock"), equivalents)
     prices = plan.store_prices(assortment.select("sku", "store_id", "price"), assortment, stores, skus, ("SMALL",))
     others = plan.other_store_prices(prices, stock, stores)

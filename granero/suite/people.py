@@ -49,13 +49,13 @@ def _(deals, baskets, lines):
 
 @query("d98_inactive_pickers", "customer baskets", """
 WITH l AS (SELECT customer_id AS picker, MAX(day) AS last_pick FROM baskets GROUP BY 1)
-SELECT c_custkey AS picker, CAST(last_pick AS VARCHAR) AS last_pick FROM customer JOIN l ON c_custkey = picker WHERE c_acctbal > 0 AND c_custkey % 30 IN (4, 25) AND c_mktsegment NOT LIKE 'BUILD%' AND last_pick <= DATE '2001-08-01' - 60""")
+SELECT c_custkey AS picker, CAST(last_pick AS VARCHAR) AS last_pick FROM customer JOIN l ON c_custkey = picker WHERE c_acctbal > 0 AND c_nationkey IN (4, 7) AND c_mktsegment NOT LIKE 'BUILD%' AND last_pick <= DATE '2001-08-01' - 60""")
 def _(customer, baskets):
     admins = customer.selectExpr(
-        "c_custkey AS picker", "CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS status", "c_custkey % 30 AS profile", "c_mktsegment AS email"
+        "c_custkey AS picker", "CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS status", "c_nationkey AS profile", "c_mktsegment AS email"
     )
     activity = baskets.selectExpr("customer_id AS picker", "day")
-    rows = plan.inactive_pickers(admins, activity, (4, 25), ("BUILD%",), "2001-08-01")
+    rows = plan.inactive_pickers(admins, activity, (4, 7), ("BUILD%",), "2001-08-01")
     return rows.select("picker", "last_pick")
 
 
@@ -71,7 +71,7 @@ def _(moves):
 
 
 @query("d108_replace_conversations", "moves", """
-WITH c AS (SELECT CASE WHEN kind <> 'error' THEN nullif(id % 500, 0) END AS case_id, CASE WHEN kind IN ('view', 'error') THEN 'robot' ELSE kind END AS operator, date_trunc('minute', ts) AS started, amount, item, id % 2 = 0 AS old FROM moves WHERE id % 50 <> 0),
+WITH c AS (SELECT CASE WHEN kind <> 'error' THEN nullif(id % 500, 0) END AS case_id, CASE WHEN kind IN ('view', 'error') THEN 'robot' ELSE kind END AS operator, date_trunc('minute', ts) AS started, amount, item, amount < 3000 AS old FROM moves WHERE amount >= 200),
 w AS (SELECT *, started BETWEEN TIMESTAMP '2024-01-10 09:00:00' AND TIMESTAMP '2024-01-20 09:00:00' AS inside FROM c),
 k AS (SELECT * FROM w WHERE NOT old OR NOT inside),
 t AS (SELECT case_id FROM k WHERE inside AND case_id IS NOT NULL)
@@ -82,10 +82,10 @@ def _(moves):
         F.when(F.col("kind") == "error", "n/a").otherwise((F.col("id") % 500).cast("string")).alias("case_id"),
         F.when(F.col("kind").isin("view", "error"), "robot").otherwise(F.col("kind")).alias("operator"),
         F.col("kind").alias("menu"), F.col("amount").alias("messages"), F.col("item").alias("answer"), "id",
-        F.when(F.col("id") % 50 != 0, F.date_format("ts", "dd-MM-yyyy HH:mm")).otherwise("bad").alias("started"),
+        F.when(F.col("amount") >= 200, F.date_format("ts", "dd-MM-yyyy HH:mm")).otherwise("bad").alias("started"),
     )
-    old = plan.split_conversations(rows.where("id % 2 = 0").drop("id"))
-    new = plan.split_conversations(rows.where("id % 2 = 1").drop("id"))
+    old = plan.split_conversations(rows.where("messages < 3000").drop("id"))
+    new = plan.split_conversations(rows.where("messages >= 3000").drop("id"))
     parts = plan.replace_conversations(old, new, "2024-01-15 09:00:00", 7200)
 
     def summary(df, part, who):
@@ -107,7 +107,7 @@ FROM lineitem GROUP BY l_orderkey, CASE CAST(l_linenumber % 4 AS INT) WHEN 0 THE
 WITH p AS (SELECT order_id, MAX(CASE WHEN field = 'sourceApp' THEN value END) AS app, MAX(CASE WHEN field = 'clientLevel' THEN value END) AS lv, MAX(CASE WHEN field = 'wantBags' THEN value END) AS bags, MAX(CASE WHEN field = 'giftcardType' THEN value END) AS gc FROM order_fields GROUP BY 1)
 SELECT b.order_id, b.store_id, strftime((CAST(day AS TIMESTAMP) + INTERVAL 1 SECOND * (order_id * 61 % 86400)) AT TIME ZONE 'UTC' AT TIME ZONE 'America/Santiago', '%Y-%m-%d %H:%M:%S') AS created_at, CASE WHEN state = 90 THEN CAST(day AS VARCHAR) END AS invoiced_on,
  CASE WHEN customer_id % 3 <> 0 THEN customer_id END AS picker, CAST(round(total / 1.19::DOUBLE) AS BIGINT) AS net_created, CASE WHEN state = 90 THEN CAST(round(total / 1.19::DOUBLE) AS BIGINT) ELSE 0 END AS net_invoiced,
- CASE WHEN app IN ('Android', 'iOS') THEN 'app' WHEN total % 4 IN (0, 1) THEN 'sitio' ELSE 'callcenter' END AS channel, coalesce(lv, '') AS client_level, coalesce(bags = 'si', false) AS wants_bags, coalesce(gc, 'NA') AS gift_card, CASE WHEN total % 2 = 0 THEN priority END AS utm_source
+ CASE WHEN app IN ('Android', 'iOS') THEN 'app' WHEN total % 4 IN (0, 1) THEN 'sitio' ELSE 'callcenter' END AS channel, coalesce(lv, '') AS client_level, coalesce(bags = 'si', false) AS wants_bags, coalesce(gc, 'NA') AS gift_card, CASE WHEN priority <> '5-LOW' THEN priority END AS utm_source
 FROM baskets b LEFT JOIN p USING (order_id) WHERE b.store_id NOT IN (7, 9)""")
 def _(baskets, order_fields):
     start = F.unix_timestamp(F.col("day").cast("timestamp"))
@@ -117,7 +117,7 @@ def _(baskets, order_fields):
         F.col("total").alias("gross_created"), F.when(F.col("customer_id") % 3 == 0, "nadie").otherwise(F.col("customer_id").cast("string")).alias("picker"),
         F.expr("CASE total % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 5 END").alias("call_center_operator"),
     )
-    marketing = baskets.where("total % 2 = 0").select("order_id", F.col("priority").alias("utm_source"))
+    marketing = baskets.where("priority <> '5-LOW'").select("order_id", F.col("priority").alias("utm_source"))
     return intake.build_orders(raw, order_fields, marketing, (7, 9)).drop("picked_at", "gross_created", "gross_invoiced")
 
 

@@ -418,13 +418,12 @@ def _(sales):
     return ranking.first_per_key(narrow, ["sku", "store_id"], order).select("sku", "store_id", "net")
 
 
-@query("a15_ordered_list", "nation", """
-SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_nationkey) AS names FROM nation GROUP BY 1""")
-def _(nation):
-    listed = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
-    return nation.groupBy("n_regionkey").agg(
-        F.array_join(F.transform(listed, lambda e: e["n_name"]), "|").alias("names")
-    )
+@query("a15_ordered_list", "lines", """
+SELECT order_id, string_agg(line_no || ':' || sku, '|' ORDER BY line_no) AS items FROM lines GROUP BY 1""")
+def _(lines):
+    # Line numbers are unique within an order and few, so the list is bounded.
+    listed = F.array_sort(F.collect_list(F.struct("line_no", F.concat("line_no", F.lit(":"), "sku").alias("item"))))
+    return lines.groupBy("order_id").agg(F.array_join(F.transform(listed, lambda e: e["item"]), "|").alias("items"))
 
 
 @query("a16_mean_plus_two_sigma", "sales", """
@@ -656,16 +655,17 @@ def _(sales):
     return sales.join(F.broadcast(words), "flag").groupBy("word").agg(F.sum("units").alias("units"))
 
 
-@query("u12_close_ring", "nation", """
-WITH c AS (SELECT *, '{"lng":' || n_nationkey || '.0,"lat":' || n_regionkey || '.0}' AS a, '{"lng":' || (n_nationkey + 1) || '.0,"lat":' || n_regionkey || '.0}' AS b, '{"lng":' || (n_nationkey + 1) || '.0,"lat":' || (n_regionkey + 1) || '.0}' AS d FROM nation)
-SELECT n_nationkey, '[' || a || ',' || b || ',' || d || ',' || a || ']' AS ring, 4 AS points FROM c""")
-def _(nation):
+@query("u12_close_ring", "baskets", """
+WITH c AS (SELECT *, customer_id % 90 AS x, store_id AS y FROM baskets), p AS (SELECT order_id, '{"lng":' || x || '.0,"lat":' || y || '.0}' AS a, '{"lng":' || (x + 1) || '.0,"lat":' || y || '.0}' AS b, '{"lng":' || (x + 1) || '.0,"lat":' || (y + 1) || '.0}' AS d FROM c)
+SELECT order_id, '[' || a || ',' || b || ',' || d || ',' || a || ']' AS ring, 4 AS points FROM p""")
+def _(baskets):
     def corner(dx, dy):
-        return F.struct((F.col("n_nationkey") + dx).cast("double").alias("lng"), (F.col("n_regionkey") + dy).cast("double").alias("lat"))
+        x, y = F.col("customer_id") % 90 + dx, F.col("store_id") + dy
+        return F.struct(x.cast("double").alias("lng"), y.cast("double").alias("lat"))
 
     nested = F.array(F.array(corner(0, 0), corner(1, 0)), F.array(corner(1, 0), corner(1, 1)))
     ring = geo.closed_ring(F.flatten(nested))
-    return nation.select("n_nationkey", F.to_json(ring).alias("ring"), F.size(ring).alias("points"))
+    return baskets.select("order_id", F.to_json(ring).alias("ring"), F.size(ring).alias("points"))
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -802,13 +802,11 @@ def _(moves):
     )
 
 
-@query("f16_json_build", "nation region", """
-SELECT r_name, '[' || string_agg('{"id":' || n_nationkey || ',"name":"' || n_name || '"}', ',' ORDER BY n_nationkey) || ']' AS doc
-FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
-def _(nation, region):
-    rows = F.array_sort(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))))
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.groupBy("r_name").agg(F.to_json(rows).alias("doc"))
+@query("f16_json_build", "lines", """
+SELECT order_id, '[' || string_agg('{"line":' || line_no || ',"sku":' || sku || '}', ',' ORDER BY line_no) || ']' AS doc FROM lines GROUP BY 1""")
+def _(lines):
+    rows = F.array_sort(F.collect_list(F.struct(F.col("line_no").alias("line"), "sku")))
+    return lines.groupBy("order_id").agg(F.to_json(rows).alias("doc"))
 
 
 @query("f17_array_membership", "sales", """
