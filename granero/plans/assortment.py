@@ -55,9 +55,9 @@ def load_assortment(
         F.max("blocked_format").alias("_format_block"),
     )
     joined = (
-        files.join(marked(excluded, ["sku"], "_global"), "sku", "left")
-        .join(marked(exceptions, pair, "_except"), pair, "left")
+        files.join(marked(exceptions, pair, "_except"), pair, "left")
         .join(marked(store_excluded, pair, "_store"), pair, "left").join(parents, pair, "left")
+        .join(marked(excluded, ["sku"], "_global"), "sku", "left")
     )
     out = (
         (F.col("_global").isNotNull() & F.col("_except").isNull()) | F.col("_store").isNotNull()
@@ -122,8 +122,8 @@ def reconcile_stock(
         .groupBy("sku", "store_id").agg(F.max("warehouse_stock").alias("parent_stock"))
     )
     joined = (
-        assortment.where(unit != "PAQ").join(multipliers, "sku").join(system, ["sku", "store_id"])
-        .join(parent, ["sku", "store_id"], "left")
+        assortment.where(unit != "PAQ").join(system, ["sku", "store_id"]).join(parent, ["sku", "store_id"], "left")
+        .join(multipliers, "sku")
     )
     final = F.when(
         F.coalesce("parent_stock", F.lit(0)) != 0, F.round(ratio(F.col("parent_stock"), F.col("multiplier")))

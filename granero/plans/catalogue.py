@@ -39,9 +39,9 @@ def publication_snapshot(
     photos = images.groupBy("sku").agg(F.count("*").alias("photos"), pending.alias("photo_pending"))
     pair = ["sku", "store_id"]
     joined = (
-        stock.join(photos, "sku", "left").join(products, "sku", "left")
-        .join(_member(product_stores, pair, "store_valid"), pair, "left")
+        stock.join(_member(product_stores, pair, "store_valid"), pair, "left")
         .join(_member(prices, pair, "price_valid"), pair, "left")
+        .join(photos, "sku", "left").join(products, "sku", "left")
         .join(_member(must_have, ["sku"], "must_have"), "sku", "left")
         .join(_member(top, ["sku"], "top_seller"), "sku", "left")
     )

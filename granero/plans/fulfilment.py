@@ -17,12 +17,13 @@ GRACE = "INTERVAL '20' MINUTE"
 
 
 def line_states(
-    lines: DataFrame, weights: DataFrame, products: DataFrame, meat: Sequence[str]
+    lines: DataFrame, weights: DataFrame, products: DataFrame, meat: Sequence[str], with_original: bool = False
 ) -> DataFrame:
     """Classify order lines: NULL for a substitute, 3 complete, 2 substituted, 1 missing.
 
     Pieces are complete when all asked units were picked; weighed lines at 80 % of the asked weight, meat at
     70 %. Lines, scale readings and substitution marks meet on the line id, so lines are shuffled once.
+    ``with_original`` adds the product each substitute stands in for.
     """
     weighed = weights.groupBy("line_id").agg((F.sum("weight_g") / 1000).alias("weight_kg"))
     replaced = (
@@ -38,9 +39,11 @@ def line_states(
         F.when(uom == "un", F.coalesce("picked", F.lit(0)))
         .when(uom == "kg", F.round(F.coalesce("weight_kg", F.lit(0)), 4)).otherwise(-1)
     )
+    keyed = lines.join(weighed, "line_id", "left").join(replaced, "line_id", "left")
+    if with_original:
+        keyed = keyed.join(_original_skus(lines), "line_id", "left")
     merged = (
-        lines.join(weighed, "line_id", "left").join(replaced, "line_id", "left")
-        .join(products.select("sku", "category"), "sku", "left")
+        keyed.join(products.select("sku", "category"), "sku", "left")
         .withColumns({
             "substitute": F.col("substitute_of").isNotNull(),
             "substituted": F.coalesce("substituted", F.lit(False)),
@@ -63,15 +66,15 @@ def line_states(
     return merged.withColumn("state", state.cast("int"))
 
 
-def with_original_sku(states: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add the product each substitute line stands in for.
+def _original_skus(lines: DataFrame) -> DataFrame:
+    """Original product per substitute line.
 
-    Substitutes look up their original first and come back on the line id, so NULL references never pile up
-    in one task and the classified lines are computed once.
+    Only the substitutes look up their original and come back on the line id, so NULL references never pile
+    up in one task.
     """
     originals = lines.select(F.col("line_id").alias("substitute_of"), F.col("sku").alias("original_sku"))
     marks = lines.where(F.col("substitute_of").isNotNull()).select("line_id", "substitute_of")
-    return states.join(marks.join(originals, "substitute_of").select("line_id", "original_sku"), "line_id", "left")
+    return marks.join(originals, "substitute_of").select("line_id", "original_sku")
 
 
 def promise_codes(dispatches: DataFrame, orders: DataFrame, changes: DataFrame, now, excluded_state: int = 80) -> DataFrame:

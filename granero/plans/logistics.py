@@ -37,8 +37,8 @@ def order_cost_base(
     )
     last = latest_per_key(dispatches.select("order_id", "id", "carrier", "promised"), ["order_id"], "id")
     base = (
-        today.join(last.drop("id"), "order_id", "left").join(delivered, "order_id", "left").join(carriers, "carrier", "left")
-        .join(flags, "order_id", "left").join(trips, "order_id", "left")
+        today.join(last.drop("id"), "order_id", "left").join(delivered, "order_id", "left")
+        .join(flags, "order_id", "left").join(trips, "order_id", "left").join(carriers, "carrier", "left")
         .withColumns({
             "delivery_day": F.coalesce("delivered_on", "promised"), "picked": F.coalesce("picked", F.lit(False)),
             "dispatched": F.coalesce("dispatched", F.lit(False)),

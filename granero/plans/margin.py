@@ -37,20 +37,6 @@ def line_margins(
     )
     marks = lines.where("substitute_of IS NOT NULL").select("line_id", "substitute_of")
     original_amounts = marks.join(originals, "substitute_of").select("line_id", "_original")
-    joined = (
-        lines.drop("store_id", "day").join(original_amounts, "line_id", "left").join(orders.select("order_id", "store_id", "day"), "order_id")
-        .join(scale, "line_id", "left").join(packs, "sku", "left").join(costs, ["sku", "store_id", "day"], "left")
-    )
-    weighed = F.col("unit").isin(*WEIGHT_UNITS) & (F.col("picked") != 0)
-    unit_price = F.coalesce("_scale_price", "price")
-    full = F.col("price") * F.col("picked")
-    gross = F.when(weighed, unit_price).otherwise(F.least(full, F.coalesce("_original", full)))
-    unit_cost = F.when(F.col("sold") == 0, 0).otherwise(F.round(F.col("cogs") / F.col("sold"))).cast("long") * F.col("pack")
-    priced = joined.withColumns({
-        "substitute": F.col("asked") == 0, "units": F.coalesce("_kg", F.col("picked").cast("decimal(18,3)")),
-        "unit_price": unit_price, "gross": gross,
-        "net": F.round(gross / VAT).cast("long"), "unit_cost": unit_cost,
-    })
     deals = line_promotions.join(promotions, ["n_promo", "sku"], "left").withColumns({
         "_delivery": F.when(is_delivery(F.col("name")), F.col("value")).otherwise(0),
         "_saving": F.when(is_delivery(F.col("name")), 0).otherwise(F.col("value")),
@@ -67,11 +53,27 @@ def line_margins(
         F.sum(F.when(sell_out & ~own, F.col("_negotiated")).otherwise(0)).alias("_chain"),
         F.sum(F.when(sell_out & own, F.col("_negotiated")).otherwise(0)).alias("_own"), F.bool_or("_all").alias("promoted"),
     )
+    # Everything keyed by the line meets first, so lines are shuffled once for all of it.
+    joined = (
+        lines.drop("store_id", "day").join(original_amounts, "line_id", "left").join(scale, "line_id", "left")
+        .join(per_line, "line_id", "left").join(orders.select("order_id", "store_id", "day"), "order_id")
+        .join(costs, ["sku", "store_id", "day"], "left").join(packs, "sku", "left")
+    )
+    weighed = F.col("unit").isin(*WEIGHT_UNITS) & (F.col("picked") != 0)
+    unit_price = F.coalesce("_scale_price", "price")
+    full = F.col("price") * F.col("picked")
+    gross = F.when(weighed, unit_price).otherwise(F.least(full, F.coalesce("_original", full)))
+    unit_cost = F.when(F.col("sold") == 0, 0).otherwise(F.round(F.col("cogs") / F.col("sold"))).cast("long") * F.col("pack")
+    priced = joined.withColumns({
+        "substitute": F.col("asked") == 0, "units": F.coalesce("_kg", F.col("picked").cast("decimal(18,3)")),
+        "unit_price": unit_price, "gross": gross,
+        "net": F.round(gross / VAT).cast("long"), "unit_cost": unit_cost,
+    })
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("delivery_saving", "chain_saving", "ecommerce_saving")]
     units, cost = F.col("units"), F.coalesce("unit_cost", F.lit(0))
     first = F.col("net") - units * cost
     funded = units * F.coalesce("negotiated", F.lit(0))
-    return priced.join(per_line, "line_id", "left").select(
+    return priced.select(
         "line_id", "order_id", "sku", "day", "substitute", "units", "unit_price", "gross", "net", cost.alias("unit_cost"), *zero,
         (units * F.coalesce("_chain", F.lit(0))).alias("chain_funding"), (units * F.coalesce("_own", F.lit(0))).alias("ecommerce_funding"),
         first.alias("margin_1"), (first + funded).alias("margin_2"), F.coalesce("promoted", F.lit(False)).alias("promoted"),

@@ -28,7 +28,7 @@ def best_simple_promotion(promotions: DataFrame, day) -> DataFrame:
 def offers(stock: DataFrame, products: DataFrame, prices: DataFrame, best: DataFrame) -> DataFrame:
     """Stock x price x best promotion for complete products with at least one whole sale unit."""
     complete = products.where("name IS NOT NULL AND brand IS NOT NULL AND uom IS NOT NULL AND multiplier IS NOT NULL")
-    joined = stock.join(complete, "sku").join(prices, ["sku", "store_id"]).join(best, "sku", "left")
+    joined = stock.join(prices, ["sku", "store_id"]).join(complete, "sku").join(best, "sku", "left")
     return joined.where(F.floor(F.col("stock") / F.col("multiplier")) > 0)
 
 

@@ -33,7 +33,7 @@ def _states(lines, weights, skus):
 WITH {STATES} SELECT line_id, sku, substitute, substituted, CAST(asked AS DOUBLE) AS asked, CAST(picked AS DOUBLE) AS picked,
  state, (SELECT any_value(o.sku) FROM lines o WHERE o.line_id = states.substitute_of) AS original_sku FROM states""")
 def _(lines, weights, skus):
-    states = plan.with_original_sku(plan.line_states(lines, weights, skus, MEAT), lines)
+    states = plan.line_states(lines, weights, skus, MEAT, with_original=True)
     return states.select("line_id", "sku", "substitute", "substituted", "asked", "picked", "state", "original_sku")
 
 

@@ -270,11 +270,11 @@ def _(sales):
 @query("d75_label_changes", "skus", """
 WITH f AS (SELECT sku, size, nullif(concat_ws(',', CASE WHEN size % 2 = 0 THEN 'Vegano' END, CASE WHEN size % 3 = 0 THEN 'Libre de Gluten' END), '') AS a,
   nullif(concat_ws(',', CASE WHEN size % 5 = 0 THEN 'Alto en Sodio' END, CASE WHEN size > 30 THEN 'Alto en Azúcares' END), '') || ',' || CASE (size % 5 = 0)::INT + (size > 30)::INT WHEN 1 THEN 'Un Sello' WHEN 2 THEN 'Dos Sellos' END AS s FROM skus),
-j AS (SELECT sku, CASE WHEN a IS DISTINCT FROM CASE WHEN size % 4 = 0 THEN 'Vegano' END THEN a END AS allergens, CASE WHEN s IS DISTINCT FROM CASE WHEN size % 4 = 0 THEN 'Alto en Sodio,Un Sello' END THEN s END AS seals FROM f)
+j AS (SELECT sku, CASE WHEN a IS DISTINCT FROM CASE WHEN size < 25 THEN 'Vegano' END THEN a END AS allergens, CASE WHEN s IS DISTINCT FROM CASE WHEN size < 25 THEN 'Alto en Sodio,Un Sello' END THEN s END AS seals FROM f)
 SELECT * FROM j WHERE allergens IS NOT NULL OR seals IS NOT NULL""")
 def _(skus):
     flags = skus.selectExpr("sku", "int(size % 2 = 0) AS vegan", "int(size % 3 = 0) AS gluten_free", "int(size % 5 = 0) AS sodium", "int(size > 30) AS sugar")
-    current = skus.where("size % 4 = 0").select("sku", F.lit("Vegano").alias("allergens"), F.lit("Alto en Sodio,Un Sello").alias("seals"))
+    current = skus.where("size < 25").select("sku", F.lit("Vegano").alias("allergens"), F.lit("Alto en Sodio,Un Sello").alias("seals"))
     return dimensions.label_changes(
         flags, {"vegan": "Vegano", "gluten_free": "Libre de Gluten"}, {"sodium": "Alto en Sodio", "sugar": "Alto en Azúcares"}, current
     )

@@ -57,12 +57,12 @@ def _weights(stores):
 @query("d31a_safety_stock", SAFE_FEEDS, """
 WITH s AS (SELECT sku, store_id, dayofweek(day) AS dow, SUM(units * 9)::BIGINT AS u FROM sales WHERE day >= DATE '1998-06-15' - 200 AND NOT (isoyear(day) = 1998 AND weekofyear(day) = 23) GROUP BY 1, 2, 3),
 m AS (SELECT sku, store_id, AVG(u) AS mean FROM s GROUP BY 1, 2),
-b AS (SELECT a.sku, a.store_id, coalesce(mean, 0) * 0.25::DOUBLE AS q, CASE WHEN a.price % 3 = 0 THEN a.stock % 30 END AS minimum, a.listed AS ex, a.excluded AS ou FROM assortment a LEFT JOIN m USING (sku, store_id) WHERE a.store_id NOT IN (1, 7)),
+b AS (SELECT a.sku, a.store_id, coalesce(mean, 0) * 0.25::DOUBLE AS q, CASE WHEN a.stock > 40 THEN a.stock % 30 END AS minimum, a.listed AS ex, a.excluded AS ou FROM assortment a LEFT JOIN m USING (sku, store_id) WHERE a.store_id NOT IN (1, 7)),
 n AS (SELECT *, CASE WHEN q >= 1 THEN round_even(round_even(q, 2), 0) ELSE 0 END AS v FROM b),
 w AS (SELECT n.*, round_even((CASE WHEN NOT ex AND coalesce(minimum, 0) > 0 AND v > minimum THEN minimum ELSE v END) * coalesce(CASE WHEN status = 1 THEN 0.5::DOUBLE + district / 10 END, 1), 0) AS x FROM n LEFT JOIN stores USING (store_id))
 SELECT sku, store_id, CAST(CASE WHEN ou THEN 0 WHEN x < 1 THEN 0 WHEN x >= 50 THEN 50 ELSE x END AS BIGINT) AS safety_stock FROM w""")
 def _(assortment, sales, stores):
-    minima = assortment.where("price % 3 = 0").select("sku", "store_id", (F.col("stock") % 30).alias("minimum"))
+    minima = assortment.where("stock > 40").select("sku", "store_id", (F.col("stock") % 30).alias("minimum"))
     busy = sales.withColumn("units", F.col("units") * 9)
     return plan.safety_stock(
         assortment, busy, minima, assortment.where("listed"), _weights(stores), assortment.where("excluded"), DAY,
