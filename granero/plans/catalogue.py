@@ -12,6 +12,7 @@ from granero.functions.numbers import count_when, is_true
 from granero.operators.joins import expand_days
 from granero.operators.ranking import first_per_key, top_k
 from granero.operators.sets import common_members, packed_list, tagged_difference
+from granero.session import cut_lineage
 
 # Category names that never publish, and image names of a missing photo.
 HIDDEN_CATEGORIES = ("No trabajar", "No Trabajar", "Inactivos", "Integración")
@@ -79,6 +80,14 @@ def publication_funnel(
     )
 
 
+def publication_funnels(
+    snapshot: DataFrame, assortment: DataFrame, variants: dict[str, tuple[Sequence[str], Column | None]]
+) -> dict[str, DataFrame]:
+    """Several funnels of one snapshot, which is written once and read by each of them."""
+    stored = cut_lineage(snapshot)
+    return {name: publication_funnel(stored, assortment, by, scope) for name, (by, scope) in variants.items()}
+
+
 def catalogue_summary(funnel: DataFrame, at: Column, day) -> DataFrame:
     """Store totals of the noon snapshot of ``day``."""
     noon = F.timestamp_add("HOUR", F.lit(12), as_date(day).cast("timestamp"))

@@ -92,6 +92,17 @@ def _(assortment, moves, skus, sales, stores):
     )
 
 
+@query("d05_funnels_together", SNAPSHOT_FEEDS, f"""
+WITH {SNAPSHOT}, k AS (SELECT * FROM snapshot WHERE ecommerce AND blocked_store IS NULL AND blocked_format IS NULL AND listed)
+SELECT 'all' AS variant, store_id, count(*) AS assortment, SUM(sellable::INT)::BIGINT AS sellable FROM k GROUP BY 2
+UNION ALL SELECT 'top', store_id, count(*), SUM(sellable::INT)::BIGINT FROM k WHERE top_seller GROUP BY 2""")
+def _(assortment, moves, skus, sales):
+    variants = {"all": (["store_id"], None), "top": (["store_id"], F.col("top_seller"))}
+    funnels = plan.publication_funnels(_snapshot(assortment, moves, skus, sales), assortment, variants)
+    named = [df.select(F.lit(name).alias("variant"), "store_id", "assortment", "sellable") for name, df in funnels.items()]
+    return named[0].unionByName(named[1])
+
+
 @query("d06_catalogue_summary", SNAPSHOT_FEEDS, f"""
 WITH {SNAPSHOT} SELECT '1998-06-15' AS day, store_id, count(*) AS assortment, SUM(published::INT)::BIGINT AS published, SUM(sellable::INT)::BIGINT AS sellable
 FROM snapshot WHERE ecommerce AND blocked_store IS NULL AND blocked_format IS NULL AND listed AND category <> 'LARGE' GROUP BY 2""")

@@ -41,3 +41,27 @@ def test_global_limit_is_a_top_k(spark, folder):
 def test_interval_join_hashes_on_its_key(spark, folder):
     text = _plan(run(QUERIES["j12_validity"], spark, folder))
     assert "HashJoin" in text or "SortMergeJoin" in text
+
+
+def test_a_hot_join_key_is_split_even_before_an_aggregate(spark, folder):
+    """One product holds a third of the sales; its partition must be read by several tasks."""
+    from pyspark.sql import functions as F
+
+    from granero.suite.registry import frame
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        sales = frame(spark, folder, "sales").repartition(8).withColumn("sku", F.expr("CASE WHEN order_id % 3 = 0 THEN 1 ELSE sku END"))
+        joined = sales.join(frame(spark, folder, "skus").select("sku", "brand"), "sku").groupBy("sku", "brand").agg(F.sum("net"))
+        joined.collect()
+        assert "skew=true" in _plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
