@@ -130,7 +130,8 @@ def composite_rank(
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
     """First ``k`` rows per group. Spark limits each group before the shuffle, so hot groups stay small."""
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
+    kept = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
+    return kept.withColumn(name, F.col(name).cast("long"))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -154,7 +155,8 @@ def top_k_by_column(
     """
     window = Window.partitionBy(*keys)
     capped = top_k(df, keys, [*order, *tie_breaker], cap, "row_in_group")
-    return capped.withColumn("dense", F.dense_rank().over(window.orderBy(*order))).where(F.col("dense") <= k)
+    dense = F.dense_rank().over(window.orderBy(*order)).cast("long")
+    return capped.withColumn("dense", dense).where(F.col("dense") <= k)
 
 
 def group_count(df: DataFrame, keys: Sequence[str], counted: Column, name: str) -> DataFrame:
