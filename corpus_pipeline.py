@@ -8,30 +8,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import linededup, packing
+from granero.llm import decontamination, linededup, nearcopies, packing, quality
+from granero.llm.queries import table, trusted_ids
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
-    """The columns of ``docs`` with the text replaced, and ``n_chars`` counted anew where there is one."""
-    values = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
-    return changed.select(*[values.get(name, F.col(name)).alias(name) for name in docs.columns])
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity lies above their language's threshold go."""
+    return quality.drop_rejected(docs, trusted_ids(spark, sf_dir))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in at least ten documents go; a document that loses all its lines stays with an empty text."""
-    return _with_text(docs, linededup.drop_frequent_lines(docs, min_docs=10), "kept_text")
+    cut = linededup.drop_frequent_lines(docs, min_docs=10)
+    values = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut.select(*[values.get(name, F.col(name)).alias(name) for name in docs.columns])
 
 
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays whose sets of five-word shingles are linked by a similarity of 0.8."""
+    return nearcopies.keep_one(docs, shingle=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, also an edited one, go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every remaining document in sequences of 2048, with the pieces' ids."""
     return packing.pack(docs, vocabulary_path(), capacity=2048)
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", line_dedup), ("packing", packing_stage)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
 
 # Language-model scores, signatures and tokenizers have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

@@ -226,7 +226,7 @@ def drop_frequent_lines(
     docs: DataFrame, min_docs: int = 10, min_length: int = 1, shards: int = SHARDS, group_rows: int = GROUP_ROWS,
     id_col: str = "doc_id", text_col: str = "text", references: DataFrame | None = None, filters: DataFrame | None = None,
 ) -> DataFrame:
-    """All rows, with ``kept_text``, ``n_lines`` (before) and ``n_dropped`` added.
+    """All rows, with ``kept_text``, ``n_lines`` (before) and ``n_dropped`` added; columns of these names are replaced.
 
     ``references`` and ``filters`` may come from earlier batches; otherwise these documents are counted alone.
     """
@@ -265,4 +265,5 @@ def drop_frequent_lines(
 
     row = dict(joined.dtypes)["row"]
     cut_rows = joined.mapInArrow(run, f"row {row}, kept_text string, n_lines long, n_dropped long")
-    return cut_rows.select(*[F.col("row")[name].alias(name) for name in docs.columns], "kept_text", "n_lines", "n_dropped")
+    added = ["kept_text", "n_lines", "n_dropped"]
+    return cut_rows.select(*[F.col("row")[name].alias(name) for name in docs.columns if name not in added], *added)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import linededup, packing, token_files
+from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, quality, token_files, toxicity
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder
 
@@ -60,3 +60,74 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), vocabulary_path(), capacity=2048)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op7_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    found = nearcopies.near_copies(table(spark, folder, "documents"), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").where("quality = 1").select("doc_id")
+
+
+@query()
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.score(table(spark, folder, "documents"), trusted_ids(spark, folder))
+    return judged.drop("r1", "r2")
+
+
+@query()
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.train(docs.where(~held_out), "doc_id", "text", "lang")
+    return language.predict(docs, model, "doc_id", "text", held_out.alias("held_out"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, model, "doc_id", "text", held_out.alias("held_out"))
+
+
+@query()
+def op6_one_bit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return onebit.nearest(table(spark, folder, "embeddings"), query_rule="pmod(vec_id, 20) = 0", k=20)
+
+
+CONTROL_TEXT = "\\### Assistant: </turn> ok"  # of conversation -7, which holds the template's control strings
+
+
+@query(r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+escaped AS (
+    SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS body,
+           replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:') AS head
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(head) + 2 + length(body) + 8)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+""")
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    own = table(spark, folder, "conversations")
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string"
+    )
+    turns = chat.canonical_turns(own).unionByName(extra)
+    return chat.read_back(chat.format_conversations(turns))
