@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from granero.session import local_session  # noqa: E402
+from granero.session import drop_tables, local_session  # noqa: E402
 from granero.suite import QUERIES, run  # noqa: E402
 
 HEADLINES = [
@@ -34,6 +34,7 @@ def main() -> None:
         start = time.perf_counter()
         run(QUERIES[name], spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        drop_tables()
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline queries, total wall time", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -48,3 +48,13 @@ def outer_chain(frames: Sequence[DataFrame], key: str) -> DataFrame:
     ]
     union = reduce(DataFrame.unionByName, aligned)
     return union.groupBy(key).agg(*[F.max(c).alias(c) for c, _ in measures])
+
+
+def not_in(left: DataFrame, value: Column, right: DataFrame, column: str) -> DataFrame:
+    """Rows of ``left`` whose value is NOT IN a column, with SQL's rule for NULLs.
+
+    Two counts of the right side decide about NULLs, so that the rest is an ordinary anti join on the value.
+    """
+    rows, known = right.agg(F.count("*")).scalar(), right.agg(F.count(column)).scalar()
+    able = left.withColumn("_value", value).where((rows == 0) | (F.col("_value").isNotNull() & (rows == known)))
+    return able.join(right.select(F.col(column).alias("_value")).distinct(), "_value", "left_anti").drop("_value")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.operators.ranking import latest_per_key
+from granero.session import remove
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -18,13 +19,24 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 def merge_upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], version: Sequence[str] = ()
 ) -> DataFrame:
-    """Incoming rows win. With ``version`` columns the newest incoming row per key is taken first."""
-    if version:
-        updates = latest_per_key(updates, keys, *version)
+    """Incoming rows win. With ``version`` columns the newest incoming row per key is taken first.
+
+    Without them a key must come once; a repeated one raises when the result is computed.
+    """
+    updates = latest_per_key(updates, keys, *version) if version else _unique(updates, keys)
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 
+def _unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_none"))
+    grouped = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.first(row).alias("_row"))
+    repeated = F.raise_error(F.lit("an incoming key is repeated and no version column says which row is newer"))
+    checked = grouped.where(F.when(F.col("_rows") == 1, F.lit(True)).otherwise(repeated.cast("boolean")))
+    return checked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def merge_insert_absent(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows win."""
     fresh = updates.join(target.select(*keys), list(keys), "left_anti")
@@ -87,12 +99,20 @@ def replace_where(target: DataFrame, incoming: DataFrame, doomed: Column) -> Dat
     return target.where(~F.coalesce(doomed, F.lit(False))).unionByName(incoming.select(*target.columns))
 
 
-def write_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace only the partitions present in ``df``. Rebalancing splits a hot partition and joins small ones."""
+def write_partitions(df: DataFrame, path: str, *partitions: str, replace: Sequence[Sequence[str]] = ()) -> None:
+    """Replace the partitions present in ``df`` and those listed in ``replace``, which may hold no row any more.
+
+    ``replace`` has one tuple of partition values, as they stand in the folder names, for each such partition.
+    Rebalancing splits a hot partition and joins small ones.
+    """
     (
         df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path)
     )
+    for values in replace:
+        same = [F.col(c).cast("string") == str(value) for c, value in zip(partitions, values)]
+        if df.where(reduce(lambda a, b: a & b, same)).isEmpty():
+            remove(df.sparkSession, "/".join([path, *(f"{c}={value}" for c, value in zip(partitions, values))]))
 
 
 def backfill_filter(target: DataFrame, day: Column, as_of: Column, full_days: int, recent_days: int) -> Column:

@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granero.session import cut_lineage
+from granero.session import cut_lineage, drop_tables
 
-# A plain window may put this many rows in one task; larger inputs take the range-sorted route.
-SINGLE_TASK_ROWS = 200_000
+BROADCAST_VALUES = 500_000  # distinct values with their ranks (16 bytes each) up to which a join may broadcast them
 
 _PARTITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row position below
 
 
-def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """1-based position in a total order: range sort, write with row ids, then add per-partition offsets."""
-    # The ids are written with the rows: their upper bits number the sorted partitions, the lower bits the rows.
+def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> tuple[DataFrame, DataFrame]:
+    """1-based position in a total order, and the table it reads: range sort, write with row ids, add offsets.
+
+    The ids are written with the rows: their upper bits number the sorted partitions, the lower bits the rows.
+    """
     tagged = cut_lineage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
     partition = F.shiftrightunsigned("_mid", _PARTITION_BITS)
     within = F.col("_mid").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
@@ -27,79 +28,58 @@ def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
         tagged.groupBy(partition.alias("_pid")).agg(F.count("*").alias("_rows"))
         .select("_pid", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    return (
+    indexed = (
         tagged.withColumn("_pid", partition).join(F.broadcast(offsets), "_pid")
         .withColumn(name, (F.col("_offset") + within + 1).cast("long"))
         .drop("_mid", "_pid", "_offset")
     )
+    return indexed, tagged
 
 
-def largest_group(df: DataFrame, within: Sequence[str]) -> int:
-    """Rows in the largest group, all rows when there are no groups."""
-    sizes = df.groupBy(*within).count() if within else df.agg(F.count("*").alias("count"))
-    return sizes.agg(F.max("count")).first()[0] or 0
-
-
-def positions(
-    df: DataFrame,
-    order: Sequence[Column],
-    name: str = "position",
-    within: Sequence[str] = (),
-    single_task_rows: int | None = None,
-    largest: int | None = None,
-) -> DataFrame:
+def positions(df: DataFrame, order: Sequence[Column], name: str = "position", within: Sequence[str] = ()) -> DataFrame:
     """``row_number`` over ``order`` (which must be total), globally or inside ``within`` groups.
 
-    While no group has more than ``single_task_rows`` rows a plain window is safe. Beyond that rows are
-    range-sorted by group and order, indexed per sorted partition, and each group's first index is
-    subtracted, so one hot group spreads over many tasks. ``largest`` is the size of the largest group where
-    the caller knows it; otherwise the input is written once and counted.
+    At every size rows are range-sorted by group and order, indexed per sorted partition, and each group's first
+    index is subtracted, so one hot group spreads over many tasks. The sorted rows are written once.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if largest is None:
-        df = cut_lineage(df)
-        largest = largest_group(df, within)
-    if largest <= limit:
-        window = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-        return df.withColumn(name, F.row_number().over(window.orderBy(*order)).cast("long"))
-    indexed = _sorted_index(df, [*map(F.col, within), *order], "_index")
+    return _positions(df, order, name, within)[0]
+
+
+def _positions(df: DataFrame, order: Sequence[Column], name: str, within: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     if not within:
-        return indexed.withColumnRenamed("_index", name)
+        return _sorted_index(df, order, name)
+    indexed, table = _sorted_index(df, [*map(F.col, within), *order], "_index")
     keys = [f"_g{i}" for i, _ in enumerate(within)]
     firsts = indexed.groupBy(*[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min("_index").alias("_first"))
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(within, keys)]
-    return (
+    numbered = (
         indexed.join(firsts, same, "inner")
         .withColumn(name, F.col("_index") - F.col("_first") + 1)
         .drop("_index", "_first", *keys)
     )
+    return numbered, table
 
 
-def dense_ranks(
-    df: DataFrame, ranks: dict[str, str], single_task_rows: int | None = None, rows: int | None = None
-) -> DataFrame:
-    """Global descending ``dense_rank`` of several columns: ``{output name: ranked column}``.
+def dense_ranks(df: DataFrame, ranks: dict[str, str], broadcast_values: int = BROADCAST_VALUES) -> DataFrame:
+    """Global descending ``dense_rank`` of several numeric columns: ``{output name: ranked column}``.
 
-    Large inputs rank only the distinct values of each column and join them back, so ties cost nothing.
-    ``rows`` is the row count of an input that is cheap to read again.
+    Only distinct values are ranked, those of all columns in one sort, and joined back: broadcast where a column
+    has few of them (then many rows may share one), else by a join whose hot values Spark splits. ``df`` is read
+    several times, so it should be a table.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if rows is None:
-        df = cut_lineage(df)
-        rows = df.count()
-    if rows <= limit:
-        whole = Window.partitionBy(F.lit(0))
-        return df.withColumns(
-            {
-                name: F.dense_rank().over(whole.orderBy(F.col(column).desc_nulls_first())).cast("long")
-                for name, column in ranks.items()
-            }
-        )
+    kinds = dict(df.dtypes)
+    values = None
+    for number, column in enumerate(ranks.values()):
+        own = df.select(F.lit(number).alias("_column"), F.col(column).cast("decimal(38,10)").alias("_value")).distinct()
+        values = own if values is None else values.unionByName(own)
+    ranked, _ = _positions(values, [F.col("_value").desc_nulls_first()], "_rank", ["_column"])
+    counts = {row["_column"]: row["count"] for row in ranked.groupBy("_column").count().collect()}  # one row per column
     base = df
-    for name, column in ranks.items():
-        values = df.select(F.col(column).alias("_value")).distinct()
-        ranked = _sorted_index(values, [F.col("_value").desc_nulls_first()], name)
-        base = base.join(ranked, F.col(column).eqNullSafe(F.col("_value")), "inner").drop("_value")
+    for number, (name, column) in enumerate(ranks.items()):
+        own = ranked.where(F.col("_column") == number).select(F.col("_value").cast(kinds[column]).alias("_value"), F.col("_rank").alias(name))
+        if counts.get(number, 0) <= broadcast_values:
+            own = F.broadcast(own)
+        base = base.join(own, F.col(column).eqNullSafe(F.col("_value")), "inner").drop("_value")
     return base
 
 
@@ -109,22 +89,23 @@ def composite_rank(
     tie_breaker: Sequence[str],
     within: Sequence[str] = (),
     name: str = "ranking",
-    single_task_rows: int | None = None,
+    broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """Row number by a weighted sum of global dense ranks (best first).
 
     ``weights`` maps measures to integer weights in tenths, so scores compare exactly. Component ranks are
-    global even when the final numbering restarts in every ``within`` group.
+    global even when the final numbering restarts in every ``within`` group. The input is written once for the
+    ranks and removed when the numbered rows are written.
     """
     names = {f"{measure}_rank": measure for measure in weights}
     base = cut_lineage(df)
-    rows = base.count()
-    scored = dense_ranks(base, names, single_task_rows, rows).withColumn(
+    scored = dense_ranks(base, names, broadcast_values).withColumn(
         "score", sum((F.col(f"{measure}_rank") * weight for measure, weight in weights.items()), F.lit(0))
     )
     order = [F.col("score").asc(), *[F.col(c).asc() for c in tie_breaker]]
-    largest = largest_group(base, within) if within else rows
-    return positions(scored, order, name, within, single_task_rows, largest)
+    numbered = positions(scored, order, name, within)
+    drop_tables(base)
+    return numbered
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:

@@ -141,12 +141,15 @@ def unify_group_stock(stock: DataFrame, groups: DataFrame, skipped_stores: Seque
     return members.select("store_id", "group", "sku").distinct().join(totals, ["store_id", "group"])
 
 
-def recency_flags(sales: DataFrame, as_of: Column, days: int = 10) -> DataFrame:
-    """One flag per trailing day that had a sale, per SKU and store."""
+def recency_flags(assortment: DataFrame, sales: DataFrame, as_of: Column, days: int = 10) -> DataFrame:
+    """One flag per trailing day that had a sale, for every SKU and store of the assortment."""
     recent = sales.where(F.col("day").between(F.date_sub(as_of, days), F.date_sub(as_of, 1))).withColumn("age", F.datediff(as_of, "day"))
-    return recent.groupBy("sku", "store_id").agg(
-        *[F.max(F.when(F.col("age") == d, 1).otherwise(0)).alias(f"day_{d}") for d in range(1, days + 1)]
+    names = [f"day_{d}" for d in range(1, days + 1)]
+    flags = recent.groupBy("sku", "store_id").agg(
+        *[F.max(F.when(F.col("age") == d, 1).otherwise(0)).alias(name) for d, name in enumerate(names, 1)]
     )
+    pairs = assortment.select("sku", "store_id").distinct()
+    return pairs.join(flags, ["sku", "store_id"], "left").fillna(0, names)
 
 
 def immobile_stock(flags: DataFrame, products: DataFrame, thresholds: DataFrame, days: int = 10) -> DataFrame:

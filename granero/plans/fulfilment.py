@@ -155,13 +155,16 @@ def stockout_ranking(lines: DataFrame, orders: DataFrame, as_of, days: int = 15,
 
 
 def shortage_alerts(
-    states: DataFrame, limits: DataFrame, alerts: DataFrame, since, until, default_limit: int = 5, cap: int = 15
+    states: DataFrame, limits: DataFrame, alerts: DataFrame, since, until, default_limit: int = 5, cap: int = 15,
+    horizon_days: int = 90,
 ) -> DataFrame:
     """Most affected products per store, up to the store's own limit, with a cool-down.
 
-    A product alerted before returns only when its last alert was resolved and the picking is later.
+    A product alerted in the ``horizon_days`` before the day of ``until`` returns only when its last alert was
+    resolved and the picking is later.
     """
-    last = latest_per_key(alerts, ["store_id", "sku"], "started").select(
+    recent = alerts.where(F.col("started") >= F.date_sub(as_ts(until).cast("date"), horizon_days).cast("timestamp"))
+    last = latest_per_key(recent, ["store_id", "sku"], "started").select(
         "store_id", "sku", "started", "resolved"
     )
     window = states.where(F.col("picked_at").between(as_ts(since), as_ts(until)) & (F.col("state") != COMPLETE))

@@ -72,7 +72,7 @@ def _weekday_weeks(sales: DataFrame, dow: Column) -> DataFrame:
     """Weekly totals of one weekday per SKU-store."""
     day = F.col("day")
     return (
-        sales.where(sunday_zero(day) == dow).groupBy(*PAIR, F.weekofyear(day).alias("week"))
+        sales.where(sunday_zero(day) == dow).groupBy(*PAIR, iso_year(day).alias("year"), F.weekofyear(day).alias("week"))
         .agg(F.sum("units").alias("units"))
     )
 

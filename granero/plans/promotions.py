@@ -313,12 +313,7 @@ def fixed_price_removals(promotions: DataFrame, published: DataFrame, day) -> Da
     return rows.join(published.select("sku", "web_id"), "sku")
 
 
-# Promotion names that save on the order or on delivery instead of the product.
-ORDER_NAMES = ("Descuento 10% boleta app", "cupon dcto 5mil atraso pedido", "Cupon Prefuga 10 x 100",
-               "Cupon Prefuga 15 x 150", "Cupon Fuga 5 x 20", "Cupon Fuga 5 x 30", "Cupon Fuga 5 x 60",
-               "Cupon Fuga 10 x 80", "Cupon Fuga 20 x 150", "Cupon Prefuga 5 x 30", "Cupon Prefuga 5 x 60",
-               "Cupon Prefuga 5 x 80")
-TICKET_NAMES = ("Descuento 10% boleta app",)
+# Patterns of promotion names that save on delivery instead of the product.
 DELIVERY_NAMES = ("%despac%", "%flet%")
 
 
@@ -327,13 +322,17 @@ def is_delivery(name: Column) -> Column:
 
 
 def savings_detail(
-    lines: DataFrame, orders: DataFrame, line_promotions: DataFrame, order_names: Sequence[str] = ORDER_NAMES,
-    ticket_names: Sequence[str] = TICKET_NAMES,
+    lines: DataFrame, orders: DataFrame, line_promotions: DataFrame, order_names: Sequence[str], ticket_names: Sequence[str],
 ) -> DataFrame:
-    """Per line and promotion, the saving split into product, delivery and order parts by promotion name."""
+    """Per line and promotion, the saving split into product, delivery and order parts by promotion name.
+
+    Names of promotions on the order and on the whole ticket belong to the shop. Lines without a promotion stay,
+    with NULL for the promotion and 0 for the savings.
+    """
     name, value = F.col("name"), F.col("value")
     product = F.when(~name.isin(*ticket_names) & ~is_delivery(name), value).otherwise(0)
-    joined = lines.drop("store_id").join(orders.select("order_id", "store_id", "customer_id"), "order_id").join(line_promotions, "line_id")
+    buyers = orders.select("order_id", "store_id", "customer_id")
+    joined = lines.drop("store_id").join(buyers, "order_id", "left").join(line_promotions, "line_id", "left")
     return joined.select(
         "order_id", "line_id", "store_id", "customer_id", "name", "value",
         (F.col("price") * F.col("asked")).alias("gross"), product.alias("product_saving"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -58,13 +59,39 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_TABLES: dict[str, SparkSession] = {}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    What follows survives lost executors, is not computed twice, and reads only the columns it needs. The
-    folder's retention rule removes the tables, as it does checkpoints.
+    What follows survives lost executors, is not computed twice, and reads only the columns it needs. The table
+    stays until ``drop_tables`` or the end of the driver.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _TABLES[path] = spark
+    saved = spark.read.schema(df.schema).parquet(path)
+    saved._granero_path = path
+    return saved
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_tables(*frames: DataFrame) -> None:
+    """Remove tables that ``cut_lineage`` wrote: of these frames, or all there are."""
+    for path in [frame._granero_path for frame in frames] or list(_TABLES):
+        remove(_TABLES.pop(path), path)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    for path, spark in list(_TABLES.items()):
+        if spark.sparkContext._jsc is None:  # stopped before
+            _TABLES.pop(path)
+    if _TABLES:
+        drop_tables()

@@ -67,11 +67,11 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFr
 
 
 def write_dated(df: DataFrame, path: str, day: str, file_format: str = "csv", column: str = "ds") -> None:
-    """Replace the objects of one day."""
-    writer = df.withColumn(column, F.lit(day)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the objects of one day, also by nothing."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if file_format == "csv":
         writer = writer.option("header", True)
-    writer.partitionBy(column).format(file_format).save(path)
+    writer.format(file_format).save(f"{path}/{column}={day}")
 
 
 def write_per_key(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> None:

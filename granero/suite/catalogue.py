@@ -313,10 +313,10 @@ def _(assortment, stores):
 
 
 @query("d107_complete_set", "skus assortment", """
-WITH f AS (SELECT sku, MIN(stock) AS stock FROM assortment WHERE store_id < 5 GROUP BY 1)
+WITH f AS (SELECT sku, MIN(stock) AS stock FROM assortment WHERE stock % 40 = 0 GROUP BY 1)
 SELECT sku, stock, false AS not_found FROM f UNION ALL SELECT sku, 0, true FROM skus WHERE sku NOT IN (SELECT sku FROM f)""")
 def _(skus, assortment):
-    return plan.complete_set(skus, assortment.where("store_id < 5").select("sku", "stock"))
+    return plan.complete_set(skus, assortment.where("stock % 40 = 0").select("sku", "stock"))
 
 
 @query("d67_active_catalogue", "assortment skus", """
@@ -345,20 +345,20 @@ def _(assortment, skus, sales):
     return stock_plan.reconcile_stock(rows, system, skus.selectExpr("sku", "1 + size % 4 AS multiplier"), parents, warehouse)
 
 
-@query("d43_recency_flags", "sales", """
-SELECT sku, store_id, """ + ", ".join(f"MAX((DATE '1998-06-15' - day = {d})::INT) AS day_{d}" for d in range(1, 11)) + """
-FROM sales WHERE DATE '1998-06-15' - day BETWEEN 1 AND 10 GROUP BY 1, 2""")
-def _(sales):
-    return stock_plan.recency_flags(sales, dates.as_date("1998-06-15"))
+@query("d43_recency_flags", "assortment sales", """
+SELECT a.sku, a.store_id, """ + ", ".join(f"coalesce(MAX((DATE '1998-06-15' - day = {d})::INT), 0) AS day_{d}" for d in range(1, 11)) + """
+FROM assortment a LEFT JOIN sales s ON s.sku = a.sku AND s.store_id = a.store_id AND DATE '1998-06-15' - day BETWEEN 1 AND 10 GROUP BY 1, 2""")
+def _(assortment, sales):
+    return stock_plan.recency_flags(assortment, sales, dates.as_date("1998-06-15"))
 
 
-@query("d100_immobile_stock", "sales skus stores", """
-WITH f AS (SELECT sku, store_id, MIN(DATE '1998-06-15' - day) AS age FROM sales WHERE DATE '1998-06-15' - day BETWEEN 1 AND 10 GROUP BY 1, 2)
-SELECT sku, f.store_id, category, CAST(age - 1 AS INT) AS days_since FROM f JOIN skus USING (sku) JOIN stores USING (store_id) WHERE category <> 'LARGE' AND age - 1 = district % 10""")
-def _(sales, skus, stores):
-    categories = skus.where("category <> 'LARGE'").agg(F.collect_set("category")).scalar()  # six product types
-    thresholds = stores.select("store_id", (F.col("district") % 10).alias("threshold"), F.explode(categories).alias("category"))
-    flags = stock_plan.recency_flags(sales, dates.as_date("1998-06-15"))
+@query("d100_immobile_stock", "assortment sales skus stores", """
+WITH f AS (SELECT a.sku, a.store_id, coalesce(MIN(DATE '1998-06-15' - day) - 1, 10) AS age FROM assortment a LEFT JOIN sales s ON s.sku = a.sku AND s.store_id = a.store_id AND DATE '1998-06-15' - day BETWEEN 1 AND 10 GROUP BY 1, 2)
+SELECT sku, f.store_id, category, CAST(age AS INT) AS days_since FROM f JOIN skus USING (sku) JOIN stores USING (store_id) WHERE category <> 'LARGE' AND age = district % 11""")
+def _(assortment, sales, skus, stores):
+    sold = assortment.select("sku", "store_id").join(skus.where("category <> 'LARGE'").select("sku", "category"), "sku").select("store_id", "category").distinct()
+    thresholds = sold.join(stores.select("store_id", (F.col("district") % 11).alias("threshold")), "store_id")
+    flags = stock_plan.recency_flags(assortment, sales, dates.as_date("1998-06-15"))
     return stock_plan.immobile_stock(flags, skus, thresholds).select("sku", "store_id", "category", "days_since")
 
 

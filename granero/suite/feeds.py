@@ -35,22 +35,21 @@ SELECT event_id AS id, ts, CAST(ts AS DATE) AS day, user_id AS item, event_type
        CAST(round(value * 100) AS BIGINT) AS amount, props
 FROM events""")
 
-# One row per (order, line number): the source repeats the pair, an entity must not.
+# The source repeats the pair of order and line number: a repeat is a line of its own, with its own id.
 feed("lines", ["lineitem"], """
-SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS order_id, l_linenumber AS line_no,
-       MAX(l_partkey) AS sku, MAX(l_suppkey) AS store_id,
-       CASE WHEN MAX(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) = 1 AND l_linenumber > 1 THEN l_orderkey * 10 + l_linenumber - 1 END
-           AS substitute_of,
-       CASE WHEN MAX(l_partkey) % 3 = 0 THEN 'kg' ELSE 'un' END AS uom,
-       CAST(MAX(l_quantity) AS BIGINT) AS asked,
-       CASE WHEN MAX(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AND l_linenumber > 2
-            THEN CAST(MAX(l_quantity) AS BIGINT) - (l_orderkey + l_linenumber) % 4
-            WHEN MAX(l_tax) < 0.08 THEN CAST(MAX(l_quantity) AS BIGINT) END AS picked,
-       CAST(CASE WHEN MAX(l_partkey) % 2 = 0 THEN 1 ELSE 0.5 END AS DECIMAL(8, 4)) AS multiplier,
-       CAST(round(MAX(l_extendedprice) * 100) AS BIGINT) AS price,
-       CAST(round(MAX(l_discount) * 100) AS BIGINT) AS pct,
-       CAST(MAX(l_shipdate) AS DATE) AS day
-FROM lineitem GROUP BY l_orderkey, l_linenumber""")
+SELECT (l_orderkey * 10 + l_linenumber) * 100 + nth AS line_id, l_orderkey AS order_id, l_linenumber AS line_no,
+       l_partkey AS sku, l_suppkey AS store_id,
+       CASE WHEN l_returnflag = 'R' AND l_linenumber > 1 THEN (l_orderkey * 10 + l_linenumber - 1) * 100 + nth END AS substitute_of,
+       CASE WHEN l_partkey % 3 = 0 THEN 'kg' ELSE 'un' END AS uom,
+       CAST(l_quantity AS BIGINT) AS asked,
+       CASE WHEN l_linestatus = 'O' AND l_linenumber > 2 THEN CAST(l_quantity AS BIGINT) - (l_orderkey + l_linenumber) % 4
+            WHEN l_tax < 0.08 THEN CAST(l_quantity AS BIGINT) END AS picked,
+       CAST(CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE 0.5 END AS DECIMAL(8, 4)) AS multiplier,
+       CAST(round(l_extendedprice * 100) AS BIGINT) AS price,
+       CAST(round(l_discount * 100) AS BIGINT) AS pct,
+       CAST(l_shipdate AS DATE) AS day
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                                   l_shipdate, l_discount, l_tax, l_returnflag, l_linestatus) AS nth FROM lineitem) AS numbered""")
 
 # Promotions cover every product: dates, mechanics and prices follow from its number and size.
 feed("promos", ["part"], """
@@ -82,9 +81,9 @@ SELECT l_partkey AS sku, l_suppkey AS store_id, CAST(SUM(l_quantity) AS BIGINT)
        MAX(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AS listed, MIN(l_tax) > 0.07 AS excluded
 FROM lineitem GROUP BY l_partkey, l_suppkey""")
 
-# Scale readings of weighed lines; the source repeats lines, so a line may have several readings.
+# Scale readings of weighed lines; those of a repeated pair all belong to its first line.
 feed("weights", ["lineitem"], """
-SELECT l_orderkey * 10 + l_linenumber AS line_id,
+SELECT (l_orderkey * 10 + l_linenumber) * 100 + 1 AS line_id,
        CAST(l_quantity AS BIGINT) * (650 + 50 * ((l_orderkey + l_linenumber) % 9)) AS weight_g
 FROM lineitem""")
 

@@ -65,6 +65,16 @@ def _(skus):
     return scans.read_csv(skus.sparkSession, path, schema)
 
 
+@query("s11_day_replaced_by_nothing", "skus", "SELECT sku, '1998-06-14' AS ds FROM skus")
+def _(skus):
+    path = _folder(skus)
+    for day in ("1998-06-14", "1998-06-15"):
+        scans.write_dated(skus.select("sku"), path, day)
+    scans.write_dated(skus.select("sku").where("sku < 0"), path, "1998-06-15")
+    schema = T.StructType([T.StructField("sku", T.LongType()), T.StructField("ds", T.StringType())])
+    return scans.read_csv(skus.sparkSession, path, schema)
+
+
 @query("s12_per_key_files", "assortment", "SELECT store_id, count(*) AS items, SUM(stock)::BIGINT AS stock FROM assortment GROUP BY 1")
 def _(assortment):
     path = _folder(assortment)
@@ -92,6 +102,15 @@ def _(baskets):
     return baskets.sparkSession.read.schema("order_id LONG, total LONG, part STRING").parquet(path)
 
 
+@query("i07_partition_replaced_by_nothing", "baskets", "SELECT 'done' AS part, order_id FROM baskets WHERE state <> 60")
+def _(baskets):
+    path = _folder(baskets)
+    rows = baskets.select("order_id", F.when(F.col("state") == 60, "open").otherwise("done").alias("part"))
+    write_partitions(rows, path, "part")
+    write_partitions(rows.where("order_id < 0"), path, "part", replace=[("open",)])
+    return baskets.sparkSession.read.schema("order_id LONG, part STRING").parquet(path)
+
+
 @query("i12_archive_and_delete", "moves", """
 SELECT 'archived' AS place, count(*) AS n FROM moves WHERE day = DATE '2024-01-10' UNION ALL SELECT 'live', count(*) FROM moves WHERE day <> DATE '2024-01-10'""")
 def _(moves):

@@ -10,7 +10,7 @@ from granero.suite.registry import feed, query
 DAY = "1998-06-15"
 
 feed("deals", ["lineitem"], """
-SELECT l_orderkey * 10 + l_linenumber AS line_id, l_partkey AS sku, l_partkey * 100 + l_suppkey % 50 AS n_promo,
+SELECT (l_orderkey * 10 + l_linenumber) * 100 + 1 AS line_id, l_partkey AS sku, l_partkey * 100 + l_suppkey % 50 AS n_promo,
  CASE CAST((l_partkey + l_suppkey) % 5 AS INT) WHEN 0 THEN 'Gratis DESPACHO' WHEN 1 THEN 'flete' WHEN 2 THEN 'Beneficio Colaborador' WHEN 3 THEN 'Cupon referido' ELSE 'Oferta' END AS name,
  CAST(round(l_discount * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) AS value, l_suppkey % 9 AS promo_id FROM lineitem""")
 feed("funding", ["promos"], """
@@ -20,7 +20,7 @@ SELECT line_id, order_id, sku, store_id, day, uom, substitute_of, CASE WHEN subs
  CASE WHEN uom = 'kg' THEN 'KG' ELSE 'UN' END AS unit, price, price + 50 AS list_price FROM lines""")
 
 MARGIN = """
-w AS (SELECT line_id, CAST(SUM(weight_g) * 0.001 AS DECIMAL(18, 3)) AS kg, SUM(weight_g)::BIGINT * 3 AS sp FROM weights WHERE weight_g >= 10000 GROUP BY 1),
+w AS (SELECT line_id, CAST(SUM(weight_g) * 0.001 AS DECIMAL(18, 3)) AS kg, SUM(weight_g)::BIGINT * 3 AS sp FROM weights GROUP BY 1),
 cost AS (SELECT l.sku, b.store_id, b.day, SUM(price * asked)::BIGINT AS cogs, SUM(picked)::BIGINT AS sold FROM order_lines l JOIN baskets b USING (order_id) WHERE b.status <> 'P' GROUP BY 1, 2, 3),
 o AS (SELECT l.line_id, l.order_id, l.sku, b.day, l.asked = 0 AS substitute, coalesce(w.kg, CAST(l.picked AS DECIMAL(18, 3))) AS units, coalesce(w.sp, l.price) AS unit_price,
   CASE WHEN l.unit = 'KG' AND picked <> 0 THEN coalesce(w.sp, l.price) ELSE least(l.price * picked, coalesce((SELECT any_value(q.price * q.asked) FROM order_lines q WHERE q.line_id = l.substitute_of), l.price * picked)) END AS gross,
@@ -36,7 +36,7 @@ MARGIN_FEEDS = "order_lines baskets weights skus deals funding"
 
 
 def _margins(order_lines, baskets, weights, skus, deals, funding):
-    scale = weights.where("weight_g >= 10000").withColumn("price", F.col("weight_g") * 3)
+    scale = weights.withColumn("price", F.col("weight_g") * 3)
     orders = baskets.select("order_id", "store_id", "day")
     costs = (
         order_lines.drop("store_id", "day").join(baskets.where("status <> 'P'").select("order_id", "store_id", "day"), "order_id")
@@ -48,7 +48,7 @@ def _margins(order_lines, baskets, weights, skus, deals, funding):
 
 @query("d12_line_margins", MARGIN_FEEDS, f"""
 WITH {MARGIN} SELECT line_id, sku, substitute, CAST(units AS DOUBLE) AS units, unit_price, gross, net, unit_cost, ds AS delivery_saving, cs AS chain_saving, es AS ecommerce_saving, CAST(cf AS DOUBLE) AS chain_funding, CAST(ef AS DOUBLE) AS ecommerce_funding,
- CAST(margin_1 AS DOUBLE) AS margin_1, CAST(margin_2 AS DOUBLE) AS margin_2, promoted FROM m1""")
+ CAST(margin_1 AS DOUBLE) AS margin_1, CAST(margin_2 AS DOUBLE) AS margin_2, promoted FROM m1""", prepared="lines")
 def _(order_lines, baskets, weights, skus, deals, funding):
     return _margins(order_lines, baskets, weights, skus, deals, funding).drop("order_id", "day")
 
@@ -57,7 +57,7 @@ LATE = """f AS (SELECT m1.line_id, SUM(r.negotiated)::BIGINT AS n FROM m1 JOIN f
 m2 AS (SELECT m1.*, coalesce(n, 0) * units AS late_funding, margin_2 + coalesce(n, 0) * units AS final_2 FROM m1 LEFT JOIN f USING (line_id))"""
 
 
-@query("d12_fund_substitutes", MARGIN_FEEDS, f"WITH {MARGIN}, {LATE} SELECT line_id, CAST(late_funding AS DOUBLE) AS late_funding, CAST(final_2 AS DOUBLE) AS margin_2 FROM m2")
+@query("d12_fund_substitutes", MARGIN_FEEDS, f"WITH {MARGIN}, {LATE} SELECT line_id, CAST(late_funding AS DOUBLE) AS late_funding, CAST(final_2 AS DOUBLE) AS margin_2 FROM m2", prepared="lines")
 def _(order_lines, baskets, weights, skus, deals, funding):
     margins = _margins(order_lines, baskets, weights, skus, deals, funding)
     return plan.fund_substitutes(margins, funding, (402,)).select("line_id", "late_funding", "margin_2")
@@ -65,7 +65,7 @@ def _(order_lines, baskets, weights, skus, deals, funding):
 
 @query("d12_fill_zero_cost", MARGIN_FEEDS, f"""
 WITH {MARGIN}, z AS (SELECT m1.*, CASE WHEN unit_cost = 0 THEN s.list_price END AS c FROM m1 JOIN skus s USING (sku))
-SELECT line_id, coalesce(c, unit_cost) AS unit_cost, CAST(round(margin_1 - coalesce(c, 0) * units) AS DOUBLE) AS margin_1, CAST(round(margin_2 - coalesce(c, 0) * units) AS DOUBLE) AS margin_2 FROM z""")
+SELECT line_id, coalesce(c, unit_cost) AS unit_cost, CAST(round(margin_1 - coalesce(c, 0) * units) AS DOUBLE) AS margin_1, CAST(round(margin_2 - coalesce(c, 0) * units) AS DOUBLE) AS margin_2 FROM z""", prepared="lines")
 def _(order_lines, baskets, weights, skus, deals, funding):
     margins = _margins(order_lines, baskets, weights, skus, deals, funding)
     return plan.fill_zero_cost(margins, skus.select("sku", F.col("list_price").alias("cost"))).select(
@@ -188,7 +188,7 @@ s2 AS (SELECT store_id, model, operator, guarantee, carrier, SUM(cost) AS c, MIN
 s3 AS (SELECT store_id, model, operator, MAX(shared) AS sh, string_agg(DISTINCT carrier::VARCHAR, ', ' ORDER BY carrier::VARCHAR) AS l, MAX(carrier) AS carrier, MIN(headcount) AS h FROM staffed f WHERE headcount > 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.store_id = f.store_id AND t.model = f.model AND t.operator = f.operator) GROUP BY 1, 2, 3)
 SELECT s1.store_id, s1.model, s1.operator, NULL::VARCHAR AS carrier, l AS carriers, c * coalesce(pay, 1) AS paid, h * guarantee * coalesce(guarantee_factor, 1) AS minimum, greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0) AS topup, 'duplicado' AS source FROM s1 LEFT JOIN r ON r.operator = s1.operator AND r.model = s1.model
 UNION ALL SELECT s2.store_id, s2.model, s2.operator, carrier::VARCHAR, NULL, c * coalesce(pay, 1), h * guarantee * coalesce(guarantee_factor, 1), greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0), 'no_duplicado' FROM s2 LEFT JOIN r ON r.operator = s2.operator AND r.model = s2.model
-UNION ALL SELECT s3.store_id, s3.model, s3.operator, CASE WHEN sh <> 1 THEN s3.carrier::VARCHAR END, CASE WHEN sh = 1 THEN l END, 0, h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), 'sin_pedido' FROM s3 LEFT JOIN carriers c ON c.carrier = s3.carrier LEFT JOIN r ON r.operator = s3.operator AND r.model = s3.model""")
+UNION ALL SELECT s3.store_id, s3.model, s3.operator, CASE WHEN sh <> 1 THEN s3.carrier::VARCHAR END, CASE WHEN sh = 1 THEN l END, 0, h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), 'sin_pedido' FROM s3 LEFT JOIN carriers c ON c.carrier = s3.carrier LEFT JOIN r ON r.operator = s3.operator AND r.model = s3.model""", prepared="lines")
 def _(baskets, dispatches, carriers, changes, factors, staffed):
     costs = _costs(baskets, dispatches, carriers, changes, factors, staffed).withColumn("delivery_day", F.lit(DAY).cast("date"))
     plans = staffed.withColumn("day", F.lit(DAY).cast("date"))
@@ -200,7 +200,7 @@ def _(baskets, dispatches, carriers, changes, factors, staffed):
 WITH {COSTS}, hv AS (SELECT order_id FROM (SELECT order_id, SUM(asked * 900) AS g, SUM(asked * 5) AS l FROM lines GROUP BY 1) WHERE g > 80000 OR l > 500),
 sc AS (SELECT store_id, operator, SUM(fee + km_cost) AS overweight FROM costs WHERE operator = 'OP1' AND dispatched AND order_id IN (FROM hv) GROUP BY 1, 2),
 gr AS (SELECT DISTINCT store_id, operator FROM base WHERE carrier IS NOT NULL), k AS (SELECT district, MAX(balance) AS b FROM stores GROUP BY 1)
-SELECT '1998-06-15' AS delivery_day, gr.store_id, gr.operator, 1.08::DOUBLE * b / 30 AS coordinator, b * 2 / 30 AS fixed, overweight FROM gr LEFT JOIN k ON k.district = gr.store_id LEFT JOIN sc ON sc.store_id = gr.store_id AND sc.operator = gr.operator""")
+SELECT '1998-06-15' AS delivery_day, gr.store_id, gr.operator, 1.08::DOUBLE * b / 30 AS coordinator, b * 2 / 30 AS fixed, overweight FROM gr LEFT JOIN k ON k.district = gr.store_id LEFT JOIN sc ON sc.store_id = gr.store_id AND sc.operator = gr.operator""", prepared="lines")
 def _(baskets, dispatches, carriers, changes, factors, staffed, lines, stores):
     day = F.lit(DAY).cast("date")
     base = _base(baskets, dispatches, carriers, changes, factors).where("carrier IS NOT NULL").withColumn("delivery_day", day)

@@ -31,7 +31,7 @@ def _states(lines, weights, skus):
 
 @query("d01_line_states", "lines weights skus", f"""
 WITH {STATES} SELECT line_id, sku, substitute, substituted, CAST(asked AS DOUBLE) AS asked, CAST(picked AS DOUBLE) AS picked,
- state, (SELECT any_value(o.sku) FROM lines o WHERE o.line_id = states.substitute_of) AS original_sku FROM states""")
+ state, (SELECT any_value(o.sku) FROM lines o WHERE o.line_id = states.substitute_of) AS original_sku FROM states""", prepared="lines")
 def _(lines, weights, skus):
     states = plan.line_states(lines, weights, skus, MEAT, with_original=True)
     return states.select("line_id", "sku", "substitute", "substituted", "asked", "picked", "state", "original_sku")
@@ -75,7 +75,7 @@ p AS (SELECT store_id, day, count_if(on_time = 10)::BIGINT AS on_time_orders, co
 x AS (SELECT store_id, day, SUM(net)::BIGINT AS floor_sales FROM sales GROUP BY 1, 2)
 SELECT s.store_id, CAST(s.day AS VARCHAR) AS day, net_sales, orders, complete_items, substituted_items, requested_items, perfect_orders,
  on_time_orders, early_orders, floor_sales, net_sales / orders AS average_ticket
-FROM s JOIN f USING (store_id, day) JOIN p USING (store_id, day) JOIN x ON x.store_id = s.store_id AND x.day = s.day""")
+FROM s JOIN f USING (store_id, day) JOIN p USING (store_id, day) JOIN x ON x.store_id = s.store_id AND x.day = s.day""", prepared="lines")
 def _(sales, baskets, lines, weights, skus, dispatches, changes):
     owner = baskets.select("order_id", F.col("store_id").cast("int").alias("store_id"), "day")
     return plan.store_board(
@@ -102,7 +102,7 @@ feed("alerts", ["moves"], ALERTS)
 
 
 @query("d49_shortage_alerts", "lines weights skus alerts stores", f"""
-WITH {STATES}, a AS (SELECT * FROM alerts QUALIFY row_number() OVER (PARTITION BY store_id, sku ORDER BY started DESC) = 1),
+WITH {STATES}, a AS (SELECT * FROM alerts WHERE started >= TIMESTAMP '1998-06-03' QUALIFY row_number() OVER (PARTITION BY store_id, sku ORDER BY started DESC) = 1),
 t AS (SELECT s.store_id, s.sku, count(*) AS orders, SUM(asked - picked) AS missing_units FROM states s LEFT JOIN a ON a.store_id = s.store_id AND a.sku = s.sku
   WHERE picked_at BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-09-01' AND state <> 3 AND (a.started IS NULL OR (a.resolved AND picked_at > a.started)) GROUP BY 1, 2),
 k AS (SELECT t.*, coalesce(CASE WHEN st.status = 1 THEN 2 + district % 9 END, 5) AS k,

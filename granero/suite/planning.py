@@ -71,7 +71,7 @@ def _(assortment, sales, stores):
 
 
 @query("d31b_weekday_safety_stock", SAFE_FEEDS + " promos", """
-WITH s AS (SELECT sku, store_id, weekofyear(day) AS w, SUM(units)::BIGINT AS u FROM sales WHERE dayofweek(day) = 1 GROUP BY 1, 2, 3), m AS (SELECT sku, store_id, AVG(u) AS mean, MAX(u) AS most FROM s GROUP BY 1, 2),
+WITH s AS (SELECT sku, store_id, yearweek(day) AS w, SUM(units)::BIGINT AS u FROM sales WHERE dayofweek(day) = 1 GROUP BY 1, 2, 3), m AS (SELECT sku, store_id, AVG(u) AS mean, MAX(u) AS most FROM s GROUP BY 1, 2),
 b AS (SELECT a.sku, a.store_id, mean, most, a.sku IN (SELECT sku FROM promos WHERE type = 1) AS promo, round_even(round_even(greatest(mean * 0.5::DOUBLE, 2), 2), 0) * coalesce(CASE WHEN status = 1 THEN 0.5::DOUBLE + district / 10 END, 1) AS w
  FROM assortment a LEFT JOIN m USING (sku, store_id) LEFT JOIN stores USING (store_id))
 SELECT sku, store_id, CAST(CASE WHEN mean IS NULL THEN 2 WHEN promo THEN greatest(most, 2) ELSE greatest(round_even(w, 0), 2) END AS BIGINT) AS safety_stock FROM b""")
@@ -81,7 +81,7 @@ def _(assortment, sales, stores, promos):
 
 @query("d112_regular_price_safety_stock", "assortment sales stores skus", """
 WITH r AS (SELECT s.* FROM sales s JOIN skus k USING (sku) WHERE day >= DATE '1998-06-15' - 700 AND round(gross / units) / (list_price * 10) > 0.8),
-s AS (SELECT sku, store_id, weekofyear(day) AS w, SUM(units)::BIGINT AS u FROM r WHERE dayofweek(day) = 1 GROUP BY 1, 2, 3), m AS (SELECT sku, store_id, AVG(u) AS mean FROM s GROUP BY 1, 2)
+s AS (SELECT sku, store_id, yearweek(day) AS w, SUM(units)::BIGINT AS u FROM r WHERE dayofweek(day) = 1 GROUP BY 1, 2, 3), m AS (SELECT sku, store_id, AVG(u) AS mean FROM s GROUP BY 1, 2)
 SELECT a.sku, a.store_id, CAST(CASE WHEN mean IS NULL THEN 2 ELSE least(greatest(round_even(round_even(greatest(mean * 0.5::DOUBLE, 2), 2), 0), 2), 200) END AS BIGINT) AS safety_stock FROM assortment a LEFT JOIN m USING (sku, store_id)""")
 def _(assortment, sales, stores, skus):
     priced = sales.join(skus.select("sku", (F.col("list_price") * 10).alias("list_price")), "sku")

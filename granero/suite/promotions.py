@@ -180,15 +180,16 @@ def _(promos, skus):
 
 
 feed("line_promotions", ["lineitem"], """
-SELECT l_orderkey * 10 + l_linenumber AS line_id, l_partkey * 100 + l_suppkey % 100 AS id,
+SELECT (l_orderkey * 10 + l_linenumber) * 100 + 1 AS line_id, l_partkey * 100 + l_suppkey % 100 AS id,
  CASE CAST((l_partkey + l_suppkey) % 7 AS INT) WHEN 0 THEN '4100 Gratis DESPACHO' WHEN 1 THEN 'Descuento 10% boleta app' WHEN 2 THEN 'Cupon Fuga 5 x 20' WHEN 3 THEN 'flete gratis'
   WHEN 4 THEN 'Beneficio Colaborador' WHEN 5 THEN 'Cupon referido' ELSE '5550 Oferta' END AS name,
  CAST(round(l_discount * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) * 10 AS value FROM lineitem""")
 
 
 @query("d13_savings_detail", "lines baskets line_promotions", """
-SELECT order_id, line_id, b.store_id, customer_id, p.name, value, price * asked AS gross, CASE WHEN p.name ILIKE '%despac%' OR p.name ILIKE '%flet%' OR p.name = 'Descuento 10% boleta app' THEN 0 ELSE value END AS product_saving,
+SELECT order_id, line_id, b.store_id, customer_id, p.name, value, price * asked AS gross, CASE WHEN p.name IS NULL OR p.name ILIKE '%despac%' OR p.name ILIKE '%flet%' OR p.name IN ('Descuento 10% boleta app', 'Oferta semana') THEN 0 ELSE value END AS product_saving,
  CASE WHEN p.name ILIKE '%despac%' OR p.name ILIKE '%flet%' THEN value ELSE 0 END AS delivery_saving, CASE WHEN p.name IN ('Descuento 10% boleta app', 'Cupon Fuga 5 x 20') THEN value ELSE 0 END AS order_saving,
- split_part(p.name, ' ', 1) AS promo_ref FROM lines JOIN baskets b USING (order_id) JOIN line_promotions p USING (line_id)""")
+ CASE WHEN p.name IS NOT NULL THEN split_part(p.name, ' ', 1) END AS promo_ref FROM lines LEFT JOIN baskets b USING (order_id) LEFT JOIN line_promotions p USING (line_id)""")
 def _(lines, baskets, line_promotions):
-    return plan.savings_detail(lines, baskets, line_promotions)
+    ticket = ("Descuento 10% boleta app", "Oferta semana")
+    return plan.savings_detail(lines, baskets, line_promotions, ("Descuento 10% boleta app", "Cupon Fuga 5 x 20"), ticket)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granero.schemas import TABLES, table
-from granero.session import configure
+from granero.session import configure, cut_lineage
 
 FEEDS: dict[str, tuple[tuple[str, ...], str]] = {}
 QUERIES: dict[str, Query] = {}
@@ -27,22 +27,24 @@ class Query:
     feeds: tuple[str, ...]
     build: Callable[..., DataFrame]
     oracle: str | None
+    prepared: tuple[str, ...] = ()
 
 
 def feed(name: str, sources: Sequence[str], sql: str) -> None:
     FEEDS[name] = (tuple(sources), sql)
 
 
-def query(name: str, feeds: str, oracle: str | None = None):
+def query(name: str, feeds: str, oracle: str | None = None, prepared: str = ""):
     """Register ``build(**frames)``; ``feeds`` lists the frames it takes, separated by spaces.
 
-    The name ``folder`` passes the table folder itself, for queries that open a stream on it.
+    The name ``folder`` passes the table folder itself, for queries that open a stream on it. Feeds listed in
+    ``prepared`` are computed and written once before the query, which reads them in several branches.
     """
 
     def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = Query(name, tuple(feeds.split()), build, oracle)
+        QUERIES[name] = Query(name, tuple(feeds.split()), build, oracle, tuple(prepared.split()))
         return build
 
     return register
@@ -58,12 +60,14 @@ def _closure(names: Sequence[str]) -> list[str]:
     return ordered
 
 
-def frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def frame(spark: SparkSession, folder: str, name: str, ready: dict[str, DataFrame] | None = None) -> DataFrame:
+    if ready and name in ready:
+        return ready[name]
     if name in TABLES:
         return table(spark, folder, name)
     sources, sql = FEEDS[name]
     for source in sources:
-        frame(spark, folder, source).createOrReplaceTempView(source)
+        frame(spark, folder, source, ready).createOrReplaceTempView(source)
     return spark.sql(sql)
 
 
@@ -84,7 +88,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 def run(entry: Query, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
-    frames = {name: folder if name == "folder" else frame(spark, folder, name) for name in entry.feeds}
+    ready = {name: cut_lineage(frame(spark, folder, name)) for name in entry.prepared}
+    frames = {name: folder if name == "folder" else frame(spark, folder, name, ready) for name in entry.feeds}
     return plain(entry.build(**frames))
 
 

@@ -214,10 +214,7 @@ def _(customer, orders):
 @query("j10_not_in_nulls", "skus sales", """
 SELECT sku FROM skus WHERE nullif(sku, 3) NOT IN (SELECT sku FROM sales WHERE units = 50)""")
 def _(skus, sales):
-    return skus.sparkSession.sql(
-        "SELECT sku FROM {skus} WHERE nullif(sku, 3) NOT IN (SELECT sku FROM {sales} WHERE units = 50)",
-        skus=skus, sales=sales,
-    )
+    return joins.not_in(skus.select("sku"), F.nullif(F.col("sku"), F.lit(3)), sales.where("units = 50").select("sku"), "sku")
 
 
 @query("j11_self", "lines", """

@@ -12,7 +12,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     from granero.session import local_session
 
-    session = local_session("8", shuffle_partitions=4)
+    session = local_session(os.environ.get("TEST_CPUS", "8"), shuffle_partitions=4)
     yield session
     session.stop()
 

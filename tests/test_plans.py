@@ -17,8 +17,7 @@ def _plan(df) -> str:
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if "stream" not in n))
 def test_no_forbidden_nodes(spark, folder, name):
     text = _plan(run(QUERIES[name], spark, folder))
-    # A null-aware NOT IN against a non-null key is the one anti join Spark may run as a nested loop.
-    found = [node for node in FORBIDDEN if node in text and not (name == "j10_not_in_nulls" and "NestedLoop" in node)]
+    found = [node for node in FORBIDDEN if node in text]
     assert not found, text[:3000]
 
 

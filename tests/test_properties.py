@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from granero.operators import merge, ranking, sets
@@ -44,25 +45,46 @@ def test_difference_ignores_repeats_on_one_side(spark):
 
 
 @pytest.mark.parametrize("within", [[], ["store_id"]])
-def test_sorted_route_equals_window_route(spark, folder, within):
-    """One store holds a third of all rows; the range-sorted route must number it like a plain window."""
+@pytest.mark.parametrize("broadcast_values", [0, 10**6])
+def test_sorted_route_equals_plain_windows(spark, folder, within, broadcast_values):
+    """One store holds a third of all rows; the range-sorted route must number it like plain windows."""
     sales = frame(spark, folder, "sales").withColumn("store_id", F.expr("CASE WHEN order_id % 3 = 0 THEN 99 ELSE store_id END"))
-    small = product_ranking(sales, within)
-    large = product_ranking(sales, within, single_task_rows=0)
-    columns = sorted(small.columns)
-    assert _rows(small.select(columns)) == _rows(large.select(columns))
+    ranked = product_ranking(sales, within, broadcast_values=broadcast_values)
+    whole, part = Window.partitionBy(F.lit(0)), Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
+    totals = sales.groupBy(*within, "sku").agg(F.count("sku").alias("frequency"), F.sum("units").alias("units"), F.sum("net").alias("revenue"))
+    plain = totals.withColumns({f"{m}_rank": F.dense_rank().over(whole.orderBy(F.col(m).desc())).cast("long") for m in ("frequency", "units", "revenue")})
+    plain = plain.withColumn("score", F.expr("5 * frequency_rank + 3 * units_rank + 2 * revenue_rank"))
+    plain = plain.withColumn("ranking", F.row_number().over(part.orderBy("score", "sku")).cast("long"))
+    columns = sorted(plain.columns)
+    assert _rows(ranked.select(columns)) == _rows(plain.select(columns))
 
 
 def test_ranks_are_a_permutation(spark, folder):
-    ranked = product_ranking(frame(spark, folder, "sales"), single_task_rows=0)
+    ranked = product_ranking(frame(spark, folder, "sales"))
     places = [r[0] for r in ranked.select("ranking").collect()]
     assert sorted(places) == list(range(1, len(places) + 1))
 
 
 def test_positions_restart_in_every_group_and_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 9), ("b", 5)], "g string, v long")
-    for limit in (0, 100):
-        got = ranking.positions(df, [F.col("v").asc()], "p", ["g"], single_task_rows=limit)
-        assert _rows(got.select("g", "v", "p")) == sorted(
-            [(None, 1, 1), (None, 3, 2), ("a", 2, 1), ("a", 9, 2), ("b", 5, 1)], key=str
-        )
+    got = ranking.positions(df, [F.col("v").asc()], "p", ["g"])
+    assert _rows(got.select("g", "v", "p")) == sorted(
+        [(None, 1, 1), (None, 3, 2), ("a", 2, 1), ("a", 9, 2), ("b", 5, 1)], key=str
+    )
+
+
+def test_repeated_incoming_keys_without_a_version_raise(spark):
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k long, v string")
+    with pytest.raises(Exception, match="incoming key is repeated"):
+        merge.merge_upsert(target, twice, ["k"]).collect()
+
+
+def test_tables_are_removed(spark):
+    from granero import session
+
+    saved = session.cut_lineage(spark.range(3))
+    session.drop_tables(saved)
+    assert saved._granero_path not in session._TABLES
+    with pytest.raises(Exception):
+        saved.collect()
