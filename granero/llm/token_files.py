@@ -33,7 +33,7 @@ def encode_sorted(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             flat, bounds = encoder(vocabulary, end_id).encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -76,7 +76,7 @@ def with_starts(rows: DataFrame) -> DataFrame:
         F.col("shard").alias("_shard"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
     return (
-        rows.join(offsets, F.col("shard") == F.col("_shard"))
+        rows.join(F.broadcast(offsets), F.col("shard") == F.col("_shard"))  # 12 bytes for each shard
         .withColumn("start", F.col("_offset") + F.col("start_in_shard")).drop("_shard", "_offset")
     )
 
