@@ -141,9 +141,14 @@ def store_board(sales: DataFrame, states: DataFrame, promises: DataFrame, floor_
     return board.withColumn("average_ticket", ratio(F.col("net_sales"), F.col("orders")))
 
 
-def stockout_ranking(lines: DataFrame, orders: DataFrame, as_of, days: int = 15, **options) -> DataFrame:
-    """Per store, products by missing units and affected orders in the last ``days`` days."""
-    recent = orders.where(F.col("day") >= F.date_sub(as_date(as_of), days)).select("order_id", "store_id")
+def stockout_ranking(lines: DataFrame, orders: DataFrame, stores: DataFrame, as_of, days: int = 15, **options) -> DataFrame:
+    """Per active store, products by missing units and affected orders, over invoiced orders picked in the last ``days`` days.
+
+    ``orders`` has order_id, store_id, picked_on and invoiced_on; ``stores`` has store_id and status.
+    """
+    active = stores.where("status = 1").select("store_id")
+    done = orders.where((F.col("picked_on") >= F.date_sub(as_date(as_of), days)) & F.col("invoiced_on").isNotNull())
+    recent = done.join(active, "store_id", "left_semi").select("order_id", "store_id")
     short = lines.where(F.col("asked") > F.col("picked")).drop("store_id").join(recent, "order_id")
     totals = short.groupBy("store_id", "sku").agg(
         F.sum(F.col("asked") - F.col("picked")).alias("missing_units"),

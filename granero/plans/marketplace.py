@@ -11,17 +11,14 @@ from granero.functions.dates import as_ts
 from granero.functions.keys import PIECE_UNITS, WEIGHT_UNITS, normal_unit
 from granero.functions.numbers import ratio
 from granero.operators.ranking import first_per_key
-from granero.plans.promotions import OFFER_MECHANICS, OFFER_NAMES, live_promotions
+from granero.plans.promotions import OFFERED, Eligibility, live_promotions
 
 # Fixed value: store-numbered promotion names (L0xx, L1 to L999).
-STORE_NAMED = "L(0[0-9]{2}|[1-9][0-9]{0,2})"
 
 
-def best_simple_promotion(promotions: DataFrame, day) -> DataFrame:
+def best_simple_promotion(promotions: DataFrame, day, rules: Eligibility = OFFERED) -> DataFrame:
     """Lowest price per SKU among live percentage and fixed-price promotions of the main channel."""
-    live = live_promotions(promotions, day, OFFER_MECHANICS, OFFER_NAMES, types=(1, 4)).where(
-        (F.col("channel") == "10") & ~F.col("name").rlike(STORE_NAMED)
-    )
+    live = live_promotions(promotions, day, rules)
     return live.groupBy("sku").agg(F.min("promo_price").alias("promo_price"))
 
 

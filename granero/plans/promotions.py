@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,16 @@ SUMMARY_MECHANICS = (124, 36, 67, 72, 99, 84, 37, 51, 93, 53, 96, 77, 59, 50)
 DENSITY_MECHANICS = (36, 99, 84, 12, 37, 51, 93, 53, 96, 77, 59)
 OFFER_MECHANICS = (25, 27, 36, 37, 50, 51, 53, 67, 72, 77, 93, 99, 123, 124)
 SUPPLY_MECHANICS = (12, 22, 25, 27, 36, 50, 67, 72, 84, 99, 37, 51, 53, 59, 77, 82, 93, 96, 123)
-# Name patterns that mark local, bank or clearance promotions.
-LOCAL_NAMES = ("%MFC%", "%917%", "% LOC%")
-OFFER_NAMES = ("%MFC%", "%BANCO%", "%TERCERA%", "%917%", "%ESTADO%", "% LOC%", "%LIQ%", "%CYBER%", "%REGIO%")
+# Name patterns of promotions each report leaves out, because they are local, a bank's or a clearance.
+LIST_NAMES = ("%MFC%", "%BANCO ESTADO%", "%UNIPAY%", "%917%", "% LOC%")
+LIMIT_NAMES = ("%MFC%", "%S06%", "%NO ELIMINAR%", "%UNIPAY%", "%917%", "%0743%", "% LOC%", "%L65%", "%L0089%")
+SALES_NAMES = ("%MFC%", "%BANCO%", "%UNIPAY%", "%TERCERA%", "%917%", "%ESTADO%", "% LOC%", "%LIQ%")
+OFFER_NAMES = ("%ZONA%", *SALES_NAMES, "%CYBER%")
+MARKET_NAMES = (*OFFER_NAMES, "%REGIO%")
+# Fixed value: a store's number in a promotion's name.
+STORE_NAMED = "L(0[0-9]{2}|[1-9][0-9]{0,2})"
+# The sales organisation and distribution channel of the shops.
+ORGANISATION, CHANNEL = "1000", "10"
 # Codes by mechanic, in the order they are tried around the name and event rules.
 CODES_FIRST = {13: "C003", 10: "C004", 9: "C005", 30: "C008", 12: "C011", 8: "C015", 114: "C015", 117: "C015",
                43: "C017", 11: "C018"}
@@ -53,17 +61,62 @@ def _any_like(text: Column, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.like(p) for p in patterns], F.lit(False))
 
 
-def live_promotions(
-    promotions: DataFrame, day, mechanics: Sequence[int] = (), names: Sequence[str] = (),
-    types: Sequence[int] | None = None, ahead: int = 0, behind: int = 0,
-) -> DataFrame:
-    """Promotions running on ``day``, also those starting ``ahead`` or ended ``behind`` days of it."""
+@dataclass(frozen=True)
+class Eligibility:
+    """Which promotions a report takes: what it leaves out, and what a promotion must have.
+
+    ``names`` are case-sensitive patterns, ``names_any_case`` are not, ``name_pattern`` is a regular expression.
+    ``promotions`` are single promotion numbers, a matter of the shop.
+    """
+
+    mechanics: tuple[int, ...] = ()
+    names: tuple[str, ...] = ()
+    names_any_case: tuple[str, ...] = ()
+    name_pattern: str | None = None
+    promotions: tuple[int, ...] = ()
+    types: tuple[int, ...] | None = None
+    not_types: tuple[int, ...] = ()
+    organisation: str | None = None
+    channel: str | None = None
+    valid: bool = False
+
+
+def eligible(promotions: DataFrame, rules: Eligibility) -> DataFrame:
+    name = F.col("name")
+    out = promotions.where(~F.col("mechanic").isin(*rules.mechanics) & ~_any_like(name, rules.names))
+    out = out.where(~reduce(lambda a, b: a | b, [name.ilike(p) for p in rules.names_any_case], F.lit(False)))
+    if rules.name_pattern is not None:
+        out = out.where(~name.rlike(rules.name_pattern))
+    if rules.promotions:
+        out = out.where(~F.col("n_promo").isin(*rules.promotions))
+    if rules.types is not None:
+        out = out.where(F.col("type").isin(*rules.types))
+    if rules.not_types:
+        out = out.where(~F.col("type").isin(*rules.not_types))
+    if rules.organisation is not None:
+        out = out.where(F.col("organisation") == rules.organisation)
+    if rules.channel is not None:
+        out = out.where(F.col("channel") == rules.channel)
+    return out.where("valid") if rules.valid else out
+
+
+def live_promotions(promotions: DataFrame, day, rules: Eligibility = Eligibility(), ahead: int = 0, behind: int = 0) -> DataFrame:
+    """Eligible promotions running on ``day``, also those starting ``ahead`` or ended ``behind`` days of it."""
     day = as_date(day)
-    kept = promotions.where(
-        (F.col("start_day") <= F.date_add(day, ahead)) & (F.col("end_day") >= F.date_sub(day, behind))
-        & ~F.col("mechanic").isin(*mechanics) & ~_any_like(F.col("name"), names)
-    )
-    return kept.where(F.col("type").isin(*types)) if types else kept
+    running = promotions.where((F.col("start_day") <= F.date_add(day, ahead)) & (F.col("end_day") >= F.date_sub(day, behind)))
+    return eligible(running, rules)
+
+
+LISTED = Eligibility(LIST_MECHANICS, LIST_NAMES, not_types=(3,))
+LIMITED = Eligibility(LIST_MECHANICS, LIMIT_NAMES, not_types=(3,))
+SOLD = Eligibility(OFFER_MECHANICS, SALES_NAMES, types=(PERCENT, FIXED), organisation=ORGANISATION, channel=CHANNEL, valid=True)
+OFFERED = Eligibility(
+    OFFER_MECHANICS, OFFER_NAMES, ("%REGIO%",), STORE_NAMED, types=(PERCENT, FIXED), organisation=ORGANISATION, channel=CHANNEL, valid=True
+)
+MARKETED = Eligibility(
+    (*OFFER_MECHANICS, 84), names_any_case=MARKET_NAMES, types=(PERCENT, PAY_FEWER, FIXED, BUNDLE), organisation=ORGANISATION,
+    channel=CHANNEL, valid=True,
+)
 
 
 def short_name(name: Column) -> Column:
@@ -106,7 +159,7 @@ def promotion_list(promotions: DataFrame, assortment: DataFrame, day) -> DataFra
         .when(F.col("type").isin(PERCENT, PAY_FEWER, SECOND_UNIT), "0")
         .when(F.col("type") == BUNDLE, F.col("promo_price").cast("string")).otherwise("err")
     )
-    live = live_promotions(promotions, day, LIST_MECHANICS, LOCAL_NAMES, ahead=1).where(F.col("type") != 3)
+    live = live_promotions(promotions, day, LISTED, ahead=1)
     listed = live.withColumn("uom", normal_unit(F.col("uom"))).join(assortment, "sku", "left_semi")
     return listed.withColumns({"identifier": identifier(), "mechanic_kind": mechanic_kind(), "price": price}).distinct()
 
@@ -132,7 +185,7 @@ def promotion_summary(promotions: DataFrame, assortment: DataFrame, stores: Data
         assortment.join(stores.where("status = 1"), "store_id", "left_semi")
         .groupBy("sku").agg(F.count_distinct("store_id").alias("stores"))
     )
-    live = live_promotions(promotions, day, SUMMARY_MECHANICS, names, ahead=8)
+    live = live_promotions(promotions, day, Eligibility(SUMMARY_MECHANICS, tuple(names)), ahead=8)
     kept = live.where("modal_price > 0 AND promo_price IS NOT NULL AND type <> 3").join(offered, "sku").distinct()
     counted = group_count(kept, ["n_promo"], F.col("web_id"), "web_ids")
     kind, qty_n, brand = F.col("type"), F.col("qty_n").cast("string"), F.col("brand")
@@ -179,9 +232,9 @@ def date_changes(versions: DataFrame, organisations: Sequence[str]) -> DataFrame
     return pairs.where(F.col("current") & changed & F.col("organisation").isin(*organisations)).drop("current", "organisation")
 
 
-def purchase_limits(promotions: DataFrame, excluded: DataFrame, day, names: Sequence[str] = LOCAL_NAMES) -> DataFrame:
+def purchase_limits(promotions: DataFrame, excluded: DataFrame, day, rules: Eligibility = LIMITED) -> DataFrame:
     """Limit code per SKU from its longest-running deep promotion; expired promotions lift the limit."""
-    live = live_promotions(promotions, day, LIST_MECHANICS, names, ahead=1, behind=1).where(F.col("type") != 3)
+    live = live_promotions(promotions, day, rules, ahead=1, behind=1)
     off = F.abs(F.col("promo_price") - F.col("modal_price"))
     deep = live.where(F.col("event").isin(*LIMIT_EVENTS) | (off >= 5000) | (F.col("pct") >= 25)).withColumn("off", off)
     longest = latest_per_key(deep.join(excluded, "sku", "left_anti"), ["sku"], "end_day", "n_promo")
@@ -249,13 +302,10 @@ def cheapest_per_store(promotions: DataFrame, keys: Sequence[str] = ("sku", "sto
     return first_per_key(promotions, list(keys), [F.col("promo_price").asc(), F.col("n_promo").asc()])
 
 
-def promotional_sales(promotions: DataFrame, sales: DataFrame, day, days: int = 30) -> DataFrame:
+def promotional_sales(promotions: DataFrame, sales: DataFrame, day, days: int = 30, rules: Eligibility = SOLD) -> DataFrame:
     """Units sold per SKU-store inside each finished promotion window, rounded up per window and added up."""
     day = as_date(day)
-    finished = promotions.where(
-        (F.col("end_day") <= day) & (F.col("start_day") >= F.date_sub(day, days)) & F.col("type").isin(PERCENT, FIXED)
-        & ~F.col("mechanic").isin(*OFFER_MECHANICS)
-    )
+    finished = eligible(promotions.where((F.col("end_day") <= day) & (F.col("start_day") >= F.date_sub(day, days))), rules)
     windows = finished.select("sku", "start_day", "end_day").distinct()
     hits = validity_join(sales.where("units >= 0"), windows, ["sku"], "day", "start_day", "end_day")
     per_window = hits.groupBy("sku", "store_id", "start_day", "end_day").agg(F.ceil(F.sum("units")).alias("units"))
@@ -285,12 +335,17 @@ def membership_change(promotions: DataFrame, today, yesterday, pattern: str = "%
     return both.select("sku", F.when(F.col("_now"), "today").otherwise("dropped").alias("status"))
 
 
-def marketplace_promotions(promotions: DataFrame, stores: DataFrame, day, max_units: int = 10) -> DataFrame:
-    """Live promotions per marketplace store with pack label, cheapest per SKU.
+def marketplace_promotions(
+    promotions: DataFrame, listed: DataFrame, products: DataFrame, day, hidden: Sequence[str] = (), max_units: int = 10,
+    rules: Eligibility = MARKETED,
+) -> DataFrame:
+    """Live promotions with pack label for each marketplace store that lists the SKU, cheapest per SKU.
 
-    The cheapest promotion is chosen before the stores are joined: it does not depend on the store.
+    The cheapest promotion is chosen before the stores are joined: it does not depend on the store. Products of
+    ``hidden`` categories are left out, products without a category stay.
     """
-    live = live_promotions(promotions, day, OFFER_MECHANICS + (84,), OFFER_NAMES, types=(PERCENT, PAY_FEWER, FIXED, BUNDLE))
+    shown = products.where(F.col("category").isin(*hidden)).select("sku")
+    live = live_promotions(promotions, day, rules).join(shown, "sku", "left_anti")
     best = first_per_key(
         live.where(F.col("qty_n") < max_units), ["sku"], [F.col("promo_price").asc(), F.col("n_promo").asc()]
     )
@@ -300,13 +355,12 @@ def marketplace_promotions(promotions: DataFrame, stores: DataFrame, day, max_un
         .when(F.col("type") == BUNDLE, F.concat("qty_n", F.lit("x"))).otherwise("null")
     )
     named = best.withColumns({"kind": kind, "combination": label, "uom": normal_unit(F.col("uom"))})
-    served = stores.agg(F.collect_set("store_id")).scalar()  # the marketplace's stores, a few hundred at most
-    return named.withColumn("store_id", F.explode(served))
+    return named.join(listed.select("sku", "store_id").distinct(), "sku")
 
 
 def fixed_price_removals(promotions: DataFrame, published: DataFrame, day) -> DataFrame:
     """Published SKUs of live single-price promotions, with the price table the promotion named."""
-    live = live_promotions(promotions, day, types=(FIXED,)).where(F.col("channel").isin("10", "70"))
+    live = live_promotions(promotions, day, Eligibility(types=(FIXED,))).where(F.col("channel").isin("10", "70"))
     rows = live.select(
         "sku", normal_unit(F.col("uom")).alias("uom"), F.translate("name", " ,.", "").alias("price_table")
     ).distinct()

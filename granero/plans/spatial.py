@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +42,23 @@ def assign_district(points: DataFrame, polygons: DataFrame, cell: float, key: st
     return first.select(key, F.col("_first.polygon").alias("polygon"))
 
 
-def zone_history(history: DataFrame, current: DataFrame, day) -> DataFrame:
+def zone_history(history: DataFrame, current: DataFrame, day, tracked: Sequence[str] = ("ring",)) -> DataFrame:
     """Merge the day's zones into their history.
 
-    ``updated`` moves only when ring or activity changed; the deletion date clears when a zone is active,
-    otherwise sticks, and a zone missing from the day becomes inactive as of the day before.
+    ``updated`` moves only when a ``tracked`` attribute (ring, carrier, shipping method, delivery channel) or the
+    activity changed; the deletion date clears when a zone is active, otherwise sticks, and a zone missing from the
+    day becomes inactive as of the day before.
     """
     day = as_date(day)
     today = current.groupBy("polygon").agg(
-        F.max("ring").alias("_ring"), F.bool_or("active").alias("_active"), F.lit(True).alias("_seen")
+        *[F.max(c).alias(f"_{c}") for c in tracked], F.bool_or("active").alias("_active"), F.lit(True).alias("_seen")
     )
     joined = history.withColumn("_known", F.lit(True)).join(today, "polygon", "full")
     seen, known = F.col("_seen").isNotNull(), F.col("_known").isNotNull()
-    changed = ~F.col("ring").eqNullSafe(F.col("_ring")) | ~F.col("active").eqNullSafe(F.col("_active"))
+    changed = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*tracked, "active")])
     live = F.coalesce("active", F.lit(False)) | F.col("deleted").isNull()
     return joined.select(
-        "polygon", F.when(seen, F.col("_ring")).otherwise(F.col("ring")).alias("ring"),
+        "polygon", *[F.when(seen, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in tracked],
         F.when(seen, F.col("_active")).when(live, F.lit(False)).otherwise(F.col("active")).alias("active"),
         F.when(seen, F.least("created", day)).otherwise(F.col("created")).alias("created"),
         F.when(seen & ~known, day).when(seen & changed, F.greatest("updated", day)).otherwise(F.col("updated")).alias("updated"),

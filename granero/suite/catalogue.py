@@ -144,14 +144,14 @@ def _(assortment, lines, baskets):
 
 
 @query("d37_detect_changes", "assortment skus", """
-WITH c AS (SELECT sku, MAX(stock) AS s, bool_or(blocked_format IS NOT NULL) AS m FROM assortment WHERE listed AND NOT excluded AND store_id < 8 GROUP BY 1),
+WITH c AS (SELECT sku, MAX(stock) AS s, bool_or(blocked_format IS NOT NULL) AS m FROM assortment WHERE listed AND NOT excluded AND stock % 40 < 4 GROUP BY 1),
 v AS (SELECT sku, size AS stock, category <> 'SMALL' AS active, size > 40 AS not_found FROM skus WHERE brand <> 'Brand#5'),
 j AS (SELECT coalesce(c.sku, v.sku) AS sku, c.sku IS NOT NULL AS listed, c.s, c.m, v.stock, v.active, v.not_found FROM c FULL JOIN v ON c.sku = v.sku)
 SELECT sku, CASE WHEN stock IS NULL THEN 'new' WHEN listed AND active AND (s <> stock OR m <> not_found) THEN 'changed'
   WHEN NOT listed AND active THEN 'deactivated' WHEN listed AND NOT active THEN 'reactivated' END AS change, listed AS active, coalesce(s, 0) AS stock, coalesce(m, false) AS not_found FROM j
 WHERE stock IS NULL OR (listed AND active AND (s <> stock OR m <> not_found)) OR (NOT listed AND active) OR (listed AND NOT active)""")
 def _(assortment, skus):
-    listed = assortment.where("listed AND NOT excluded AND store_id < 8").select(
+    listed = assortment.where("listed AND NOT excluded AND stock % 40 < 4").select(
         "sku", "stock", F.col("blocked_format").isNotNull().alias("not_found")
     )
     image = skus.where("brand <> 'Brand#5'").select(

@@ -54,8 +54,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 # Promotions cover every product: dates, mechanics and prices follow from its number and size.
 feed("promos", ["part"], """
 SELECT p_partkey * 100 + p_size AS n_promo, p_partkey AS sku,
+       CASE CAST((CASE WHEN p_partkey % 4 = 3 THEN floor(p_partkey / 4) END) AS INT) % 20 WHEN 0 THEN 'Semana ZONA' WHEN 1 THEN 'plan zona'
+            WHEN 2 THEN 'BANCO x' WHEN 3 THEN 'UNIPAY ya' WHEN 4 THEN 'TERCERA edad' WHEN 5 THEN 'Cod 917' WHEN 6 THEN 'BANCO ESTADO'
+            WHEN 7 THEN 'LIQ total' WHEN 8 THEN 'Regional' WHEN 9 THEN 'Ruta S06' WHEN 10 THEN 'NO ELIMINAR' WHEN 11 THEN 'Cod 0743'
+            WHEN 12 THEN 'Solo L65' WHEN 13 THEN 'Solo L0089' WHEN 14 THEN 'Solo L012' ELSE
        CASE CAST(p_partkey % 6 AS INT) WHEN 0 THEN 'CYBER 30% despacho' WHEN 1 THEN 'Oferta-semana LOC'
-            WHEN 2 THEN 'Especial MFC' WHEN 3 THEN 'Lleva 3 (regular)' ELSE 'Precio bajo!' END AS name,
+            WHEN 2 THEN 'Especial MFC' WHEN 3 THEN 'Lleva 3 (regular)' ELSE 'Precio bajo!' END END AS name,
+       p_partkey % 7 <> 0 AS valid, CASE WHEN p_partkey % 11 = 0 THEN '2000' ELSE '1000' END AS organisation,
        CAST(p_size AS INT) AS mechanic,
        CASE CAST(p_partkey % 5 AS INT) WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 WHEN 3 THEN 7 ELSE 8 END AS type,
        400 + CAST(p_partkey % 10 AS INT) AS event, p_brand AS brand,

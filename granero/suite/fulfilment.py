@@ -86,14 +86,17 @@ def _(sales, baskets, lines, weights, skus, dispatches, changes):
     )
 
 
-@query("d09_stockout_ranking", "lines baskets", """
+@query("d09_stockout_ranking", "lines baskets stores", """
 WITH t AS (SELECT b.store_id, sku, SUM(asked - picked)::BIGINT AS missing_units, count(DISTINCT order_id) AS affected_orders
-  FROM lines JOIN baskets b USING (order_id) WHERE asked > picked AND b.day >= DATE '1998-06-15' - 15 GROUP BY 1, 2),
+  FROM lines JOIN baskets b USING (order_id) WHERE asked > picked AND b.day + 1 >= DATE '1998-06-15' - 400 AND b.status <> 'P' AND b.store_id IN (SELECT store_id FROM stores WHERE status = 1) GROUP BY 1, 2),
 r AS (SELECT *, dense_rank() OVER (ORDER BY missing_units DESC) AS missing_units_rank, dense_rank() OVER (ORDER BY affected_orders DESC) AS affected_orders_rank FROM t)
 SELECT *, 5 * missing_units_rank + 5 * affected_orders_rank AS score,
  row_number() OVER (PARTITION BY store_id ORDER BY 5 * missing_units_rank + 5 * affected_orders_rank, sku) AS ranking FROM r""")
-def _(lines, baskets):
-    return plan.stockout_ranking(lines, baskets, "1998-06-15")
+def _(lines, baskets, stores):
+    orders = baskets.select(
+        "order_id", "store_id", F.date_add("day", 1).alias("picked_on"), F.when(F.col("status") != "P", F.col("day")).alias("invoiced_on")
+    )
+    return plan.stockout_ranking(lines, orders, stores.withColumn("store_id", F.col("store_id").cast("int")), "1998-06-15", 400)
 
 
 ALERTS = """SELECT item AS sku, id % 100 AS store_id, CAST('1998-01-01' AS TIMESTAMP) + INTERVAL '1' DAY * (id % 300) AS started,

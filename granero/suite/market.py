@@ -14,8 +14,9 @@ SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS sku, l_suppkey AS stor
  CAST(round(l_extendedprice / l_quantity / 10) AS BIGINT) * 10 AS price, CAST(round(l_extendedprice / l_quantity / 10) AS BIGINT) * 10 + 500 AS list_price,
  CAST(l_shipdate AS DATE) AS valid_from, CASE WHEN l_returnflag = 'N' THEN CAST(l_shipdate AS DATE) + 900 END AS valid_to FROM lineitem""")
 
-BEST = """best AS (SELECT sku, MIN(promo_price) AS promo_price FROM promos WHERE DATE '1998-06-20' BETWEEN start_day AND end_day AND type IN (1, 4) AND channel = '10'
- AND mechanic NOT IN (25, 27, 36, 37, 50) AND name NOT LIKE '%MFC%' AND name NOT LIKE '%CYBER%' AND name NOT LIKE '% LOC%' GROUP BY 1)"""
+BEST = """best AS (SELECT sku, MIN(promo_price) AS promo_price FROM promos WHERE DATE '1998-06-20' BETWEEN start_day AND end_day AND type IN (1, 4)
+ AND mechanic NOT IN (25, 27, 36, 37, 50) AND valid AND organisation = '1000' AND channel = '10' AND name NOT LIKE '%ZONA%' AND name NOT LIKE '%MFC%' AND name NOT LIKE '%BANCO%' AND name NOT LIKE '%UNIPAY%' AND name NOT LIKE '%TERCERA%' AND name NOT LIKE '%917%' AND name NOT LIKE '%ESTADO%' AND name NOT LIKE '% LOC%' AND name NOT LIKE '%LIQ%' AND name NOT LIKE '%CYBER%' AND name NOT ILIKE '%REGIO%'
+ AND NOT regexp_matches(name, 'L(0[0-9]{2}|[1-9][0-9]{0,2})') GROUP BY 1)"""
 SHELF = f"""goods AS (SELECT sku, name, nullif(brand, 'Brand#4') AS brand, category, {UOM} AS uom, 1 + size % 5 AS multiplier FROM skus),
 pp AS (SELECT sku, store_id, price FROM assortment),
 active AS (SELECT store_id FROM stores WHERE status = 1),

@@ -343,24 +343,28 @@ query("j19_point_in_polygon", "places nation", f"SELECT n_name AS polygon, count
 
 
 @query("d32_zone_history", "skus", """
-WITH h AS (SELECT sku, name AS ring, size % 3 <> 0 AS active, DATE '1998-01-01' + size AS created, DATE '1998-03-01' + size AS updated, CASE WHEN size % 3 = 0 THEN DATE '1998-04-01' + size WHEN size = 7 THEN DATE '1998-05-01' END AS deleted FROM skus WHERE size < 40),
-t AS (SELECT sku, CASE WHEN size % 7 = 0 THEN upper(name) ELSE name END AS ring, size % 2 = 0 AS active FROM skus WHERE size > 10), j AS (SELECT coalesce(h.sku, t.sku) AS sku, h.sku AS hk, t.sku AS tk, h.*, t.ring AS r2, t.active AS a2 FROM h FULL JOIN t ON h.sku = t.sku)
-SELECT CAST(sku AS VARCHAR) AS polygon, CASE WHEN tk IS NOT NULL THEN r2 ELSE ring END AS ring, CASE WHEN tk IS NOT NULL THEN a2 WHEN active OR deleted IS NULL THEN false ELSE active END AS active,
+WITH h AS (SELECT sku, [size, size * 2, sku] AS ring, brand AS carrier, size % 3 <> 0 AS active, DATE '1998-01-01' + size AS created, DATE '1998-03-01' + size AS updated, CASE WHEN size % 3 = 0 THEN DATE '1998-04-01' + size WHEN size = 7 THEN DATE '1998-05-01' END AS deleted FROM skus WHERE size < 40),
+t AS (SELECT sku, CASE WHEN size % 7 = 0 THEN [size, size * 2, sku, 1] ELSE [size, size * 2, sku] END AS ring, CASE WHEN size % 5 = 0 THEN 'other' ELSE brand END AS carrier, size % 2 = 0 AS active FROM skus WHERE size > 10),
+j AS (SELECT coalesce(h.sku, t.sku) AS sku, h.sku AS hk, t.sku AS tk, h.*, t.ring AS r2, t.carrier AS c2, t.active AS a2 FROM h FULL JOIN t ON h.sku = t.sku)
+SELECT CAST(sku AS VARCHAR) AS polygon, array_to_string(CASE WHEN tk IS NOT NULL THEN r2 ELSE ring END, ',') AS ring, CASE WHEN tk IS NOT NULL THEN c2 ELSE carrier END AS carrier,
+ CASE WHEN tk IS NOT NULL THEN a2 WHEN active OR deleted IS NULL THEN false ELSE active END AS active,
  CAST(CASE WHEN tk IS NOT NULL THEN least(created, DATE '1998-06-15') ELSE created END AS VARCHAR) AS created,
- CAST(CASE WHEN hk IS NULL THEN DATE '1998-06-15' WHEN tk IS NOT NULL AND (ring IS DISTINCT FROM r2 OR active IS DISTINCT FROM a2) THEN greatest(updated, DATE '1998-06-15') ELSE updated END AS VARCHAR) AS updated,
+ CAST(CASE WHEN hk IS NULL THEN DATE '1998-06-15' WHEN tk IS NOT NULL AND (ring IS DISTINCT FROM r2 OR carrier IS DISTINCT FROM c2 OR active IS DISTINCT FROM a2) THEN greatest(updated, DATE '1998-06-15') ELSE updated END AS VARCHAR) AS updated,
  CAST(CASE WHEN tk IS NOT NULL AND a2 THEN NULL WHEN tk IS NOT NULL THEN coalesce(deleted, DATE '1998-06-15') ELSE coalesce(deleted, DATE '1998-06-14') END AS VARCHAR) AS deleted FROM j""")
 def _(skus):
     start = dates.as_date("1998-01-01")
     size = F.col("size")
+    ring = F.array(size.cast("long"), (size * 2).cast("long"), F.col("sku"))
     history = skus.where("size < 40").select(
-        F.col("sku").cast("string").alias("polygon"), F.col("name").alias("ring"), (size % 3 != 0).alias("active"),
+        F.col("sku").cast("string").alias("polygon"), ring.alias("ring"), F.col("brand").alias("carrier"), (size % 3 != 0).alias("active"),
         F.date_add(start, size).alias("created"), F.date_add(F.add_months(start, 2), size).alias("updated"),
         F.when(size % 3 == 0, F.date_add(F.add_months(start, 3), size)).when(size == 7, F.add_months(start, 4)).alias("deleted"),
     )
     today = skus.where("size > 10").select(
-        F.col("sku").cast("string").alias("polygon"), F.when(size % 7 == 0, F.upper("name")).otherwise(F.col("name")).alias("ring"), (size % 2 == 0).alias("active")
+        F.col("sku").cast("string").alias("polygon"), F.when(size % 7 == 0, F.array_append(ring, F.lit(1).cast("long"))).otherwise(ring).alias("ring"),
+        F.when(size % 5 == 0, "other").otherwise(F.col("brand")).alias("carrier"), (size % 2 == 0).alias("active"),
     )
-    return spatial.zone_history(history, today, DAY)
+    return spatial.zone_history(history, today, DAY, ("ring", "carrier")).withColumn("ring", F.array_join(F.col("ring").cast("array<string>"), ","))
 
 
 # ---------------------------------------------------------------- streams

@@ -35,7 +35,7 @@ IDENTIFIER = f"""n_promo || ' ' || regexp_replace(name, '[^a-zA-Z0-9]', '', 'g')
 
 @query("d20_promotion_list", "promos assortment", f"""
 WITH p AS (SELECT * REPLACE ({UOM} AS uom), CASE WHEN qty_m = 1 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS mult FROM promos
-  WHERE {LIVE.format(ahead=1, behind=0)} AND mechanic NOT IN (36, 37) AND name NOT LIKE '%MFC%' AND name NOT LIKE '% LOC%' AND sku IN (SELECT sku FROM assortment WHERE listed))
+  WHERE {LIVE.format(ahead=1, behind=0)} AND mechanic NOT IN (36, 37) AND name NOT LIKE '%MFC%' AND name NOT LIKE '%BANCO ESTADO%' AND name NOT LIKE '%UNIPAY%' AND name NOT LIKE '%917%' AND name NOT LIKE '% LOC%' AND sku IN (SELECT sku FROM assortment WHERE listed))
 SELECT sku, n_promo, {IDENTIFIER} AS identifier, CASE WHEN type IN (1, 4) THEN 'regular' ELSE 'forThePriceOf' END AS mechanic_kind,
  CASE type WHEN 4 THEN CASE WHEN uom IN ('KG', 'KGV') THEN (round(promo_price * mult)::BIGINT)::VARCHAR ELSE 'lista-precio' END WHEN 7 THEN promo_price::VARCHAR ELSE '0' END AS price FROM p""")
 def _(promos, assortment):
@@ -92,7 +92,7 @@ def _(versions):
 
 @query("d24_purchase_limits", "promos skus", f"""
 SELECT sku, n_promo, abs(promo_price - modal_price) AS off, pct, CAST(end_day AS VARCHAR) AS end_day, CASE WHEN end_day < DATE '1998-06-20' THEN 999 ELSE 48 END AS limit_code FROM promos
-WHERE {LIVE.format(ahead=1, behind=1)} AND mechanic NOT IN (36, 37) AND name NOT LIKE '% LOC%' AND name NOT LIKE '%MFC%' AND (event IN (402, 404) OR abs(promo_price - modal_price) >= 5000 OR pct >= 25)
+WHERE {LIVE.format(ahead=1, behind=1)} AND mechanic NOT IN (36, 37) AND name NOT LIKE '%MFC%' AND name NOT LIKE '%S06%' AND name NOT LIKE '%NO ELIMINAR%' AND name NOT LIKE '%UNIPAY%' AND name NOT LIKE '%917%' AND name NOT LIKE '%0743%' AND name NOT LIKE '% LOC%' AND name NOT LIKE '%L65%' AND name NOT LIKE '%L0089%' AND (event IN (402, 404) OR abs(promo_price - modal_price) >= 5000 OR pct >= 25)
  AND sku NOT IN (SELECT sku FROM skus WHERE size = 11)""")
 def _(promos, skus):
     return plan.purchase_limits(promos, skus.where("size = 11"), DAY)
@@ -131,7 +131,7 @@ def _(promos, stores):
 
 
 @query("d35_promotional_sales", "promos sales", """
-WITH w AS (SELECT DISTINCT sku, start_day, end_day FROM promos WHERE end_day <= DATE '1998-07-15' AND start_day >= DATE '1998-07-15' - 60 AND type IN (1, 4) AND mechanic NOT IN (25, 27, 36, 37, 50))
+WITH w AS (SELECT DISTINCT sku, start_day, end_day FROM promos WHERE end_day <= DATE '1998-07-15' AND start_day >= DATE '1998-07-15' - 60 AND type IN (1, 4) AND mechanic NOT IN (25, 27, 36, 37, 50) AND valid AND organisation = '1000' AND channel = '10' AND name NOT LIKE '%MFC%' AND name NOT LIKE '%BANCO%' AND name NOT LIKE '%UNIPAY%' AND name NOT LIKE '%TERCERA%' AND name NOT LIKE '%917%' AND name NOT LIKE '%ESTADO%' AND name NOT LIKE '% LOC%' AND name NOT LIKE '%LIQ%')
 SELECT sku, store_id, SUM(units)::BIGINT AS units FROM w JOIN sales USING (sku) WHERE day BETWEEN start_day AND end_day GROUP BY 1, 2""")
 def _(promos, sales):
     return plan.promotional_sales(promos, sales, "1998-07-15", 60)
@@ -163,12 +163,12 @@ def _(promos):
     return plan.membership_change(promos, DAY, "1998-06-12", "%bajo%")
 
 
-@query("d102_marketplace_promotions", "promos nation", f"""
-SELECT sku, n_nationkey AS store_id, CASE WHEN type IN (1, 4) THEN 'descuento' ELSE 'pack' END AS kind, CASE type WHEN 2 THEN qty_n || 'x' || qty_m WHEN 7 THEN qty_n || 'x' ELSE 'null' END AS combination,
- {UOM} AS uom, promo_price FROM promos, nation WHERE {LIVE.format(ahead=0, behind=0)} AND n_regionkey = 1 AND type <> 8 AND mechanic NOT IN (25, 27, 36, 37, 50) AND name NOT LIKE '%CYBER%' AND name NOT LIKE '%MFC%' AND name NOT LIKE '% LOC%'""")
-def _(promos, nation):
-    served = nation.where("n_regionkey = 1").select(F.col("n_nationkey").alias("store_id"))
-    rows = plan.marketplace_promotions(promos, served, DAY)
+@query("d102_marketplace_promotions", "promos assortment skus", f"""
+SELECT sku, a.store_id, CASE WHEN type IN (1, 4) THEN 'descuento' ELSE 'pack' END AS kind, CASE type WHEN 2 THEN qty_n || 'x' || qty_m WHEN 7 THEN qty_n || 'x' ELSE 'null' END AS combination,
+ {UOM} AS uom, promo_price FROM promos JOIN (SELECT DISTINCT sku, store_id FROM assortment WHERE listed) a USING (sku) WHERE {LIVE.format(ahead=0, behind=0)} AND type <> 8 AND mechanic NOT IN (25, 27, 36, 37, 50) AND valid AND organisation = '1000' AND channel = '10'
+ AND name NOT ILIKE '%ZONA%' AND name NOT ILIKE '%MFC%' AND name NOT ILIKE '%BANCO%' AND name NOT ILIKE '%UNIPAY%' AND name NOT ILIKE '%TERCERA%' AND name NOT ILIKE '%917%' AND name NOT ILIKE '%ESTADO%' AND name NOT ILIKE '% LOC%' AND name NOT ILIKE '%LIQ%' AND name NOT ILIKE '%CYBER%' AND name NOT ILIKE '%REGIO%' AND sku NOT IN (SELECT sku FROM skus WHERE category = 'SMALL')""")
+def _(promos, assortment, skus):
+    rows = plan.marketplace_promotions(promos, assortment.where("listed"), skus, DAY, ("SMALL",))
     return rows.select("sku", "store_id", "kind", "combination", "uom", "promo_price")
 
 

@@ -513,11 +513,13 @@ def _(sales):
     return ranking.first_per_key(sales, ["sku", "store_id"], order).select("sku", "store_id", "order_id")
 
 
-@query("o01_sort_null_order", "skus", "SELECT sku, nullif(size, 5) AS size FROM skus")
+@query("o01_sort_null_order", "skus", """
+SELECT sku, nullif(size, 5) AS size, row_number() OVER (ORDER BY (brand = 'Brand#9') DESC, nullif(size, 5) DESC NULLS FIRST, sku) AS place FROM skus""")
 def _(skus):
+    """The place of each row in the sorted output, from the order in which its partitions hold the rows."""
     shown = skus.select("sku", F.expr("nullif(size, 5)").alias("size"), "brand")
     order = [(F.col("brand") == "Brand#9").desc(), F.col("size").desc_nulls_first(), F.col("sku").asc_nulls_last()]
-    return shown.orderBy(*order).drop("brand")
+    return ranking.positions(shown, order, "place").drop("brand")
 
 
 @query("o02_top_k", "sales", """
