@@ -69,8 +69,8 @@ def picking_costs(base: DataFrame, tariffs: DataFrame, forecast: DataFrame) -> D
 def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, tariffs: DataFrame, day) -> DataFrame:
     """Missing amount to the guaranteed minimum: headcount x rate x factor minus the billed cost, at least 0.
 
-    Shared carriers add up per store, unshared ones per carrier; staffed groups without orders get the whole
-    minimum.
+    Shared carriers add up per store, unshared ones per carrier and headcount; staffed groups without orders get
+    the whole minimum of the tariff that is valid on the day.
     """
     day = as_date(day)
     group = ["delivery_day", "store_id", "model", "operator"]
@@ -78,8 +78,9 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
     rates = factors.select("operator", "model", "pay", "guarantee_factor", "from_day", "to_day")
 
     # One pass: unshared carriers keep their own group, shared ones fall together.
-    own = F.when(F.col("shared") == 0, F.col("carrier"))
-    totals = today.groupBy(*group, "guarantee", "shared", own.alias("_own")).agg(
+    alone = F.col("shared") == 0
+    own, crew = F.when(alone, F.col("carrier")), F.when(alone, F.col("headcount"))
+    totals = today.groupBy(*group, "guarantee", "shared", own.alias("_own"), crew.alias("_crew")).agg(
         F.sum("cost").alias("_cost"), F.min("headcount").alias("headcount"), packed_list(F.col("carrier"), ", ").alias("_list")
     )
     rated = validity_join(totals, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
@@ -97,7 +98,8 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
         F.max("shared").alias("_shared"), packed_list(F.col("carrier"), ", ").alias("_list"),
         F.max("carrier").alias("carrier"), F.min("headcount").alias("headcount"),
     )
-    priced = idle.join(tariffs.select("carrier", "guarantee"), "carrier", "left")
+    dated = tariffs.select("carrier", "guarantee", F.col("from_day").alias("_from"), F.col("to_day").alias("_to"))
+    priced = validity_join(idle, dated, ["carrier"], "delivery_day", "_from", "_to", "left")
     rated = validity_join(priced, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
     minimum = F.col("headcount") * F.coalesce("guarantee", F.lit(0)) * F.coalesce("guarantee_factor", F.lit(1))
     empty = rated.select(

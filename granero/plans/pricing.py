@@ -42,17 +42,18 @@ def spread_reference_prices(
     return targets.join(best, "sku")
 
 
-def price_profiles(prices: DataFrame, reference_store: int) -> DataFrame:
-    """Winning tiers per SKU and whether all stores share one profile.
+def price_profiles(prices: DataFrame, stores: DataFrame, reference_store: int) -> DataFrame:
+    """Winning tiers per SKU over active stores, and whether all of them share one profile.
 
     The reference store wins where it has prices; elsewhere the store with most tiers, then the highest base
     price. Profiles compare as sorted tier text. Only the newest price of a tier counts, so a list has one
     entry per quantity step however many prices a store has sent.
     """
     newest = [F.col("valid_from").desc(), F.col("id").desc(), F.col("price").asc()]
-    prices = first_per_key(prices, ["sku", "store_id", "min_qty"], newest)
+    active = prices.join(stores.where("status = 1").select("store_id"), "store_id", "left_semi")
+    prices = first_per_key(active, ["sku", "store_id", "min_qty"], newest)
     tier = F.concat_ws("-", "min_qty", "price", "list_price")
-    tiers = F.array_sort(F.collect_set(F.struct("min_qty", "price", "list_price")))
+    tiers = F.array_sort(F.collect_set(F.struct("min_qty", "price", "list_price", "valid_from", "valid_to")))
     per_store = prices.groupBy("sku", "store_id").agg(
         F.array_join(F.array_sort(F.collect_set(tier)), "|").alias("profile"), tiers.alias("tiers"),
         F.count("*").alias("n"), F.max(F.when(F.col("min_qty") == 1, F.col("price"))).alias("base"),
@@ -64,12 +65,19 @@ def price_profiles(prices: DataFrame, reference_store: int) -> DataFrame:
     winner = first_per_key(per_store.drop("profile"), ["sku"], order)
     same = per_store.groupBy("sku").agg((F.count_distinct("profile") == 1).alias("uniform"))
     steps = F.filter("tiers", lambda t: t["min_qty"] > 1)
-    record = F.transform(steps, lambda t: F.struct(
-        t["price"].cast("string").alias("precio"), t["min_qty"].cast("string").alias("cantidad")
-    ))
+    def level(tier: Column, place: Column) -> Column:
+        body = F.struct(
+            F.coalesce(tier["price"], F.lit(0)).cast("string").alias("precio"), tier["min_qty"].cast("string").alias("cantidad")
+        )
+        return F.concat(F.lit('"nivel'), place + 1, F.lit('":'), F.to_json(body))
+
+    first = F.element_at("tiers", 1)
+    dates = F.struct(first["valid_from"].cast("string").alias("fechaInicio"), first["valid_to"].cast("string").alias("fechaTermino"))
+    opened = F.rtrim(F.to_json(dates, {"ignoreNullFields": "false"}), F.lit("}"))
+    scale = F.concat(F.lit('{"escalas":['), opened, F.lit(","), F.array_join(F.transform(steps, level), ","), F.lit("}]}"))
     return winner.join(same, "sku").select(
-        "sku", "store_id", "uniform", F.element_at("tiers", 1)["list_price"].alias("list_price"),
-        F.when(F.size(steps) > 0, F.to_json(record)).alias("scale"),
+        "sku", "store_id", "uniform", F.coalesce(first["list_price"], F.lit(0)).alias("list_price"),
+        F.when(F.size(steps) > 0, scale).alias("scale"),
     )
 
 

@@ -184,7 +184,7 @@ def _(baskets, dispatches, carriers, changes, factors, staffed):
 @query("d17_guarantee_topup", BASE_FEEDS + " staffed", f"""
 WITH {COSTS}, t AS (SELECT * REPLACE (DATE '1998-06-15' AS delivery_day) FROM costs), r AS (SELECT * FROM factors WHERE operator <> 'default' AND DATE '1998-06-15' BETWEEN from_day AND coalesce(to_day, DATE '9999-12-31')),
 s1 AS (SELECT store_id, model, operator, guarantee, SUM(cost) AS c, MIN(headcount) AS h, string_agg(DISTINCT carrier::VARCHAR, ', ' ORDER BY carrier::VARCHAR) AS l FROM t WHERE shared = 1 GROUP BY 1, 2, 3, 4),
-s2 AS (SELECT store_id, model, operator, guarantee, carrier, SUM(cost) AS c, MIN(headcount) AS h FROM t WHERE shared = 0 GROUP BY 1, 2, 3, 4, 5),
+s2 AS (SELECT store_id, model, operator, guarantee, carrier, headcount AS h, SUM(cost) AS c FROM t WHERE shared = 0 GROUP BY 1, 2, 3, 4, 5, 6),
 s3 AS (SELECT store_id, model, operator, MAX(shared) AS sh, string_agg(DISTINCT carrier::VARCHAR, ', ' ORDER BY carrier::VARCHAR) AS l, MAX(carrier) AS carrier, MIN(headcount) AS h FROM staffed f WHERE headcount > 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.store_id = f.store_id AND t.model = f.model AND t.operator = f.operator) GROUP BY 1, 2, 3)
 SELECT s1.store_id, s1.model, s1.operator, NULL::VARCHAR AS carrier, l AS carriers, c * coalesce(pay, 1) AS paid, h * guarantee * coalesce(guarantee_factor, 1) AS minimum, greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0) AS topup, 'duplicado' AS source FROM s1 LEFT JOIN r ON r.operator = s1.operator AND r.model = s1.model
 UNION ALL SELECT s2.store_id, s2.model, s2.operator, carrier::VARCHAR, NULL, c * coalesce(pay, 1), h * guarantee * coalesce(guarantee_factor, 1), greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0), 'no_duplicado' FROM s2 LEFT JOIN r ON r.operator = s2.operator AND r.model = s2.model
@@ -192,7 +192,9 @@ UNION ALL SELECT s3.store_id, s3.model, s3.operator, CASE WHEN sh <> 1 THEN s3.c
 def _(baskets, dispatches, carriers, changes, factors, staffed):
     costs = _costs(baskets, dispatches, carriers, changes, factors, staffed).withColumn("delivery_day", F.lit(DAY).cast("date"))
     plans = staffed.withColumn("day", F.lit(DAY).cast("date"))
-    rows = logistics.guarantee_topup(costs, factors.where("operator <> 'default'"), plans, _tariffs(carriers), DAY)
+    tariffs = _tariffs(carriers).selectExpr("carrier", "guarantee", "DATE'1994-01-01' AS from_day", "CAST(NULL AS DATE) AS to_day")
+    expired = carriers.selectExpr("carrier", "guarantee + 5 AS guarantee", "DATE'1990-01-01' AS from_day", "DATE'1993-12-31' AS to_day")
+    rows = logistics.guarantee_topup(costs, factors.where("operator <> 'default'"), plans, tariffs.unionByName(expired), DAY)
     return rows.drop("delivery_day")
 
 

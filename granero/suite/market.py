@@ -183,15 +183,17 @@ def _(prices, assortment):
     return pricing.spread_reference_prices(prices, regular, (1, 2, 3, 4), (7, 8)).select("id", "sku", "store_id", "new_price")
 
 
-@query("d64_price_profiles", "prices", f"""
-WITH {VALID.replace("v AS", "u AS")}, v AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY sku, store_id, min_qty ORDER BY valid_from DESC, id DESC, price) = 1), t AS (SELECT sku, store_id, string_agg(DISTINCT min_qty || '-' || price || '-' || list_price, '|' ORDER BY min_qty || '-' || price || '-' || list_price) AS profile, count(*) AS n, MAX(CASE WHEN min_qty = 1 THEN price END) AS base FROM v GROUP BY 1, 2),
+@query("d64_price_profiles", "prices stores", f"""
+WITH {VALID.replace("v AS", "u AS")}, v AS (SELECT * FROM u WHERE store_id IN (SELECT store_id FROM stores WHERE status = 1) QUALIFY row_number() OVER (PARTITION BY sku, store_id, min_qty ORDER BY valid_from DESC, id DESC, price) = 1), t AS (SELECT sku, store_id, string_agg(DISTINCT min_qty || '-' || price || '-' || list_price, '|' ORDER BY min_qty || '-' || price || '-' || list_price) AS profile, count(*) AS n, MAX(CASE WHEN min_qty = 1 THEN price END) AS base FROM v GROUP BY 1, 2),
 w AS (SELECT sku, store_id FROM t QUALIFY row_number() OVER (PARTITION BY sku ORDER BY (store_id = 4) DESC, n DESC, coalesce(base, 0) DESC, store_id) = 1),
-d AS (SELECT DISTINCT sku, store_id, min_qty, price, list_price FROM v),
-k AS (SELECT w.sku, w.store_id, arg_min(list_price, (min_qty, price, list_price)) AS list_price, '[' || string_agg(CASE WHEN min_qty > 1 THEN '{{"precio":"' || price || '","cantidad":"' || min_qty || '"}}' END, ',' ORDER BY min_qty, price, list_price) || ']' AS scale
-  FROM w JOIN d USING (sku, store_id) GROUP BY 1, 2)
+d AS (SELECT *, row_number() OVER (PARTITION BY sku, store_id ORDER BY min_qty) - 1 AS level FROM v), f AS (SELECT sku, store_id, MIN(min_qty) AS least FROM d GROUP BY 1, 2),
+k AS (SELECT w.sku, w.store_id, arg_min(list_price, min_qty) AS list_price,
+  '{{"escalas":[{{"fechaInicio":"' || arg_min(valid_from::VARCHAR, min_qty) || '","fechaTermino":' || CASE WHEN arg_min(coalesce(valid_to::VARCHAR, ''), min_qty) = '' THEN 'null' ELSE '"' || arg_min(coalesce(valid_to::VARCHAR, ''), min_qty) || '"' END || ',' ||
+   string_agg(CASE WHEN min_qty > 1 THEN '"nivel' || (level + CASE WHEN least > 1 THEN 1 ELSE 0 END) || '":{{"precio":"' || price || '","cantidad":"' || min_qty || '"}}' END, ',' ORDER BY min_qty) || '}}]}}' AS scale
+  FROM w JOIN d USING (sku, store_id) JOIN f USING (sku, store_id) GROUP BY 1, 2)
 SELECT k.*, (SELECT count(DISTINCT profile) = 1 FROM t WHERE t.sku = k.sku) AS uniform FROM k""")
-def _(prices):
-    return pricing.price_profiles(pricing.valid_prices(prices, DAY), 4)
+def _(prices, stores):
+    return pricing.price_profiles(pricing.valid_prices(prices, DAY), stores, 4)
 
 
 @query("d65_price_tiers", "promos", """
