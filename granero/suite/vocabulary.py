@@ -416,9 +416,9 @@ def _(sales):
 
 
 @query("a15_ordered_list", "lines", """
-SELECT order_id, string_agg(line_no || ':' || sku, '|' ORDER BY line_no) AS items FROM lines GROUP BY 1""")
+SELECT order_id, string_agg(line_no || ':' || sku, '|' ORDER BY line_no, line_no || ':' || sku) AS items FROM lines GROUP BY 1""")
 def _(lines):
-    # Line numbers are unique within an order and few, so the list is bounded.
+    # Orders have few lines, so the list is bounded.
     listed = F.array_sort(F.collect_list(F.struct("line_no", F.concat("line_no", F.lit(":"), "sku").alias("item"))))
     return lines.groupBy("order_id").agg(F.array_join(F.transform(listed, lambda e: e["item"]), "|").alias("items"))
 
@@ -802,7 +802,7 @@ def _(moves):
 
 
 @query("f16_json_build", "lines", """
-SELECT order_id, '[' || string_agg('{"line":' || line_no || ',"sku":' || sku || '}', ',' ORDER BY line_no) || ']' AS doc FROM lines GROUP BY 1""")
+SELECT order_id, '[' || string_agg('{"line":' || line_no || ',"sku":' || sku || '}', ',' ORDER BY line_no, sku) || ']' AS doc FROM lines GROUP BY 1""")
 def _(lines):
     rows = F.array_sort(F.collect_list(F.struct(F.col("line_no").alias("line"), "sku")))
     return lines.groupBy("order_id").agg(F.to_json(rows).alias("doc"))

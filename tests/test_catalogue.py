@@ -98,13 +98,33 @@ def test_feed_activity_against_safety_stock(spark):
 
 
 def test_uniform_price_profiles_and_winning_store(spark):
-    schema = "id long, sku long, store_id long, min_qty int, price long, list_price long, valid_from date"
-    day = F.lit("2024-01-01").cast("date")
+    schema = "id long, sku long, store_id long, min_qty int, price long, list_price long"
     prices = spark.createDataFrame([
-        (1, 1, 9, 1, 100, 110, None), (2, 1, 9, 6, 90, 110, None), (3, 1, 5, 1, 100, 110, None), (4, 1, 5, 6, 90, 110, None),
-        (5, 2, 5, 1, 70, 80, None), (6, 2, 6, 1, 75, 80, None), (7, 2, 6, 3, 60, 80, None),
-    ], schema).withColumn("valid_from", day)
-    got = pricing.price_profiles(prices, 9)
+        (1, 1, 9, 1, 100, 110), (2, 1, 9, 6, 90, 110), (3, 1, 5, 1, 100, 110), (4, 1, 5, 6, 90, 110),
+        (5, 2, 5, 1, 70, 80), (6, 2, 6, 1, 75, 80), (7, 2, 6, 3, None, 80), (8, 2, 6, 6, 50, 80), (9, 1, 4, 1, 1, 2),
+    ], schema).withColumns({"valid_from": F.lit("2024-01-01").cast("date"), "valid_to": F.lit(None).cast("date")})
+    stores = spark.createDataFrame([(4, 0), (5, 1), (6, 1), (9, 1)], "store_id long, status int")
+    got = pricing.price_profiles(prices, stores, 9)
+    start = '{"escalas":[{"fechaInicio":"2024-01-01","fechaTermino":null,"nivel1":'
     assert rows(got, "sku", "store_id", "uniform", "scale") == {
-        (1, 9, True, '[{"precio":"90","cantidad":"6"}]'), (2, 6, False, '[{"precio":"60","cantidad":"3"}]'),
+        (1, 9, True, start + '{"precio":"90","cantidad":"6"}}]}'),
+        (2, 6, False, start + '{"precio":"0","cantidad":"3"},"nivel2":{"precio":"50","cantidad":"6"}}]}'),
     }
+
+
+def test_each_promotion_rule_removes_rows_alone(spark):
+    from dataclasses import replace
+
+    from granero.plans import promotions
+
+    base = dict(mechanic=1, name="Oferta", type=1, organisation="1000", channel="10", valid=True, n_promo=1)
+    odd = [
+        {"mechanic": 25}, {"name": "BANCO x"}, {"name": "regional"}, {"name": "Solo L012"}, {"type": 3}, {"organisation": "2000"}, {"channel": "70"},
+        {"valid": False}, {"n_promo": 7}, {"name": "banco x"},
+    ]
+    rows_in = [(k, *{**base, **change}.values()) for k, change in enumerate([*odd, {}])]
+    df = spark.createDataFrame(rows_in, "k long, mechanic int, name string, type int, organisation string, channel string, valid boolean, n_promo long")
+    rules = replace(promotions.OFFERED, promotions=(7,))
+    assert [r.k for r in promotions.eligible(df, rules).orderBy("k").collect()] == [9, 10]
+    assert [r.k for r in promotions.eligible(df, replace(rules, names_any_case=promotions.MARKET_NAMES)).collect()] == [10]
+    assert promotions.eligible(df, promotions.Eligibility()).count() == len(rows_in)

@@ -12,7 +12,7 @@ def connection(folder):
 
 
 # Queries whose result is legitimately empty on the smallest tables.
-MAY_BE_EMPTY = {"d109_returnable_residual", "d25_other_store_offers", "d25_other_parent_child_offers", "d68_profit_and_loss", "d90_audits", "d92_inventory_movements",
+MAY_BE_EMPTY = {"d109_returnable_residual", "d25_other_store_offers", "d25_other_parent_child_offers", "d68_profit_and_loss", "d90_audits", "d92_inventory_movements", "d35_promotional_sales",
                 "d97_upcoming_floor_items"}
 
 
