@@ -419,6 +419,46 @@ def _(moves):
     return streaming.recent_keys(moves, ["item"])
 
 
+@query("t03_recent_keys_stream", "moves folder", """
+WITH w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE * (k + 1) AS as_of, item FROM moves, range(8) g(k))
+SELECT strftime(as_of, '%Y-%m-%d %H:%M:%S') AS as_of, item, count(*) AS changes FROM w WHERE as_of <= (SELECT MAX(ts) - INTERVAL 2 HOUR FROM moves) GROUP BY ALL""")
+def _(moves, folder):
+    """The lookback from a running stream: append mode emits the spans that the watermark has closed."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+    feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"]).select("ts", F.col("user_id").alias("item"))
+    streaming.run_available(streaming.recent_keys(feed_, ["item"]), f"{work}/checkpoint", path=f"{work}/spans", partitions=spark.sparkContext.defaultParallelism)
+    return spark.read.schema("as_of TIMESTAMP, item LONG, changes LONG").parquet(f"{work}/spans")
+
+
+@query("t04_latest_states_stream", "moves folder", "SELECT item, id, kind FROM moves QUALIFY row_number() OVER (PARTITION BY item ORDER BY id DESC) = 1")
+def _(moves, folder):
+    """Latest states from a running stream: each micro-batch keeps its newest change, the log keeps the newest of all."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+    feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
+    shaped = feed_.select(F.col("user_id").alias("item"), F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    log = streaming.version_log(f"{work}/table", "events", "kind")
+    sink = lambda batch, batch_id: log(streaming.latest_states(batch, "item", "id"), batch_id)
+    streaming.run_available(shaped, f"{work}/checkpoint", sink=sink)
+    return streaming.merged_rows(spark, f"{work}/table", shaped.schema, ["item"], ["id"])
+
+
+@query("t05_late_and_repeated_stream", "moves folder", "SELECT kind, count(*) AS movements, SUM(amount)::BIGINT AS amount FROM moves GROUP BY 1")
+def _(moves, folder):
+    """Two running feeds of the same movements: each id is counted once."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+
+    def feed_():
+        rows = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
+        return rows.select(
+            F.col("event_id").alias("id"), "ts", F.col("event_type").alias("kind"), F.round(F.col("value") * 100).cast("long").alias("amount")
+        )
+
+    once = streaming.unique_movements(feed_().unionByName(feed_()))
+    streaming.run_available(once, f"{work}/checkpoint", path=f"{work}/rows", partitions=spark.sparkContext.defaultParallelism)
+    rows = spark.read.schema("id LONG, ts TIMESTAMP, kind STRING, amount LONG").parquet(f"{work}/rows")
+    return rows.groupBy("kind").agg(F.count("*").alias("movements"), F.sum("amount").alias("amount"))
+
+
 @query("t04_latest_states", "moves", "SELECT item, id, kind FROM moves QUALIFY row_number() OVER (PARTITION BY item ORDER BY id DESC) = 1")
 def _(moves):
     return streaming.latest_states(moves.select("item", "id", "kind"), "item", "id")
