@@ -232,14 +232,14 @@ def slotting_master(
     assortment: DataFrame, places: DataFrame, ranking: DataFrame, base: DataFrame, totes: DataFrame,
     inventory: DataFrame, promoted: DataFrame, restricted: DataFrame,
 ) -> DataFrame:
-    """Slotting attributes per SKU: weekday sales, tote equivalents, area stock, size flags and targets.
+    """Slotting attributes per SKU and store: weekday sales, tote equivalents, area stock, size flags and targets.
 
-    ``base`` is the regular-sales base without deep promotions; ``totes`` has one row per stored load unit
-    with its share (1, 1/2, 1/4 or 1/8 of a tote).
+    ``base`` is the regular-sales base without deep promotions; sales averages and ranking are the store's own.
+    ``totes`` has one row per stored load unit with its share (1, 1/2, 1/4 or 1/8 of a tote).
     """
-    daily = base.where("NOT deep AND discount < 0.3").groupBy("sku", "day").agg(F.sum("units").alias("units"))
+    daily = base.where("NOT deep AND discount < 0.3").groupBy(*PAIR, "day").agg(F.sum("units").alias("units"))
     dow = sunday_zero(F.col("day"))
-    week = daily.groupBy("sku").agg(
+    week = daily.groupBy(*PAIR).agg(
         *[F.round(F.avg(F.when(dow == i, F.col("units"))), 2).alias(d) for i, d in enumerate(WEEKDAYS)],
         F.count("units").alias("sale_days"),
     )
@@ -251,8 +251,8 @@ def slotting_master(
     volume, case = F.col("length") * F.col("height") * F.col("width"), F.col("case_quantity")
     weekly = F.round(total, 2)
     joined = (
-        assortment.select("sku", "uom").distinct().join(places, "sku", "left")
-        .join(ranking.select("sku", "ranking"), "sku", "left").join(week, "sku", "left").join(stored, "sku", "left")
+        assortment.select(*PAIR, "uom").distinct().join(week, PAIR, "left").join(ranking.select(*PAIR, "ranking"), PAIR, "left")
+        .join(places, "sku", "left").join(stored, "sku", "left")
         .join(area_stock(inventory), "sku", "left")
         .join(promoted.select("sku").distinct().withColumn("_promo", F.lit(True)), "sku", "left")
         .join(restricted.select("sku").distinct().withColumn("_held", F.lit(True)), "sku", "left")

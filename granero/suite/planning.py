@@ -164,13 +164,13 @@ def _(sales, promos, inventory):
 
 
 @query("d45_slotting_master", "assortment skus sales inventory promos", f"""
-WITH {AREAS}, a AS (SELECT DISTINCT sku, CASE unit WHEN 'ST' THEN 'UN' WHEN 'CS' THEN 'CJ' ELSE unit END AS uom FROM assortment JOIN skus USING (sku)),
-dd AS (SELECT sku, day, SUM(units)::BIGINT AS u FROM sales WHERE pct < 8 AND flag <> 'R' GROUP BY 1, 2), w AS (SELECT sku, """ + ", ".join(
-    f"round(AVG(CASE WHEN dayofweek(day) = {i} THEN u END), 2) AS d{i}" for i in range(7)) + """, count(*) AS sale_days FROM dd GROUP BY 1),
+WITH {AREAS}, a AS (SELECT DISTINCT sku, store_id, CASE unit WHEN 'ST' THEN 'UN' WHEN 'CS' THEN 'CJ' ELSE unit END AS uom FROM assortment JOIN skus USING (sku)),
+dd AS (SELECT sku, store_id, day, SUM(units)::BIGINT AS u FROM sales WHERE pct < 8 AND flag <> 'R' GROUP BY 1, 2, 3), w AS (SELECT sku, store_id, """ + ", ".join(
+    f"round(AVG(CASE WHEN dayofweek(day) = {i} THEN u END), 2) AS d{i}" for i in range(7)) + """, count(*) AS sale_days FROM dd GROUP BY 1, 2),
 t AS (SELECT sku, CAST(SUM(share) AS DOUBLE) AS tote_equivalents, SUM(stock)::BIGINT AS stored_units, count(unit) AS places, count(DISTINCT unit) AS load_units FROM inventory GROUP BY 1),
 j AS (SELECT a.*, s.size, round(d0 + d1 + d2 + d3 + d4 + d5 + d6, 2) AS wk, round((d0 + d1 + d2 + d3 + d4 + d5 + d6) / 7, 2) AS mean_sale, sale_days, tote_equivalents, stored_units, places, load_units, stock_manual, stock_osr,
-  s.sku % 70 AS len, s.size * 2 AS wid, 30 AS hei FROM a JOIN skus s USING (sku) LEFT JOIN w USING (sku) LEFT JOIN t USING (sku) LEFT JOIN ar USING (sku))
-SELECT sku, CAST(len * wid * hei AS BIGINT) AS volume, CASE WHEN len > 55.5 THEN 'No conveyable 1' WHEN wid > 35.6 THEN 'No conveyable 2' ELSE 'conveyable' END AS conveyable, len * wid * hei / 100000 > 0.073 AS bulky, uom IN ('KG', 'KGV') AS weighable,
+  s.sku % 70 AS len, s.size * 2 AS wid, 30 AS hei FROM a JOIN skus s USING (sku) LEFT JOIN w USING (sku, store_id) LEFT JOIN t USING (sku) LEFT JOIN ar USING (sku))
+SELECT sku, store_id, CAST(len * wid * hei AS BIGINT) AS volume, CASE WHEN len > 55.5 THEN 'No conveyable 1' WHEN wid > 35.6 THEN 'No conveyable 2' ELSE 'conveyable' END AS conveyable, len * wid * hei / 100000 > 0.073 AS bulky, uom IN ('KG', 'KGV') AS weighable,
  CAST(CASE WHEN size % 2 = 0 THEN size ELSE size * 1000 END AS BIGINT) AS grams, sku IN (SELECT sku FROM promos WHERE type = 7) AS promoted, size > 40 AS restricted, coalesce(size * 0.7::DOUBLE * mean_sale >= (1 + size % 12) * 0.9::DOUBLE, false) AS waste_safe,
  mean_sale, sale_days, tote_equivalents, stored_units, places, load_units, stock_manual + stock_osr AS stock_total, wk AS target, CAST(ceil(wk / (1 + size % 12)) * (1 + size % 12) AS BIGINT) AS target_cases FROM j""")
 def _(assortment, skus, sales, inventory, promos):
@@ -179,14 +179,14 @@ def _(assortment, skus, sales, inventory, promos):
         "sku", "sku % 70 AS length", "size * 2 AS width", "30 AS height", "1 + size % 12 AS case_quantity", "size AS shelf_life",
         "CASE WHEN size % 2 = 0 THEN 'G' ELSE 'KG' END AS weight_unit", "CAST(size AS BIGINT) AS weight",
     )
-    base = sales.select("sku", "day", "units", (F.col("flag") == "R").alias("deep"), F.when(F.col("pct") < 8, 0.1).otherwise(0.3).alias("discount"))
+    base = sales.select("sku", "store_id", "day", "units", (F.col("flag") == "R").alias("deep"), F.when(F.col("pct") < 8, 0.1).otherwise(0.3).alias("discount"))
     totes = inventory.select("sku", "share", F.col("stock").alias("quantity"), "unit")
-    ranking = skus.select("sku", F.col("size").alias("ranking"))
+    ranking = assortment.select("sku", "store_id", (F.col("stock") % 9).alias("ranking"))
     rows = plan.slotting_master(
         units, places, ranking, base, totes, inventory, promos.where("type = 7"), skus.where("size > 40")
     )
     return rows.select(
-        "sku", F.col("volume").cast("long").alias("volume"), "conveyable", "bulky", "weighable", F.col("grams").cast("long").alias("grams"),
+        "sku", "store_id", F.col("volume").cast("long").alias("volume"), "conveyable", "bulky", "weighable", F.col("grams").cast("long").alias("grams"),
         "promoted", "restricted", "waste_safe", "mean_sale", "sale_days", "tote_equivalents", "stored_units", "places", "load_units",
         "stock_total", "target", F.col("target_cases").cast("long").alias("target_cases"),
     )
