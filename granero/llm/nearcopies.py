@@ -6,8 +6,7 @@ Bands of ``rows`` values make candidates; links are confirmed on the full shingl
 
 Documents with equal shingle sets are one *node* from the start, so copies never meet in pairs. Within a bucket
 of nodes that share a band, every node is compared with one centre; what is linked is contracted into one
-component, and only buckets that still hold several components go on, with twice as many centres in each round
-until every two nodes of a bucket were compared or lie in one component. A group of near copies therefore costs
+component, and only buckets that still hold several components go on, with more centres in each round until every two nodes of a bucket were compared or lie in one component. A group of near copies therefore costs
 about one comparison a node, yet no pair of candidates is left out.
 
 Defined results: words are what stands between ASCII white space, A-Z in lower case. A text with fewer words
@@ -26,11 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.llm import components
-from granero.llm.scratch import Scratch
+from granero.llm.scratch import FEW_ROWS, Scratch
 from granero.llm.texts import mixed, shingle_hashes, slices, word_hashes
 
-ROWS, BANDS = 5, 32  # two documents of similarity 0.85 share no band with a chance of 7e-9, of 0.8 with 3e-6
-ESTIMATE_SLACK = 0.16  # five standard deviations of the estimate from 160 values
+ROWS, BANDS = 6, 40  # two documents of similarity 0.85 share no band with a chance of 6e-9, of 0.8 with 5e-6
+ESTIMATE_SLACK = 0.15  # more than five standard deviations of the estimate from 240 values
+CENTRE_GROWTH = 8  # centres of a bucket in each round, times those of the round before
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -119,9 +119,18 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_
     return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, members binary")
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def _with_both(pairs: DataFrame, values: DataFrame, names: list[str], few: bool) -> DataFrame:
+    """Pairs with ``names`` of both nodes, as ``<name>_a`` and ``<name>_b``; few pairs go to the values, not these to them."""
+    one = values.toDF("a", *(f"{name}_a" for name in names))
+    two = values.toDF("b", *(f"{name}_b" for name in names))
+    if few:
+        return one.join(F.broadcast(pairs), "a").join(two.join(F.broadcast(pairs), "b"), ["a", "b"])
+    # Centres are few and stand on side a, so values travel once for each pair of side b only.
+    return pairs.join(two, "b").join(one, "a")
+
+
+def _estimated(pairs: DataFrame, nodes: DataFrame, least: float, few: bool) -> DataFrame:
     """Pairs whose estimated similarity is high enough to be worth a comparison of the full sets."""
-    marks = nodes.select("node", "n_shingles", "marks")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +138,13 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
                 one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("marks_a", "marks_b"))
                 yield batch.select(["a", "b"]).filter(pa.array((one == two).mean(axis=1) >= least))
 
-    first = pairs.join(marks.toDF("a", "n_a", "marks_a"), "a")
-    both = first.join(marks.toDF("b", "n_b", "marks_b"), "b")
+    both = _with_both(pairs, nodes.select("node", "n_shingles", "marks"), ["n", "marks"], few)
     # Sets whose sizes differ by more than the similarity allows need no comparison.
     sized = both.where(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b"))
     return sized.select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, few: bool) -> DataFrame:
     """Pairs whose full sets have at least ``percent`` of their union in common."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +157,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * common >= percent * (len(merged) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    # Centres are few and stand on side a, so sets travel once for each pair of side b only.
-    joined = pairs.join(sets.toDF("b", "members_b"), "b").join(sets.toDF("a", "members_a"), "a")
+    joined = _with_both(pairs, sets, ["members"], few)
     return joined.select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
 
 
@@ -158,8 +165,8 @@ def _label(scratch: Scratch, docs: DataFrame, nodes: DataFrame, shingle: int, pe
     """(node, comp) of all nodes that share a band with another one."""
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-    members = scratch.save(keyed.join(shared.select("key"), "key").select("key", "node", F.col("node").alias("comp")))
-    labels = scratch.save(members.select("node").distinct().select("node", F.col("node").alias("comp")))
+    members = scratch.save(keyed.join(shared.select("key"), "key").select("key", "node", F.col("node").alias("comp")), narrow=True)
+    labels = scratch.save(members.select("node").distinct().select("node", F.col("node").alias("comp")), narrow=True)
     busy = nodes.join(labels.select("node"), "node", "left_semi")
     sets = scratch.save(_sets_of(docs, busy, shingle, id_col, text_col))
     busy = scratch.save(busy.select("node", "n_shingles", "marks"))
@@ -168,19 +175,21 @@ def _label(scratch: Scratch, docs: DataFrame, nodes: DataFrame, shingle: int, pe
         part = F.pmod(F.xxhash64("node", F.lit(centres_per_key)), F.lit(centres_per_key))
         centres = scratch.save(
             members.groupBy("key", part.alias("part")).agg(F.min(F.struct("node", "comp")).alias("c"))
-            .select("key", F.col("c.node").alias("a"), F.col("c.comp").alias("comp_a"))
+            .select("key", F.col("c.node").alias("a"), F.col("c.comp").alias("comp_a")),
+            narrow=True,
         )
         met = members.join(centres, "key").where("comp <> comp_a")
-        pairs = met.select("a", F.col("node").alias("b")).distinct()
-        links = scratch.save(_confirmed(_estimated(pairs, busy, percent / 100 - ESTIMATE_SLACK), sets, percent))
+        pairs = scratch.save(met.select("a", F.col("node").alias("b")).distinct(), narrow=True)
+        close = scratch.save(_estimated(pairs, busy, percent / 100 - ESTIMATE_SLACK, scratch.is_few(pairs)), narrow=True)
+        links = scratch.save(_confirmed(close, sets, percent, scratch.is_few(close)), narrow=True)
         named = links.join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
         labels = components.merge(scratch, labels, named.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
         rest = members.drop("comp").join(centres.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").join(labels, "node")
         open_keys = rest.groupBy("key").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
-        later = scratch.save(rest.join(open_keys.select("key"), "key").select("key", "node", "comp"))
-        for old in (members, centres, links):
+        later = scratch.save(rest.join(open_keys.select("key"), "key").select("key", "node", "comp"), narrow=True)
+        for old in (members, centres, pairs, close, links):
             scratch.drop(old)
-        members, centres_per_key = later, 2 * centres_per_key
+        members, centres_per_key = later, CENTRE_GROWTH * centres_per_key
     for old in (members, sets, busy):
         scratch.drop(old)
     return labels
@@ -188,13 +197,14 @@ def _label(scratch: Scratch, docs: DataFrame, nodes: DataFrame, shingle: int, pe
 
 def near_copies(
     docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text",
+    few_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: (doc_id, r1, r2, n_shingles, component_id, keeper).
 
     ``component_id`` is the smallest id of the component. ``keeper`` marks the row that represents it: the one
     with the smallest id, ties by the hash of id and text (``r1``, ``r2``), rows equal in both alike.
     """
-    scratch = Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, few_rows)
     signed = scratch.save(sign(docs, shingle, rows, bands, id_col, text_col))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r1", "r2")).alias("best")
     groups = signed.where("n_shingles > 0").groupBy("d1", "d2").agg(

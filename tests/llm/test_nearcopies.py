@@ -65,8 +65,8 @@ def family(rng, base, copies, edits):
         yield " ".join(changed)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_families_with_chains_and_hubs(spark, seed):
+@pytest.mark.parametrize("seed,few_rows", [(1, 0), (2, 100_000)])
+def test_families_with_chains_and_hubs(spark, seed, few_rows):
     """Copies around the threshold: many pairs of a family are linked through others only."""
     rng = random.Random(seed)
     texts = [t for edits in (1, 4, 6) for t in family(rng, sentence(rng, 140), 60, edits)]
@@ -80,7 +80,7 @@ def test_families_with_chains_and_hubs(spark, seed):
     rng.shuffle(ids)
     rows = list(zip(ids, texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert found(nearcopies.near_copies(docs, 3, 85)) == brute(rows, 3, 85)
+    assert found(nearcopies.near_copies(docs, 3, 85, few_rows=few_rows)) == brute(rows, 3, 85)
 
 
 def test_whole_table(spark, folder):
@@ -112,8 +112,9 @@ def test_estimates_are_unbiased():
 @pytest.mark.parametrize("links", [
     [(1, 2), (2, 3), (3, 4), (4, 5)], [(9, k) for k in range(1, 9)], [(k, k + 1) for k in range(1, 40)], [(5, 1), (5, 2), (7, 2), (7, 3), (8, 9)], [],
 ])
-def test_components(spark, links):
-    scratch = Scratch(spark)
+@pytest.mark.parametrize("few_rows", [0, 1000])
+def test_components(spark, links, few_rows):
+    scratch = Scratch(spark, few_rows)
     nodes = sorted({n for pair in links for n in pair} | {100})
     labels = scratch.save(spark.createDataFrame([(n, n) for n in nodes], "node long, comp long"))
     merged = components.merge(scratch, labels, spark.createDataFrame(links, "a long, b long"))
