@@ -110,6 +110,37 @@ def build_tickets(tickets: DataFrame, fields: dict[str, int]) -> DataFrame:
     )
 
 
+def _labelled(rows: DataFrame, field: Column, code: Column, options: DataFrame, name: str) -> DataFrame:
+    """Add ``name``: the label of a field's code, NULL where the field has no such option."""
+    keyed = rows.withColumns({"_f": field.cast("long"), "_c": code})
+    labels = options.select(F.col("field_id").cast("long").alias("_f"), F.col("code").alias("_c"), F.col("label").alias(name))
+    return keyed.join(labels, ["_f", "_c"], "left").drop("_f", "_c")
+
+
+def ticket_taxonomy(tickets: DataFrame, motive_field: int, options: DataFrame, children: DataFrame, levels: int = 3) -> DataFrame:
+    """Motive and types of each ticket as labels: a motive's code names the field that holds type 1, and so on down.
+
+    ``options`` has (field_id, code, label), ``children`` (field_id, code, child_field): the landed field definitions.
+    """
+    rows = tickets.select(F.col("id").alias("ticket"), "custom_fields").withColumns(
+        {"_field": F.lit(motive_field).cast("long"), "_code": _field(motive_field)}
+    )
+    names = ["motive", *(f"type_{k}" for k in range(1, levels + 1))]
+    links = children.select(F.col("field_id").cast("long").alias("_field"), F.col("code").alias("_code"), F.col("child_field").cast("long").alias("_child"))
+    for name in names:
+        rows = _labelled(rows, F.col("_field"), F.col("_code"), options, name)
+        rows = rows.join(links, ["_field", "_code"], "left").withColumn("_field", F.col("_child")).drop("_child")
+        held = F.filter("custom_fields", lambda f: f["id"].cast("long") == F.col("_field"))
+        rows = rows.withColumn("_code", F.try_element_at(F.transform(held, lambda f: f["value"]), F.lit(1)))
+    return rows.select("ticket", *names)
+
+
+def requester_roles(tickets: DataFrame, users: DataFrame) -> DataFrame:
+    """Role of the requester, looked up for closed and solved tickets only."""
+    asked = tickets.select(F.col("id").alias("ticket"), F.when(F.col("status").isin(*CLOSING), F.col("requester_id")).alias("user_id"))
+    return asked.join(users.select("user_id", "role"), "user_id", "left").select("ticket", "role")
+
+
 def normalise_payments(documents: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Payments with numeric order numbers, typed columns, and NULL for columns a feed does not have."""
     numeric = documents.where(F.col("order_number").rlike("^[0-9]+$"))

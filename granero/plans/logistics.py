@@ -138,9 +138,11 @@ def billing_month(day: Column) -> Column:
     return F.date_format(F.when(F.dayofmonth(day) <= 25, day).otherwise(F.add_months(F.trunc(day, "month"), 1)), "yyyyMM").cast("int")
 
 
-def logistics_cost(trips: DataFrame, tariffs: DataFrame) -> DataFrame:
+def logistics_cost(trips: DataFrame, tariffs: DataFrame, attendance: DataFrame) -> DataFrame:
     """Store-day logistics cost from per-order tariffs.
 
+    Months after the last one with tariffs take that month's. ``attendance`` has the hours of a shopper, day and
+    store; pickers by the hour cost the longest of them, else the store's mean hours. Costs that are NULL add 0.
     Distance is the real one, else the geodesic one scaled by the store's ratio of real to geodesic distance,
     else geodesic. Shoppers are topped up to the guarantee; the coordinator is split over days and shoppers.
     """
@@ -155,8 +157,11 @@ def logistics_cost(trips: DataFrame, tariffs: DataFrame) -> DataFrame:
     ratios = known.select("store_id", scale.alias("_ratio"))
     scaled = F.col("geo_km") * F.col("_ratio")
     km = F.when(F.col("real_km") > 0, F.col("real_km")).when(F.col("real_km").isNull() & (scaled > 0), scaled).otherwise(F.col("geo_km"))
+    last = tariffs.agg(F.max("month")).scalar()
+    rates = tariffs.withColumnRenamed("month", "_rated")
     priced = (
-        rows.join(ratios, "store_id", "left").withColumn("km", km).join(tariffs, ["store_id", "month"], "left")
+        rows.join(ratios, "store_id", "left").withColumn("km", km).withColumn("_rated", F.least("month", last))
+        .join(rates, ["store_id", "_rated"], "left")
         .withColumns({
             "picking": F.when(F.col("per_unit") > 0, F.col("units") * F.col("per_unit")).otherwise(F.col("products") * F.col("per_sku")),
             "delivery": F.when(F.col("truck") > 0, F.col("truck")).otherwise(F.col("per_km") * F.col("km") * F.when(F.col("one_way"), 0.5).otherwise(1.0)),
@@ -165,15 +170,20 @@ def logistics_cost(trips: DataFrame, tariffs: DataFrame) -> DataFrame:
     )
     shopper = priced.groupBy("day", "store_id", "month", "shopper").agg(
         F.sum("order_cost").alias("shoppers"), F.sum("truck").alias("trucks"), F.max("guarantee").alias("_guarantee"),
-        F.max("coordinator").alias("_coordinator"),
+        F.max("coordinator").alias("_coordinator"), F.max("picker_rate").alias("_rate"),
     )
+    present = attendance.groupBy("day", "store_id", "shopper").agg(F.max("hours").alias("_hours"))
+    shopper = shopper.join(present, ["day", "store_id", "shopper"], "left")
+    usual = shopper.groupBy("store_id").agg(F.avg("_hours").alias("_usual"))
+    shopper = shopper.join(usual, "store_id", "left").withColumn("_picker", F.coalesce("_hours", "_usual") * F.col("_rate"))
     topup = F.greatest(F.col("_guarantee") - F.col("shoppers"), F.lit(0.0))
     days = F.dayofmonth(F.last_day(F.add_months(F.to_date(F.col("month").cast("string"), "yyyyMM"), -1)))
     per_day = shopper.groupBy("day", "store_id").agg(
         F.sum("shoppers").alias("shoppers"), F.sum(topup).alias("guarantee"), F.sum("trucks").alias("trucks"),
-        F.max(F.col("_coordinator") / days).alias("coordinator"),
+        F.sum("_picker").alias("pickers"), F.max(F.col("_coordinator") / days).alias("coordinator"),
     )
-    return per_day.withColumn("total", sum((F.col(c) for c in ("guarantee", "trucks", "coordinator")), F.col("shoppers")))
+    parts = ("shoppers", "guarantee", "trucks", "pickers", "coordinator")
+    return per_day.withColumn("total", sum((F.coalesce(c, F.lit(0)) for c in parts), F.lit(0)))
 
 
 def order_trips(

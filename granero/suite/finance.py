@@ -225,17 +225,20 @@ GEO = "2 * 2 * 6371.0088::DOUBLE * asin(sqrt(pow(sin(radians(lat - store_lat) /
 WITH g AS (SELECT *, {GEO} AS raw, CASE WHEN day(day) <= 25 THEN year(day) * 100 + month(day) ELSE year(day + INTERVAL 6 DAY) * 100 + month((date_trunc('month', day) + INTERVAL 1 MONTH)::DATE) END AS mth FROM trips),
 r AS (SELECT *, round(CASE WHEN raw > 80 THEN 81 ELSE raw END, 6) AS geo FROM g), k AS (SELECT store_id, SUM(real_km) AS a, SUM(geo) AS b FROM r WHERE real_km IS NOT NULL GROUP BY 1), q AS (SELECT store_id, CASE WHEN a / b > 1 THEN a / b ELSE (SELECT SUM(a) / SUM(b) FROM k WHERE a > 0) END AS ra FROM k),
 d AS (SELECT r.*, CASE WHEN real_km > 0 THEN real_km WHEN real_km IS NULL AND geo * ra > 0 THEN geo * ra ELSE geo END AS km, CASE WHEN store_id % 4 = 0 THEN 2500 ELSE 0 END AS truck, CASE WHEN store_id % 2 = 0 THEN units * 20 ELSE products * 50 END AS picking, CASE WHEN store_id % 3 = 0 THEN 0.5 ELSE 1 END AS way FROM r LEFT JOIN q USING (store_id)),
-o AS (SELECT *, 1000 + picking + CASE WHEN truck > 0 THEN truck ELSE 90 * km * way END - truck AS cost FROM d), s AS (SELECT day, store_id, mth, shopper, SUM(cost) AS shoppers, SUM(truck)::BIGINT AS trucks FROM o GROUP BY 1, 2, 3, 4),
-z AS (SELECT *, day(last_day((make_date((mth // 100)::BIGINT, (mth % 100)::BIGINT, 1) - INTERVAL 1 MONTH)::DATE)) AS dm FROM s)
-SELECT CAST(day AS VARCHAR) AS day, store_id, round(SUM(shoppers), 6) AS shoppers, round(SUM(greatest(9000 - shoppers, 0)), 6) AS guarantee, SUM(trucks)::BIGINT AS trucks, MAX(60000 / dm) AS coordinator, round(SUM(shoppers) + SUM(greatest(9000 - shoppers, 0)) + SUM(trucks) + MAX(60000 / dm), 6) AS total FROM z GROUP BY 1, 2""")
+o AS (SELECT *, CASE WHEN mth >= 199806 THEN 1007 ELSE 1000 END + picking + CASE WHEN truck > 0 THEN truck ELSE 90 * km * way END - truck AS cost FROM d), s AS (SELECT day, store_id, mth, shopper, SUM(cost) AS shoppers, SUM(truck)::BIGINT AS trucks FROM o GROUP BY 1, 2, 3, 4),
+z0 AS (SELECT s.*, day(last_day((make_date((mth // 100)::BIGINT, (mth % 100)::BIGINT, 1) - INTERVAL 1 MONTH)::DATE)) AS dm, h.hours FROM s LEFT JOIN (SELECT day, store_id, shopper, MAX(units % 9) AS hours FROM trips WHERE shopper % 3 <> 0 GROUP BY 1, 2, 3) h USING (day, store_id, shopper)),
+z AS (SELECT z0.*, coalesce(hours, AVG(hours) OVER (PARTITION BY store_id)) * 11 AS picker FROM z0)
+SELECT CAST(day AS VARCHAR) AS day, store_id, round(SUM(shoppers), 6) AS shoppers, round(SUM(greatest(9000 - shoppers, 0)), 6) AS guarantee, SUM(trucks)::BIGINT AS trucks, round(SUM(picker), 6) AS pickers, MAX(60000 / dm) AS coordinator, round(SUM(shoppers) + SUM(greatest(9000 - shoppers, 0)) + SUM(trucks) + coalesce(SUM(picker), 0) + MAX(60000 / dm), 6) AS total FROM z GROUP BY 1, 2""")
 def _(trips):
-    months = trips.select("store_id", logistics.billing_month(F.col("day")).alias("month")).distinct()
+    months = trips.select("store_id", logistics.billing_month(F.col("day")).alias("month")).where("month < 199806").distinct()
+    months = months.unionByName(trips.select("store_id", F.lit(199806).alias("month")).distinct())
     tariffs = months.selectExpr(
-        "store_id", "month", "1000 AS base", "CASE WHEN store_id % 2 = 0 THEN 20 ELSE 0 END AS per_unit", "50 AS per_sku", "90 AS per_km",
+        "store_id", "month", "CASE WHEN month = 199806 THEN 1007 ELSE 1000 END AS base", "11 AS picker_rate", "CASE WHEN store_id % 2 = 0 THEN 20 ELSE 0 END AS per_unit", "50 AS per_sku", "90 AS per_km",
         "store_id % 3 = 0 AS one_way", "CASE WHEN store_id % 4 = 0 THEN 2500 ELSE 0 END AS truck", "9000 AS guarantee", "60000 AS coordinator",
     )
-    rows = logistics.logistics_cost(trips, tariffs)
-    rounded = {c: F.round(c, 6) for c in ("shoppers", "guarantee", "total")}
+    attendance = trips.where("shopper % 3 <> 0").select("day", "store_id", "shopper", (F.col("units") % 9).alias("hours"))
+    rows = logistics.logistics_cost(trips, tariffs, attendance)
+    rounded = {c: F.round(c, 6) for c in ("shoppers", "guarantee", "pickers", "total")}
     return rows.withColumns(rounded)
 
 

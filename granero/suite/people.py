@@ -186,6 +186,33 @@ def _(baskets):
     return intake.build_tickets(tickets, {"reason": 11, "order_number": 12}).drop("created_at", "updated_at", "closed_at")
 
 
+@query("d55_ticket_taxonomy", "baskets nation", """
+WITH t AS (SELECT order_id AS ticket, 'm' || order_id % 7 AS m, 'a' || order_id % 5 AS a, 'b' || order_id % 3 AS b, order_id % 7 AS k FROM baskets)
+SELECT ticket, CASE WHEN k < 6 THEN 'Motive ' || k END AS motive, CASE WHEN k < 4 THEN 'First ' || ticket % 5 END AS type_1, CASE WHEN k < 4 AND ticket % 5 < 3 THEN 'Second ' || ticket % 3 END AS type_2, NULL::VARCHAR AS type_3 FROM t""")
+def _(baskets, nation):
+    """Motives m0 to m5 have labels, m0 to m3 a field for type 1; of its codes a0 to a2 have a field for type 2."""
+    code = F.col("order_id")
+    fields = [(1, F.concat(F.lit("m"), code % 7)), (2, F.concat(F.lit("a"), code % 5)), (3, F.concat(F.lit("b"), code % 3))]
+    tickets = baskets.select(
+        F.col("order_id").alias("id"), F.array(*[F.struct(F.lit(k).alias("id"), value.alias("value")) for k, value in fields]).alias("custom_fields")
+    )
+    key = F.col("n_nationkey")
+    options = nation.where("n_nationkey < 6").select(F.lit(1).alias("field_id"), F.concat(F.lit("m"), key).alias("code"), F.concat(F.lit("Motive "), key).alias("label"))
+    for field, letter, word, n in ((2, "a", "First ", 5), (3, "b", "Second ", 3)):
+        options = options.unionByName(nation.where(key < n).select(F.lit(field).alias("field_id"), F.concat(F.lit(letter), key).alias("code"), F.concat(F.lit(word), key).alias("label")))
+    children = nation.where("n_nationkey < 4").select(F.lit(1).alias("field_id"), F.concat(F.lit("m"), key).alias("code"), F.lit(2).alias("child_field"))
+    children = children.unionByName(nation.where("n_nationkey < 3").select(F.lit(2).alias("field_id"), F.concat(F.lit("a"), key).alias("code"), F.lit(3).alias("child_field")))
+    return intake.ticket_taxonomy(tickets, 1, options, children)
+
+
+@query("d55_requester_roles", "baskets customer", """
+SELECT order_id AS ticket, CASE WHEN status = 'F' THEN c_mktsegment END AS role FROM baskets LEFT JOIN customer ON c_custkey = customer_id AND c_custkey % 3 <> 0
+WHERE status <> 'F' OR c_custkey IS NOT NULL OR customer_id IS NOT NULL""")
+def _(baskets, customer):
+    tickets = baskets.select(F.col("order_id").alias("id"), F.when(F.col("status") == "F", "closed").otherwise("open").alias("status"), F.col("customer_id").alias("requester_id"))
+    return intake.requester_roles(tickets, customer.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("role")))
+
+
 @query("d56_normalise_payments", "moves", """
 SELECT id, item AS order_number, amount, CAST(NULL AS VARCHAR) AS gateway, CASE WHEN kind <> 'click' THEN amount END AS balance FROM moves WHERE kind <> 'error'""")
 def _(moves):
