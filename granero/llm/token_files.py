@@ -86,10 +86,11 @@ def with_checksums(rows: DataFrame) -> DataFrame:
     names = [name for name in rows.columns if name != "ids"]
 
     def checksums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(start, 1000) for whole in batches for start in range(0, whole.num_rows, 1000)):
             lists = batch.column("ids")
             bounds = lists.offsets.to_numpy()
-            data = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
+            values = lists.values.slice(bounds[0], bounds[-1] - bounds[0]).to_numpy(zero_copy_only=False)
+            data, bounds = memoryview(np.ascontiguousarray(values, "<u4")).cast("B"), bounds - bounds[0]
             sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sums, pa.int64())], [*names, "ids_crc32"])
 

@@ -8,7 +8,7 @@ import unicodedata
 import numpy as np
 
 SEPARATOR = "<|endoftext|>"
-_MOST_WORDS = 700_000  # of the worker's memory of words; it is emptied beyond that, results don't depend on it
+_MOST_WORDS = 1_000_000  # of the worker's memory of words; it is emptied beyond that, results don't depend on it
 _NOTHING, _END = "", "\n"  # words 0 and 1: no ids, and the end of a document
 
 
@@ -121,9 +121,10 @@ class WordEncoder:
         memory = self.memory
         words, memory.new = memory.new, []
         whole, composed, cores, tails = [], [], [], []
+        special = "<|" in _END.join(words)
         for word in words:
             core, tail = word, _NOTHING
-            if "<|" not in word:
+            if not (special and "<|" in word):
                 if word[-1] in ".," and word[-2:-1].lower()[-1:].isalnum():
                     core, tail = word[:-1], word[-1]
                 if core.isascii():
