@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 
 from granero.llm import decontamination, linededup, nearcopies, packing, quality
 from granero.llm.queries import table, trusted_ids
+from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+@shipped
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity lies above their language's threshold go."""
     return quality.drop_rejected(docs, trusted_ids(spark, sf_dir))
 
 
+@shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in at least ten documents go; a document that loses all its lines stays with an empty text."""
     cut = linededup.drop_frequent_lines(docs, min_docs=10)
@@ -28,16 +31,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.select(*[values.get(name, F.col(name)).alias(name) for name in docs.columns])
 
 
+@shipped
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays whose sets of five-word shingles are linked by a similarity of 0.8."""
     return nearcopies.keep_one(docs, shingle=5, percent=80)
 
 
+@shipped
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark, also an edited one, go."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every remaining document in sequences of 2048, with the pieces' ids."""
     return packing.pack(docs, vocabulary_path(), capacity=2048)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, quality, token_files, toxicity
+from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder
 
@@ -18,10 +19,10 @@ ORACLES: dict[str, str] = {}
 
 def query(oracle: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[build.__name__] = build
+        QUERIES[build.__name__] = shipped(build)
         if oracle is not None:
             ORACLES[build.__name__] = oracle
-        return build
+        return QUERIES[build.__name__]
 
     return register
 
