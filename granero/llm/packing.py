@@ -3,7 +3,8 @@
 A document of n tokens costs ``linear * n + quadratic * n * n`` in attention. Whole stretches of the sequence
 length fill sequences of their own. The rest of each document goes, in descending order of cost, to the sequence
 of lowest cost that still has room for it; where none has, it is cut at the room of the one with the lowest cost.
-As many sequences are opened as the tokens need, so a batch of documents leaves less than one sequence of padding.
+As many sequences are opened as the tokens need. What is left over when the full ones are counted off goes to
+sequences of lengths that are powers of two, which need no padding, so every sequence is full.
 
 Each task packs its own rows, a batch of bounded size at a time: nothing is shuffled, and no source, group of
 copies or long document can gather in one task. Which documents share a sequence depends on the partitions.
@@ -38,8 +39,9 @@ def balanced(sizes: list[int], capacity: int, linear: float, quadratic: float) -
             sequences += 1
         if rest := size % capacity:
             waiting.append((-rest, doc, size - rest))
-    opened = -(-sum(-rest for rest, _, _ in waiting) // capacity)
-    room, cost = np.full(opened, capacity, np.int64), np.zeros(opened)
+    full, left = divmod(sum(-rest for rest, _, _ in waiting), capacity)
+    lengths = [capacity] * full + [1 << bit for bit in reversed(range(left.bit_length())) if left >> bit & 1]
+    room, cost = np.array(lengths, np.int64), np.zeros(len(lengths))
     heapq.heapify(waiting)
     while waiting:
         negative, doc, start = heapq.heappop(waiting)
@@ -49,7 +51,7 @@ def balanced(sizes: list[int], capacity: int, linear: float, quadratic: float) -
             fits = room > 0
         best = int(np.where(fits, cost, np.inf).argmin())
         length = min(size, int(room[best]))
-        pieces.append((doc, start, length, sequences + best, capacity - int(room[best])))
+        pieces.append((doc, start, length, sequences + best, lengths[best] - int(room[best])))
         room[best] -= length
         cost[best] += linear * length + quadratic * length * length
         if length < size:
