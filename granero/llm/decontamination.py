@@ -18,15 +18,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, mixed, slices
 
-_FILTER_BITS = 22
+_FILTER_BITS, _COUNT_BITS = 22, 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TABLES: list[np.ndarray] = []
 _INDEXES: dict[str, Index] = {}
@@ -34,7 +36,7 @@ _INDEXES: dict[str, Index] = {}
 
 @dataclass(frozen=True)
 class Rules:
-    q: int = 6
+    q: int = 8
     edits: float = 0.08  # edits allowed for each character of a window
     window: int = 96
     stride: int = 48
@@ -141,6 +143,16 @@ def align(window: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[in
     return int(row[best]), low + len(window) + best
 
 
+def verbatim(window: np.ndarray, texts: np.ndarray, low: int, high: int) -> int | None:
+    """The first place on diagonals ``low`` to ``high`` where the window stands unchanged, if there is one."""
+    low, high = max(0, low), min(high, len(texts) - len(window))
+    if low > high:
+        return None
+    stretch = np.lib.stride_tricks.sliding_window_view(texts[low : high + len(window)], len(window))
+    same = np.flatnonzero((stretch == window).all(axis=1))
+    return low + int(same[0]) if len(same) else None
+
+
 def search(index: Index, texts: np.ndarray, bounds: np.ndarray, rules: Rules) -> list[tuple[int, int, int, int, int]]:
     """(document, window, start, end, edits) of regions in the concatenated texts that match a window."""
     hashes = grams(texts, rules.q)
@@ -161,15 +173,25 @@ def search(index: Index, texts: np.ndarray, bounds: np.ndarray, rules: Rules) ->
     band = diagonal // half
     span = len(texts) + rules.window + 2
     keys = np.concatenate([window * span + band, window * span + np.maximum(band - 1, 0)])
+    # Counts by a part of the key are never too small, so they already rule out almost all bands.
+    part = keys & ((1 << _COUNT_BITS) - 1)
+    keys = keys[np.bincount(part, minlength=1 << _COUNT_BITS)[part] >= np.tile(index.needed[window], 2)]
     unique, counted = np.unique(keys, return_counts=True)
     hit = unique[counted >= index.needed[unique // span]]
     matches = []
+    exact: set[tuple[int, int]] = set()
     for key in hit.tolist():
         w, band = divmod(key, span)
         half = int(index.budgets[w]) + 1
         low = band * half - rules.window
         high = low + 2 * half - 1
         size = len(index.windows[w])
+        place = verbatim(index.windows[w], texts, low, high)
+        if place is not None:  # a window holds no separator, so the place lies inside one document
+            if (w, place) not in exact:
+                exact.add((w, place))
+                matches.append((int(np.searchsorted(bounds, place, "right")) - 1, w, place, place + size, 0))
+            continue
         # The document that the middle of the region lies in; a separator inside ends the region.
         for doc in range(max(0, int(np.searchsorted(bounds, low, "right")) - 1), min(len(bounds) - 1, int(np.searchsorted(bounds, high + size, "right")))):
             start, stop = int(bounds[doc]), int(bounds[doc + 1]) - 1
@@ -224,10 +246,7 @@ def find_passages(
     parts = [source.mapInArrow(_finder(block, rules), schema) for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _finder(block: list[tuple[int | None, str | None]], rules: Rules):
@@ -259,13 +278,13 @@ def _finder(block: list[tuple[int | None, str | None]], rules: Rules):
     return run
 
 
-def _sifter(block: list[tuple[int | None, str | None]], rules: Rules):
+def _marker(block: list[tuple[int | None, str | None]], rules: Rules):
     key = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
             hit = {m[0] for m in _searched(batch, _index_of(key, block, rules), rules)[0]}
-            yield batch.select(["row"]).filter(pa.array([k not in hit for k in range(batch.num_rows)], pa.bool_()))
+            yield batch.select(["r1", "r2"]).filter(pa.array([k in hit for k in range(batch.num_rows)], pa.bool_()))
 
     return run
 
@@ -274,9 +293,19 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), block_chars: int = 1 << 20,
     text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no passage of the benchmark."""
-    kept = docs.select(F.struct("*").alias("row"))
-    kind = dict(kept.dtypes)["row"]
-    for block in _blocks(benchmark, item_col, item_text_col, block_chars):
-        kept = kept.select("row", F.col("row")[text_col].alias("text")).mapInArrow(_sifter(block, rules), f"row {kind}")
-    return kept.select(*[F.col("row")[name].alias(name) for name in docs.columns])
+    """The rows of ``docs``, all columns as they are, that hold no passage of the benchmark.
+
+    Only texts go to the search, which sends back 128 bits of hash for each text with a passage.
+    """
+    text = F.col(text_col)
+    r1, r2 = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    source = docs.select(r1.alias("r1"), r2.alias("r2"), text.alias("text"))
+    parts = [source.mapInArrow(_marker(block, rules), "r1 long, r2 long") for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
+    if not parts:
+        return docs
+    marked = reduce(DataFrame.unionByName, parts).distinct()
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.hinted(scratch.save(marked, narrow=True))
+    rows = docs.select(F.struct("*").alias("row"), r1.alias("r1"), r2.alias("r2"))
+    left = rows.join(found, ["r1", "r2"], "left_anti")
+    return left.select(*[F.col("row")[name].alias(name) for name in docs.columns])
