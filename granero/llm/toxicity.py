@@ -18,6 +18,7 @@ as toxic if one label says so.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -38,25 +39,41 @@ MARKED = 25.0  # how often a word stands in toxic texts, times its logarithmic o
 SPAN, DECAY, LEAST = 6, 0.6, 0.3  # widest span of three letters, weight of each position, kernels below count as 0
 _MOST_WORDS = 400_000  # of a worker's memory of words, which is emptied beyond that
 _LETTERS = 64
+_CODES: list[np.ndarray] = []
+_SCORERS: dict[str, Scorer] = {}
 _OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")  # single characters in a row, as in "i d i o t"
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&=+~`/\\_-“”‘’¿¡«»"
 
 
-def letters(word: str) -> list[int]:
-    """1 to 26 for a to z, larger numbers for other letters, 0 for what never matches but still counts as a gap.
+def _letter_codes() -> np.ndarray:
+    """Of the basic plane: 1 to 26 for a to z, larger numbers for other letters, 0 for what never matches."""
+    if not _CODES:
+        other = [27 + k % 36 if chr(k).isalpha() else 0 for k in range(0x10000)]
+        _CODES.append(np.array(other, np.int64))
+        _CODES[0][97:123] = np.arange(1, 27)
+    return _CODES[0]
 
-    A mark stands before the first letter, so that beginnings of words match beginnings.
+
+def letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' letter codes one after another, and the number of the word that each belongs to.
+
+    What is no letter still counts as a gap. A mark stands before each word, so that beginnings match beginnings.
     """
-    return [_LETTERS - 1, *(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 36 if c.isalpha() else 0 for c in word)]
+    points = np.frombuffer("".join("\x00" + word for word in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.zeros(len(words), np.int64)
+    np.cumsum([len(word) + 1 for word in words[:-1]], out=starts[1:])
+    codes = np.where(points < 0x10000, _letter_codes()[np.minimum(points, 0xFFFF)], 27 + points.astype(np.int64) % 36)
+    owner = np.repeat(np.arange(len(words)), [len(word) + 1 for word in words])
+    codes[starts] = _LETTERS - 1
+    return codes, owner
 
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word number, code and weight of every subsequence of three letters within the span."""
-    codes = [letters(word) for word in words]
-    sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-    owner = np.repeat(np.arange(len(codes)), sizes)
-    chars = np.fromiter((c for word in codes for c in word), np.int64, int(sizes.sum()))
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    chars, owner = letters(words)
     owners, found, weights = [], [], []
     for a, b in _OFFSETS:
         n = len(chars) - b
@@ -149,20 +166,24 @@ class Model:
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.kernel = model, Kernel(model.landmarks)
-        self.margin_of: dict[str, float] = {}
+        self.margin_of: dict[str, float] = {}  # by word as it stands in texts
+        self.plain_margin: dict[str, float] = {}
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
         """Of each text's most toxic word."""
         if len(self.margin_of) > _MOST_WORDS:
-            self.margin_of.clear()
+            self.margin_of.clear(), self.plain_margin.clear()
         known, bias = self.margin_of, float(self.model.weights[-1])
         words = [words_of(text) for text in texts]
-        new = sorted(set().union(*words) - known.keys())
-        for start in range(0, len(new), 50_000):
-            part = new[start : start + 50_000]
-            known.update(dict.fromkeys(part, bias))
-            near, kernels = self.kernel([plain(word) for word in part])
-            known.update(zip((part[k] for k in near.tolist()), (kernels @ self.model.weights[:-1] + bias).tolist()))
+        new = list(set().union(*words) - known.keys())
+        plainly = list(map(plain, new))
+        unseen = sorted(set(plainly) - self.plain_margin.keys())
+        for start in range(0, len(unseen), 50_000):
+            part = unseen[start : start + 50_000]
+            self.plain_margin.update(dict.fromkeys(part, bias))
+            near, kernels = self.kernel(part)
+            self.plain_margin.update(zip((part[k] for k in near.tolist()), (kernels @ self.model.weights[:-1] + bias).tolist()))
+        known.update(zip(new, map(self.plain_margin.__getitem__, plainly)))
         return np.array([max(map(known.__getitem__, own), default=bias) for own in words])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -283,8 +304,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     names = [name for name in source.columns if name != "text"]
     kinds = dict(source.dtypes)
 
+    key = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        if key not in _SCORERS:  # one for each worker process, kept between tasks
+            _SCORERS.clear()
+            _SCORERS[key] = Scorer(model)
+        scorer = _SCORERS[key]
         for batch in slices(batches, "text", 2 << 20):
             values = scorer.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(

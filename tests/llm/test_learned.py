@@ -96,7 +96,7 @@ def test_kernel_equals_its_definition():
 
     def features(word):
         out = {}
-        codes = toxicity.letters(word)
+        codes = toxicity.letters([word])[0].tolist()
         for i, j, k in itertools.combinations(range(len(codes)), 3):
             if k - i < toxicity.SPAN and codes[i] and codes[j] and codes[k]:
                 u = (codes[i], codes[j], codes[k])
