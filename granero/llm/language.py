@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, mixed, slices
 
 # Language families by ISO 639-1 code. Other codes are one family together.
@@ -134,17 +135,22 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
     from granero.llm.linear import fit_svm
 
     family_of = F.create_map(*[F.lit(x) for pair in FAMILY_OF.items() for x in pair])
-    rows = labelled.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & (F.length(text_col) <= LONGEST_LEARNED)).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_order")
+    own, text = F.col(id_col), F.col(text_col)
+    rows = labelled.where(own.isNotNull() & F.col(lang_col).isNotNull() & (F.length(text) <= LONGEST_LEARNED)).select(
+        F.col(lang_col).alias("lang"), text.alias("text"), F.xxhash64(own, text).alias("_order"), F.xxhash64(F.lit(1), text, own).alias("_tie")
     )
     rows = rows.where(F.col("text").rlike("\\p{L}")).withColumn("family", F.coalesce(family_of[F.col("lang")], F.lit("other")))
 
     def first(kind: str) -> DataFrame:
-        window = Window.partitionBy(kind).orderBy("_order", "text")
-        return rows.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= per_language).withColumn("kind", F.lit(kind))
-
-    sample = first("lang").unionByName(first("family"))
-    found = [tuple(row) for row in rows.select("family", "lang").distinct().collect()]  # languages, not rows
+        window = Window.partitionBy(kind).orderBy("_order", "_tie")
+        numbered = rows.drop("text").withColumn("_n", F.row_number().over(window))
+        return numbered.where(F.col("_n") <= per_language).drop("_n").withColumn("kind", F.lit(kind))
+
+    # Rows are chosen by hash alone; only then do the chosen ones' texts travel.
+    scratch = Scratch(labelled.sparkSession)
+    chosen = scratch.hinted(scratch.save(first("lang").unionByName(first("family")).distinct(), narrow=True))
+    sample = rows.drop("family").join(chosen, ["lang", "_order", "_tie"])
+    found = [tuple(row) for row in chosen.select("family", "lang").distinct().collect()]  # languages, not rows
     families: dict[str, list[str]] = {}
     for family, lang in sorted(found):
         families.setdefault(family, []).append(lang)
