@@ -71,13 +71,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _TABLES[path] = spark
+    track(spark, path)
     saved = spark.read.schema(df.schema).parquet(path)
     saved._granero_path = path
     return saved
 
 
+def track(spark: SparkSession, path: str) -> None:
+    """Have ``drop_tables`` remove what was written at ``path``."""
+    _TABLES[path] = spark
+
+
 def remove(spark: SparkSession, path: str) -> None:
+    _TABLES.pop(path, None)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
@@ -85,7 +91,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def drop_tables(*frames: DataFrame) -> None:
     """Remove tables that ``cut_lineage`` wrote: of these frames, or all there are."""
     for path in [frame._granero_path for frame in frames] or list(_TABLES):
-        remove(_TABLES.pop(path), path)
+        remove(_TABLES[path], path)
 
 
 @atexit.register
