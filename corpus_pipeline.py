@@ -12,7 +12,7 @@ from granero.llm import decontamination, linededup, nearcopies, packing, quality
 from granero.llm.queries import table, trusted_ids
 from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
-from granero.session import shared_folder
+from granero.session import shared_folder, track
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -67,5 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         path = f"{shared_folder(spark)}/granero-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        track(spark, path)
         docs = spark.read.parquet(path)
     return docs

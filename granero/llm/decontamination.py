@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.caches import held
 from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, mixed, slices
 
 _FILTER_BITS, _COUNT_BITS = 22, 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _TABLES: list[np.ndarray] = []
-_INDEXES: dict[str, Index] = {}
 
 
 @dataclass(frozen=True)
@@ -221,10 +221,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 
 
 def _index_of(key: str, block: list[tuple[int | None, str | None]], rules: Rules) -> Index:
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = Index.of(block, rules)
-    return _INDEXES[key]
+    return held(("benchmark", key), lambda: Index.of(block, rules))
 
 
 def _searched(batch: pa.RecordBatch, index: Index, rules: Rules) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray, np.ndarray]:

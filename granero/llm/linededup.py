@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.caches import release
 from granero.session import cut_lineage
 
 _SPACES = " \t\n\x0b\x0c\r"
@@ -202,6 +203,7 @@ def frequent_keys_of(
     copies = filters.withColumn("group", F.explode(F.sequence(F.lit(0), dealt - 1)))
 
     def passed(batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        release()
         columns = ["r1", "r2", "idx", "hash", "check"]
         if not len(stored) or not len(batch):
             return batch[columns].iloc[:0]

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.caches import release
 from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, slices
 
@@ -72,6 +73,7 @@ def block_grams(source: DataFrame) -> DataFrame:
     """(block, grams, trusted): each block's distinct grams, and how often its trusted rows have them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         current, seen, counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def row() -> pa.RecordBatch:
@@ -155,6 +157,7 @@ def _payloads(source: DataFrame) -> DataFrame:
     """(block, part, payload): the rows of each block, a compressed slice at a time."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for block, part, batch in _blocked(batches):
             sink = pa.BufferOutputStream()
@@ -172,6 +175,7 @@ def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
     """(doc_id, r1, r2, lang, trusted, n, nll) of all rows: their characters and summed negative log-probability."""
 
     def run(held: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        release()
         order = np.argsort(model["gram"].to_numpy(np.int64), kind="stable")
         keys, costs = model["gram"].to_numpy(np.int64)[order], -model["logp"].to_numpy(np.float64)[order]
         out = []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, quality, token_files, toxicity
 from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
-from granero.session import shared_folder
+from granero.session import shared_folder, track
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/granero-tokens-{uuid.uuid4().hex}"
     token_files.write_token_files(table(spark, folder, "documents"), path, vocabulary_path())
+    track(spark, path)
     rows = token_files.with_starts(token_files.read_token_files(spark, path))
     return token_files.with_checksums(rows.select("doc_id", "start", "n_tokens", "ids"))
 

@@ -7,20 +7,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.session import shared_folder
+from granero.session import remove, shared_folder, track
 
 FEW_ROWS = 100_000  # rows of a few numbers each that one task reads without further dealing
 
 
 class Scratch:
     """Tables that survive lost executors. ``drop`` removes one that nothing reads any more; what a result still
-    reads stays until the folder is cleaned, as checkpoints do."""
+    reads stays until ``session.drop_tables`` or the end of the driver."""
 
     def __init__(self, spark: SparkSession, few_rows: int = FEW_ROWS):
         self.spark, self.few_rows = spark, few_rows
         self.folder = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
-        self._few: set[int] = set()
         self._count = 0
 
     def save(self, df: DataFrame, narrow: bool = False) -> DataFrame:
@@ -29,22 +27,20 @@ class Scratch:
         self._count += 1
         path = f"{self.folder}/{self._count}"
         df.write.parquet(path)
+        track(self.spark, path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         few = narrow and saved.count() <= self.few_rows
         if few:
             saved = saved.coalesce(1)
-            self._few.add(id(saved))
-        self._paths[id(saved)] = path
+        saved._scratch_path, saved._scratch_few = path, few
         return saved
 
     def is_few(self, saved: DataFrame) -> bool:
-        return id(saved) in self._few
+        return saved._scratch_few
 
     def hinted(self, saved: DataFrame) -> DataFrame:
         """With a broadcast hint if the saved table was counted to have few rows."""
         return F.broadcast(saved) if self.is_few(saved) else saved
 
-    def drop(self, df: DataFrame) -> None:
-        self._few.discard(id(df))
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(df)))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, saved: DataFrame) -> None:
+        remove(self.spark, saved._scratch_path)

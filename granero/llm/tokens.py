@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 import unicodedata
 
 import numpy as np
 
+from granero.llm.caches import held
+
 SEPARATOR = "<|endoftext|>"
 _MOST_WORDS = 1_000_000  # of the worker's memory of words; it is emptied beyond that, results don't depend on it
 _NOTHING, _END = "", "\n"  # words 0 and 1: no ids, and the end of a document
@@ -170,7 +171,6 @@ class WordEncoder:
         return self._gather(which), np.concatenate(([0], np.cumsum(self.sizes[which])[ends - 1]))
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str, end_id: int) -> WordEncoder:
     """One encoder per worker process, kept between tasks."""
-    return WordEncoder(path, end_id)
+    return held(("tokens", path, end_id), lambda: WordEncoder(path, end_id))

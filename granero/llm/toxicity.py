@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granero.llm.caches import held
 from granero.llm.texts import slices
 
 SAMPLE_PER_LABEL = 1500  # labelled documents learned from, those of the smallest hash of each label
@@ -40,7 +41,6 @@ SPAN, DECAY, LEAST = 6, 0.6, 0.3  # widest span of three letters, weight of each
 _MOST_WORDS = 400_000  # of a worker's memory of words, which is emptied beyond that
 _LETTERS = 64
 _CODES: list[np.ndarray] = []
-_SCORERS: dict[str, Scorer] = {}
 _OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _SPELLED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")  # single characters in a row, as in "i d i o t"
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&=+~`/\\_-“”‘’¿¡«»"
@@ -307,10 +307,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     key = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCORERS:  # one for each worker process, kept between tasks
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(model)
-        scorer = _SCORERS[key]
+        scorer = held(("toxicity", key), lambda: Scorer(model))
         for batch in slices(batches, "text", 2 << 20):
             values = scorer.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
