@@ -5,9 +5,11 @@ bands`` values cost half as many hash evaluations. The share of equal values est
 Bands of ``rows`` values make candidates; links are confirmed on the full shingle sets.
 
 Documents with equal shingle sets are one *node* from the start, so copies never meet in pairs. Within a bucket
-of nodes that share a band, every node is compared with one centre; what is linked is contracted into one
-component, and only buckets that still hold several components go on, with more centres in each round until every two nodes of a bucket were compared or lie in one component. A group of near copies therefore costs
-about one comparison a node, yet no pair of candidates is left out.
+of nodes that share a band, every node is compared with two centres: the one that meets most others, which is likely
+the origin of its group, and one drawn for this bucket, so that a node's buckets try many. What is linked is
+contracted into one component. What still lies apart in a bucket is compared exactly: nodes outside the largest
+component of their cluster of buckets against all of the cluster, in blocks. So a group of near copies costs a few
+comparisons a node and those of its strays, and no link between candidates is lost.
 
 Defined results: words are what stands between ASCII white space, A-Z in lower case. A text with fewer words
 than a shingle is one shingle; a null text or one without words has no shingle and is linked with nothing. Rows
@@ -20,17 +22,20 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.llm import components
+from granero.llm.caches import release
 from granero.llm.scratch import FEW_ROWS, Scratch
 from granero.llm.texts import mixed, shingle_hashes, slices, word_hashes
 
 ROWS, BANDS = 6, 40  # two documents of similarity 0.85 share no band with a chance of 6e-9, of 0.8 with 5e-6
+BLOCK_HELD, BLOCK_ASKED = 1024, 256  # nodes of a block, and strays that meet them
+BLOCK_SHINGLES = 4_000_000  # of a block that are sorted at a time
 ESTIMATE_SLACK = 0.15  # more than five standard deviations of the estimate from 240 values
-CENTRE_GROWTH = 8  # centres of a bucket in each round, times those of the round before
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -81,6 +86,7 @@ def sign(docs: DataFrame, shingle: int, rows: int, bands: int, id_col: str = "do
     permutations = rows * bands // 2
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches, "text", 2 << 20):
             sets = shingle_hashes(*word_hashes(batch.column("text")), shingle)
             filled = [k for k, s in enumerate(sets) if len(s)]
@@ -161,36 +167,130 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, few: bool) -> Da
     return joined.select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
 
 
+def _block_links(held: pd.DataFrame, asked: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """One link of each asked node to each component that a held node close enough to it belongs to.
+
+    Intersections with all held sets come from one sorted list of their shingles, a few million at a time.
+    """
+    out: list[tuple[int, int]] = []
+    sets = [np.frombuffer(m, np.uint64) for m in held["members"]]
+    ends = np.cumsum([len(one) for one in sets])
+    start = 0
+    while start < len(sets):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + BLOCK_SHINGLES, "right")))
+        part = sets[start:stop]
+        sizes = np.array([len(one) for one in part])
+        shingles, rows = np.concatenate(part), np.repeat(np.arange(len(part)), sizes)
+        order = np.argsort(shingles, kind="stable")
+        shingles, rows = shingles[order], rows[order]
+        nodes, comps = held["node"].to_numpy()[start:stop], held["comp"].to_numpy()[start:stop]
+        for node, comp, members in zip(asked["node"], asked["comp"], asked["members"]):
+            own = np.frombuffer(members, np.uint64)
+            low, high = np.searchsorted(shingles, own, "left"), np.searchsorted(shingles, own, "right")
+            counts = high - low
+            at = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+            common = np.bincount(rows[at], minlength=len(part))
+            close = np.flatnonzero((100 * common >= percent * (len(own) + sizes - common)) & (comps != comp))
+            if len(close):
+                _, first = np.unique(comps[close], return_index=True)
+                out += [(node, int(nodes[k])) for k in close[first]]
+        start = stop
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _rest_links(scratch: Scratch, open_rows: DataFrame, alive: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all further links between components of nodes that share an open bucket.
+
+    Nodes that hang together by open buckets are a *cluster*. Its nodes outside the component that most of its
+    nodes belong to are the query set, and meet all of its nodes in blocks of bounded size; small clusters share
+    a block. Blocks compare full sets and send back links only.
+    """
+    first = open_rows.groupBy("key").agg(F.min("node").alias("a"))
+    edges = open_rows.join(first, "key").select("a", F.col("node").alias("b"))
+    single = scratch.save(alive.select("node", F.col("node").alias("comp")), narrow=True)
+    clusters = components.merge(scratch, single, edges).withColumnRenamed("comp", "cluster")
+    placed = scratch.save(alive.join(clusters, "node"), narrow=True)
+    shares = placed.groupBy("cluster", "comp").agg(F.count("*").alias("rows"))
+    sizes = shares.groupBy("cluster").agg(F.sum("rows").alias("size"), F.max(F.struct("rows", "comp")).alias("top")).select(
+        "cluster", "size", F.col("top.comp").alias("most"), (F.col("size") - F.col("top.rows")).alias("others")
+    )
+    small = F.col("size") <= BLOCK_HELD
+    bundles = placed.count() // BLOCK_HELD + 1
+    group = F.when(small, -1 - F.pmod(F.xxhash64("cluster"), F.lit(bundles))).otherwise(F.col("cluster"))
+    held_blocks = F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK_HELD)).cast("int")
+    asked_blocks = F.when(small, 1).otherwise(F.ceil(F.col("others") / BLOCK_ASKED)).cast("int")
+    sized = placed.join(sizes.where("others > 0"), "cluster").select(
+        group.alias("group"), "node", "comp", (F.col("comp") != F.col("most")).alias("asks"),
+        held_blocks.alias("held_blocks"), asked_blocks.alias("asked_blocks"),
+    )
+    rows = scratch.save(sized.join(sets, "node"))
+
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    columns = ["node", "comp", "members"]
+    held = rows.select("group", own("held_blocks").alias("held"), every("asked_blocks").alias("asked"), *columns)
+    asked = rows.where("asks").select("group", every("held_blocks").alias("held"), own("asked_blocks").alias("asked"), *columns)
+
+    def run(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+        return _block_links(one, two, percent)
+
+    keys = ["group", "held", "asked"]
+    links = scratch.save(held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, "a long, b long"), narrow=True)
+    for old in (placed, rows):
+        scratch.drop(old)
+    return links
+
+
+def _merged(scratch: Scratch, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after links between nodes joined their components; ``links`` is dropped."""
+    named = links.join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
+    merged = components.merge(scratch, labels, named.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+    scratch.drop(links)
+    return merged
+
+
 def _label(scratch: Scratch, docs: DataFrame, nodes: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, comp) of all nodes that share a band with another one."""
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-    members = scratch.save(keyed.join(shared.select("key"), "key").select("key", "node", F.col("node").alias("comp")), narrow=True)
+    keyed = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high"), F.count("*").alias("size")).where("_low < _high")
+    met_once = scratch.save(keyed.join(shared.select("key", "size"), "key"))
+    # A node that meets most others is the likeliest origin of a group of copies, and the best centre.
+    weights = met_once.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = scratch.save(met_once.join(weights, "node").select("key", "node", "weight", "n"), narrow=True)
+    scratch.drop(met_once)
     labels = scratch.save(members.select("node").distinct().select("node", F.col("node").alias("comp")), narrow=True)
     busy = nodes.join(labels.select("node"), "node", "left_semi")
     sets = scratch.save(_sets_of(docs, busy, shingle, id_col, text_col))
     busy = scratch.save(busy.select("node", "n_shingles", "marks"))
-    centres_per_key = 1
-    while not members.isEmpty():
-        part = F.pmod(F.xxhash64("node", F.lit(centres_per_key)), F.lit(centres_per_key))
-        centres = scratch.save(
-            members.groupBy("key", part.alias("part")).agg(F.min(F.struct("node", "comp")).alias("c"))
-            .select("key", F.col("c.node").alias("a"), F.col("c.comp").alias("comp_a")),
-            narrow=True,
-        )
-        met = members.join(centres, "key").where("comp <> comp_a")
-        pairs = scratch.save(met.select("a", F.col("node").alias("b")).distinct(), narrow=True)
-        close = scratch.save(_estimated(pairs, busy, percent / 100 - ESTIMATE_SLACK, scratch.is_few(pairs)), narrow=True)
-        links = scratch.save(_confirmed(close, sets, percent, scratch.is_few(close)), narrow=True)
-        named = links.join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
-        labels = components.merge(scratch, labels, named.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-        rest = members.drop("comp").join(centres.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").join(labels, "node")
-        open_keys = rest.groupBy("key").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
-        later = scratch.save(rest.join(open_keys.select("key"), "key").select("key", "node", "comp"), narrow=True)
-        for old in (members, centres, pairs, close, links):
-            scratch.drop(old)
-        members, centres_per_key = later, CENTRE_GROWTH * centres_per_key
-    for old in (members, sets, busy):
+    row = F.struct("weight", "node", "n")
+    leaders = members.groupBy("key").agg(F.max(row).alias("first"), F.max(F.struct(F.xxhash64("node", "key"), row.alias("row"))).alias("any"))
+    centres = scratch.save(
+        leaders.select("key", F.explode(F.array_distinct(F.array("first", "any.row"))).alias("c"))
+        .select("key", F.col("c.node").alias("a"), F.col("c.n").alias("n_a")),
+        narrow=True,
+    )
+    sized = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
+    met = members.join(centres, "key").where((F.col("node") != F.col("a")) & sized)
+    pairs = scratch.save(met.select(F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b")).distinct(), narrow=True)
+    close = scratch.save(_estimated(pairs, busy, percent / 100 - ESTIMATE_SLACK, scratch.is_few(pairs)), narrow=True)
+    links = scratch.save(_confirmed(close, sets, percent, scratch.is_few(close)), narrow=True)
+    labels = _merged(scratch, labels, links)
+    for old in (pairs, close):
+        scratch.drop(old)
+    # A centre was compared with all of its bucket.
+    rest = members.join(centres.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").join(labels, "node")
+    several = rest.groupBy("key").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high")
+    open_rows = scratch.save(rest.join(several.select("key"), "key").select("key", "node", "comp"), narrow=True)
+    alive = scratch.save(open_rows.select("node", "comp").distinct(), narrow=True)
+    if not alive.isEmpty():
+        labels = _merged(scratch, labels, _rest_links(scratch, open_rows, alive, sets, percent))
+    scratch.drop(open_rows)
+    for old in (members, centres, alive, sets, busy):
         scratch.drop(old)
     return labels
 
