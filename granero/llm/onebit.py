@@ -6,9 +6,9 @@ vector with correction a, <q, c> / a is an unbiased estimate of the inner produc
 error stays below ``width * sqrt((1 - a * a) / (a * a) / (d - 1))`` with high probability. A vector is compared
 exactly if the upper end of its estimate reaches the k-th best lower end in its block.
 
-Rows are indexed in blocks of bounded size by the tasks that read them. A block's queries meet each block of
-codes in a group of their own, so groups stay small however many queries or alike vectors there are; each group
-sends the best k of each query on.
+Rows are indexed in blocks of bounded size by the tasks that read them. The queries of a bundle of blocks meet each
+block of codes in a group of their own, so groups stay small however many queries or alike vectors there are; each
+group sends the best k of each query on. The work grows with queries times rows.
 
 Defined results: rows with a null id, a null or zero vector, a null or non-finite component, or another number
 of components than most rows have take no part. Rows are candidates for each other also where ids repeat; only
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from granero.llm.scratch import Scratch
 
 BLOCK_ROWS = 8192
+BUNDLE = 32  # blocks whose queries meet a block of codes together
+_PARTS = ("ids", "bits", "lengths", "fits", "vectors", "places", "query_ids", "query_vectors")
 WIDTH = 3.0  # standard errors on either side of an estimate
 
 
@@ -61,7 +63,7 @@ def usual_size(vectors: DataFrame, vector_col: str) -> int | None:
 
 
 def index(vectors: DataFrame, size: int, query_rule: str, id_col: str, vector_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per block: ids, codes and scalars of its vectors, the vectors themselves, and which are queries."""
+    """One row per block: ids, codes and scalars of its vectors, the vectors themselves, and the queries among them."""
     turn = rotation(size)
     own, vector = F.col(id_col).cast("long"), F.col(vector_col).cast("array<double>")
     usable = vectors.select(own.alias("vec_id"), vector.alias("vector"), F.expr(query_rule).alias("asks")).where(
@@ -74,16 +76,15 @@ def index(vectors: DataFrame, size: int, query_rule: str, id_col: str, vector_co
         for batch in _rows(batches, block_rows):
             table = batch.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
             bits, lengths, fits = encode(table, turn)
-            asks = np.array(batch.column("asks").to_pylist(), bool)
-            parts = (batch.column("vec_id").to_numpy().astype(np.int64), bits, lengths, fits, table, asks)
+            places = np.flatnonzero(np.array(batch.column("asks").to_pylist(), bool))
+            ids = batch.column("vec_id").to_numpy().astype(np.int64)
+            parts = (ids, bits, lengths, fits, table, places.astype(np.int64), ids[places], table[places])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([int(asks.sum())], pa.int64()), *(pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts)],
-                ["block", "n_queries", "ids", "bits", "lengths", "fits", "vectors", "asks"],
+                [pa.array([block]), *(pa.array([np.ascontiguousarray(p).tobytes()], pa.binary()) for p in parts)], ["block", *_PARTS]
             )
             block += 1
 
-    binaries = ", ".join(f"{name} binary" for name in ("ids", "bits", "lengths", "fits", "vectors", "asks"))
-    return usable.mapInArrow(run, f"block long, n_queries long, {binaries}")
+    return usable.mapInArrow(run, "block long, " + ", ".join(f"{name} binary" for name in _PARTS))
 
 
 def _rows(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
@@ -110,9 +111,8 @@ def _search(stored: pd.DataFrame, asked: pd.DataFrame, size: int, k: int, width:
         bits = np.frombuffer(s.bits, np.uint8).reshape(len(ids), -1)
         lengths, fits = np.frombuffer(s.lengths, np.float64), np.frombuffer(s.fits, np.float64)
         for a in asked.itertuples():
-            which = np.flatnonzero(np.frombuffer(a.asks, bool))
-            query_ids = np.frombuffer(a.ids, np.int64)[which]
-            queries = np.frombuffer(a.vectors, np.float64).reshape(-1, size)[which]
+            which, query_ids = np.frombuffer(a.places, np.int64), np.frombuffer(a.query_ids, np.int64)
+            queries = np.frombuffer(a.query_vectors, np.float64).reshape(-1, size)
             for start in range(0, len(which), 512):
                 guess, error = estimates(queries[start : start + 512], bits, lengths, fits, turn, width)
                 if a.query_block == s.block:  # the query's own row
@@ -146,15 +146,18 @@ def nearest(
     # One small row for each block, numbered without gaps.
     numbers = raw.select(F.col("block").alias("old"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("block")).alias("number"))
     blocks = scratch.save(raw.join(numbers, raw["block"] == numbers["old"]).drop("old", "block").withColumnRenamed("number", "block"))
-    count = blocks.count()
-    every = F.explode(F.sequence(F.lit(1), F.lit(max(1, count))))
-    stored = blocks.select("block", "ids", "bits", "lengths", "fits", "vectors", every.alias("query_block"))
-    asked = blocks.where("n_queries > 0").select(F.col("block").alias("query_block"), "ids", "vectors", "asks", every.alias("block"))
+    count = max(1, blocks.count())
+    bundles, bundle = (count - 1) // BUNDLE + 1, F.floor((F.col("block") - 1) / BUNDLE).cast("int")
+    stored = blocks.select("block", "ids", "bits", "lengths", "fits", "vectors", F.explode(F.sequence(F.lit(0), F.lit(bundles - 1))).alias("bundle"))
+    asked = blocks.where(F.length("places") > 0).select(
+        F.col("block").alias("query_block"), bundle.alias("bundle"), "places", "query_ids", "query_vectors",
+        F.explode(F.sequence(F.lit(1), F.lit(count))).alias("block"),
+    )
 
     def run(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return _search(held, queries, size, k, width)
 
-    found = stored.groupBy("block", "query_block").cogroup(asked.groupBy("block", "query_block")).applyInPandas(
+    found = stored.groupBy("block", "bundle").cogroup(asked.groupBy("block", "bundle")).applyInPandas(
         run, "query_id long, query_row long, vec_id long, score double"
     )
     window = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
