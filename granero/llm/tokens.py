@@ -61,7 +61,7 @@ class WordEncoder:
     def _forget(self) -> None:
         self.memory = _Memory()
         self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat = np.array([self.end_id], np.uint32)
+        self.flat, self.used = np.full(1 << 16, self.end_id, np.uint32), 1
         self.memory[_NOTHING], self.memory[_END] = 0, 1
         self.sizes[1] = 1
 
@@ -86,9 +86,12 @@ class WordEncoder:
         numbers = np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words))
         while len(self.memory) > len(self.starts):
             self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        self.starts[numbers] = len(self.flat) + np.cumsum(sizes) - sizes
+        self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
         self.sizes[numbers] = sizes
-        self.flat = np.concatenate([self.flat, ids])
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def _learn_parts(self, words: list[str]) -> None:
         """Ids of words that are not taken apart any further."""
