@@ -110,3 +110,59 @@ def test_driver_table_passages(spark, folder):
     texts = [(r.doc_id, norm(r.text)) for r in docs.collect()]
     exact = {(d, r.item_id) for r in bench.collect() for d, t in texts if norm(r.text) in t}
     assert exact <= {(r.doc_id, r.item_id) for r in D.find_passages(docs, bench).collect()}
+
+
+def found_in(items, docs):
+    """(document, item) of the matches, without Spark."""
+    index = D.Index.of(items, D.Rules())
+    texts, _, bounds = D.normalized(*D.code_points(pa.array(docs)))
+    return {(m[0], index.items[m[1]]) for m in D.search(index, texts, bounds, D.Rules())}
+
+
+@pytest.mark.parametrize("words", [13, 15, 20])
+def test_quotes_at_all_offsets(words):
+    rng = random.Random(words)
+    items = [(k, sentence(rng, n)) for k, n in enumerate([14, 21, 40, 90])]
+    docs, planted = [], set()
+    for k, text in items:
+        parts = text.split()
+        for at in range(max(1, len(parts) - words + 1)):
+            planted.add((len(docs), k))
+            docs.append(f"{sentence(rng, 30)} {' '.join(parts[at : at + words])} {sentence(rng, 30)}")
+        docs.append(f"{sentence(rng, 30)} {' '.join(parts[3:9])} {sentence(rng, 30)}")
+    assert found_in(items, docs) == planted
+
+
+def test_short_quotes_reach_the_result(spark):
+    rng = random.Random(3)
+    item = sentence(rng, 60)
+    quote = " ".join(item.split()[20:33])
+    docs = [(k, f"{sentence(rng, 50)} {q} {sentence(rng, 50)}") for k, q in enumerate([quote, quote[:30] + "#" + quote[31:], ""])]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], ITEMS)
+    found = {r.doc_id: r for r in D.find_passages(table, bench).collect()}
+    assert set(found) == {0, 1}
+    assert all(docs[d][1].index(quote[35:]) + len(quote[35:]) <= found[d].start + found[d].length for d in found)
+    assert found[0].start <= docs[0][1].index(quote) and found[0].length < len(quote) + 20
+    assert [r.doc_id for r in D.drop_contaminated(table, bench).collect()] == [2]
+
+
+def test_quotes_of_text_without_spaces():
+    rng = random.Random(8)
+    text = "".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(400))
+    docs = ["".join(chr(0x6E00 + rng.randrange(4000)) for _ in range(50)) + text[at : at + 112] for at in range(0, 289)]
+    assert found_in([(1, text)], docs) == {(d, 1) for d in range(289)}
+
+
+def test_many_alignments_equal_single_ones():
+    rng = random.Random(2)
+    draw = lambda n: np.array([rng.randrange(1, 4) for _ in range(n)], np.uint32)
+    windows, texts = [draw(rng.randrange(5, 40)) for _ in range(300)], [draw(rng.randrange(0, 60)) for _ in range(300)]
+    lows, widths = np.array([rng.randrange(-20, 30) for _ in range(300)]), np.array([rng.randrange(1, 20) for _ in range(300)])
+    edits, ends = D.align_many(windows, texts, lows, widths)
+    for k in range(300):
+        best = D.align(windows[k], texts[k], int(lows[k]), int(lows[k] + widths[k] - 1))
+        if best[0] <= len(windows[k]):
+            assert (edits[k], ends[k]) == best
+        else:
+            assert edits[k] > len(windows[k])
