@@ -9,6 +9,11 @@ wait in compressed form. So what is shuffled is the model, a few grams for each
 A document's score is its mean negative log-probability for each character, drawn towards its language's mean
 while it is short. Documents above a quantile of their language's trusted scores, plus a margin, are rejected.
 
+Four characters don't see whole words, so words that repeat are judged by themselves: a document's *repeats* are the
+share of its words that equal the word before or end a two-word phrase that stood at most ``PHRASE_LAG`` words earlier,
+drawn towards its language's share while it has few words. They have a threshold of the same kind. Words end at white
+space, so repetition inside a text without any is not seen.
+
 Defined results: a null or empty text has score 0 pseudo-counts only (its language's mean) and is kept. A null
 language is a language of its own; one without trusted documents is judged by all trusted ones. Without any
 trusted document nothing is rejected. Repeated rows and null ids are scored each for itself.
@@ -27,15 +32,20 @@ from pyspark.sql import functions as F
 
 from granero.llm.caches import release
 from granero.llm.scratch import Scratch
-from granero.llm.texts import code_points, slices
+from granero.llm.texts import code_points, slices, word_hashes
 
 ORDER = 4
 _BITS = 16  # of each character in a packed gram; code points beyond the basic plane are folded into it
 BEGIN, END = 2, 3  # control characters that stand before and after each text
 BLOCK_BYTES = 32 << 20
+PHRASE_LAG = 8
 BROADCAST_IDS = 2_000_000  # trusted or rejected rows up to which their ids are broadcast (16 MB); else they are joined
 
 _BLOCK_COLUMNS = "block long, part int"
+_SCORED = {
+    "doc_id": "long", "r1": "long", "r2": "long", "lang": "string", "trusted": "boolean", "n": "long", "nll": "double",
+    "words": "long", "repeats": "long",
+}
 
 
 def packed_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +69,21 @@ def packed_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return grams[own], bounds + np.arange(len(bounds))
 
 
+def repeated_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many words each text has, and how many equal the word before or end a phrase that stood shortly before."""
+    words, bounds = word_hashes(texts)
+    text_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    repeats = np.zeros(len(words), bool)
+    for lag in range(1, PHRASE_LAG + 1):
+        same = (words[lag:] == words[:-lag]) & (text_of[lag:] == text_of[:-lag])
+        if lag > 1:
+            same[1:] &= same[:-1].copy()
+            same[:1] = False
+        repeats[lag:] |= same
+    sums = np.concatenate(([0], np.cumsum(repeats)))[bounds]
+    return np.diff(bounds), np.diff(sums)
+
+
 def _blocked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     """Slices of a task's rows with the number of their block and their place in it."""
     block, part, held = TaskContext.get().partitionId() << 24, 0, 0
@@ -172,7 +197,10 @@ def _payloads(source: DataFrame) -> DataFrame:
 
 
 def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
-    """(doc_id, r1, r2, lang, trusted, n, nll) of all rows: their characters and summed negative log-probability."""
+    """(doc_id, r1, r2, lang, trusted, n, nll, words, repeats) of all rows.
+
+    These are their characters, summed negative log-probability, words and repeated words.
+    """
 
     def run(held: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         release()
@@ -191,11 +219,12 @@ def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
             rows = batch.select(["doc_id", "r1", "r2", "lang", "trusted"]).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
             nll = pd.array(sums[bounds[1:]] - sums[bounds[:-1]], "Float64")
             nll[lost[bounds[1:]] > lost[bounds[:-1]]] = pd.NA
-            out.append(rows.assign(n=np.diff(bounds) - 1, nll=nll))
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("doc_id", "r1", "r2", "lang", "trusted", "n", "nll")})
+            words, repeats = repeated_words(batch.column("text"))
+            out.append(rows.assign(n=np.diff(bounds) - 1, nll=nll, words=words, repeats=repeats))
+        return pd.concat(out) if out else pd.DataFrame({c: [] for c in _SCORED})
 
     return payloads.groupBy("block").cogroup(scored.groupBy("block")).applyInPandas(
-        run, "doc_id long, r1 long, r2 long, lang string, trusted boolean, n long, nll double"
+        run, ", ".join(f"{name} {kind}" for name, kind in _SCORED.items())
     )
 
 
@@ -217,12 +246,14 @@ def _raw_scores(scratch: Scratch, source: DataFrame) -> DataFrame:
 def score(
     docs: DataFrame, trusted_ids: DataFrame, quantile: float = 0.99, margin: float = 0.15, prior_chars: float = 100.0,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_ids: int = BROADCAST_IDS,
+    repeat_margin: float = 0.1, prior_words: float = 10.0,
 ) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, r1, r2, lang, n_chars, score, perplexity, threshold, kept).
+    """One row per row of ``docs``: (doc_id, r1, r2, lang, n_chars, score, perplexity, threshold, kept, repeats, most_repeats).
 
     ``trusted_ids`` holds the ids of trusted documents in its first column. ``docs`` is read twice in the same
     partitions, as tables are; where a shuffle dealt its rows anew in between, that is noticed, the rows are saved
     and read again. ``perplexity`` is that of a character, ``threshold`` and ``score`` are natural logarithms.
+    A document is kept if its score is at most ``threshold`` and its repeats are at most ``most_repeats``.
     """
     scratch = Scratch(docs.sparkSession)
     own, text = F.col(id_col), F.col(text_col)
@@ -236,29 +267,36 @@ def score(
     scores = _raw_scores(scratch, source)
     if not scores.where("nll IS NULL").isEmpty():
         scores = _raw_scores(scratch, scratch.save(source))
-    return decide(scratch, scores, quantile, margin, prior_chars, broadcast_ids)
+    return decide(scratch, scores, quantile, margin, prior_chars, broadcast_ids, repeat_margin, prior_words)
 
 
-def decide(scratch: Scratch, scores: DataFrame, quantile: float, margin: float, prior_chars: float, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """Judge raw scores by each language's trusted ones."""
+def decide(
+    scratch: Scratch, scores: DataFrame, quantile: float, margin: float, prior_chars: float, broadcast_ids: int = BROADCAST_IDS,
+    repeat_margin: float = 0.1, prior_words: float = 10.0,
+) -> DataFrame:
+    """Judge raw scores and repeats by each language's trusted ones."""
     trusted = scores.where("trusted AND n > 0")
     mean = (F.sum("nll") / F.sum("n")).alias("mean")
-    means = scratch.save(trusted.groupBy("lang").agg(mean).withColumnRenamed("lang", "of_lang"))
-    whole = trusted.agg(mean).first()["mean"]
-    if whole is None:
-        whole = 0.0
-    rated = _by_language(scores, means, broadcast_ids).withColumn("mean", F.coalesce("mean", F.lit(whole))).withColumn(
+    usual = F.coalesce(F.try_divide(F.sum("repeats"), F.sum("words")), F.lit(0.0)).alias("usual")
+    means = scratch.save(trusted.groupBy("lang").agg(mean, usual).withColumnRenamed("lang", "of_lang"))
+    whole = trusted.agg(mean, usual).first()
+    rated = _by_language(scores, means, broadcast_ids).withColumn("mean", F.coalesce("mean", F.lit(whole["mean"] or 0.0))).withColumn(
         "score", F.coalesce(F.try_divide(F.col("nll") + prior_chars * F.col("mean"), F.col("n") + prior_chars), F.lit(0.0))
+    ).withColumn("usual", F.coalesce("usual", F.lit(whole["usual"]))).withColumn(
+        "share", F.coalesce(F.try_divide(F.col("repeats") + prior_words * F.col("usual"), F.col("words") + prior_words), F.lit(0.0))
     )
     limit = F.percentile_approx("score", quantile, 10000).alias("threshold")
+    most = F.percentile_approx("share", quantile, 10000).alias("most")
     judges = rated.where("trusted AND n > 0")
-    limits = scratch.save(judges.groupBy("lang").agg(limit).withColumnRenamed("lang", "of_lang"))
-    general = judges.agg(limit).first()["threshold"]
-    threshold = F.coalesce("threshold", F.lit(general).cast("double")) + margin
+    limits = scratch.save(judges.groupBy("lang").agg(limit, most).withColumnRenamed("lang", "of_lang"))
+    general = judges.agg(limit, most).first()
+    threshold = F.coalesce("threshold", F.lit(general["threshold"]).cast("double")) + margin
+    most_repeats = F.coalesce("most", F.lit(general["most"]).cast("double")) + repeat_margin
     return _by_language(rated, limits, broadcast_ids).select(
         "doc_id", "r1", "r2", "lang", F.col("n").alias("n_chars"), "score", F.exp("score").alias("perplexity"),
         threshold.alias("threshold"),
-        F.coalesce((F.col("n") == 0) | (F.col("score") <= threshold), F.lit(True)).alias("kept"),
+        F.coalesce((F.col("n") == 0) | ((F.col("score") <= threshold) & (F.col("share") <= most_repeats)), F.lit(True)).alias("kept"),
+        F.col("share").alias("repeats"), most_repeats.alias("most_repeats"),
     )
 
 

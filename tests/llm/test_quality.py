@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,45 @@ def test_junk_goes_and_clean_text_stays(spark, folder):
     )
     share = {r.quality: r.share for r in judged.collect()}
     assert share[1] > 0.97 and share[0] < 0.5, share
+
+
+def plain_repeats(text):
+    w = (text or "").lower().split()
+    near = range(2, quality.PHRASE_LAG + 1)
+    return len(w), sum(i > 0 and w[i] == w[i - 1] or any(i > g and w[i] == w[i - g] and w[i - 1] == w[i - 1 - g] for g in near) for i in range(len(w)))
+
+
+def test_repeats_equal_a_plain_count():
+    rng = random.Random(9)
+    texts = [None, "", " ", "one", "a a", "a", "a b a b", "b A a"] + [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(40))) for _ in range(200)]
+    words, repeats = quality.repeated_words(pa.array(texts, pa.string()))
+    assert list(zip(words.tolist(), repeats.tolist())) == [plain_repeats(t) for t in texts]
+
+
+def test_clean_words_that_repeat_are_rejected(spark):
+    rng = random.Random(6)
+    clean = [sentence(rng, rng.randrange(20, 80)) for _ in range(300)]
+    words = [rng.choice(clean[0].split()) for _ in range(40)]
+    junk = ["water " * 60, " ".join(f"{w} {w}" for w in words), "the house of stone " * 15, clean[1] + " river" * 60]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(clean + junk)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in quality.score(docs, docs.where("doc_id < 200").select("doc_id")).where("kept").collect()}
+    assert not kept & set(range(300, 304)) and len(kept) >= 295
+
+
+def test_each_junk_class_of_the_driver_tables_goes(spark, folder):
+    docs, labels = (spark.read.parquet(f"{folder.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    judged = quality.score(docs, labels.where("quality = 1").where(~held_out).select("doc_id")).select("doc_id", "kept")
+    rows = judged.join(labels.where("quality = 0"), "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+
+    def kind(text):
+        w, share = text.lower().split(), lambda test: sum(map(test, text)) / max(1, len(text))
+        if sum(a == b for a, b in zip(w, w[1:])) > 0.3 * len(w):
+            return "repeated"
+        return "capitals" if share(str.isupper) > 0.3 else "symbols or tables" if share(lambda c: not c.isalnum() and c != " ") > 0.1 else "other"
+
+    kept, all_of = Counter(kind(r.text) for r in rows if r.kept), Counter(kind(r.text) for r in rows)
+    print(kept, all_of)
+    assert all_of["repeated"] > 100
+    for name in ("repeated", "capitals", "symbols or tables"):
+        assert kept[name] <= 0.05 * all_of[name], (name, kept, all_of)
