@@ -15,8 +15,9 @@ drawn towards its language's share while it has few words. They have a threshold
 space, so repetition inside a text without any is not seen.
 
 Defined results: a null or empty text has score 0 pseudo-counts only (its language's mean) and is kept. A null
-language is a language of its own; one without trusted documents is judged by all trusted ones. Without any
-trusted document nothing is rejected. Repeated rows and null ids are scored each for itself.
+language is a language of its own. Documents of a language without trusted documents are kept, unjudged: their
+thresholds are null, as the model has never seen such text. Without any trusted
+document nothing is rejected. Repeated rows and null ids are scored each for itself.
 """
 
 from __future__ import annotations
@@ -289,9 +290,7 @@ def decide(
     most = F.percentile_approx("share", quantile, 10000).alias("most")
     judges = rated.where("trusted AND n > 0")
     limits = scratch.save(judges.groupBy("lang").agg(limit, most).withColumnRenamed("lang", "of_lang"))
-    general = judges.agg(limit, most).first()
-    threshold = F.coalesce("threshold", F.lit(general["threshold"]).cast("double")) + margin
-    most_repeats = F.coalesce("most", F.lit(general["most"]).cast("double")) + repeat_margin
+    threshold, most_repeats = F.col("threshold") + margin, F.col("most") + repeat_margin
     return _by_language(rated, limits, broadcast_ids).select(
         "doc_id", "r1", "r2", "lang", F.col("n").alias("n_chars"), "score", F.exp("score").alias("perplexity"),
         threshold.alias("threshold"),

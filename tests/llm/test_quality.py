@@ -146,3 +146,12 @@ def test_each_junk_class_of_the_driver_tables_goes(spark, folder):
     assert all_of["repeated"] > 100
     for name in ("repeated", "capitals", "symbols or tables"):
         assert kept[name] <= 0.05 * all_of[name], (name, kept, all_of)
+
+
+def test_a_language_without_trusted_documents_is_kept_unjudged(spark):
+    rng = random.Random(12)
+    rows = [(k, sentence(rng, 40), "en") for k in range(60)] + [(60 + k, "жцщ юяф " * 3 + str(k) + " шхъ эьы" * 2, "ru") for k in range(9)] + [(69, "ЖЦ%# @@ " * 20, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = {r.doc_id: r for r in quality.score(docs, docs.where("doc_id < 50").select("doc_id")).collect()}
+    assert all(judged[k].kept and judged[k].threshold is None and judged[k].most_repeats is None for k in range(60, 69))
+    assert not judged[69].kept and judged[0].threshold is not None
