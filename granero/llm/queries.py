@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, quality, token_files, toxicity
+from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, prefixes, quality, token_files, toxicity
 from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder, track
@@ -133,3 +133,11 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = chat.canonical_turns(own).unionByName(extra)
     return chat.read_back(chat.format_conversations(turns))
+
+
+@query()
+def op12_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    coded = prefixes.encode(table(spark, folder, "documents"), vocabulary_path(), with_text=True)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
