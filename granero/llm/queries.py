@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, prefixes, quality, token_files, toxicity
+from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, periods, prefixes, quality, token_files, toxicity
 from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder, track
@@ -135,6 +136,32 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The given rule that makes the tail of a tenth of the documents periodic; null ids are left alone."""
+    own = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or own % 10 or not words:
+        return words
+    rest = own // 10
+    start = rest % len(words)
+    period = 1 + (len(words) - start) // (3 + rest % 8)
+    block = words[start : start + period]
+    return words[:start] + (block * (len(words) // len(block) + 1))[: len(words) - start]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    runs = F.col("runs")
+    best = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = F.transform(runs, lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    columns = {
+        "n_runs": F.size(runs).cast("long"), "start": -best["start"], "length": best["length"], "period": -best["period"],
+        "exponent_milli": F.call_function("div", 1000 * best["length"], -best["period"]),
+        "runs_sha256": F.sha2(F.array_join(line, "").cast("binary"), 256),
+        "collapsed_sha256": F.sha2(F.col("collapsed").cast("binary"), 256),
+    }
+    return periods.periodic_runs(table(spark, folder, "documents"), columns, prepare=repeat_tail)
+
+
 @query()
 def op12_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
     coded = prefixes.encode(table(spark, folder, "documents"), vocabulary_path(), with_text=True)
