@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granero.llm import chat, decontamination, language, linededup, nearcopies, onebit, packing, periods, prefixes, quality, token_files, toxicity
+from granero.llm import chat, collocations, decontamination, language, linededup, nearcopies, onebit, packing, periods, prefixes, quality, token_files, toxicity
 from granero.llm.shipping import shipped
 from granero.llm.tokens import vocabulary_path
 from granero.session import shared_folder, track
@@ -168,3 +168,8 @@ def op12_prefix_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
+
+
+@query()
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=100, top=2000)
