@@ -232,6 +232,26 @@ def drop_frequent_lines(
 
     ``references`` and ``filters`` may come from earlier batches; otherwise these documents are counted alone.
     """
+    rows = _cut_rows(docs, min_docs, min_length, shards, group_rows, id_col, text_col, references, filters)
+    added = ["kept_text", "n_lines", "n_dropped"]
+    return rows.select(*[F.col("row")[name].alias(name) for name in docs.columns if name not in added], *added)
+
+
+def cut_documents(
+    docs: DataFrame, min_docs: int = 10, min_length: int = 1, shards: int = SHARDS, group_rows: int = GROUP_ROWS,
+    id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
+) -> DataFrame:
+    """All rows and columns, in which only the text is cut and ``chars_col``, where there is one, counted anew."""
+    rows = _cut_rows(docs, min_docs, min_length, shards, group_rows, id_col, text_col, None, None)
+    fresh = {text_col: F.col("kept_text"), chars_col: F.length("kept_text").cast("long")}
+    return rows.select(*[fresh.get(name, F.col("row")[name]).alias(name) for name in docs.columns])
+
+
+def _cut_rows(
+    docs: DataFrame, min_docs: int, min_length: int, shards: int, group_rows: int, id_col: str, text_col: str,
+    references: DataFrame | None, filters: DataFrame | None,
+) -> DataFrame:
+    """(row, kept_text, n_lines, n_dropped), with a document's own columns inside ``row``."""
     if references is None:
         references = cut_lineage(count_references(docs, min_length, text_col))
     if filters is None:
@@ -266,6 +286,4 @@ def drop_frequent_lines(
             )
 
     row = dict(joined.dtypes)["row"]
-    cut_rows = joined.mapInArrow(run, f"row {row}, kept_text string, n_lines long, n_dropped long")
-    added = ["kept_text", "n_lines", "n_dropped"]
-    return cut_rows.select(*[F.col("row")[name].alias(name) for name in docs.columns if name not in added], *added)
+    return joined.mapInArrow(run, f"row {row}, kept_text string, n_lines long, n_dropped long")

@@ -311,8 +311,12 @@ def drop_rejected(
 ) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that are not rejected."""
     judged = score(docs, trusted_ids, id_col=id_col, text_col=text_col, lang_col=lang_col, broadcast_ids=broadcast_ids, **rules)
-    rejected = Scratch(docs.sparkSession).save(judged.where("NOT kept").select("r1", "r2").distinct())
+    # The decision depends on the language too, so rows equal in id and text may differ in it.
+    own_lang = [F.col("lang").isNull().alias("no_lang"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("of_lang")]
+    rejected = Scratch(docs.sparkSession).save(judged.where("NOT kept").select("r1", "r2", *own_lang).distinct())
     own, text = F.col(id_col), F.col(text_col)
-    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(own, text).alias("r1"), F.xxhash64(F.lit(1), text, own).alias("r2"))
-    left = rows.join(small(rejected, broadcast_ids), ["r1", "r2"], "left_anti")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.xxhash64(own, text).alias("r1"), F.xxhash64(F.lit(1), text, own).alias("r2"), F.col(lang_col).alias("lang"),
+    ).select("row", "r1", "r2", *own_lang)
+    left = rows.join(small(rejected, broadcast_ids), ["r1", "r2", "no_lang", "of_lang"], "left_anti")
     return left.select(*[F.col("row")[name].alias(name) for name in docs.columns])

@@ -5,11 +5,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.llm.test_linededup import expected
 from tests.llm.test_nearcopies import shingles
-from tests.llm.test_quality import grams_of, model
+from tests.llm.test_quality import grams_of, model, plain_repeats
 
 
 @pytest.fixture(scope="module")
@@ -44,11 +45,19 @@ def test_quality(spark, folder, steps):
         own = [d for d in trusted if lang[d] == one]
         mean[one] = sum(nll[d] for d in own) / sum(size[d] for d in own)
     score = {d: (nll[d] + 100 * mean[lang[d]]) / (size[d] + 100) for d in nll}
-    limit = {}
+    words = {d: plain_repeats(t) for d, t, _ in docs}
+    share = {}
+    for d, (n, repeats) in words.items():
+        own = [words[t] for t in trusted if lang[t] == lang[d]]
+        usual = sum(r for _, r in own) / sum(n for n, _ in own)
+        share[d] = (repeats + 10 * usual) / (n + 10)
+    limit, most = {}, {}
     for one in mean:
-        ranked = sorted(score[d] for d in trusted if lang[d] == one)
-        limit[one] = ranked[math.ceil(0.99 * len(ranked)) - 1] + 0.15
-    kept = {d for d in nll if score[d] <= limit[lang[d]]}
+        own = [d for d in trusted if lang[d] == one]
+        place = math.ceil(0.99 * len(own)) - 1
+        limit[one] = sorted(score[d] for d in own)[place] + 0.15
+        most[one] = sorted(share[d] for d in own)[place] + 0.1
+    kept = {d for d in nll if score[d] <= limit[lang[d]] and share[d] <= most[lang[d]]}
     assert {r.doc_id for r in steps["quality_classifier"].collect()} == kept
 
 
@@ -110,4 +119,15 @@ def test_stages_take_awkward_and_no_rows(spark, folder, awkward, nothing):
             out = stage(spark, docs, folder)
             assert out.columns == columns
             assert out.count() <= docs.count()
+            assert out.dtypes == docs.dtypes
+
+
+def test_extra_columns_of_any_name_stay(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60).withColumns(
+        {name: F.lit(7) for name in ("n_lines", "n_dropped", "kept_text", "row", "text_", "r1", "dropped", "score", "kept", "lang_", "idx", "block")}
+    )
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.dtypes == docs.dtypes
+        assert {tuple(r)[5:] for r in out.collect()} == {(7,) * 12}, name
         assert P.pack(spark, docs, folder).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()

@@ -155,3 +155,13 @@ def test_a_language_without_trusted_documents_is_kept_unjudged(spark):
     judged = {r.doc_id: r for r in quality.score(docs, docs.where("doc_id < 50").select("doc_id")).collect()}
     assert all(judged[k].kept and judged[k].threshold is None and judged[k].most_repeats is None for k in range(60, 69))
     assert not judged[69].kept and judged[0].threshold is not None
+
+
+def test_rows_equal_in_id_and_text_are_judged_by_their_own_language(spark):
+    rng = random.Random(6)
+    english = [(k, sentence(rng, 40), "en") for k in range(60)]
+    strange = "zqx@#kv " * 40
+    docs = spark.createDataFrame([*english, (99, strange, "en"), (99, strange, "de"), (99, strange, None)], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(k,) for k in range(60)], "doc_id long")
+    left = quality.drop_rejected(docs, trusted).where("doc_id = 99").collect()
+    assert sorted(str(r.lang) for r in left) == ["None", "de"]
