@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences: each stage keeps or changes documents, the last packs them."""
+"""From raw documents to packed training sequences: each stage keeps or changes documents, the last packs them.
+
+Defined results: rows with a null or empty text pass the first four stages (nothing is known against them) and become the end id
+alone. Repeated rows are judged each for itself, except that near copies keep one row of their group. Of equal near copies the
+smallest id stays. Other columns, whatever their names, are handed on unchanged; packing returns its own. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from granero.llm import decontamination, linededup, nearcopies, packing, quality
 from granero.llm.queries import table, trusted_ids
@@ -26,9 +30,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in at least ten documents go; a document that loses all its lines stays with an empty text."""
-    cut = linededup.drop_frequent_lines(docs, min_docs=10)
-    values = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return cut.select(*[values.get(name, F.col(name)).alias(name) for name in docs.columns])
+    return linededup.cut_documents(docs, min_docs=10)
 
 
 @shipped
