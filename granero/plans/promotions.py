@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -57,10 +58,6 @@ def _lookup(table: dict[int, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key.cast("int"))
 
 
-def _any_like(text: Column, patterns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [text.like(p) for p in patterns], F.lit(False))
-
-
 @dataclass(frozen=True)
 class Eligibility:
     """Which promotions a report takes: what it leaves out, and what a promotion must have.
@@ -81,23 +78,37 @@ class Eligibility:
     valid: bool = False
 
 
+def _as_expression(like: str) -> str:
+    """A LIKE pattern as a regular expression to be found anywhere in a text."""
+    inner = "".join({"%": "(?s:.*)", "_": "(?s:.)"}.get(c, re.escape(c)) for c in like.strip("%"))
+    return ("" if like.startswith("%") else "\\A") + inner + ("" if like.endswith("%") else "\\z")
+
+
+def _unwanted_names(rules: Eligibility) -> str | None:
+    """All name rules as one expression, so that a computed name is evaluated and searched once for each row."""
+    parts = [_as_expression(like) for like in rules.names]
+    parts += [f"(?iu:{_as_expression(like)})" for like in rules.names_any_case]
+    return "|".join([*parts, *([rules.name_pattern] if rules.name_pattern is not None else [])]) or None
+
+
 def eligible(promotions: DataFrame, rules: Eligibility) -> DataFrame:
-    name = F.col("name")
-    out = promotions.where(~F.col("mechanic").isin(*rules.mechanics) & ~_any_like(name, rules.names))
-    out = out.where(~reduce(lambda a, b: a | b, [name.ilike(p) for p in rules.names_any_case], F.lit(False)))
-    if rules.name_pattern is not None:
-        out = out.where(~name.rlike(rules.name_pattern))
-    if rules.promotions:
-        out = out.where(~F.col("n_promo").isin(*rules.promotions))
+    """The promotions a report takes, by one filter: plain comparisons first, the name last."""
+    wanted = [~F.col("mechanic").isin(*rules.mechanics)]
+    if rules.valid:
+        wanted.append(F.col("valid"))
     if rules.types is not None:
-        out = out.where(F.col("type").isin(*rules.types))
+        wanted.append(F.col("type").isin(*rules.types))
     if rules.not_types:
-        out = out.where(~F.col("type").isin(*rules.not_types))
+        wanted.append(~F.col("type").isin(*rules.not_types))
+    if rules.promotions:
+        wanted.append(~F.col("n_promo").isin(*rules.promotions))
     if rules.organisation is not None:
-        out = out.where(F.col("organisation") == rules.organisation)
+        wanted.append(F.col("organisation") == rules.organisation)
     if rules.channel is not None:
-        out = out.where(F.col("channel") == rules.channel)
-    return out.where("valid") if rules.valid else out
+        wanted.append(F.col("channel") == rules.channel)
+    if (names := _unwanted_names(rules)) is not None:
+        wanted.append(~F.col("name").rlike(names))
+    return promotions.where(reduce(lambda a, b: a & b, wanted))
 
 
 def live_promotions(promotions: DataFrame, day, rules: Eligibility = Eligibility(), ahead: int = 0, behind: int = 0) -> DataFrame:

@@ -228,3 +228,15 @@ def test_session_metrics_keep_days_of_every_feed(spark):
 
 def test_shared_folder_comes_from_the_context(spark):
     assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_name_rules_are_one_expression_equal_to_their_patterns(spark):
+    from functools import reduce
+
+    names = ["MFC x", "a MFC", "mfc", "BANCO", " LOC", "x LOC y", "xLOC", "reGIO", "REGIÓ", "L012 a", "L0089", "50%", "a_b", "line\nMFC", "", None, "tail.", "abXcd"]
+    rows = spark.createDataFrame([(name, 1, 4, True) for name in names], "name string, mechanic int, type int, valid boolean")
+    for own, other, pattern in ((("%MFC%", "% LOC%", "BANCO"), (), None), (("a%d", "tail_"), ("%regio%", "BAN%"), "L(0[0-9]{2})"), ((), (), None)):
+        rules = promotions.Eligibility(names=own, names_any_case=other, name_pattern=pattern)
+        taken = [r.name for r in promotions.eligible(rows, rules).collect()]
+        unwanted = reduce(lambda a, b: a | b, [F.col("name").like(p) for p in own] + [F.col("name").ilike(p) for p in other] + ([F.col("name").rlike(pattern)] if pattern else []), F.lit(False))
+        assert taken == [r.name for r in rows.where(~unwanted).collect()]
