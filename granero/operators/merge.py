@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from granero.operators.ranking import latest_per_key
-from granero.session import remove
+from granero.session import cut_lineage, drop_tables, remove
+from granero.sources import snapshots
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -119,3 +122,46 @@ def backfill_filter(target: DataFrame, day: Column, as_of: Column, full_days: in
     """Filter for the next load: the long window when nothing is loaded yet, else the short one."""
     days = full_days if target.isEmpty() else recent_days
     return day >= F.date_sub(as_of, days)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """What a merge of files did: the version it made, files left as they are, files replaced and files written."""
+
+    version: int
+    kept: int
+    replaced: int
+    written: int
+
+
+def merge_files(
+    spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], version: Sequence[str] = (),
+    null_safe: bool = False, attempts: int = 3,
+) -> Merged:
+    """Merge into a snapshot table (``sources.snapshots``) by replacing only the files that hold an incoming key.
+
+    Rows equal those of ``merge_upsert``, or with ``null_safe`` of ``delete_then_insert`` (incoming keys may then repeat or be
+    NULL). Readers see the version before or after, never a mixture. ``updates`` is written once before it is read
+    several times. Where another writer was faster, files are looked up again in its version, up to ``attempts`` times.
+    """
+    if not null_safe:
+        updates = latest_per_key(updates, keys, *version) if version else _unique(updates, keys)
+    ready = cut_lineage(updates.select(*schema.fieldNames()))
+    try:
+        for attempt in range(attempts):
+            before = snapshots.snapshot(spark, path)
+            old = snapshots.touched(spark, path, schema, before.files, ready, keys, null_safe)
+            held, doomed = snapshots.read_files(spark, path, schema, old), ready.select(*keys).distinct()
+            kept = held.join(doomed, snapshots.same_keys(held, doomed, keys, null_safe), "left_anti")
+            fresh = snapshots.write_files(kept.unionByName(ready), path, keys)
+            names = {one.name for one in old}
+            rest = [one for one in before.files if one.name not in names]
+            try:
+                made = snapshots.commit(spark, path, before, [*rest, *fresh])
+            except snapshots.ConflictError:
+                if attempt == attempts - 1:
+                    raise
+                continue
+            return Merged(made.version, len(rest), len(old), len(fresh))
+    finally:
+        drop_tables(ready)

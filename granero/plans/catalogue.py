@@ -109,13 +109,16 @@ def top_store_stock(stock: DataFrame, lines: DataFrame, orders: DataFrame, calen
     return stock.join(best.select("store_id", "sku"), ["store_id", "sku"], "left_semi")
 
 
-def detect_changes(catalogue: DataFrame, image: DataFrame) -> DataFrame:
-    """Rows of the catalogue that differ from the published image: new, changed, deactivated, reactivated."""
-    now = catalogue.groupBy("sku").agg(
+def detect_changes(catalogue: DataFrame, image: DataFrame, keys: Sequence[str] = ("sku",)) -> DataFrame:
+    """Rows of the catalogue that differ from the published image: new, changed, deactivated, reactivated.
+
+    ``keys`` say what is published as one: a product, or a product in a store.
+    """
+    now = catalogue.groupBy(*keys).agg(
         F.max(F.coalesce("stock", F.lit(0))).alias("now_stock"),
         F.bool_or(F.coalesce("not_found", F.lit(False))).alias("now_missing"), F.lit(True).alias("listed"),
     )
-    both = now.join(image, "sku", "full")
+    both = now.join(image, list(keys), "full")
     listed, active = F.col("listed").isNotNull(), F.col("active")
     differs = ~F.col("now_stock").eqNullSafe(F.col("stock")) | ~F.col("now_missing").eqNullSafe(F.col("not_found"))
     change = (
@@ -125,16 +128,16 @@ def detect_changes(catalogue: DataFrame, image: DataFrame) -> DataFrame:
         .when(listed & ~active, "reactivated")
     )
     return both.select(
-        "sku", change.alias("change"), listed.alias("active"),
+        *keys, change.alias("change"), listed.alias("active"),
         F.coalesce("now_stock", F.lit(0)).alias("stock"), F.coalesce("now_missing", F.lit(False)).alias("not_found"),
     ).where("change IS NOT NULL")
 
 
-def apply_changes(image: DataFrame, changes: DataFrame) -> DataFrame:
+def apply_changes(image: DataFrame, changes: DataFrame, keys: Sequence[str] = ("sku",)) -> DataFrame:
     """The next image: changed rows win and wait for publication again."""
-    pending = changes.select("sku", "stock", "active", "not_found", F.lit(False).alias("published"))
-    kept = image.join(pending.select("sku"), "sku", "left_anti")
-    return kept.select("sku", "stock", "active", "not_found", "published").unionByName(pending)
+    pending = changes.select(*keys, "stock", "active", "not_found", F.lit(False).alias("published"))
+    kept = image.join(pending.select(*keys), list(keys), "left_anti")
+    return kept.select(*keys, "stock", "active", "not_found", "published").unionByName(pending)
 
 
 def upload_set(

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from granero.operators.ranking import latest_per_key
+from granero.sources import snapshots
 
 # The source is polled hourly: one late poll on top of the interval.
 LATENESS = "2 hours"
@@ -82,6 +83,52 @@ def compact(spark: SparkSession, path: str, schema: StructType, keys: Sequence[s
     merged_rows(spark, path, schema, keys, version).hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(target)
 
 
+def snapshot_log(path: str, feed: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that adds each micro-batch to a snapshot table (``sources.snapshots``).
+
+    A batch's files carry its name and number, also after a compaction has absorbed them, so a replay replaces its own
+    files or finds that its rows are in the table already, and changes nothing either way.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, f"{feed}/{batch_id}"
+        if any(one.batch == _ABSORBED + name for one in snapshots.snapshot(spark, path).files):
+            return
+        snapshots.append(batch, path, keys, name)
+
+    return write
+
+
+def snapshot_rows(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], version: Sequence[str], at: int | None = None) -> DataFrame:
+    """The upserted table: the newest logged row of every key, in the newest snapshot or snapshot ``at``."""
+    return latest_per_key(snapshots.read(spark, path, schema, at), keys, *version)
+
+
+_ABSORBED = "absorbed "
+
+
+def compact_log(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], version: Sequence[str]) -> int:
+    """Replace the log's files by the newest row of every key, in one switch; returns the new version.
+
+    Readers of the version before go on with its files, which ``snapshots.vacuum`` removes later. Batches that arrive
+    meanwhile are kept beside the compacted files. The names of absorbed batches stay, as entries without rows.
+    """
+    start = snapshots.snapshot(spark, path)
+    rows = latest_per_key(snapshots.read_files(spark, path, schema, [one for one in start.files if one.rows]), keys, *version)
+    fresh = snapshots.write_files(rows, path, keys)
+    gone = {one.name for one in start.files}
+    batches = sorted({one.batch.removeprefix(_ABSORBED) for one in start.files if one.batch})
+    absorbed = [snapshots.LiveFile(f"{_ABSORBED}{batch}", 0, None, None, 0, _ABSORBED + batch) for batch in batches]
+    while True:
+        now = snapshots.snapshot(spark, path)
+        if not gone <= {one.name for one in now.files}:
+            raise snapshots.ConflictError("another compaction or a replay has replaced the files that were read")
+        try:
+            return snapshots.commit(spark, path, now, [*fresh, *absorbed, *(one for one in now.files if one.name not in gone)]).version
+        except snapshots.ConflictError:
+            continue  # a batch arrived in between; it stays beside the compacted files
+
+
 def run_available(
     stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
     mode: str = "append", partitions: int | None = None,

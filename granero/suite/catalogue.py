@@ -144,21 +144,21 @@ def _(assortment, lines, baskets):
 
 
 @query("d37_detect_changes", "assortment skus", """
-WITH c AS (SELECT sku, MAX(stock) AS s, bool_or(blocked_format IS NOT NULL) AS m FROM assortment WHERE listed AND NOT excluded AND stock % 40 < 4 GROUP BY 1),
-v AS (SELECT sku, size AS stock, category <> 'SMALL' AS active, size > 40 AS not_found FROM skus WHERE brand <> 'Brand#5'),
-j AS (SELECT coalesce(c.sku, v.sku) AS sku, c.sku IS NOT NULL AS listed, c.s, c.m, v.stock, v.active, v.not_found FROM c FULL JOIN v ON c.sku = v.sku)
-SELECT sku, CASE WHEN stock IS NULL THEN 'new' WHEN listed AND active AND (s <> stock OR m <> not_found) THEN 'changed'
+WITH c AS (SELECT sku, store_id, MAX(stock) AS s, bool_or(blocked_format IS NOT NULL) AS m FROM assortment WHERE listed AND NOT excluded GROUP BY 1, 2),
+v AS (SELECT sku, store_id, CASE WHEN size < 25 THEN a.stock ELSE size END AS stock, category <> 'SMALL' AS active, size > 40 AS not_found FROM assortment a JOIN skus USING (sku) WHERE brand <> 'Brand#5'),
+j AS (SELECT coalesce(c.sku, v.sku) AS sku, coalesce(c.store_id, v.store_id) AS store_id, c.sku IS NOT NULL AS listed, c.s, c.m, v.stock, v.active, v.not_found FROM c FULL JOIN v ON c.sku = v.sku AND c.store_id = v.store_id)
+SELECT sku, store_id, CASE WHEN stock IS NULL THEN 'new' WHEN listed AND active AND (s <> stock OR m <> not_found) THEN 'changed'
   WHEN NOT listed AND active THEN 'deactivated' WHEN listed AND NOT active THEN 'reactivated' END AS change, listed AS active, coalesce(s, 0) AS stock, coalesce(m, false) AS not_found FROM j
 WHERE stock IS NULL OR (listed AND active AND (s <> stock OR m <> not_found)) OR (NOT listed AND active) OR (listed AND NOT active)""")
 def _(assortment, skus):
-    listed = assortment.where("listed AND NOT excluded AND stock % 40 < 4").select(
-        "sku", "stock", F.col("blocked_format").isNotNull().alias("not_found")
+    """The whole assortment, product by store; the image lacks a brand and is outdated for the larger sizes."""
+    key = ["sku", "store_id"]
+    listed = assortment.where("listed AND NOT excluded").select(*key, "stock", F.col("blocked_format").isNotNull().alias("not_found"))
+    image = assortment.join(skus.where("brand <> 'Brand#5'"), "sku").select(
+        *key, F.when(F.col("size") < 25, F.col("stock")).otherwise(F.col("size").cast("long")).alias("stock"),
+        (F.col("category") != "SMALL").alias("active"), (F.col("size") > 40).alias("not_found"),
     )
-    image = skus.where("brand <> 'Brand#5'").select(
-        "sku", F.col("size").cast("long").alias("stock"), (F.col("category") != "SMALL").alias("active"),
-        (F.col("size") > 40).alias("not_found"),
-    )
-    return plan.detect_changes(listed, image)
+    return plan.detect_changes(listed, image, key)
 
 
 @query("d38_upload_set", "assortment sales skus stores", """
@@ -312,11 +312,13 @@ def _(assortment, stores):
     return plan.store_channels(load, channels)
 
 
-@query("d107_complete_set", "skus assortment", """
-WITH f AS (SELECT sku, MIN(stock) AS stock FROM assortment WHERE stock % 40 = 0 GROUP BY 1)
-SELECT sku, stock, false AS not_found FROM f UNION ALL SELECT sku, 0, true FROM skus WHERE sku NOT IN (SELECT sku FROM f)""")
-def _(skus, assortment):
-    return plan.complete_set(skus, assortment.where("stock % 40 = 0").select("sku", "stock"))
+@query("d107_complete_set", "skus promos assortment", """
+WITH f AS (SELECT sku, MIN(stock) AS stock FROM assortment GROUP BY 1), r AS (SELECT sku FROM skus UNION SELECT n_promo FROM promos)
+SELECT sku, stock, false AS not_found FROM f UNION ALL SELECT sku, 0, true FROM r WHERE sku NOT IN (SELECT sku FROM f)""")
+def _(skus, promos, assortment):
+    """All products and the codes of promotional packs are asked for; the whole assortment answers, which has no packs."""
+    requested = skus.select("sku").unionByName(promos.select(F.col("n_promo").alias("sku")))
+    return plan.complete_set(requested, assortment.select("sku", "stock"))
 
 
 @query("d67_active_catalogue", "assortment skus", """

@@ -5,11 +5,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from granero.functions import dates
+from granero.operators.merge import merge_files
 from granero.plans import calendar as calendar_plan
 from granero.plans import customers as plan
 from granero.plans import dimensions, intake, spatial
 from granero.schemas import TABLES
-from granero.session import shared_folder
+from granero.session import shared_folder, track
+from granero.sources import snapshots
 from granero.streaming import feeds as streaming
 from granero.suite.registry import feed, query
 
@@ -246,6 +248,22 @@ def _(raw_sales):
     return intake.merge_sales(facts.where("units < 40"), recent).drop("id")
 
 
+@query("d70_merge_sales_files", "raw_sales", """
+WITH f AS (SELECT day, store, transaction, ean, units, net FROM raw_sales WHERE units < 40), r AS (SELECT day, store, transaction, ean, MAX(units) AS units, MAX(net) AS net FROM raw_sales WHERE day >= '1998-06-08' AND day <= '1998-06-15' GROUP BY 1, 2, 3, 4)
+SELECT * FROM f WHERE (day, store, transaction, ean) NOT IN (SELECT (day, store, transaction, ean) FROM r) UNION ALL SELECT * FROM r""")
+def _(raw_sales):
+    """Re-merge of seven days into a table of files by day: files of other days stay as they are."""
+    key = ["day", "store", "transaction", "ean"]
+    facts = intake.sales_facts(raw_sales).select(*key, "units", "net")
+    recent = facts.where("day BETWEEN '1998-06-08' AND '1998-06-15'").groupBy(*key).agg(F.max("units").alias("units"), F.max("net").alias("net"))
+    spark = facts.sparkSession
+    path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
+    track(spark, path)
+    snapshots.append(facts.where("units < 40"), path, key)
+    merge_files(spark, path, facts.schema, recent, key, null_safe=True)
+    return snapshots.read(spark, path, facts.schema)
+
+
 @query("d96_floor_sales", "sales stores", """
 SELECT CAST(day AS VARCHAR) AS day, store_id, 'F' || district AS format, SUM(net)::BIGINT AS net FROM sales JOIN stores USING (store_id) WHERE day >= DATE '1998-06-15' - 14 GROUP BY ALL""")
 def _(sales, stores):
@@ -440,6 +458,23 @@ def _(moves, folder):
     return streaming.merged_rows(spark, f"{work}/table", shaped.schema, ["id"], ["ts"]).drop("ts")
 
 
+@query("t01_compacted_log_stream", "moves folder", "SELECT id, CAST(day AS VARCHAR) AS day, kind, amount FROM moves")
+def _(moves, folder):
+    """The same feed, sent twice into a log of snapshots that is compacted after each time."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+    track(spark, work)
+    feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
+    shaped = feed_.select(
+        F.col("event_id").alias("id"), "ts", F.col("event_type").alias("kind"), F.round(F.col("value") * 100).cast("long").alias("amount"),
+        F.col("ts").cast("date").alias("day"),
+    )
+    for attempt in ("first", "again"):
+        sink = streaming.snapshot_log(f"{work}/table", attempt, ["id"])
+        streaming.run_available(streaming.unique_movements(shaped), f"{work}/{attempt}", sink=sink, partitions=spark.sparkContext.defaultParallelism)
+        streaming.compact_log(spark, f"{work}/table", shaped.schema, ["id"], ["ts"])
+    return streaming.snapshot_rows(spark, f"{work}/table", shaped.schema, ["id"], ["ts"]).drop("ts")
+
+
 @query("t03_recent_keys", "moves", """
 WITH w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE * (k + 1) AS as_of, item FROM moves, range(8) g(k)) SELECT strftime(as_of, '%Y-%m-%d %H:%M:%S') AS as_of, item, count(*) AS changes FROM w GROUP BY ALL""")
 def _(moves):

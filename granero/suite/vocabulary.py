@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granero.functions import dates, geo, keys, numbers
 from granero.operators import joins, merge, ranking, sets
-from granero.sources import scans
+from granero.session import shared_folder, track
+from granero.sources import scans, snapshots
 from granero.suite.registry import query
 
 DAY = "1998-06-15"
@@ -845,6 +848,29 @@ def _(skus):
     return merge.merge_upsert(*_old_new(skus), ["sku"])
 
 
+def _merge_files(old: DataFrame, new: DataFrame, null_safe: bool = False) -> DataFrame:
+    """The merge as a change of files: the old rows as a table of several, of which only those with a new key are replaced."""
+    path = f"{shared_folder(old.sparkSession)}/granero-{uuid.uuid4().hex}"
+    track(old.sparkSession, path)
+    snapshots.append(old, path, ["sku"])
+    merge.merge_files(old.sparkSession, path, old.schema, new, ["sku"], null_safe=null_safe)
+    return snapshots.read(old.sparkSession, path, old.schema)
+
+
+@query("i01_merge_files", "skus", f"""
+WITH o AS ({_OLD}), n AS ({_NEW}) FROM o WHERE sku NOT IN (SELECT sku FROM n) UNION ALL FROM n""")
+def _(skus):
+    return _merge_files(*_old_new(skus))
+
+
+@query("i06_merge_files", "skus", f"""
+WITH o AS (SELECT nullif(sku, 5) AS sku, price, size FROM ({_OLD})), n AS (SELECT nullif(sku, 4) AS sku, price, size FROM ({_NEW}))
+SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.sku IS NOT DISTINCT FROM o.sku) UNION ALL SELECT * FROM n""")
+def _(skus):
+    old, new = _old_new(skus)
+    return _merge_files(old.withColumn("sku", F.expr("nullif(sku, 5)")), new.withColumn("sku", F.expr("nullif(sku, 4)")), null_safe=True)
+
+
 @query("i02_insert_absent", "skus", f"""
 WITH o AS ({_OLD}), n AS ({_NEW}) FROM o UNION ALL FROM n WHERE sku NOT IN (SELECT sku FROM o)""")
 def _(skus):

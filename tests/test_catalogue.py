@@ -21,6 +21,16 @@ def test_every_kind_of_change_is_found_once(spark):
     assert following.count() == 6 and catalogue.detect_changes(listed, following).count() == 0
 
 
+def test_one_product_may_change_differently_in_two_stores(spark):
+    listed = spark.createDataFrame([(1, 10, 5, False), (1, 20, 4, False), (2, 10, 3, True)], "sku long, store_id long, stock long, not_found boolean")
+    image = spark.createDataFrame([(1, 10, 6, True, False, True), (1, 30, 1, True, False, True), (2, 10, 3, True, True, True)], "sku long, store_id long, stock long, active boolean, not_found boolean, published boolean")
+    key = ["sku", "store_id"]
+    changes = catalogue.detect_changes(listed, image, key)
+    assert rows(changes, *key, "change", "stock") == {(1, 10, "changed", 5), (1, 20, "new", 4), (1, 30, "deactivated", 0)}
+    following = catalogue.apply_changes(image, changes, key)
+    assert following.count() == 4 and catalogue.detect_changes(listed, following, key).count() == 0
+
+
 def test_upload_set_sends_whole_lists_and_parks_the_rest(spark):
     pair = "sku long, store_id long"
     wanted = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (4, 10), (5, 30)], pair)
