@@ -21,11 +21,32 @@ def closed_ring(points: Column) -> Column:
     return F.concat(unique, F.slice(unique, 1, 1))
 
 
+def _edges(ring: Column) -> Column:
+    count = F.greatest(F.size(ring) - 1, F.lit(0))
+    return F.arrays_zip(F.slice(ring, F.lit(1), count).alias("a"), F.slice(ring, F.lit(2), count).alias("b"))
+
+
+def ring_meets_box(ring: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Whether an edge of a closed ring of ``struct<lng,lat>`` touches the box.
+
+    A segment misses a box if their extents lie apart or all four corners lie on one side of its line.
+    """
+
+    def meets(edge: Column) -> Column:
+        a, b = edge["a"], edge["b"]
+        apart = (
+            (F.greatest(a["lng"], b["lng"]) < west) | (F.least(a["lng"], b["lng"]) > east)
+            | (F.greatest(a["lat"], b["lat"]) < south) | (F.least(a["lat"], b["lat"]) > north)
+        )
+        sides = [(b["lng"] - a["lng"]) * (y - a["lat"]) - (b["lat"] - a["lat"]) * (x - a["lng"]) for x in (west, east) for y in (south, north)]
+        return ~apart & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.exists(_edges(ring), meets)
+
+
 def inside_ring(ring: Column, lng: Column, lat: Column) -> Column:
     """Even-odd ray casting against a closed ring of ``struct<lng,lat>``."""
-    edges = F.arrays_zip(
-        F.slice(ring, F.lit(1), F.size(ring) - 1).alias("a"), F.slice(ring, F.lit(2), F.size(ring) - 1).alias("b")
-    )
+    edges = _edges(ring)
 
     def crosses(edge: Column) -> Column:
         a, b = edge["a"], edge["b"]

@@ -9,25 +9,71 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.functions.dates import as_date
-from granero.functions.geo import inside_ring
+from granero.functions.geo import inside_ring, ring_meets_box
 
 
-def _cells(low: Column, high: Column, size: float) -> Column:
+STEP = 4  # cells of one level are so many times as long as those of the level below
+
+
+def _cells(low: Column, high: Column, size: Column) -> Column:
     return F.sequence(F.floor(low / size), F.floor(high / size))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
-    """Every (point, polygon) pair where the ring contains the point.
+def _size(level: Column, cell: float) -> Column:
+    return F.lit(float(cell)) * F.pow(F.lit(float(STEP)), level)
+
+
+def _judged(cells: DataFrame, cell: float) -> DataFrame:
+    """Add ``_kind``: a cell is ``border`` where an edge touches it, else ``inner`` or ``outer`` as its middle is."""
+    size = _size(F.col("_level"), cell)
+    west, south, margin = F.col("_cx") * size, F.col("_cy") * size, size * 1e-6  # wider than any rounding of a point's cell
+    touched = ring_meets_box(F.col("ring"), west - margin, south - margin, west + size + margin, south + size + margin)
+    inner = inside_ring(F.col("ring"), west + size / 2, south + size / 2)
+    return cells.withColumn("_kind", F.when(touched, "border").when(inner, "inner").otherwise("outer")).where("_kind <> 'outer'")
 
-    Polygons are spread over the grid cells of their bounding box and meet points on the cell, so the exact
-    test runs only on candidates. Choose ``cell`` near the usual polygon width.
+
+def cover(polygons: DataFrame, cell: float, refine: int = 2) -> DataFrame:
+    """Each polygon with cells (``_level``, ``_cx``, ``_cy``, ``_kind``) that cover it and nothing twice.
+
+    A polygon starts with cells about a quarter to a whole of its extent long, so large and small ones have few cells
+    each; ``refine`` times, cells at its border are cut into smaller ones. Cells outside the ring are left out.
     """
     lngs, lats = F.transform("ring", lambda p: p["lng"]), F.transform("ring", lambda p: p["lat"])
-    boxed = polygons.withColumn("_cx", F.explode(_cells(F.array_min(lngs), F.array_max(lngs), cell)))
-    spread = boxed.withColumn("_cy", F.explode(_cells(F.array_min(lats), F.array_max(lats), cell)))
-    placed = points.withColumns({"_cx": F.floor(F.col("lng") / cell), "_cy": F.floor(F.col("lat") / cell)})
-    hits = placed.join(spread, ["_cx", "_cy"]).where(inside_ring(F.col("ring"), F.col("lng"), F.col("lat")))
-    return hits.drop("_cx", "_cy", "ring")
+    extent = F.greatest(F.array_max(lngs) - F.array_min(lngs), F.array_max(lats) - F.array_min(lats))
+    level = F.greatest(F.floor(F.log(extent / cell) / F.log(F.lit(float(STEP)))), F.lit(0)).cast("int")
+    placed = polygons.withColumn("_level", F.coalesce(level, F.lit(0)))
+    size = _size(F.col("_level"), cell)
+    cells = placed.withColumn("_cx", F.explode(_cells(F.array_min(lngs), F.array_max(lngs), size)))
+    cells = _judged(cells.withColumn("_cy", F.explode(_cells(F.array_min(lats), F.array_max(lats), size))), cell)
+    for _ in range(refine):
+        split = F.when(F.col("_kind") == "border", F.sequence(F.lit(0), F.lit(STEP * STEP - 1))).otherwise(F.array(F.lit(-1)))
+        parts = cells.withColumn("_part", F.explode(split))
+        whole, part = F.col("_part") < 0, F.col("_part")
+        finer = parts.withColumns({
+            "_cx": F.when(whole, F.col("_cx")).otherwise(F.col("_cx") * STEP + part % STEP),
+            "_cy": F.when(whole, F.col("_cy")).otherwise(F.col("_cy") * STEP + F.floor(part / STEP)),
+            "_level": F.when(whole, F.col("_level")).otherwise(F.col("_level") - 1),
+        }).drop("_part")
+        cells = _judged(finer, cell)
+    return cells
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, refine: int = 2) -> DataFrame:
+    """Every (point, polygon) pair where the ring contains the point.
+
+    Polygons are covered by cells that suit their own size and meet points on the cell, at the few levels there are. A
+    point in an inner cell is accepted as it is; the exact test runs only in cells at a border. Choose ``cell`` near the
+    width of the smallest polygons; larger ones get longer cells.
+    """
+    covered = cover(polygons, cell, refine)
+    levels = covered.agg(F.array_sort(F.collect_set("_level"))).scalar()
+    probed = points.withColumn("_level", F.explode(F.coalesce(levels, F.array().cast("array<int>"))))
+    size = _size(F.col("_level"), cell)
+    placed = probed.withColumns({"_cx": F.floor(F.col("lng") / size), "_cy": F.floor(F.col("lat") / size)})
+    accepted = (F.col("_kind") == "inner") | inside_ring(F.col("ring"), F.col("lng"), F.col("lat"))
+    # Inner cells travel without their ring.
+    light = covered.withColumn("ring", F.when(F.col("_kind") == "border", F.col("ring")))
+    return placed.join(light, ["_level", "_cx", "_cy"]).where(accepted).drop("_level", "_cx", "_cy", "_kind", "ring")
 
 
 def assign_zones(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:

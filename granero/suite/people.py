@@ -387,6 +387,24 @@ query("j19_point_in_polygon", "places nation", f"SELECT n_name AS polygon, count
 )
 
 
+# Rhombs of half-widths from 0.02 to 20 around points of the plane, and squares over parts of them.
+DIAMOND = "abs(lng - cx) + abs(lat - cy) < half"
+
+
+@query("j19_uneven_polygons", "places skus", f"""
+WITH z AS (SELECT sku, (sku * 37 % 600) / 10.0 + 0.0031 AS cx, (sku * 101 % 600) / 10.0 + 0.0012 AS cy, 0.02 * pow(10, size % 4) AS half FROM skus WHERE brand = 'Brand#7')
+SELECT sku, count(*) AS n, sum(order_id)::BIGINT AS ids FROM places, z WHERE {DIAMOND} GROUP BY 1""")
+def _(places, skus):
+    """Zones whose sizes differ 1,000 times in one assignment; few orders are tested against a ring."""
+    zones = skus.where("brand = 'Brand#7'").selectExpr(
+        "sku", "(sku * 37 % 600) / 10.0D + 0.0031D AS cx", "(sku * 101 % 600) / 10.0D + 0.0012D AS cy", "0.02D * pow(10, size % 4) AS half"
+    )
+    corners = [(1, 0), (0, 1), (-1, 0), (0, -1), (1, 0)]
+    ring = F.array(*[F.struct((F.col("cx") + dx * F.col("half")).alias("lng"), (F.col("cy") + dy * F.col("half")).alias("lat")) for dx, dy in corners])
+    hits = spatial.points_in_polygons(places, zones.select("sku", ring.alias("ring")), 0.05)
+    return hits.groupBy("sku").agg(F.count("*").alias("n"), F.sum("order_id").alias("ids"))
+
+
 @query("d32_zone_history", "skus", """
 WITH h AS (SELECT sku, [size, size * 2, sku] AS ring, brand AS carrier, size % 3 <> 0 AS active, DATE '1998-01-01' + size AS created, DATE '1998-03-01' + size AS updated, CASE WHEN size % 3 = 0 THEN DATE '1998-04-01' + size WHEN size = 7 THEN DATE '1998-05-01' END AS deleted FROM skus WHERE size < 40),
 t AS (SELECT sku, CASE WHEN size % 7 = 0 THEN [size, size * 2, sku, 1] ELSE [size, size * 2, sku] END AS ring, CASE WHEN size % 5 = 0 THEN 'other' ELSE brand END AS carrier, size % 2 = 0 AS active FROM skus WHERE size > 10),
