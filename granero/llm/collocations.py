@@ -9,7 +9,10 @@ Two passes over the dictionary count phrases. The first counts words and pairs b
 reach ``least`` in one bit table of fixed size. The second counts, by their exact words, only words and phrases whose
 words and pairs are all marked: a phrase is never more frequent than a pair in it. Marks may be shared by hash, which
 only lets some rare phrases be counted too; no frequent one is missed. Each task adds up equal phrases first, so one
-very common pair is a row a task, however often it stands.
+very common pair is one entry a task, however often it stands. Phrases travel in blocks, dealt by hash over shards whose
+number follows the dictionary; a shard's blocks are added up in one group of bounded size.
+
+``least`` is a number and not a share, so in a larger corpus more pairs reach it and the second pass counts more phrases a word.
 
 Defined results: A-Z are lowered, pieces end at ``. , ; : ! ?`` and at ASCII line controls, words at spaces and tabs.
 Null texts have no words; rows without a language count as ``und``. Repeated rows count each. Ties between cuts go
@@ -23,6 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +36,7 @@ from granero.llm.texts import mixed, slices
 
 LONGEST = 5  # words of a phrase
 CHUNK = 32  # words of a chunk, on average
+WORDS_OF_SHARD = 500_000  # of the dictionary, whose frequent phrases are merged in one group
 TABLE_BITS = 27  # of the marks: 16 MB, whatever the input
 _BREAK, _CHUNK_END, _CONTEXT = b"\xff", b"\xfe", b"\xfd"  # never part of UTF-8
 _LOWERED = bytes(255 if chr(k) in ".,;:!?\n\x0b\x0c\r" else 32 if k == 9 else k + 32 if 65 <= k <= 90 else k for k in range(256))
@@ -153,7 +158,7 @@ def _key_batch(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count, pa.int64())], ["key", "times"])
 
 
-def _count_phrases(marks: bytes):
+def _count_phrases(marks: bytes, shards: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(marks, np.uint8)
 
@@ -184,18 +189,37 @@ def _count_phrases(marks: bytes):
                     key = words.langs[words.lang[place]], phrase
                     counts[key] = counts.get(key, 0) + times
             if len(counts) > 300_000:
-                yield _phrase_batch(counts)
+                yield _phrase_batch(counts, shards)
                 counts = {}
         if counts:
-            yield _phrase_batch(counts)
+            yield _phrase_batch(counts, shards)
 
     return run
 
 
-def _phrase_batch(counts: dict[tuple[str, bytes], int]) -> pa.RecordBatch:
-    langs, phrases = zip(*counts)
-    texts = pa.array([phrase.decode() for phrase in phrases], pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), texts, pa.array(counts.values(), pa.int64())], ["lang", "phrase", "times"])
+def _phrase_batch(counts: dict[tuple[str, bytes], int], shards: int) -> pa.RecordBatch:
+    """A block of phrases and their counts for each language and shard."""
+    blocks: dict[tuple[str, int], tuple[list[str], list[int]]] = {}
+    for (lang, phrase), times in counts.items():
+        phrases, numbers = blocks.setdefault((lang, xxhash.xxh3_64_intdigest(phrase) % shards), ([], []))
+        phrases.append(phrase.decode())
+        numbers.append(times)
+    langs, owners = zip(*blocks)
+    phrases, numbers = zip(*blocks.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()), pa.array(owners, pa.int32()), pa.array(phrases, pa.list_(pa.string())), pa.array(numbers, pa.list_(pa.int64()))],
+        ["lang", "shard", "phrases", "numbers"],
+    )
+
+
+def _merge_blocks(least: int):
+    def run(key: tuple[pa.Scalar, ...], blocks: pa.Table) -> pa.Table:
+        rows = pa.table({"phrase": blocks.column("phrases").combine_chunks().flatten(), "times": blocks.column("numbers").combine_chunks().flatten()})
+        sums = rows.group_by("phrase").aggregate([("times", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("times_sum"), least))
+        return pa.table({"lang": pa.repeat(key[0], len(sums)), "phrase": sums.column("phrase"), "times": sums.column("times_sum")})
+
+    return run
 
 
 def _marks(keys: DataFrame, bits: int) -> bytes:
@@ -224,10 +248,13 @@ def frequent_phrases(docs: DataFrame, least: int = 100, scratch: Scratch | None
     read = chunks.select("lang", "chunk", "times")
     counted = read.mapInArrow(_count_hashes, "key long, times long").repartition("key").groupBy("key").agg(F.sum("times").alias("times"))
     marks = _marks(counted.where(F.col("times") >= least), bits)
-    phrases = read.mapInArrow(_count_phrases(marks), "lang string, phrase string, times long")
-    frequent = phrases.groupBy("lang", "phrase").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
+    totals = scratch.save(chunks.groupBy("lang").agg(F.sum(F.col("times") * F.col("size")).alias("n"), F.sum("size").alias("held")))
+    # Shards in proportion to the dictionary, so that one task merges a bounded number of phrases whatever the input.
+    shards = 1 + (totals.agg(F.sum("held")).first()[0] or 0) // WORDS_OF_SHARD
+    blocks = read.mapInArrow(_count_phrases(marks, shards), "lang string, shard int, phrases array<string>, numbers array<long>")
+    frequent = blocks.groupBy("lang", "shard").applyInArrow(_merge_blocks(least), "lang string, phrase string, times long")
     sized = scratch.save(frequent.withColumn("words", F.size(F.split("phrase", " "))))
-    totals = chunks.groupBy("lang").agg(F.sum(F.col("times") * F.col("size")).alias("n"))
+    totals = totals.select("lang", "n")
     return sized, totals
 
 
