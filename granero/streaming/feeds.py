@@ -5,14 +5,17 @@ Every transformation works on a batch frame as well, so each stream has a batch
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from granero.operators.ranking import latest_per_key
+from granero.operators.ranking import first_per_key, latest_per_key
+from granero.session import cut_lineage, drop_tables
 from granero.sources import snapshots
 
 # The source is polled hourly: one late poll on top of the interval.
@@ -129,6 +132,88 @@ def compact_log(spark: SparkSession, path: str, schema: StructType, keys: Sequen
             continue  # a batch arrived in between; it stays beside the compacted files
 
 
+COUNTS = "feed string, batch long, input long, accepted long, repeated long, late long, watermark timestamp"
+
+
+def sorting_sink(path: str, feed: str, schema: StructType, key: str = "id", at: str = "ts", lateness: str = LATENESS) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` sink that loses nothing: every row is accepted, repeated or late, and counted as such.
+
+    A row is late if its time lies more than ``lateness`` before the latest one of earlier batches, or is missing; late
+    rows go to the table ``late``. Others are accepted once for each ``key`` among what was accepted since ``lateness``
+    before that limit, as ``unique_movements`` does, and go to ``accepted``. ``counts`` has one row a batch, which also
+    carries the limit for the next. All three are snapshot tables whose files bear the batch's name, so a replay after a
+    failure at any point replaces exactly its own rows. The stream itself needs no watermark.
+    """
+    counts_schema = StructType.fromDDL(COUNTS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, f"{feed}/{batch_id}"
+        rows = cut_lineage(batch.select(*schema.fieldNames()))
+        try:
+            earlier = snapshots.read(spark, f"{path}/counts", counts_schema).where((F.col("feed") == feed) & (F.col("batch") < batch_id))
+            limits = earlier.agg(F.max("watermark").alias("limit"), (F.max("watermark") - F.expr(f"INTERVAL {lateness}")).cast("string").alias("horizon")).first()
+            limit = F.lit(limits["limit"]).cast("timestamp")
+            behind = F.col(at).isNull() | F.coalesce(F.col(at) < limit, F.lit(False))
+            timely = first_per_key(rows.where(~behind), [key], [F.col(at).asc(), F.xxhash64(*rows.columns).asc()])
+            known = [
+                one for one in snapshots.snapshot(spark, f"{path}/accepted").files
+                if not _is_from(one.batch, feed, batch_id) and (limits["horizon"] is None or one.high is None or one.high >= limits["horizon"])
+            ]
+            remembered = snapshots.read_files(spark, f"{path}/accepted", schema, known)
+            if limits["horizon"] is not None:
+                remembered = remembered.where(F.col(at) >= F.lit(limits["horizon"]).cast("timestamp"))
+            seen = remembered.select(F.col(key).alias("_seen"))
+            accepted = cut_lineage(timely.join(seen, F.col(key).eqNullSafe(F.col("_seen")), "left_anti"))
+            snapshots.append(rows.where(behind), f"{path}/late", [at], name)
+            snapshots.append(accepted, f"{path}/accepted", [at], name)
+            newest = F.greatest(F.max(at) - F.expr(f"INTERVAL {lateness}"), limit)
+            sizes = rows.agg(F.count("*").alias("input"), F.count_if(behind).alias("late"), newest.alias("watermark"))
+            taken = accepted.agg(F.count("*").alias("accepted"))
+            counted = sizes.crossJoin(taken).select(
+                F.lit(feed).alias("feed"), F.lit(batch_id).cast("long").alias("batch"), "input", "accepted",
+                (F.col("input") - F.col("late") - F.col("accepted")).alias("repeated"), "late", "watermark",
+            )
+            snapshots.append(counted, f"{path}/counts", ["feed", "batch"], name)
+            drop_tables(accepted)
+        finally:
+            drop_tables(rows)
+
+    return write
+
+
+def _is_from(name: str, feed: str, batch_id: int) -> bool:
+    """Whether a file's batch is this one of the feed or a later one, written before a restart."""
+    own, _, number = name.rpartition("/")
+    return own == feed and int(number) >= batch_id
+
+
+def latest_by_state(changes: DataFrame, key: str, version: str, at: str = "ts", keep_minutes: int = 30 * 24 * 60) -> DataFrame:
+    """Newest change per key from keyed state: a row leaves when its key has a larger ``version`` than ever before.
+
+    The state holds one number a key. A timer forgets a key ``keep_minutes`` after its last change, as the watermark
+    counts, so the state's size is that of the active keys. A forgotten key starts anew: write to a sink that keeps the
+    largest version. Rows without a version are left out. ``changes`` streams with a watermark on ``at``.
+    """
+
+    def advance(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        newest, seen = None, state.getCurrentWatermarkMs()
+        for frame in frames:
+            row = frame.loc[[frame[version].idxmax()]]
+            if newest is None or row[version].iloc[0] > newest[version].iloc[0]:
+                newest = row
+            seen = max(seen, int(frame[at].max().timestamp() * 1000))
+        if not state.exists or newest[version].iloc[0] > state.get[0]:
+            state.update((int(newest[version].iloc[0]),))
+            yield newest
+        state.setTimeoutTimestamp(seen + keep_minutes * 60_000)
+
+    known = changes.where(F.col(version).isNotNull() & F.col(at).isNotNull())
+    return known.groupBy(key).applyInPandasWithState(advance, changes.schema, "version long", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def run_available(
     stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
     mode: str = "append", partitions: int | None = None,

@@ -3,6 +3,7 @@
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from granero.functions import dates
 from granero.operators.merge import merge_files
@@ -522,6 +523,33 @@ def _(moves, folder):
     return streaming.merged_rows(spark, f"{work}/table", shaped.schema, ["item"], ["id"])
 
 
+@query("t04_keyed_state_stream", "moves folder", "SELECT item, id, kind FROM moves QUALIFY row_number() OVER (PARTITION BY item ORDER BY id DESC) = 1")
+def _(moves, folder):
+    """Latest states from keyed state with timers; the log keeps the newest state that left it."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+    track(spark, work)
+    feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"])
+    shaped = feed_.select("ts", F.col("user_id").alias("item"), F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    latest = streaming.latest_by_state(shaped, "item", "id")
+    sink = streaming.snapshot_log(f"{work}/table", "events", ["item"])
+    streaming.run_available(latest, f"{work}/checkpoint", sink=sink, mode="update", partitions=spark.sparkContext.defaultParallelism)
+    return streaming.snapshot_rows(spark, f"{work}/table", shaped.schema, ["item"], ["id"]).drop("ts")
+
+
+@query("t05_sorted_feed_stream", "moves folder", """
+WITH a AS (SELECT count(*) AS n FROM moves) SELECT 'first' AS feed, n AS input, n AS accepted, 0::BIGINT AS repeated, 0::BIGINT AS late FROM a
+UNION ALL SELECT 'again', n, 0, n, 0 FROM a""")
+def _(moves, folder):
+    """A feed and its repetition: every row is counted as accepted, repeated or late."""
+    spark, work = moves.sparkSession, f"{shared_folder(moves.sparkSession)}/stream-{uuid.uuid4().hex}"
+    track(spark, work)
+    feed_ = streaming.open_feed(spark, f"{folder}/events.parquet*", TABLES["events"]).select(F.col("event_id").alias("id"), "ts", F.col("event_type").alias("kind"))
+    for name in ("first", "again"):
+        streaming.run_available(feed_, f"{work}/{name}", sink=streaming.sorting_sink(f"{work}/table", name, feed_.schema))
+    counted = snapshots.read(spark, f"{work}/table/counts", StructType.fromDDL(streaming.COUNTS))
+    return counted.groupBy("feed").agg(*[F.sum(c).alias(c) for c in ("input", "accepted", "repeated", "late")])
+
+
 @query("t05_late_and_repeated_stream", "moves folder", "SELECT kind, count(*) AS movements, SUM(amount)::BIGINT AS amount FROM moves GROUP BY 1")
 def _(moves, folder):
     """Two running feeds of the same movements: each id is counted once."""
