@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granero.functions import dates, geo, keys, numbers
 from granero.operators import joins, merge, ranking, sets
 from granero.session import shared_folder, track
-from granero.sources import scans, snapshots
+from granero.sources import publisher, scans, snapshots
 from granero.suite.registry import query
 
 DAY = "1998-06-15"
@@ -78,6 +78,19 @@ def _(stores, sales):
     return scans.payload_chunks(rows, "district", [F.col("sku")], ["sku"], 500)
 
 
+@query("s14_published_payloads", "stores sales", """
+WITH s AS (SELECT DISTINCT district, sku FROM sales JOIN stores USING (store_id)),
+n AS (SELECT *, (row_number() OVER (PARTITION BY district ORDER BY sku) - 1) // 500 AS chunk FROM s)
+SELECT district::VARCHAR AS key, chunk, '[' || string_agg('{"sku":' || sku || '}', ',' ORDER BY sku) || ']' AS payload FROM n GROUP BY 1, 2, district""")
+def _(stores, sales):
+    """The payloads as a publisher has received them: written by tasks, committed together, read back."""
+    rows = sales.join(stores, "store_id").select("district", "sku").distinct()
+    path = f"{shared_folder(sales.sparkSession)}/granero-{uuid.uuid4().hex}"
+    track(sales.sparkSession, path)
+    publisher.publish(scans.payload_chunks(rows, "district", [F.col("sku")], ["sku"], 500).withColumnRenamed("district", "key"), path)
+    return publisher.published(sales.sparkSession, path)
+
+
 # ---------------------------------------------------------------- projection and filters
 
 _FILTERS = {
