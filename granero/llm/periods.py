@@ -251,7 +251,9 @@ def periodic_runs(
     rest = ["row", "doc_id", "tiled", "stride", "anchor", "boundaries", "base", "words"]
     saved = scratch.save(scanned.select(*rest, F.when(F.col("tiled"), F.col("collapsed")).alias("collapsed"), *finished))
     pieces = saved.where("words IS NOT NULL").select("row", "stride", "anchor", "boundaries", "base", "words")
-    dealt = pieces.repartition(F.xxhash64("row", "stride", "base"))
+    # Solving costs far more than the tiles' bytes say, so their tasks are not joined by size.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = pieces.repartition(tasks, F.xxhash64("row", "stride", "base"))
     runs = stitch(dealt.mapInArrow(_solve(least), FRAGMENT_SCHEMA), least)
     open_ones = saved.where("tiled").select("row", "doc_id", "collapsed").join(runs, "row", "left")
     open_ones = open_ones.withColumn("runs", F.coalesce("runs", F.array().cast(RUNS_TYPE))).select("doc_id", "runs", "collapsed")
