@@ -87,6 +87,20 @@ def validity_join(
     return joined.select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"r._rule.{c}").alias(c) for c in extra])
 
 
+def rate_join(
+    facts: DataFrame, rates: DataFrame, keys: Sequence[str], at: str, valid_from: str, valid_to: str, how: str = "inner",
+) -> DataFrame:
+    """``validity_join`` for short lists: tariffs and factors, of which a key has a handful of periods.
+
+    Every fact meets all periods of its key and dates are tested row by row, without bins and gaps to prepare.
+    """
+    f, r = facts.alias("f"), rates.alias("r")
+    same = reduce(lambda a, b: a & b, [F.col(f"f.{k}") == F.col(f"r.{k}") for k in keys])
+    valid = F.col(f"f.{at}").between(F.col(f"r.{valid_from}"), F.coalesce(F.col(f"r.{valid_to}"), F.lit(OPEN_END).cast("date")))
+    extra = [c for c in rates.columns if c not in keys and c not in facts.columns]
+    return f.join(r, same & valid, how).select("f.*", *[F.col(f"r.{c}") for c in extra])
+
+
 def expand_days(intervals: DataFrame, start: Column, end: Column, name: str = "day") -> DataFrame:
     """One row per day of each interval, turning a range join into an equi join."""
     return intervals.where(start <= end).withColumn(name, F.explode(F.sequence(start, end)))

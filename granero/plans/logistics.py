@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granero.functions.dates import as_date
 from granero.functions.geo import haversine_km
 from granero.functions.numbers import ratio
-from granero.operators.joins import validity_join
+from granero.operators.joins import rate_join
 from granero.operators.ranking import latest_per_key
 from granero.operators.sets import packed_list
 
@@ -45,7 +45,7 @@ def order_cost_base(
         })
     )
     dated = factors.where("operator <> 'default'").withColumnRenamed("factor", "_dated")
-    matched = validity_join(base, dated, ["operator"], "delivery_day", "from_day", "to_day", "left")
+    matched = rate_join(base, dated, ["operator"], "delivery_day", "from_day", "to_day", "left")
     fallback = factors.where("operator = 'default'").agg(F.max("factor")).scalar()
     km = F.round(F.coalesce("_dated", fallback) * F.col("metres") / 1000, 1)
     return matched.withColumn("km", km).drop("_dated", "from_day", "to_day")
@@ -83,7 +83,7 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
     totals = today.groupBy(*group, "guarantee", "shared", own.alias("_own"), crew.alias("_crew")).agg(
         F.sum("cost").alias("_cost"), F.min("headcount").alias("headcount"), packed_list(F.col("carrier"), ", ").alias("_list")
     )
-    rated = validity_join(totals, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
+    rated = rate_join(totals, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
     paid = F.col("_cost") * F.coalesce("pay", F.lit(1))
     floor = F.col("headcount") * F.col("guarantee") * F.coalesce("guarantee_factor", F.lit(1))
     together = F.col("shared") == 1
@@ -99,8 +99,8 @@ def guarantee_topup(costs: DataFrame, factors: DataFrame, forecast: DataFrame, t
         F.max("carrier").alias("carrier"), F.min("headcount").alias("headcount"),
     )
     dated = tariffs.select("carrier", "guarantee", F.col("from_day").alias("_from"), F.col("to_day").alias("_to"))
-    priced = validity_join(idle, dated, ["carrier"], "delivery_day", "_from", "_to", "left")
-    rated = validity_join(priced, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
+    priced = rate_join(idle, dated, ["carrier"], "delivery_day", "_from", "_to", "left")
+    rated = rate_join(priced, rates, ["operator", "model"], "delivery_day", "from_day", "to_day", "left")
     minimum = F.col("headcount") * F.coalesce("guarantee", F.lit(0)) * F.coalesce("guarantee_factor", F.lit(1))
     empty = rated.select(
         *group, F.when(F.col("_shared") != 1, text).alias("carrier"), F.when(F.col("_shared") == 1, F.col("_list")).alias("carriers"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from granero.functions import dates
 from granero.plans import logistics
 from granero.plans import margin as plan
+from granero.session import cut_lineage
 from granero.suite.registry import feed, query
 
 DAY = "1998-06-15"
@@ -188,9 +189,10 @@ s2 AS (SELECT store_id, model, operator, guarantee, carrier, headcount AS h, SUM
 s3 AS (SELECT store_id, model, operator, MAX(shared) AS sh, string_agg(DISTINCT carrier::VARCHAR, ', ' ORDER BY carrier::VARCHAR) AS l, MAX(carrier) AS carrier, MIN(headcount) AS h FROM staffed f WHERE headcount > 0 AND NOT EXISTS (SELECT 1 FROM t WHERE t.store_id = f.store_id AND t.model = f.model AND t.operator = f.operator) GROUP BY 1, 2, 3)
 SELECT s1.store_id, s1.model, s1.operator, NULL::VARCHAR AS carrier, l AS carriers, c * coalesce(pay, 1) AS paid, h * guarantee * coalesce(guarantee_factor, 1) AS minimum, greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0) AS topup, 'duplicado' AS source FROM s1 LEFT JOIN r ON r.operator = s1.operator AND r.model = s1.model
 UNION ALL SELECT s2.store_id, s2.model, s2.operator, carrier::VARCHAR, NULL, c * coalesce(pay, 1), h * guarantee * coalesce(guarantee_factor, 1), greatest(h * guarantee * coalesce(guarantee_factor, 1) - c * coalesce(pay, 1), 0), 'no_duplicado' FROM s2 LEFT JOIN r ON r.operator = s2.operator AND r.model = s2.model
-UNION ALL SELECT s3.store_id, s3.model, s3.operator, CASE WHEN sh <> 1 THEN s3.carrier::VARCHAR END, CASE WHEN sh = 1 THEN l END, 0, h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), 'sin_pedido' FROM s3 LEFT JOIN carriers c ON c.carrier = s3.carrier LEFT JOIN r ON r.operator = s3.operator AND r.model = s3.model""", prepared="lines")
+UNION ALL SELECT s3.store_id, s3.model, s3.operator, CASE WHEN sh <> 1 THEN s3.carrier::VARCHAR END, CASE WHEN sh = 1 THEN l END, 0, h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), h * coalesce(guarantee, 0) * coalesce(guarantee_factor, 1), 'sin_pedido' FROM s3 LEFT JOIN carriers c ON c.carrier = s3.carrier LEFT JOIN r ON r.operator = s3.operator AND r.model = s3.model""", prepared="lines staffed")
 def _(baskets, dispatches, carriers, changes, factors, staffed):
-    costs = _costs(baskets, dispatches, carriers, changes, factors, staffed).withColumn("delivery_day", F.lit(DAY).cast("date"))
+    # The costs are read twice, and are small beside what they are made from.
+    costs = cut_lineage(_costs(baskets, dispatches, carriers, changes, factors, staffed).withColumn("delivery_day", F.lit(DAY).cast("date")))
     plans = staffed.withColumn("day", F.lit(DAY).cast("date"))
     tariffs = _tariffs(carriers).selectExpr("carrier", "guarantee", "DATE'1994-01-01' AS from_day", "CAST(NULL AS DATE) AS to_day")
     expired = carriers.selectExpr("carrier", "guarantee + 5 AS guarantee", "DATE'1990-01-01' AS from_day", "DATE'1993-12-31' AS to_day")
@@ -205,8 +207,9 @@ gr AS (SELECT DISTINCT store_id, operator FROM base WHERE carrier IS NOT NULL),
 SELECT '1998-06-15' AS delivery_day, gr.store_id, gr.operator, 1.08::DOUBLE * b / 30 AS coordinator, b * 2 / 30 AS fixed, overweight FROM gr LEFT JOIN k ON k.district = gr.store_id LEFT JOIN sc ON sc.store_id = gr.store_id AND sc.operator = gr.operator""", prepared="lines")
 def _(baskets, dispatches, carriers, changes, factors, staffed, lines, stores):
     day = F.lit(DAY).cast("date")
-    base = _base(baskets, dispatches, carriers, changes, factors).where("carrier IS NOT NULL").withColumn("delivery_day", day)
-    costs = _costs(baskets, dispatches, carriers, changes, factors, staffed).withColumn("delivery_day", day)
+    whole = cut_lineage(_base(baskets, dispatches, carriers, changes, factors))
+    base = whole.where("carrier IS NOT NULL").withColumn("delivery_day", day)
+    costs = logistics.picking_costs(whole.withColumn("km", F.round("km")), _tariffs(carriers), staffed).withColumn("delivery_day", day)
     loads = lines.select("order_id", (F.col("asked") * 900).alias("grams"), (F.col("asked") * 5).alias("litres"))
     rates = stores.groupBy(F.col("district").alias("store_id")).agg(F.max("balance").alias("b"))
     keyed = carriers.select("store_id", "operator").distinct().join(rates, "store_id")

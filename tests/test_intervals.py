@@ -47,6 +47,13 @@ def test_equals_loops(spark, how):
         assert sorted(((r.id, r.rule) for r in got.collect()), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_short_lists_give_the_same_rows(spark, how):
+    f, r = frames(spark, *made(random.Random(8), 7, 60, 300))
+    both = [sorted(map(str, join(f, r, ["key"], "at", "a", "z", how).collect())) for join in (joins.validity_join, joins.rate_join)]
+    assert both[0] == both[1] and len(both[0]) > 250
+
+
 def test_two_keys_repeated_facts_and_rules_without_values(spark):
     facts = spark.createDataFrame([(1, "x", day(5))] * 3 + [(1, "y", day(5)), (1, None, day(5))], "k long, s string, at date")
     rules = spark.createDataFrame([(1, "x", day(0), day(9)), (1, "x", day(5), None)], "k long, s string, a date, z date")
