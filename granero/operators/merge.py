@@ -136,22 +136,23 @@ class Merged:
 
 def merge_files(
     spark: SparkSession, path: str, schema: StructType, updates: DataFrame, keys: Sequence[str], version: Sequence[str] = (),
-    null_safe: bool = False, attempts: int = 3,
+    null_safe: bool = False, attempts: int = 3, doomed: DataFrame | None = None,
 ) -> Merged:
     """Merge into a snapshot table (``sources.snapshots``) by replacing only the files that hold an incoming key.
 
     Rows equal those of ``merge_upsert``, or with ``null_safe`` of ``delete_then_insert`` (incoming keys may then repeat or be
-    NULL). Readers see the version before or after, never a mixture. ``updates`` is written once before it is read
+    NULL); the rows that go are those with an incoming key, or with a key of ``doomed``. Readers see the version before or after, never a mixture. ``updates`` is written once before it is read
     several times. Where another writer was faster, files are looked up again in its version, up to ``attempts`` times.
     """
     if not null_safe:
         updates = latest_per_key(updates, keys, *version) if version else _unique(updates, keys)
     ready = cut_lineage(updates.select(*schema.fieldNames()))
+    doomed = (ready if doomed is None else doomed).select(*keys).distinct()
     try:
         for attempt in range(attempts):
             before = snapshots.snapshot(spark, path)
-            old = snapshots.touched(spark, path, schema, before.files, ready, keys, null_safe)
-            held, doomed = snapshots.read_files(spark, path, schema, old), ready.select(*keys).distinct()
+            old = snapshots.touched(spark, path, schema, before.files, doomed, keys, null_safe)
+            held = snapshots.read_files(spark, path, schema, old)
             kept = held.join(doomed, snapshots.same_keys(held, doomed, keys, null_safe), "left_anti")
             fresh = snapshots.write_files(kept.unionByName(ready), path, keys)
             names = {one.name for one in old}

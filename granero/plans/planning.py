@@ -120,13 +120,15 @@ def last_windows(promotions: DataFrame, as_of, days: int, mechanics: Sequence[in
 def promo_safety_stock(promoted: DataFrame, windows: DataFrame, sales: DataFrame, as_of, days: int = 15) -> DataFrame:
     """Mean daily sale of the last promotion (rounded up, at least 2), else the recent maximum.
 
-    Then halved, floored at 2, rounded up, capped at 100 and halved again, in that order.
+    Then halved, floored at 2, rounded up, capped at 100 and halved again, in that order. ``sales`` may be daily sums,
+    with the largest line in ``most``.
     """
+    largest = "most" if "most" in sales.columns else "units"
     span = F.datediff("end_day", "start_day")
     wanted = sales.join(promoted.select("sku").distinct(), "sku", "left_semi")
     during = validity_join(wanted, windows, ["sku"], "day", "start_day", "end_day")
     mean = during.groupBy(*PAIR).agg(F.ceil(ratio(F.sum("units"), F.max(span))).alias("mean"))
-    most = wanted.where(F.col("day") >= F.date_sub(as_date(as_of), days)).groupBy(*PAIR).agg(F.max("units").alias("most"))
+    most = wanted.where(F.col("day") >= F.date_sub(as_date(as_of), days)).groupBy(*PAIR).agg(F.max(largest).alias("most"))
     start = F.when(F.col("mean").isNull(), F.col("most")).otherwise(F.greatest(F.col("mean"), F.lit(2))).cast("double")
     halved = F.ceil(F.greatest(start * 0.5, F.lit(2.0)))
     return most.join(mean, PAIR, "left").select(*PAIR, (F.least(halved, F.lit(100)) * 0.5).alias("safety_stock"))

@@ -1,9 +1,14 @@
 """Fulfilment queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from granero.plans import daily
 from granero.plans import fulfilment as plan
-from granero.suite.registry import feed, query
+from granero.session import shared_folder, track
+from granero.sources import snapshots
+from granero.suite.registry import QUERIES, feed, query
 
 NOW = "1998-06-15 13:10:00"
 MEAT = ("PROMO",)
@@ -86,6 +91,34 @@ def _(sales, baskets, lines, weights, skus, dispatches, changes):
     )
 
 
+@query("d07_store_board_refresh", "sales baskets lines weights skus dispatches changes", QUERIES["d07_store_board"].oracle, prepared="lines")
+def _(sales, baskets, lines, weights, skus, dispatches, changes):
+    """A board made before a week's open orders came in, then refreshed on their days only."""
+    spark = baskets.sparkSession
+    path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
+    track(spark, path)
+    known = baskets.where("NOT (status = 'P' AND day BETWEEN DATE'1998-06-08' AND DATE'1998-06-15')")
+
+    def board(orders, floor):
+        owner = orders.select("order_id", F.col("store_id").cast("int").alias("store_id"), "day")
+        own = lines.join(owner.select("order_id"), "order_id", "left_semi")
+        return plan.store_board(
+            sales.drop("store_id", "day").join(owner, "order_id"),
+            _states(own, weights, skus).drop("store_id", "day").join(owner, "order_id"),
+            plan.promise_codes(dispatches, orders, changes, NOW).join(owner, "order_id"),
+            floor.withColumn("store_id", F.col("store_id").cast("int")),
+        )
+
+    first = board(known, sales)
+    daily.create(first, path, ["store_id", "day"])
+    arrived = baskets.join(known, "order_id", "left_anti").select("order_id")
+    daily.refresh_days(
+        spark, path, first.schema, daily.days_of(arrived, "order_id", known, baskets),
+        lambda days: board(baskets.where(F.col("day").isin(days)), sales.where(F.col("day").isin(days))),
+    )
+    return snapshots.read(spark, path, first.schema)
+
+
 @query("d09_stockout_ranking", "lines baskets stores", """
 WITH t AS (SELECT b.store_id, sku, SUM(asked - picked)::BIGINT AS missing_units, count(DISTINCT order_id) AS affected_orders
   FROM lines JOIN baskets b USING (order_id) WHERE asked > picked AND b.day + 1 >= DATE '1998-06-15' - 400 AND b.status <> 'P' AND b.store_id IN (SELECT store_id FROM stores WHERE status = 1) GROUP BY 1, 2),

@@ -1,12 +1,18 @@
 """Calendar, forecasting and planning queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from granero.functions import dates
 from granero.functions.keys import normal_unit
 from granero.plans import calendar as calendar_plan
+from granero.plans import daily
 from granero.plans import planning as plan
 from granero.plans.promotions import SUPPLY_MECHANICS
-from granero.suite.registry import feed, query
+from granero.session import shared_folder, track
+from granero.sources import snapshots
+from granero.suite.registry import QUERIES, feed, query
 
 
 @query("d60_relative_calendar", "baskets", """
@@ -148,6 +154,49 @@ def _(sales):
     return plan.statistical_limits(sales, DAY, 45)
 
 
+def _daily(sales):
+    """Daily sums of all sales as a table, in which the days of returned products were missing first and were refreshed."""
+    spark = sales.sparkSession
+    path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
+    track(spark, path)
+    first = daily.daily_sales(sales.where("NOT (flag = 'R' AND day BETWEEN DATE'1998-05-01' AND DATE'1998-05-31')"))
+    daily.create(first, path, daily.KEY)
+    late = sales.where("flag = 'R' AND day BETWEEN DATE'1998-05-01' AND DATE'1998-05-31'").select("day").distinct()
+    daily.refresh_days(spark, path, first.schema, late, lambda days: daily.daily_sales(sales.where(F.col("day").isin(days))))
+    return snapshots.read(spark, path, first.schema)
+
+
+_BY_LINE = {name: QUERIES[name].oracle for name in ("d34_supply_forecast", "d93_promo_safety_stock", "d105_comparable_mean", "d44_weekday_profile")}
+
+
+@query("d34_from_daily", "promos sales", _BY_LINE["d34_supply_forecast"])
+def _(promos, sales):
+    return plan.supply_forecast(promos.where("type IN (1, 4)"), _windows(promos), _daily(sales), "1998-07-25")
+
+
+@query("d93_from_daily", "promos sales", _BY_LINE["d93_promo_safety_stock"])
+def _(promos, sales):
+    return plan.promo_safety_stock(promos.where("type IN (1, 4)"), _windows(promos), _daily(sales), "1998-07-25")
+
+
+@query("d105_from_daily", "sales", _BY_LINE["d105_comparable_mean"])
+def _(sales):
+    return plan.comparable_mean(_daily(sales), DAY)
+
+
+@query("d44_from_daily", "sales", _BY_LINE["d44_weekday_profile"])
+def _(sales):
+    return plan.weekday_profile(_daily(sales))
+
+
+@query("d87_from_daily", "sales", """
+SELECT sku, round(AVG(units)) AS mean_units, round(stddev_pop(units), 6) AS deviation FROM sales WHERE day >= DATE '1998-06-15' - 30 GROUP BY 1""")
+def _(sales):
+    """Means and deviations of single lines, from daily sums."""
+    recent = _daily(sales).where(F.col("day") >= F.date_sub(dates.as_date(DAY), 30))
+    return recent.groupBy("sku").agg(F.round(F.sum("units") / F.sum("lines")).alias("mean_units"), F.round(daily.line_deviation(), 6).alias("deviation"))
+
+
 feed("inventory", ["lineitem"], """
 SELECT l_partkey AS sku, CAST(l_quantity AS BIGINT) AS stock, CASE l_returnflag WHEN 'A' THEN 'Zone MANUAL 1' WHEN 'N' THEN 'osr rack' ELSE CASE l_linestatus WHEN 'O' THEN 'DYNAMIC' ELSE 'yard' END END AS area,
  l_orderkey AS unit, CASE CAST(l_linenumber % 4 AS INT) WHEN 0 THEN 1.0 WHEN 1 THEN 0.5 WHEN 2 THEN 0.25 ELSE 0.125 END AS share FROM lineitem""")
