@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _TABLES: dict[str, SparkSession] = {}
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def _files_of(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at ``path``, which change when its content does."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    found = [one for status in listed or [] for one in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(status.getPath())]
+    return tuple(sorted((one.getPath().toString(), one.getLen(), one.getModificationTime()) for one in found))
+
+
+def shared_table(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from files, written once for all queries of the application that read it.
+
+    It is made anew when its ``sources`` have changed, and stays when ``drop_tables`` is called without frames, until
+    the driver ends.
+    """
+    key = (spark.sparkContext.applicationId, name, *(_files_of(spark, path) for path in sources))
+    if key not in _SHARED:
+        for old in [k for k in _SHARED if k[:2] == key[:2] and k[0] == spark.sparkContext.applicationId]:
+            drop_tables(_SHARED.pop(old))
+        _SHARED[key] = cut_lineage(build())
+    return _SHARED[key]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -89,9 +113,11 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def drop_tables(*frames: DataFrame) -> None:
-    """Remove tables that ``cut_lineage`` wrote: of these frames, or all there are."""
-    for path in [frame._granero_path for frame in frames] or list(_TABLES):
-        remove(_TABLES[path], path)
+    """Remove tables that ``cut_lineage`` wrote: of these frames, or all there are but the shared ones."""
+    kept = {frame._granero_path for frame in _SHARED.values()}
+    for path in [frame._granero_path for frame in frames] or [path for path in _TABLES if path not in kept]:
+        if path in _TABLES:
+            remove(_TABLES[path], path)
 
 
 @atexit.register
@@ -99,5 +125,6 @@ def _drop_at_exit() -> None:
     for path, spark in list(_TABLES.items()):
         if spark.sparkContext._jsc is None:  # stopped before
             _TABLES.pop(path)
+    _SHARED.clear()
     if _TABLES:
         drop_tables()

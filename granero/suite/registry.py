@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granero.schemas import TABLES, table
-from granero.session import configure, cut_lineage
+from granero.session import configure, cut_lineage, shared_table
 
+# Feeds that many queries read and that cost a shuffle of their own: written once for each folder and application.
+SHARED = ("lines",)
 FEEDS: dict[str, tuple[tuple[str, ...], str]] = {}
 QUERIES: dict[str, Query] = {}
 
@@ -65,12 +67,26 @@ def frame(spark: SparkSession, folder: str, name: str, ready: dict[str, DataFram
         return ready[name]
     if name in TABLES:
         return table(spark, folder, name)
+    if name in SHARED:
+        tables = [f"{folder}/{one}.parquet" for one in _tables_of(name)]
+        return shared_table(spark, f"{folder} {name}", tables, lambda: _shaped(spark, folder, name, ready))
+    return _shaped(spark, folder, name, ready)
+
+
+def _shaped(spark: SparkSession, folder: str, name: str, ready: dict[str, DataFrame] | None) -> DataFrame:
     sources, sql = FEEDS[name]
     for source in sources:
         frame(spark, folder, source, ready).createOrReplaceTempView(source)
     return spark.sql(sql)
 
 
+def _tables_of(name: str) -> list[str]:
+    """The driver tables behind a feed."""
+    if name in TABLES:
+        return [name]
+    return sorted({table for source in FEEDS[name][0] for table in _tables_of(source)})
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, decimals as doubles: types every result reader shares."""
     columns = []
@@ -88,7 +104,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def run(entry: Query, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
-    ready = {name: cut_lineage(frame(spark, folder, name)) for name in entry.prepared}
+    ready = {name: cut_lineage(frame(spark, folder, name)) for name in entry.prepared if name not in SHARED}
     frames = {name: folder if name == "folder" else frame(spark, folder, name, ready) for name in entry.feeds}
     return plain(entry.build(**frames))
 

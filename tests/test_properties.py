@@ -88,3 +88,23 @@ def test_tables_are_removed(spark):
     assert saved._granero_path not in session._TABLES
     with pytest.raises(Exception):
         saved.collect()
+
+
+def test_a_shared_table_is_written_once_until_its_sources_change(spark, tmp_path):
+    from granero import session
+
+    source, made = str(tmp_path / "source.parquet"), []
+
+    def build():
+        made.append(1)
+        return spark.read.parquet(source)
+
+    def rows():
+        return session.shared_table(spark, "test", [source], build).count()
+
+    spark.range(3).write.parquet(source)
+    assert rows() == rows() == 3 and len(made) == 1
+    session.drop_tables()
+    assert rows() == 3 and len(made) == 1
+    spark.range(4).write.mode("append").parquet(source)
+    assert rows() == 7 and len(made) == 2
