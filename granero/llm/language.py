@@ -130,6 +130,21 @@ class Model:
         return names.tolist(), score
 
 
+def choose(rows: DataFrame, per_language: int, scratch: Scratch) -> DataFrame:
+    """(lang, family, _order, _tie, kind): the rows to learn from, chosen by hash alone before any text travels.
+
+    Kind ``lang`` has up to ``per_language`` rows of each language. Kind ``family`` has as many of each family, taken from
+    those in turns: the first of every language, then the second, and so on, so a rare language has an equal share.
+    """
+    inside = Window.partitionBy("lang").orderBy("_order", "_tie")
+    of_lang = rows.drop("text").distinct().withColumn("_n", F.row_number().over(inside)).where(F.col("_n") <= per_language)
+    own = scratch.save(of_lang, narrow=True)  # so many rows a language
+    turns = Window.partitionBy("family").orderBy("_n", "_order", "_tie", "lang")
+    of_family = own.withColumn("_turn", F.row_number().over(turns)).where(F.col("_turn") <= per_language).drop("_turn")
+    both = own.withColumn("kind", F.lit("lang")).unionByName(of_family.withColumn("kind", F.lit("family")))
+    return scratch.hinted(scratch.save(both.drop("_n"), narrow=True))
+
+
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Machines from at most ``per_language`` rows of each language (and of each family, for those between families)."""
     from granero.llm.linear import fit_svm
@@ -141,14 +156,7 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
     )
     rows = rows.where(F.col("text").rlike("\\p{L}")).withColumn("family", F.coalesce(family_of[F.col("lang")], F.lit("other")))
 
-    def first(kind: str) -> DataFrame:
-        window = Window.partitionBy(kind).orderBy("_order", "_tie")
-        numbered = rows.drop("text").withColumn("_n", F.row_number().over(window))
-        return numbered.where(F.col("_n") <= per_language).drop("_n").withColumn("kind", F.lit(kind))
-
-    # Rows are chosen by hash alone; only then do the chosen ones' texts travel.
-    scratch = Scratch(labelled.sparkSession)
-    chosen = scratch.hinted(scratch.save(first("lang").unionByName(first("family")).distinct(), narrow=True))
+    chosen = choose(rows, per_language, Scratch(labelled.sparkSession))
     sample = rows.drop("family").join(chosen, ["lang", "_order", "_tie"])
     found = [tuple(row) for row in chosen.select("family", "lang").distinct().collect()]  # languages, not rows
     families: dict[str, list[str]] = {}

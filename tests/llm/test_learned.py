@@ -47,6 +47,20 @@ def test_language_three_in_a_family(spark):
     assert got == {d: lang for d, _, lang in rows}
 
 
+def test_a_rare_language_has_an_equal_share_of_its_family(spark):
+    from granero.llm.scratch import Scratch
+
+    rows = spark.sql("""SELECT lang, 'x' AS text, xxhash64(id) AS _order, id AS _tie, family FROM (
+        SELECT id, CASE WHEN id % 1000 = 0 THEN 'fr' WHEN id % 1000 < 3 THEN 'pt' ELSE 'es' END AS lang, 'romance' AS family FROM range(20000)
+        UNION ALL SELECT id, 'en', 'germanic' FROM range(30))""")
+    chosen = language.choose(rows, 100, Scratch(spark))
+    counts = {(r.kind, r.lang): r["count"] for r in chosen.groupBy("kind", "lang").count().collect()}
+    assert counts == {
+        ("lang", "fr"): 20, ("lang", "pt"): 40, ("lang", "es"): 100, ("lang", "en"): 30,
+        ("family", "fr"): 20, ("family", "pt"): 40, ("family", "es"): 40, ("family", "en"): 30,
+    }
+
+
 def test_features_ignore_everything_between_words():
     one, two = language.features(pa.array(["Two WORDS", " two,\n12 words! "]))[0]
     assert abs(one - two).max() < 1e-6 or one @ two > 0.9
