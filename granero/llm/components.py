@@ -1,4 +1,9 @@
-"""Connected components by contraction: joins and grouped minima only, whatever the shape of a component."""
+"""Connected components by contraction: joins and grouped minima only, whatever the shape of a component.
+
+Defined results: a node without links keeps its own name. Repeated links and links of a node with itself change nothing;
+links with a null end are left out by the comparison of their ends. Of equal rows in ``labels`` each is kept. Without links
+the labels stay as they are, and an empty table of labels stays empty. Columns other than the named ones are not read.
+"""
 
 from __future__ import annotations
 

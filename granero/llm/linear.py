@@ -1,4 +1,8 @@
-"""A linear support vector machine on a bounded sample, by dual coordinate descent."""
+"""A linear support vector machine on a bounded sample, by dual coordinate descent.
+
+Defined results: an empty sample gives zero weights, a sample of one class a machine that always answers it. Repeated rows weigh
+as often as they stand. Features must be finite numbers.
+"""
 
 from __future__ import annotations
 
