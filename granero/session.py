@@ -19,16 +19,34 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Sort-merge joins turn into hash joins at run time when every build partition is below this size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Stored columns of numbers are small: in a task's memory they take 10 to 30 times their bytes in a file or shuffle.
+    "spark.sql.files.maxPartitionBytes": "32MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
+SHUFFLE_SHARE = 4 << 20  # bytes of input files for each partition a shuffle starts with
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
+def size_shuffles(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Start shuffles with partitions in proportion to the files at ``paths``, so that tasks stay small however large these are.
+
+    Spark joins small partitions again at run time. There are never fewer than the session's own number.
+    """
+    total = sum(size for path in paths for _, size, _ in _files_of(spark, path))
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHUFFLE_SHARE))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; clusters bring their own."""
     builder = (

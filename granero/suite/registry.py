@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granero.schemas import TABLES, table
-from granero.session import configure, cut_lineage, shared_table
+from granero.session import configure, cut_lineage, shared_table, size_shuffles
 
 # Feeds that many queries read and that cost a shuffle of their own: written once for each folder and application.
 SHARED = ("lines",)
@@ -104,6 +104,8 @@ def plain(df: DataFrame) -> DataFrame:
 
 def run(entry: Query, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
+    feeds = [name for name in entry.feeds if name != "folder"]
+    size_shuffles(spark, sorted({f"{folder}/{one}.parquet" for name in feeds for one in _tables_of(name)}))
     ready = {name: cut_lineage(frame(spark, folder, name)) for name in entry.prepared if name not in SHARED}
     frames = {name: folder if name == "folder" else frame(spark, folder, name, ready) for name in entry.feeds}
     return plain(entry.build(**frames))
