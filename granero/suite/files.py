@@ -26,8 +26,9 @@ def _(skus):
 
 @query("s06_store_files", "assortment", "SELECT sku, stock, CAST(store_id AS VARCHAR) AS store_id FROM assortment")
 def _(assortment):
+    """One file a store, as the stores send them: rows gather by store first, else every task writes a file for each store."""
     path = _folder(assortment)
-    assortment.select("sku", "stock", "store_id").write.partitionBy("store_id").option("header", True).csv(path)
+    assortment.select("sku", "stock", "store_id").hint("rebalance", "store_id").write.partitionBy("store_id").option("header", True).csv(path)
     schema = T.StructType([T.StructField("sku", T.LongType()), T.StructField("stock", T.LongType())])
     return scans.read_store_files(assortment.sparkSession, path, schema, r"store_id=(\d+)/")
 

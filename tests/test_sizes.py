@@ -1,6 +1,8 @@
 """Work per task and files per key on growing input."""
 
-from granero.session import size_shuffles
+import os
+
+from granero.session import shared_folder, size_shuffles
 from granero.suite import QUERIES, run
 
 
@@ -20,3 +22,14 @@ def test_tasks_take_small_shares_of_files_and_shuffles(spark, folder):
     run(QUERIES["d76_unify_group_stock"], spark, folder)
     configured = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
     assert [int(value.removesuffix("MB")) <= 32 for value in configured.values()] == [True, True]
+
+
+def test_store_files_are_one_a_store_however_many_tasks_write(spark, folder, monkeypatch):
+    from granero.suite import files
+
+    path = f"{shared_folder(spark)}/store-files-{os.getpid()}"
+    monkeypatch.setattr(files, "_folder", lambda df: path)
+    rows = run(QUERIES["s06_store_files"], spark, folder)
+    stores = rows.select("store_id").distinct().count()
+    written = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path).select("path").count()
+    assert stores > 1 and written == stores
