@@ -21,13 +21,31 @@ def closed_ring(points: Column) -> Column:
     return F.concat(unique, F.slice(unique, 1, 1))
 
 
-def _edges(ring: Column) -> Column:
+def ring_edges(ring: Column) -> Column:
+    """Edges of a closed ring of ``struct<lng,lat>``, each with its two ends ``a`` and ``b``."""
     count = F.greatest(F.size(ring) - 1, F.lit(0))
     return F.arrays_zip(F.slice(ring, F.lit(1), count).alias("a"), F.slice(ring, F.lit(2), count).alias("b"))
 
 
+def edges_for_box(edges: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+    """The edges that a ray towards the east can cross from a point of the box, among them all that touch the box."""
+
+    def counts(edge: Column) -> Column:
+        a, b = edge["a"], edge["b"]
+        return (
+            (F.greatest(a["lng"], b["lng"]) >= west) & (F.greatest(a["lat"], b["lat"]) >= south) & (F.least(a["lat"], b["lat"]) <= north)
+        )
+
+    return F.filter(edges, counts)
+
+
 def ring_meets_box(ring: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
-    """Whether an edge of a closed ring of ``struct<lng,lat>`` touches the box.
+    """Whether an edge of a closed ring of ``struct<lng,lat>`` touches the box."""
+    return edges_meet_box(ring_edges(ring), west, south, east, north)
+
+
+def edges_meet_box(edges: Column, west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Whether one of the edges touches the box.
 
     A segment misses a box if their extents lie apart or all four corners lie on one side of its line.
     """
@@ -41,12 +59,16 @@ def ring_meets_box(ring: Column, west: Column, south: Column, east: Column, nort
         sides = [(b["lng"] - a["lng"]) * (y - a["lat"]) - (b["lat"] - a["lat"]) * (x - a["lng"]) for x in (west, east) for y in (south, north)]
         return ~apart & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
-    return F.exists(_edges(ring), meets)
+    return F.exists(edges, meets)
 
 
 def inside_ring(ring: Column, lng: Column, lat: Column) -> Column:
     """Even-odd ray casting against a closed ring of ``struct<lng,lat>``."""
-    edges = _edges(ring)
+    return inside_edges(ring_edges(ring), lng, lat)
+
+
+def inside_edges(edges: Column, lng: Column, lat: Column) -> Column:
+    """Even-odd ray casting towards the east against edges."""
 
     def crosses(edge: Column) -> Column:
         a, b = edge["a"], edge["b"]

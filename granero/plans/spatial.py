@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,10 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.functions.dates import as_date
-from granero.functions.geo import inside_ring, ring_meets_box
+from granero.functions.geo import edges_for_box, edges_meet_box, inside_edges, ring_edges
+from granero.session import cut_lineage, drop_tables
 
 
 STEP = 4  # cells of one level are so many times as long as those of the level below
+POINTS_PER_CELL = 64  # about so many points are tested exactly for each of the finest cells at a border
 
 
 def _cells(low: Column, high: Column, size: Column) -> Column:
@@ -24,40 +27,64 @@ def _size(level: Column, cell: float) -> Column:
 
 
 def _judged(cells: DataFrame, cell: float) -> DataFrame:
-    """Add ``_kind``: a cell is ``border`` where an edge touches it, else ``inner`` or ``outer`` as its middle is."""
+    """Add ``_kind``: a cell is ``border`` where an edge touches it, else ``inner`` or ``outer`` as its middle is.
+
+    Of ``_edges`` a cell keeps those that decide about its own points.
+    """
     size = _size(F.col("_level"), cell)
     west, south, margin = F.col("_cx") * size, F.col("_cy") * size, size * 1e-6  # wider than any rounding of a point's cell
-    touched = ring_meets_box(F.col("ring"), west - margin, south - margin, west + size + margin, south + size + margin)
-    inner = inside_ring(F.col("ring"), west + size / 2, south + size / 2)
-    return cells.withColumn("_kind", F.when(touched, "border").when(inner, "inner").otherwise("outer")).where("_kind <> 'outer'")
+    box = west - margin, south - margin, west + size + margin, south + size + margin
+    near = cells.withColumn("_edges", edges_for_box(F.col("_edges"), *box))
+    inner = inside_edges(F.col("_edges"), west + size / 2, south + size / 2)
+    kind = F.when(edges_meet_box(F.col("_edges"), *box), "border").when(inner, "inner").otherwise("outer")
+    # Exploding instead of filtering keeps Spark from judging every cell twice.
+    return near.withColumn("_kind", F.explode(F.filter(F.array(kind), lambda k: k != "outer")))
+
+
+def _cut(cells: DataFrame, cell: float, wanted: Column) -> DataFrame:
+    """Cells with those at a border that are ``wanted`` cut into ``STEP`` by ``STEP`` of the level below."""
+    split = F.when((F.col("_kind") == "border") & wanted, F.sequence(F.lit(0), F.lit(STEP * STEP - 1))).otherwise(F.array(F.lit(-1)))
+    parts = cells.withColumn("_part", F.explode(split))
+    whole, part = F.col("_part") < 0, F.col("_part")
+    finer = parts.withColumns({
+        "_cx": F.when(whole, F.col("_cx")).otherwise(F.col("_cx") * STEP + part % STEP),
+        "_cy": F.when(whole, F.col("_cy")).otherwise(F.col("_cy") * STEP + F.floor(part / STEP)),
+        "_level": F.when(whole, F.col("_level")).otherwise(F.col("_level") - 1),
+    }).drop("_part")
+    return _judged(finer, cell)
+
+
+def _whole_cells(polygons: DataFrame, cell: float) -> DataFrame:
+    """Each polygon with the cells it starts with, about a quarter to a whole of its extent long."""
+    lngs, lats = F.transform("ring", lambda p: p["lng"]), F.transform("ring", lambda p: p["lat"])
+    extent = F.greatest(F.array_max(lngs) - F.array_min(lngs), F.array_max(lats) - F.array_min(lats))
+    level = F.greatest(F.floor(F.log(extent / cell) / F.log(F.lit(float(STEP)))), F.lit(0)).cast("int")
+    placed = polygons.withColumns({"_level": F.coalesce(level, F.lit(0)), "_edges": ring_edges(F.col("ring"))})
+    size = _size(F.col("_level"), cell)
+    cells = placed.withColumn("_cx", F.explode(_cells(F.array_min(lngs), F.array_max(lngs), size)))
+    cells = cells.withColumn("_cy", F.explode(_cells(F.array_min(lats), F.array_max(lats), size)))
+    return _judged(cells.drop("ring"), cell)
 
 
 def cover(polygons: DataFrame, cell: float, refine: int = 2) -> DataFrame:
-    """Each polygon with cells (``_level``, ``_cx``, ``_cy``, ``_kind``) that cover it and nothing twice.
+    """Each polygon with cells (``_level``, ``_cx``, ``_cy``, ``_kind``, ``_edges``) that cover it and nothing twice.
 
     A polygon starts with cells about a quarter to a whole of its extent long, so large and small ones have few cells
     each; ``refine`` times, cells at its border are cut into smaller ones. Cells outside the ring are left out.
     """
-    lngs, lats = F.transform("ring", lambda p: p["lng"]), F.transform("ring", lambda p: p["lat"])
-    extent = F.greatest(F.array_max(lngs) - F.array_min(lngs), F.array_max(lats) - F.array_min(lats))
-    level = F.greatest(F.floor(F.log(extent / cell) / F.log(F.lit(float(STEP)))), F.lit(0)).cast("int")
-    placed = polygons.withColumn("_level", F.coalesce(level, F.lit(0)))
-    size = _size(F.col("_level"), cell)
-    cells = placed.withColumn("_cx", F.explode(_cells(F.array_min(lngs), F.array_max(lngs), size)))
-    cells = _judged(cells.withColumn("_cy", F.explode(_cells(F.array_min(lats), F.array_max(lats), size))), cell)
+    cells = _whole_cells(polygons, cell)
     for _ in range(refine):
-        split = F.when(F.col("_kind") == "border", F.sequence(F.lit(0), F.lit(STEP * STEP - 1))).otherwise(F.array(F.lit(-1)))
-        parts = cells.withColumn("_part", F.explode(split))
-        whole, part = F.col("_part") < 0, F.col("_part")
-        finer = parts.withColumns({
-            "_cx": F.when(whole, F.col("_cx")).otherwise(F.col("_cx") * STEP + part % STEP),
-            "_cy": F.when(whole, F.col("_cy")).otherwise(F.col("_cy") * STEP + F.floor(part / STEP)),
-            "_level": F.when(whole, F.col("_level")).otherwise(F.col("_level") - 1),
-        }).drop("_part")
-        cells = _judged(finer, cell)
+        cells = _cut(cells, cell, F.lit(True))
     return cells
 
 
+def _placed(points: DataFrame, levels: Column, cell: float) -> DataFrame:
+    """Points with their cell at each of the levels."""
+    probed = points.withColumn("_level", F.explode(F.coalesce(levels, F.array().cast("array<int>"))))
+    size = _size(F.col("_level"), cell)
+    return probed.withColumns({"_cx": F.floor(F.col("lng") / size), "_cy": F.floor(F.col("lat") / size)})
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, refine: int = 2) -> DataFrame:
     """Every (point, polygon) pair where the ring contains the point.
 
@@ -66,14 +93,60 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, refi
     width of the smallest polygons; larger ones get longer cells.
     """
     covered = cover(polygons, cell, refine)
-    levels = covered.agg(F.array_sort(F.collect_set("_level"))).scalar()
-    probed = points.withColumn("_level", F.explode(F.coalesce(levels, F.array().cast("array<int>"))))
-    size = _size(F.col("_level"), cell)
-    placed = probed.withColumns({"_cx": F.floor(F.col("lng") / size), "_cy": F.floor(F.col("lat") / size)})
-    accepted = (F.col("_kind") == "inner") | inside_ring(F.col("ring"), F.col("lng"), F.col("lat"))
-    # Inner cells travel without their ring.
-    light = covered.withColumn("ring", F.when(F.col("_kind") == "border", F.col("ring")))
-    return placed.join(light, ["_level", "_cx", "_cy"]).where(accepted).drop("_level", "_cx", "_cy", "_kind", "ring")
+    placed = _placed(points, covered.agg(F.array_sort(F.collect_set("_level"))).scalar(), cell)
+    accepted = (F.col("_kind") == "inner") | inside_edges(F.col("_edges"), F.col("lng"), F.col("lat"))
+    # Inner cells travel without edges.
+    light = covered.withColumn("_edges", F.when(F.col("_kind") == "border", F.col("_edges")))
+    return placed.join(light, ["_level", "_cx", "_cy"]).where(accepted).drop("_level", "_cx", "_cy", "_kind", "_edges")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Few rows that cause much work each, dealt over all tasks; run-time joining of small partitions would undo it otherwise."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _cut_table(table: DataFrame, cell: float, longest: float) -> DataFrame:
+    """A written table of cells with those at a border cut until none is longer than ``longest``, dealt anew for each level."""
+    while longest > 0:
+        wanted = (F.col("_kind") == "border") & (_size(F.col("_level"), cell) > longest)
+        if table.where(wanted).isEmpty():
+            break
+        done = table
+        table = cut_lineage(_cut(_spread(table), cell, wanted))
+        drop_tables(done)
+    return table
+
+
+def polygon_totals(
+    points: DataFrame, polygons: DataFrame, cell: float, sums: dict[str, str], count: str = "n", per_cell: int = POINTS_PER_CELL,
+) -> DataFrame:
+    """For each polygon that contains points, their number and the sums ``{name: column}``, without a row for each pair.
+
+    The result is that of ``points_in_polygons``, grouped. Points are added up by cell, and inner cells take these totals;
+    only points in border cells meet the polygon. Borders are cut until a cell holds about ``per_cell`` points, so the
+    work grows with the length of the borders, not with the points inside. The cells are written once.
+    """
+    lng, lat = F.col("lng"), F.col("lat")
+    area = points.agg(F.count("*").alias("n"), ((F.max(lng) - F.min(lng)) * (F.max(lat) - F.min(lat))).alias("area")).first()
+    finest = math.sqrt(per_cell * (area["area"] or 0.0) / max(area["n"], 1))
+    keys = [c for c in polygons.columns if c != "ring"]
+    table = _cut_table(cut_lineage(_whole_cells(_spread(polygons), cell)), cell, 2 * finest)
+    names = [count, *sums]
+
+    def levels(kind: str) -> Column:
+        return table.where(F.col("_kind") == kind).agg(F.array_sort(F.collect_set("_level"))).scalar()
+
+    def totals(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*by).agg(*[F.sum(name).alias(name) for name in names])
+
+    single = points.select("lng", "lat", F.lit(1).cast("long").alias(count), *[F.col(c).alias(name) for name, c in sums.items()])
+    place = ["_level", "_cx", "_cy"]
+    by_cell = totals(_placed(single, levels("inner"), cell), place)
+    inside = by_cell.join(table.where("_kind = 'inner'").drop("_edges", "_kind"), place)
+    tested = _placed(_spread(single), levels("border"), cell).join(table.where("_kind = 'border'").drop("_kind"), place)
+    border = tested.where(inside_edges(F.col("_edges"), lng, lat))
+    parts = [totals(one, keys) for one in (inside, border)]
+    return totals(parts[0].unionByName(parts[1]), keys)
 
 
 def assign_zones(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:

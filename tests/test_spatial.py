@@ -64,3 +64,21 @@ def test_edges_that_meet_a_box(spark):
     rows = spark.createDataFrame([(name, [(float(x), float(y)) for x, y in ring]) for name, ring in rings.items()], "name string, ring array<struct<lng: double, lat: double>>")
     met = {r.name for r in rows.where(ring_meets_box(F.col("ring"), *box)).collect()}
     assert met == {"crosses", "inside", "corner", "touches"}
+
+
+def test_totals_are_those_of_the_pairs_and_follow_the_border_only(spark):
+    for seed, cell, per_cell, count in ((1, 0.02, 1, 3000), (2, 0.3, 50, 3000), (3, 5.0, 12, 200)):
+        points, polygons = plane(spark, seed, count)
+        pairs = spatial.points_in_polygons(points, polygons, cell).groupBy("polygon").agg(F.count("*"), F.sum("id"), F.max("polygon") * 0)
+        found = spatial.polygon_totals(points.withColumn("zero", F.lit(0)), polygons, cell, {"ids": "id", "none": "zero"}, per_cell=per_cell)
+        assert found.columns == ["polygon", "n", "ids", "none"]
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, pairs.collect()))
+    none = spatial.polygon_totals(points.where("id < 0"), polygons, 0.3, {"ids": "id"})
+    assert none.count() == 0 and spatial.polygon_totals(points.where("id = 1"), polygons, 0.3, {"ids": "id"}).count() >= 0
+
+
+def test_cells_keep_only_the_edges_that_decide_about_their_points(spark):
+    rng = random.Random(6)
+    polygons = spark.createDataFrame([(0, star(rng, 15, 5, 20, 40))], RING)
+    kept = spatial.cover(polygons, 0.5, refine=2).where("_kind = 'border'").agg(F.avg(F.size("_edges"))).first()[0]
+    assert kept < 10
