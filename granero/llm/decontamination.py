@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granero.llm.caches import held
+from granero.llm.caches import held, lean
 from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, mixed, slices
 
@@ -359,7 +359,7 @@ def find_passages(
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, start long, length long, edits int"
-    parts = [source.mapInArrow(_finder(block, rules), schema) for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
+    parts = [source.mapInArrow(lean(_finder(block, rules)), schema) for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
@@ -416,7 +416,7 @@ def drop_contaminated(
     text = F.col(text_col)
     r1, r2 = F.xxhash64(text), F.xxhash64(F.lit(1), text)
     source = docs.select(r1.alias("r1"), r2.alias("r2"), text.alias("text"))
-    parts = [source.mapInArrow(_marker(block, rules), "r1 long, r2 long") for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
+    parts = [source.mapInArrow(lean(_marker(block, rules)), "r1 long, r2 long") for block in _blocks(benchmark, item_col, item_text_col, block_chars)]
     if not parts:
         return docs
     marked = reduce(DataFrame.unionByName, parts).distinct()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granero.llm.caches import release
+from granero.llm.caches import lean, release
 from granero.session import cut_lineage
 
 _SPACES = " \t\n\x0b\x0c\r"
@@ -286,4 +286,4 @@ def _cut_rows(
             )
 
     row = dict(joined.dtypes)["row"]
-    return joined.mapInArrow(run, f"row {row}, kept_text string, n_lines long, n_dropped long")
+    return joined.mapInArrow(lean(run), f"row {row}, kept_text string, n_lines long, n_dropped long")

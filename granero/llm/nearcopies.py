@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granero.llm import components
-from granero.llm.caches import release
+from granero.llm.caches import lean, release
 from granero.llm.scratch import FEW_ROWS, Scratch
 from granero.llm.texts import mixed, shingle_hashes, slices, word_hashes
 
@@ -107,7 +107,7 @@ def sign(docs: DataFrame, shingle: int, rows: int, bands: int, id_col: str = "do
             )
 
     return _columns(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, r1 long, r2 long, n_shingles long, d1 long, d2 long, keys array<long>, marks binary"
+        lean(run), "doc_id long, r1 long, r2 long, n_shingles long, d1 long, d2 long, keys array<long>, marks binary"
     )
 
 
@@ -122,7 +122,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, shingle: int, id_col: str, text_
             )
 
     texts = _columns(docs, id_col, text_col).join(nodes.select("node", "r1", "r2"), ["r1", "r2"])
-    return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, members binary")
+    return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(lean(run), "node long, members binary")
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, names: list[str], few: bool) -> DataFrame:
@@ -147,7 +147,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, least: float, few: bool) -> D
     both = _with_both(pairs, nodes.select("node", "n_shingles", "marks"), ["n", "marks"], few)
     # Sets whose sizes differ by more than the similarity allows need no comparison.
     sized = both.where(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b"))
-    return sized.select("a", "b", "marks_a", "marks_b").mapInArrow(run, "a long, b long")
+    return sized.select("a", "b", "marks_a", "marks_b").mapInArrow(lean(run), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, few: bool) -> DataFrame:
@@ -164,7 +164,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, few: bool) -> Da
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     joined = _with_both(pairs, sets, ["members"], few)
-    return joined.select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "members_a", "members_b").mapInArrow(lean(run), "a long, b long")
 
 
 def _block_links(held: pd.DataFrame, asked: pd.DataFrame, percent: int) -> pd.DataFrame:

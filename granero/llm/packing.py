@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granero.llm.caches import lean
 from granero.llm.texts import slices
 from granero.llm.tokens import encoder
 
@@ -104,4 +105,4 @@ def pack(
         if sizes:
             yield packed()
 
-    return source.mapInArrow(run, PIECE_SCHEMA)
+    return source.mapInArrow(lean(run), PIECE_SCHEMA)

@@ -27,11 +27,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granero.llm.caches import release
+from granero.llm.caches import give_back, lean, release
 from granero.llm.scratch import Scratch
 from granero.llm.texts import code_points, slices, word_hashes
 
@@ -86,13 +87,19 @@ def repeated_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocked(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
-    """Slices of a task's rows with the number of their block and their place in it."""
-    block, part, held = TaskContext.get().partitionId() << 24, 0, 0
-    for batch in slices(batches, "text", 2 << 20):
-        if held > BLOCK_BYTES:
-            block, part, held = block + 1, 0, 0
-        yield block, part, batch
-        part, held = part + 1, held + batch.column("text").nbytes
+    """Slices of a task's rows with the number of their block and a number of their own.
+
+    A row's block follows from the bytes of the texts before it, so it is the same however rows come in batches.
+    """
+    first, part, before = TaskContext.get().partitionId() << 24, 0, 0
+    for batch in slices(batches, "text", 1 << 20):
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        blocks = (before + np.cumsum(sizes) - sizes) // BLOCK_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        for start, stop in zip(edges, edges[1:]):
+            yield first + int(blocks[start]), part, batch.slice(start, stop - start)
+            part += 1
+        before += int(sizes.sum())
 
 
 def block_grams(source: DataFrame) -> DataFrame:
@@ -123,7 +130,7 @@ def block_grams(source: DataFrame) -> DataFrame:
         if current is not None:
             yield row()
 
-    return source.select("text", "trusted").mapInArrow(run, "block long, grams array<long>, trusted array<long>")
+    return source.select("text", "trusted").mapInArrow(lean(run), "block long, grams array<long>, trusted array<long>")
 
 
 def _discounts(counts: DataFrame) -> dict[int, float]:
@@ -194,7 +201,7 @@ def _payloads(source: DataFrame) -> DataFrame:
                 ["block", "part", "payload"],
             )
 
-    return source.select("doc_id", "r1", "r2", "lang", "trusted", "text").mapInArrow(run, f"{_BLOCK_COLUMNS}, payload binary")
+    return source.select("doc_id", "r1", "r2", "lang", "trusted", "text").mapInArrow(lean(run), f"{_BLOCK_COLUMNS}, payload binary")
 
 
 def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
@@ -207,8 +214,8 @@ def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
         release()
         order = np.argsort(model["gram"].to_numpy(np.int64), kind="stable")
         keys, costs = model["gram"].to_numpy(np.int64)[order], -model["logp"].to_numpy(np.float64)[order]
-        out = []
-        for payload in held["payload"]:
+
+        def judged(payload: bytes) -> pd.DataFrame:
             batch = next(iter(pa.ipc.open_stream(payload)))
             grams, bounds = packed_grams(batch.column("text"))
             cost = np.full(len(grams), np.nan)  # stays only if the block's rows changed between two readings
@@ -221,7 +228,10 @@ def _block_scores(payloads: DataFrame, scored: DataFrame) -> DataFrame:
             nll = pd.array(sums[bounds[1:]] - sums[bounds[:-1]], "Float64")
             nll[lost[bounds[1:]] > lost[bounds[:-1]]] = pd.NA
             words, repeats = repeated_words(batch.column("text"))
-            out.append(rows.assign(n=np.diff(bounds) - 1, nll=nll, words=words, repeats=repeats))
+            return rows.assign(n=np.diff(bounds) - 1, nll=nll, words=words, repeats=repeats)
+
+        out = [judged(payload) for payload in held["payload"]]
+        give_back()
         return pd.concat(out) if out else pd.DataFrame({c: [] for c in _SCORED})
 
     return payloads.groupBy("block").cogroup(scored.groupBy("block")).applyInPandas(

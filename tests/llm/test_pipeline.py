@@ -4,14 +4,18 @@ import functools
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from granero.llm.caches import lean
 from tests.llm.test_linededup import expected
 from tests.llm.test_nearcopies import shingles
 from tests.llm.test_quality import grams_of, model, plain_repeats
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 @pytest.fixture(scope="module")
 def steps(spark, folder, tmp_path_factory):
@@ -131,3 +135,38 @@ def test_extra_columns_of_any_name_stay(spark, folder):
         assert out.dtypes == docs.dtypes
         assert {tuple(r)[5:] for r in out.collect()} == {(7,) * 12}, name
         assert P.pack(spark, docs, folder).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_rows_reach_python_in_small_batches(spark, folder, steps):
+    docs = spark.createDataFrame([(k, "long text " * 50_000) for k in range(40)], "doc_id long, text string").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    before = spark.conf.get(BATCH_LIMIT)
+    spark.conf.unset(BATCH_LIMIT)
+    try:
+        for stage in (P.line_dedup, P.decontaminate, P.pack):
+            spark.conf.unset(BATCH_LIMIT)
+            stage(spark, steps["documents"].limit(20), folder)
+            assert max(row.bytes for row in docs.mapInArrow(sizes, "bytes long").collect()) < 8 << 20
+    finally:
+        spark.conf.set(BATCH_LIMIT, before)
+
+
+def test_workers_give_back_memory_when_a_task_ends():
+    def anonymous():
+        with open("/proc/self/smaps_rollup") as file:
+            return next(int(line.split()[1]) for line in file if line.startswith("Anonymous:")) >> 10
+
+    def work(batches):
+        for batch in batches:
+            points = [np.ones(10_000) for _ in range(3000)]  # 240 MB in pieces that stay on the heap
+            table = pa.array([b"x" * 1000] * 100_000)  # 100 MB in Arrow's pool
+            yield pa.RecordBatch.from_arrays([pa.array([len(points) + len(table)])], ["n"])
+
+    start = anonymous()
+    for _ in lean(work)([pa.RecordBatch.from_arrays([pa.array([1])], ["n"])]):
+        assert anonymous() - start > 300
+    assert anonymous() - start < 60

@@ -165,3 +165,20 @@ def test_rows_equal_in_id_and_text_are_judged_by_their_own_language(spark):
     trusted = spark.createDataFrame([(k,) for k in range(60)], "doc_id long")
     left = quality.drop_rejected(docs, trusted).where("doc_id = 99").collect()
     assert sorted(str(r.lang) for r in left) == ["None", "de"]
+
+
+def test_blocks_are_the_same_however_rows_come_in_batches(monkeypatch):
+    rng = random.Random(3)
+    texts = [None, ""] + [sentence(rng, rng.randint(1, 300)) for _ in range(400)] + ["long " * 600_000, "", None]
+
+    def blocks(rows_each):
+        monkeypatch.setattr(quality, "BLOCK_BYTES", 20_000)
+        monkeypatch.setattr(quality, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("Own", (), {"partitionId": staticmethod(lambda: 5)}))}))
+        batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + rows_each], pa.string())], ["text"]) for k in range(0, len(texts), rows_each)]
+        found = list(quality._blocked(batches))
+        assert len({(block, part) for block, part, _ in found}) == len(found)
+        return [(block, text) for block, _, piece in found for text in piece.column("text").to_pylist()]
+
+    whole = blocks(len(texts))
+    assert [text for _, text in whole] == texts and len({block for block, _ in whole}) > 5
+    assert all(blocks(rows_each) == whole for rows_each in (1, 7, 50, 130))
