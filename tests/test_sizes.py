@@ -1,8 +1,10 @@
 """Work per task and files per key on growing input."""
 
 import os
+import re
 
-from granero.session import shared_folder, size_shuffles
+from granero.operators import ranking
+from granero.session import cut_lineage, shared_folder, size_shuffles
 from granero.suite import QUERIES, run
 
 
@@ -33,3 +35,25 @@ def test_store_files_are_one_a_store_however_many_tasks_write(spark, folder, mon
     stores = rows.select("store_id").distinct().count()
     written = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(path).select("path").count()
     assert stores > 1 and written == stores
+
+
+def test_store_ranking_deals_every_shuffle_in_proportion_to_the_input(spark, folder, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df)
+
+    size = os.path.getsize(f"{folder}/lineitem.parquet")
+    monkeypatch.setattr("granero.session.SHUFFLE_SHARE", size // 40)
+    monkeypatch.setattr(ranking, "cut_lineage", noted)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(initial, None)
+    try:
+        run(QUERIES["d08_store_ranking"], spark, folder)
+    finally:
+        spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)
+    shuffles = re.findall(r"Exchange \w+partitioning\(.*, (\d+)\), ", "\n".join(plans))
+    # Of the totals, the distinct values of three measures and their sort, and the sort by store and score.
+    assert len(plans) == 3 and len(shuffles) >= 6
+    assert set(shuffles) == {str(-(-size // (size // 40)))}
