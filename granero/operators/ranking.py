@@ -18,6 +18,7 @@ def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> tuple[Da
     """1-based position in a total order, and the table it reads: range sort, write with row ids, add offsets.
 
     The ids are written with the rows: their upper bits number the sorted partitions, the lower bits the rows.
+    The number of a row's sorted partition stays with it as ``_pid``.
     """
     tagged = cut_lineage(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
     partition = F.shiftrightunsigned("_mid", _PARTITION_BITS)
@@ -31,7 +32,7 @@ def _sorted_index(df: DataFrame, order: Sequence[Column], name: str) -> tuple[Da
     indexed = (
         tagged.withColumn("_pid", partition).join(F.broadcast(offsets), "_pid")
         .withColumn(name, (F.col("_offset") + within + 1).cast("long"))
-        .drop("_mid", "_pid", "_offset")
+        .drop("_mid", "_offset")
     )
     return indexed, tagged
 
@@ -42,43 +43,43 @@ def positions(df: DataFrame, order: Sequence[Column], name: str = "position", wi
     At every size rows are range-sorted by group and order, indexed per sorted partition, and each group's first
     index is subtracted, so one hot group spreads over many tasks. The sorted rows are written once.
     """
-    return _positions(df, order, name, within)[0]
-
-
-def _positions(df: DataFrame, order: Sequence[Column], name: str, within: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     if not within:
-        return _sorted_index(df, order, name)
-    indexed, table = _sorted_index(df, [*map(F.col, within), *order], "_index")
+        return _sorted_index(df, order, name)[0].drop("_pid")
+    indexed, _ = _sorted_index(df, [*map(F.col, within), *order], "_index")
     keys = [f"_g{i}" for i, _ in enumerate(within)]
-    firsts = indexed.groupBy(*[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min("_index").alias("_first"))
-    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(within, keys)]
-    numbered = (
+    # A group has a row for each sorted partition it reaches: rows meet their first index by both, so that even where
+    # this join shuffles, no task reads more of a hot group than sorted partitions hold.
+    reached = indexed.groupBy(F.col("_pid").alias("_part"), *[F.col(c).alias(k) for c, k in zip(within, keys)]).agg(F.min("_index").alias("_low"))
+    firsts = reached.withColumn("_first", F.min("_low").over(Window.partitionBy(*keys))).drop("_low")
+    same = [F.col("_pid") == F.col("_part"), *[F.col(c).eqNullSafe(F.col(k)) for c, k in zip(within, keys)]]
+    return (
         indexed.join(firsts, same, "inner")
         .withColumn(name, F.col("_index") - F.col("_first") + 1)
-        .drop("_index", "_first", *keys)
+        .drop("_index", "_first", "_pid", "_part", *keys)
     )
-    return numbered, table
 
 
 def dense_ranks(df: DataFrame, ranks: dict[str, str], broadcast_values: int = BROADCAST_VALUES) -> DataFrame:
     """Global descending ``dense_rank`` of several numeric columns: ``{output name: ranked column}``.
 
-    Only distinct values are ranked, those of all columns in one sort, and joined back: broadcast where a column
-    has few of them (then many rows may share one), else by a join whose hot values Spark splits. ``df`` is read
-    several times, so it should be a table.
+    Only distinct values are ranked, those of all columns in one sort, column by column: a column's ranks start after
+    the counts of those before it. They are joined back: broadcast where a column has few of them (then many rows may
+    share one), else by a join whose hot values Spark splits. ``df`` is read several times, so it should be a table.
     """
     kinds = dict(df.dtypes)
     values = None
     for number, column in enumerate(ranks.values()):
         own = df.select(F.lit(number).alias("_column"), F.col(column).cast("decimal(38,10)").alias("_value")).distinct()
         values = own if values is None else values.unionByName(own)
-    ranked, _ = _positions(values, [F.col("_value").desc_nulls_first()], "_rank", ["_column"])
-    counts = {row["_column"]: row["count"] for row in ranked.groupBy("_column").count().collect()}  # one row per column
-    base = df
+    ranked, table = _sorted_index(values, [F.col("_column").asc(), F.col("_value").desc_nulls_first()], "_index")
+    counts = {row["_column"]: row["count"] for row in table.groupBy("_column").count().collect()}  # one row per column
+    base, earlier = df, 0
     for number, (name, column) in enumerate(ranks.items()):
-        own = ranked.where(F.col("_column") == number).select(F.col("_value").cast(kinds[column]).alias("_value"), F.col("_rank").alias(name))
+        rank = (F.col("_index") - F.lit(earlier)).alias(name)
+        own = ranked.where(F.col("_column") == number).select(F.col("_value").cast(kinds[column]).alias("_value"), rank)
         if counts.get(number, 0) <= broadcast_values:
             own = F.broadcast(own)
+        earlier += counts.get(number, 0)
         base = base.join(own, F.col(column).eqNullSafe(F.col("_value")), "inner").drop("_value")
     return base
 

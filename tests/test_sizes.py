@@ -3,6 +3,8 @@
 import os
 import re
 
+from pyspark.sql import functions as F
+
 from granero.operators import ranking
 from granero.session import cut_lineage, shared_folder, size_shuffles
 from granero.suite import QUERIES, run
@@ -57,3 +59,36 @@ def test_store_ranking_deals_every_shuffle_in_proportion_to_the_input(spark, fol
     # Of the totals, the distinct values of three measures and their sort, and the sort by store and score.
     assert len(plans) == 3 and len(shuffles) >= 6
     assert set(shuffles) == {str(-(-size // (size // 40)))}
+
+
+UNJOINED = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+
+
+def test_positions_in_one_hot_group_are_numbered_by_many_tasks(spark):
+    before = {key: spark.conf.get(key) for key in UNJOINED}
+    try:
+        for key, value in UNJOINED.items():
+            spark.conf.set(key, value)
+        df = spark.range(8000).select((F.col("id") % 2000 == 0).alias("g"), F.col("id").alias("v"))
+        got = ranking.positions(df, [F.col("v").asc()], "p", ["g"])
+        tasks = got.groupBy(F.spark_partition_id()).count().collect()
+        assert max(row["count"] for row in tasks) < 2000 and sum(row["count"] for row in tasks) == 8000
+        assert got.where("NOT g AND p <> v - ceil(v / 2000) + 1 OR g AND p <> v / 2000 + 1").isEmpty()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_distinct_values_of_a_measure_do_not_meet_in_one_task(spark):
+    before = {key: spark.conf.get(key) for key in UNJOINED}
+    try:
+        for key, value in UNJOINED.items():
+            spark.conf.set(key, value)
+        df = cut_lineage(spark.range(8000).select("id", (F.col("id") % 2).alias("few"), F.expr("nullif(id, 7)").alias("many")))
+        ranks = ranking.dense_ranks(df, {"few_rank": "few", "many_rank": "many"}, broadcast_values=0)
+        assert "_column" not in "".join(re.findall(r"hashpartitioning\(.*", ranks._jdf.queryExecution().executedPlan().toString()))
+        assert ranks.where("few_rank <> 2 - few OR many_rank <> CASE WHEN id = 7 THEN 1 WHEN id > 7 THEN 8001 - id ELSE 8000 - id END").isEmpty()
+        assert ranks.count() == 8000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
