@@ -14,6 +14,7 @@ from granero.functions.keys import WEIGHT_UNITS
 from granero.functions.numbers import VAT, ratio
 from granero.operators.joins import validity_join
 from granero.plans.promotions import is_delivery
+from granero.session import cut_lineage, drop_tables
 
 OWN_CHANNEL = "70"  # fixed value: distribution channel of e-commerce promotions
 DEEP_DISCOUNT = 0.34  # fixed value
@@ -28,7 +29,18 @@ def line_margins(
 
     Weighed lines are priced by their scale reading, substitutes at most at the price of the original line.
     A line's promotions are reduced per funding type, channel and delivery saving before they are added.
+    ``packs`` has one row for each product. Unit costs, lines with theirs, amounts of original lines and promotions
+    by line are written one after the other: what one of them shuffles is gone before the next one starts.
     """
+    place = ["sku", "store_id", "day"]
+    unit_cost = F.when(F.col("sold") == 0, 0).otherwise(F.round(F.col("cogs") / F.col("sold"))).cast("long") * F.col("pack")
+    unit_costs = cut_lineage(costs.join(packs, "sku", "left").select(*place, unit_cost.alias("unit_cost")))
+    weighed = F.col("unit").isin(*WEIGHT_UNITS) & (F.col("picked") != 0)
+    sold = cut_lineage(
+        lines.select("line_id", "order_id", "sku", "price", "picked", (F.col("asked") == 0).alias("substitute"), weighed.alias("_weighed"))
+        .join(orders.select("order_id", "store_id", "day"), "order_id").join(unit_costs, place, "left").drop("store_id")
+    )
+    drop_tables(unit_costs)
     scale = weights.groupBy("line_id").agg(
         (F.sum("weight_g").cast("decimal(18,0)") * F.lit(GRAMS)).alias("_kg"), F.sum("price").alias("_scale_price")
     )
@@ -36,38 +48,35 @@ def line_margins(
         F.col("line_id").alias("substitute_of"), (F.col("price") * F.col("asked")).alias("_original")
     )
     marks = lines.where("substitute_of IS NOT NULL").select("line_id", "substitute_of")
-    original_amounts = marks.join(originals, "substitute_of").select("line_id", "_original")
-    deals = line_promotions.join(promotions, ["n_promo", "sku"], "left").withColumns({
-        "_delivery": F.when(is_delivery(F.col("name")), F.col("value")).otherwise(0),
-        "_saving": F.when(is_delivery(F.col("name")), 0).otherwise(F.col("value")),
-        "_matched": F.col("negotiated").isNotNull(),
-    })
+    original_amounts = cut_lineage(marks.join(originals, "substitute_of").select("line_id", "_original"))
+    # Names stay behind, and one shuffle by line serves both aggregates.
+    delivery = is_delivery(F.col("name"))
+    savings = line_promotions.select(
+        "line_id", "n_promo", "sku", F.when(delivery, F.col("value")).otherwise(0).alias("_delivery"),
+        F.when(delivery, 0).otherwise(F.col("value")).alias("_saving"),
+    )
+    deals = savings.join(promotions, ["n_promo", "sku"], "left").select(
+        "line_id", "_delivery", "_saving", "funding", "channel", "negotiated"
+    ).repartition("line_id")
     own = F.coalesce(F.col("channel") == OWN_CHANNEL, F.lit(False))
     grouped = deals.groupBy("line_id", "_delivery", "funding", "channel").agg(
-        F.min("_saving").alias("_saving"), F.min("negotiated").alias("_negotiated"), F.every("_matched").alias("_all")
+        F.min("_saving").alias("_saving"), F.min("negotiated").alias("_negotiated"),
+        F.every(F.col("negotiated").isNotNull()).alias("_all"),
     )
     sell_out = F.col("funding") == "SELL OUT"
-    per_line = grouped.groupBy("line_id").agg(
+    per_line = cut_lineage(grouped.groupBy("line_id").agg(
         F.min("_delivery").alias("delivery_saving"), F.sum(F.when(own, 0).otherwise(F.col("_saving"))).alias("chain_saving"),
         F.sum(F.when(own, F.col("_saving")).otherwise(0)).alias("ecommerce_saving"), F.sum("_negotiated").alias("negotiated"),
         F.sum(F.when(sell_out & ~own, F.col("_negotiated")).otherwise(0)).alias("_chain"),
         F.sum(F.when(sell_out & own, F.col("_negotiated")).otherwise(0)).alias("_own"), F.bool_or("_all").alias("promoted"),
-    )
-    # Everything keyed by the line meets first, so lines are shuffled once for all of it.
-    joined = (
-        lines.drop("store_id", "day").join(original_amounts, "line_id", "left").join(scale, "line_id", "left")
-        .join(per_line, "line_id", "left").join(orders.select("order_id", "store_id", "day"), "order_id")
-        .join(costs, ["sku", "store_id", "day"], "left").join(packs, "sku", "left")
-    )
-    weighed = F.col("unit").isin(*WEIGHT_UNITS) & (F.col("picked") != 0)
+    ))
+    joined = sold.join(original_amounts, "line_id", "left").join(scale, "line_id", "left").join(per_line, "line_id", "left")
     unit_price = F.coalesce("_scale_price", "price")
     full = F.col("price") * F.col("picked")
-    gross = F.when(weighed, unit_price).otherwise(F.least(full, F.coalesce("_original", full)))
-    unit_cost = F.when(F.col("sold") == 0, 0).otherwise(F.round(F.col("cogs") / F.col("sold"))).cast("long") * F.col("pack")
+    gross = F.when(F.col("_weighed"), unit_price).otherwise(F.least(full, F.coalesce("_original", full)))
     priced = joined.withColumns({
-        "substitute": F.col("asked") == 0, "units": F.coalesce("_kg", F.col("picked").cast("decimal(18,3)")),
-        "unit_price": unit_price, "gross": gross,
-        "net": F.round(gross / VAT).cast("long"), "unit_cost": unit_cost,
+        "units": F.coalesce("_kg", F.col("picked").cast("decimal(18,3)")), "unit_price": unit_price, "gross": gross,
+        "net": F.round(gross / VAT).cast("long"),
     })
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("delivery_saving", "chain_saving", "ecommerce_saving")]
     units, cost = F.col("units"), F.coalesce("unit_cost", F.lit(0))
@@ -81,15 +90,22 @@ def line_margins(
 
 
 def fund_substitutes(margins: DataFrame, promotions: DataFrame, excluded_events: Sequence[int] = (102,)) -> DataFrame:
-    """Second pass: unpromoted substitutes take the sell-out funding valid on their day."""
-    open_lines = margins.where(F.col("substitute") & ~F.col("promoted"))
+    """Second pass: unpromoted substitutes take the sell-out funding valid on their day.
+
+    The margins, of which each line has one, are written once; only lines that can take funding are shuffled again.
+    """
+    margins = cut_lineage(margins)
+    takes = F.coalesce(F.col("substitute") & ~F.col("promoted"), F.lit(False))
+    open_lines = margins.where(takes)
     funding = promotions.where((F.col("funding") == "SELL OUT") & ~F.col("event").isin(*excluded_events)).select(
         "sku", "n_promo", F.col("negotiated").alias("_n"), "start_day", "end_day"
     )
     hits = validity_join(open_lines.select("line_id", "sku", "day"), funding, ["sku"], "day", "start_day", "end_day")
     per_line = hits.groupBy("line_id").agg(F.sum("_n").alias("_n"))
     added = F.coalesce("_n", F.lit(0)) * F.col("units")
-    return margins.join(per_line, "line_id", "left").withColumns({
+    funded = open_lines.join(per_line, "line_id", "left")
+    others = margins.where(~takes).withColumn("_n", F.lit(None).cast(per_line.schema["_n"].dataType))
+    return funded.unionByName(others).withColumns({
         "late_funding": added, "margin_2": F.col("margin_2") + added,
     }).drop("_n")
 

@@ -28,6 +28,8 @@ RUNTIME_SETTINGS = {
 
 
 SHUFFLE_SHARE = 4 << 20  # bytes of input files for each partition a shuffle starts with
+# Spark removes what a query shuffled when the query ends, not when the driver happens to collect garbage.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -108,11 +110,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     What follows survives lost executors, is not computed twice, and reads only the columns it needs. The table
-    stays until ``drop_tables`` or the end of the driver.
+    stays until ``drop_tables`` or the end of the driver; what was shuffled to make it is removed at once.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/granero-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
     track(spark, path)
     saved = spark.read.schema(df.schema).parquet(path)
     saved._granero_path = path

@@ -61,7 +61,8 @@ m2 AS (SELECT m1.*, coalesce(n, 0) * units AS late_funding, margin_2 + coalesce(
 @query("d12_fund_substitutes", MARGIN_FEEDS, f"WITH {MARGIN}, {LATE} SELECT line_id, CAST(late_funding AS DOUBLE) AS late_funding, CAST(final_2 AS DOUBLE) AS margin_2 FROM m2", prepared="lines")
 def _(order_lines, baskets, weights, skus, deals, funding):
     margins = _margins(order_lines, baskets, weights, skus, deals, funding)
-    return plan.fund_substitutes(margins, funding, (402,)).select("line_id", "late_funding", "margin_2")
+    needed = margins.select("line_id", "sku", "day", "substitute", "promoted", "units", "margin_2")
+    return plan.fund_substitutes(needed, funding, (402,)).select("line_id", "late_funding", "margin_2")
 
 
 @query("d12_fill_zero_cost", MARGIN_FEEDS, f"""

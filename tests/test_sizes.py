@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -92,3 +93,37 @@ def test_distinct_values_of_a_measure_do_not_meet_in_one_task(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {name for folder in folders for _, _, names in os.walk(folder.getPath()) for name in names if name.startswith("shuffle_")}
+
+
+def test_what_a_table_shuffled_is_gone_once_it_is_written(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, found = spark.conf.get(setting, None), _shuffle_files(spark)
+    saved = cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    for _ in range(100):  # files are removed in the background
+        if _shuffle_files(spark) <= found:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= found and spark.conf.get(setting, None) == before
+    assert saved.count() == 100 and saved.agg(F.sum("count")).first()[0] == 10_000
+
+
+def _shuffles_of(spark, folder, name):
+    """Hash shuffles of the last step of a query whose joins are not broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = run(QUERIES[name], spark, folder)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    return re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+
+
+def test_late_funding_shuffles_open_lines_only(spark, folder):
+    # Open lines and hits by line, open lines and funding by product; all other lines are read and passed on.
+    shuffles = _shuffles_of(spark, folder, "d12_fund_substitutes")
+    assert sorted(shuffles) == ["line_id", "line_id", "sku", "sku"]
