@@ -127,3 +127,8 @@ def test_late_funding_shuffles_open_lines_only(spark, folder):
     # Open lines and hits by line, open lines and funding by product; all other lines are read and passed on.
     shuffles = _shuffles_of(spark, folder, "d12_fund_substitutes")
     assert sorted(shuffles) == ["line_id", "line_id", "sku", "sku"]
+
+
+def test_line_margins_meet_by_line_in_the_last_step(spark, folder):
+    # Lines with their unit cost, amounts of originals, scale readings and promotions; orders and products met before.
+    assert _shuffles_of(spark, folder, "d12_line_margins") == ["line_id"] * 4
