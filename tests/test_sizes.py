@@ -132,3 +132,8 @@ def test_late_funding_shuffles_open_lines_only(spark, folder):
 def test_line_margins_meet_by_line_in_the_last_step(spark, folder):
     # Lines with their unit cost, amounts of originals, scale readings and promotions; orders and products met before.
     assert _shuffles_of(spark, folder, "d12_line_margins") == ["line_id"] * 4
+
+
+def test_fallback_costs_add_one_shuffle_by_product_at_most(spark, folder):
+    # With broadcasts off; the fallback is one row a product, else there is none.
+    assert sorted(_shuffles_of(spark, folder, "d12_fill_zero_cost")) == ["line_id"] * 4 + ["sku"] * 2
