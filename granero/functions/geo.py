@@ -67,13 +67,16 @@ def inside_ring(ring: Column, lng: Column, lat: Column) -> Column:
     return inside_edges(ring_edges(ring), lng, lat)
 
 
+def edge_crosses(a_lng: Column, a_lat: Column, b_lng: Column, b_lat: Column, lng: Column, lat: Column) -> Column:
+    """Whether a ray towards the east crosses the edge from ``a`` to ``b``."""
+    at = a_lng + (lat - a_lat) * (b_lng - a_lng) / F.nullif(b_lat - a_lat, F.lit(0.0))
+    return ((a_lat > lat) != (b_lat > lat)) & (lng < at)
+
+
 def inside_edges(edges: Column, lng: Column, lat: Column) -> Column:
     """Even-odd ray casting towards the east against edges."""
 
     def crosses(edge: Column) -> Column:
-        a, b = edge["a"], edge["b"]
-        straddles = (a["lat"] > lat) != (b["lat"] > lat)
-        at = a["lng"] + (lat - a["lat"]) * (b["lng"] - a["lng"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0))
-        return straddles & (lng < at)
+        return edge_crosses(edge["a"]["lng"], edge["a"]["lat"], edge["b"]["lng"], edge["b"]["lat"], lng, lat)
 
     return F.size(F.filter(edges, crosses)) % 2 == 1

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granero.functions.dates import as_date
-from granero.functions.geo import edges_for_box, edges_meet_box, inside_edges, ring_edges
-from granero.session import cut_lineage, drop_tables
+from granero.functions.geo import edge_crosses, edges_for_box, edges_meet_box, inside_edges, ring_edges
+from granero.session import cut_lineage
 
 
 STEP = 4  # cells of one level are so many times as long as those of the level below
-POINTS_PER_CELL = 64  # about so many points are tested exactly for each of the finest cells at a border
+POINTS_PER_CELL = 64  # of the grid that totals by polygon use
+BLOCK = 32  # rows of that grid whose edges are picked together
+MARGIN = 1e-6  # cells; wider than any rounding of a point's cell
 
 
 def _cells(low: Column, high: Column, size: Column) -> Column:
@@ -102,19 +105,133 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, refi
 
 def _spread(df: DataFrame) -> DataFrame:
     """Few rows that cause much work each, dealt over all tasks; run-time joining of small partitions would undo it otherwise."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = df.sparkSession.conf
+    number = conf.get("spark.sql.shuffle.partitions")
+    return df.repartition(int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", number) or number))
 
 
-def _cut_table(table: DataFrame, cell: float, longest: float) -> DataFrame:
-    """A written table of cells with those at a border cut until none is longer than ``longest``, dealt anew for each level."""
-    while longest > 0:
-        wanted = (F.col("_kind") == "border") & (_size(F.col("_level"), cell) > longest)
-        if table.where(wanted).isEmpty():
-            break
-        done = table
-        table = cut_lineage(_cut(_spread(table), cell, wanted))
-        drop_tables(done)
-    return table
+@dataclass(frozen=True)
+class _Grid:
+    """``count`` times ``count`` cells over the extent of all points."""
+
+    west: float
+    south: float
+    width: float
+    height: float
+    count: int
+
+    def column(self, lng: Column) -> Column:
+        return F.floor((lng - self.west) / self.width)
+
+    def row(self, lat: Column) -> Column:
+        return F.floor((lat - self.south) / self.height)
+
+    def inside(self, number: Column) -> Column:
+        return F.greatest(F.least(number, F.lit(self.count - 1)), F.lit(0))
+
+    def edges_in_rows(self, edges: Column, first: Column, last: Column) -> Column:
+        """The edges that touch rows ``first`` to ``last``."""
+        low, high = self.south + (first - MARGIN) * self.height, self.south + (last + 1 + MARGIN) * self.height
+
+        def touches(edge: Column) -> Column:
+            a, b = edge["a"]["lat"], edge["b"]["lat"]
+            return (F.greatest(a, b) >= low) & (F.least(a, b) <= high)
+
+        return F.filter(edges, touches)
+
+    def spans(self, edges: Column, row: Column) -> Column:
+        """For each edge its columns ``lo`` to ``hi`` in a row, -1 and ``count`` for those beyond the points.
+
+        ``through`` says whether it crosses the whole row, ``middle`` whether it crosses the row's middle.
+        """
+        low, high = self.south + (row - MARGIN) * self.height, self.south + (row + 1 + MARGIN) * self.height
+        middle = self.south + (row + 0.5) * self.height
+
+        def part(edge: Column) -> Column:
+            a, b = edge["a"], edge["b"]
+            slope = (b["lng"] - a["lng"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0))
+            # Ends of the part inside the row; a level edge is there as a whole.
+            ends = [F.coalesce(a["lng"] + (F.least(F.greatest(end["lat"], low), high) - a["lat"]) * slope, end["lng"]) for end in (a, b)]
+            return F.struct(edge.alias("edge"), *[end.alias(name) for end, name in zip(ends, "ab")])
+
+        def number(lng: Column) -> Column:
+            near = F.least(F.greatest(lng, F.lit(self.west - 2 * self.width)), F.lit(self.west + (self.count + 2) * self.width))
+            return F.greatest(F.least(self.column(near), F.lit(self.count)), F.lit(-1)).cast("int")
+
+        def span(part: Column) -> Column:
+            a, b = part["edge"]["a"]["lat"], part["edge"]["b"]["lat"]
+            return F.struct(
+                part["edge"].alias("edge"), number(F.least(part["a"], part["b"]) - MARGIN * self.width).alias("lo"),
+                number(F.greatest(part["a"], part["b"]) + MARGIN * self.width).alias("hi"),
+                ((F.least(a, b) <= low) & (F.greatest(a, b) >= high)).alias("through"), ((a > middle) != (b > middle)).alias("middle"),
+            )
+
+        return F.transform(F.transform(edges, part), span)
+
+
+def _parts(polygons: DataFrame, grid: _Grid) -> DataFrame:
+    """Each polygon as parts of the grid's rows, by ``_row`` and ``_column``.
+
+    ``sum``: all points of the row up to the column count ``_sign`` times; the untouched cells between two touched ones
+    lie wholly inside or outside. ``edge``: points of the cell are inside where they cross ``_edge`` an odd number of times
+    together with ``_odd``; ``edges``: the same with several edges.
+    """
+    lat = [F.transform("_edges", lambda e: f(e["a"]["lat"], e["b"]["lat"])) for f in (F.least, F.greatest)]
+    known = F.filter(ring_edges(F.col("ring")), lambda e: (e["a"]["lng"] + e["a"]["lat"] + e["b"]["lng"] + e["b"]["lat"]).isNotNull())
+    edged = polygons.withColumn("_edges", known).where(F.size("_edges") > 0)
+    first, last = grid.row(F.array_min(lat[0])), grid.row(F.array_max(lat[1]))
+    met = edged.withColumns({"_first": first, "_last": last}).where((F.col("_last") >= -1) & (F.col("_first") <= grid.count)).drop("ring")
+    # Blocks of rows first, so that a row looks at the edges of its block only.
+    block = F.explode(F.sequence(F.floor(grid.inside(F.col("_first")) / BLOCK), F.floor(grid.inside(F.col("_last")) / BLOCK)))
+    blocks = met.withColumn("_block", block)
+    start, end = F.col("_block") * BLOCK, F.col("_block") * BLOCK + BLOCK - 1
+    blocks = blocks.withColumn("_edges", grid.edges_in_rows(F.col("_edges"), start, end))
+    inside = F.sequence(F.greatest(start, grid.inside(F.col("_first"))), F.least(end, grid.inside(F.col("_last"))))
+    rows = blocks.withColumn("_row", F.explode(inside)).drop("_block", "_first", "_last")
+    rows = rows.withColumn("_spans", grid.spans(grid.edges_in_rows(F.col("_edges"), F.col("_row"), F.col("_row")), F.col("_row"))).drop("_edges")
+    touched = F.array_sort(F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["lo"], s["hi"])))))
+    rows = rows.withColumn("_touched", touched)
+    odd = F.lit(1)
+
+    def part(kind: str, column: Column, sign: Column, edges: Column, before: Column) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), column.cast("int").alias("_column"), sign.cast("int").alias("_sign"), edges.alias("_edges"), before.alias("_odd"))
+
+    no_edges = F.lit(None).cast(edged.schema["_edges"].dataType)
+
+    def gap(k: Column) -> Column:
+        left, right = F.get("_touched", k - 1), F.get("_touched", k)
+        crossed = F.size(F.filter("_spans", lambda s: s["middle"] & (s["lo"] >= right))) % 2
+        ends = F.array(
+            part("sum", left, F.lit(-1), no_edges, F.lit(False)), part("sum", right - 1, F.lit(1), no_edges, F.lit(False)),
+        )
+        return F.when((right - left > 1) & (crossed == odd), ends).otherwise(F.slice(ends, 1, 0))
+
+    def cell(column: Column) -> Column:
+        near = F.filter("_spans", lambda s: (s["hi"] >= column) & ((s["lo"] <= column) | ~s["through"]))
+        crossed = F.size(F.filter("_spans", lambda s: s["through"] & (s["lo"] > column))) % 2
+        edges = F.transform(near, lambda s: s["edge"])
+        return part("edge", column, F.lit(1), edges, crossed == odd)
+
+    gaps = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_touched") - 1, F.lit(1))), gap))
+    gaps = F.when(F.size("_touched") > 1, gaps).otherwise(F.slice(F.transform("_touched", lambda c: part("sum", c, F.lit(1), no_edges, F.lit(False))), 1, 0))
+    cells = F.transform(F.filter("_touched", lambda c: c.between(0, grid.count - 1)), cell)
+    keys = [c for c in polygons.columns if c != "ring"]
+    parts = rows.select(*keys, F.col("_row").cast("int").alias("_row"), F.explode(F.concat(gaps, cells)).alias("_part"))
+    flat = parts.select(*keys, "_row", "_part.*")
+    single = (F.col("_kind") == "edge") & (F.size("_edges") == 1)
+    kind = F.when(single | (F.col("_kind") == "sum"), F.col("_kind")).otherwise("edges")
+    return flat.select(
+        *keys, "_row", "_column", kind.alias("_kind"), "_sign", "_odd", F.when(single, F.get("_edges", F.lit(0))).alias("_edge"),
+        F.when(kind == "edges", F.col("_edges")).alias("_edges"),
+    )
+
+
+def _running_totals(cells: DataFrame, grid: _Grid, names: Sequence[str]) -> DataFrame:
+    """For each cell of the grid the totals of its row up to there, also where a cell has no points."""
+    number = F.sequence(F.lit(0), F.lit(grid.count - 1))
+    full = cells.select("_row").distinct().withColumn("_column", F.explode(number)).withColumn("_column", F.col("_column").cast("int"))
+    along = Window.partitionBy("_row").orderBy("_column")
+    return full.join(cells, ["_row", "_column"], "left").select("_row", "_column", *[F.sum(F.coalesce(name, F.lit(0))).over(along).alias(name) for name in names])
 
 
 def polygon_totals(
@@ -122,31 +239,43 @@ def polygon_totals(
 ) -> DataFrame:
     """For each polygon that contains points, their number and the sums ``{name: column}``, without a row for each pair.
 
-    The result is that of ``points_in_polygons``, grouped. Points are added up by cell, and inner cells take these totals;
-    only points in border cells meet the polygon. Borders are cut until a cell holds about ``per_cell`` points, so the
-    work grows with the length of the borders, not with the points inside. The cells are written once.
+    The result is that of ``points_in_polygons``, grouped; sums of whole numbers or decimals are exact. A grid over the points
+    has about ``per_cell`` of them in a cell (``cell`` has no part in it). Between the cells that its edges touch, a
+    polygon takes differences of running totals along each row; only points in touched cells are tested, mostly against
+    one edge. So the work grows with the borders. The parts of the polygons are written once.
     """
+    finite = points.where((F.col("lng") - F.col("lng") == 0) & (F.col("lat") - F.col("lat") == 0))
     lng, lat = F.col("lng"), F.col("lat")
-    area = points.agg(F.count("*").alias("n"), ((F.max(lng) - F.min(lng)) * (F.max(lat) - F.min(lat))).alias("area")).first()
-    finest = math.sqrt(per_cell * (area["area"] or 0.0) / max(area["n"], 1))
+    seen = finite.agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{f.__name__}") for c in ("lng", "lat") for f in (F.min, F.max)]).first()
+    side = max(1, math.ceil(math.sqrt(seen["n"] / per_cell)))
+    # A little wider, so that the last points lie in the last cells.
+    steps = [((seen[f"{c}_max"] or 0.0) - (seen[f"{c}_min"] or 0.0)) / side * (1 + 1e-9) or 1.0 for c in ("lng", "lat")]
+    grid = _Grid(seen["lng_min"] or 0.0, seen["lat_min"] or 0.0, *steps, side)
     keys = [c for c in polygons.columns if c != "ring"]
-    table = _cut_table(cut_lineage(_whole_cells(_spread(polygons), cell)), cell, 2 * finest)
-    names = [count, *sums]
-
-    def levels(kind: str) -> Column:
-        return table.where(F.col("_kind") == kind).agg(F.array_sort(F.collect_set("_level"))).scalar()
-
-    def totals(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-        return rows.groupBy(*by).agg(*[F.sum(name).alias(name) for name in names])
-
-    single = points.select("lng", "lat", F.lit(1).cast("long").alias(count), *[F.col(c).alias(name) for name, c in sums.items()])
-    place = ["_level", "_cx", "_cy"]
-    by_cell = totals(_placed(single, levels("inner"), cell), place)
-    inside = by_cell.join(table.where("_kind = 'inner'").drop("_edges", "_kind"), place)
-    tested = _placed(_spread(single), levels("border"), cell).join(table.where("_kind = 'border'").drop("_kind"), place)
-    border = tested.where(inside_edges(F.col("_edges"), lng, lat))
-    parts = [totals(one, keys) for one in (inside, border)]
-    return totals(parts[0].unionByName(parts[1]), keys)
+    parts = cut_lineage(_parts(_spread(polygons), grid))
+    # Next to each sum the number of values in it, since a sum without any is NULL.
+    measures = {count: F.lit(1).cast("long")} | {name: F.col(c) for name, c in sums.items()}
+    measures |= {f"_{name}_known": F.col(c).isNotNull().cast("long") for name, c in sums.items()}
+    names = list(measures)
+    single = finite.select("lng", "lat", grid.row(lat).cast("int").alias("_row"), grid.column(lng).cast("int").alias("_column"), *[c.alias(n) for n, c in measures.items()])
+    place = ["_row", "_column"]
+
+    def of(kind: str, *more: str) -> DataFrame:
+        return parts.where(F.col("_kind") == kind).select(*keys, *place, *more)
+
+    def totals(rows: DataFrame, by: Sequence[str], sign: Column = F.lit(1)) -> DataFrame:
+        return rows.groupBy(*by).agg(*[F.sum(F.col(name) * sign).alias(name) for name in names])
+
+    running = _running_totals(totals(single, place), grid, names)
+    between = totals(of("sum", "_sign").join(running, place), keys, F.col("_sign"))
+    a, b = F.col("_edge.a"), F.col("_edge.b")
+    one = of("edge", "_odd", "_edge").select(*keys, *place, "_odd", *[e[c].alias(f"_{n}_{c}") for n, e in (("a", a), ("b", b)) for c in ("lng", "lat")])
+    crosses = edge_crosses(F.col("_a_lng"), F.col("_a_lat"), F.col("_b_lng"), F.col("_b_lat"), lng, lat)
+    dealt = _spread(single)  # few files of points may meet broadcast parts
+    beside = dealt.join(one, place).where(crosses != F.col("_odd"))
+    several = dealt.join(of("edges", "_odd", "_edges"), place).where(inside_edges(F.col("_edges"), lng, lat) != F.col("_odd"))
+    found = totals(between.unionByName(totals(beside, keys)).unionByName(totals(several, keys)), keys).where(F.col(count) > 0)
+    return found.select(*keys, count, *[F.when(F.col(f"_{name}_known") > 0, F.col(name)).alias(name) for name in sums])
 
 
 def assign_zones(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:

@@ -82,3 +82,44 @@ def test_cells_keep_only_the_edges_that_decide_about_their_points(spark):
     polygons = spark.createDataFrame([(0, star(rng, 15, 5, 20, 40))], RING)
     kept = spatial.cover(polygons, 0.5, refine=2).where("_kind = 'border'").agg(F.avg(F.size("_edges"))).first()[0]
     assert kept < 10
+
+
+def test_totals_write_few_parts_once_and_test_most_points_against_one_edge(spark, monkeypatch):
+    rng = random.Random(7)
+    polygons = spark.createDataFrame([(k, star(rng, rng.uniform(0, 30), rng.uniform(0, 30), 12, 5)) for k in range(30)], RING)
+    points = spark.createDataFrame([(k, rng.uniform(0, 30), rng.uniform(0, 30)) for k in range(20_000)], "id int, lng double, lat double")
+    written = []
+    save = spatial.cut_lineage
+
+    def noted(df):
+        written.append(save(df))
+        return written[-1]
+
+    monkeypatch.setattr(spatial, "cut_lineage", noted)
+    found = spatial.polygon_totals(points, polygons, 0.5, {"ids": "id"}, per_cell=16)
+    assert len(written) == 1
+    kinds = {r["_kind"]: r["count"] for r in written[0].groupBy("_kind").count().collect()}
+    rows = math.ceil(math.sqrt(20_000 / 16))
+    assert kinds["edge"] > 3 * kinds["edges"] and sum(kinds.values()) < 12 * rows * 30
+    pairs = points.crossJoin(polygons).where(inside_ring(F.col("ring"), F.col("lng"), F.col("lat")))
+    plain = pairs.groupBy("polygon").agg(F.count("*"), F.sum("id"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_totals_of_odd_points_rings_and_measures(spark):
+    big = [(-10.0, -10.0), (40.0, -10.0), (40.0, 12.0), (20.0, 12.0), (20.0, 5.0), (-10.0, 5.0), (-10.0, -10.0)]  # level and upright edges
+    bow = [(0.0, 0.0), (10.0, 10.0), (10.0, 0.0), (0.0, 10.0), (0.0, 0.0)]  # crosses itself
+    twice = [*bow[:1], (8.0, 1.0), (4.0, 9.0), *bow[:1], (8.0, 1.0), (4.0, 9.0), *bow[:1]]  # goes round twice: nothing is inside
+    polygons = spark.createDataFrame([(1, big), (2, bow), (2, bow), (3, twice), (None, bow), (4, None)], RING)
+    rng = random.Random(8)
+    points = [(k, None if k % 3 else k, rng.uniform(-1, 30), rng.uniform(-1, 14)) for k in range(400)]
+    points += [(k, k, x, y) for k, (x, y) in enumerate([(5.0, 5.0), (20.0, 5.0), (20.0, 12.0), (0.0, 0.0), (10.0, 10.0)], 500)]
+    points += [(600, 1, float("nan"), 1.0), (601, 1, 1.0, float("nan")), (602, 1, float("inf"), 1.0), (603, 1, None, 1.0), (604, 1, 1.0, None), (605, 1, 1.0, float("-inf"))]
+    schema = "id int, some int, lng double, lat double"
+    for chosen in (points, points[:1], points[500:], [p for p in points if p[1] is None], points[-6:]):
+        df = spark.createDataFrame(chosen, schema)
+        pairs = df.where("lng < 1e9 AND lat < 1e9").crossJoin(polygons).where(inside_ring(F.col("ring"), F.col("lng"), F.col("lat")))
+        plain = pairs.groupBy("polygon").agg(F.count("*"), F.sum("some"))
+        for per_cell in (1, 30):
+            found = spatial.polygon_totals(df, polygons, 0.5, {"some": "some"}, per_cell=per_cell)
+            assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, map(tuple, plain.collect())))
